@@ -166,11 +166,12 @@ def nearest_valid(df: DataFrame, keys, ts: str, col: str, chunk="month") -> Data
 # ---------------------------------------------------------------------------
 
 def gap_len_expr(c: str) -> Column:
-    """Length (rows) of the maximal null run containing the row; null for valid rows.
+    """Length (rows) of the maximal null run containing the row; 0 for valid rows.
     Needs the columns added by :func:`neighbours`."""
     p, n = F.col(prev_col(c)), F.col(next_col(c))
     return F.when(F.col(c).isNull(),
-                  F.coalesce(n["r"], F.col(NROWS) + 1) - F.coalesce(p["r"], F.lit(0)) - 1)
+                  F.coalesce(n["r"], F.col(NROWS) + 1) - F.coalesce(p["r"], F.lit(0)) - 1) \
+            .otherwise(F.lit(0).cast("long"))
 
 
 def gap_pos_expr(c: str) -> Column:
