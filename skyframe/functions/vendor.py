@@ -17,7 +17,7 @@ def clean_cell(x) -> Column:
     """F-15 (+ S6 null tokens): tokens ``×``, ``///``, ``#`` and blank -> NULL;
     exact ``0+`` -> ``0`` and ``10-`` -> ``10``; `` -- `` (with any spaces) -> ``0``;
     ``)`` and ``]`` quality marks removed."""
-    s = _c(x)
+    s = _c(x).cast("string")
     s = F.when(~s.isin(*VENDOR_NULL_TOKENS), s)
     s = F.when(s == "0+", F.lit("0")).when(s == "10-", F.lit("10")).otherwise(s)
     s = F.regexp_replace(s, r"\s*--\s*", "0")

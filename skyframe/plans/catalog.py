@@ -586,3 +586,331 @@ FROM (SELECT p_partkey, p_retailprice, CAST(round(abs(p_retailprice / 10) * 1000
 def q_ddmmss(spark, sf):
     p = _t(spark, sf, "part").select("p_partkey", (F.col("p_retailprice") / 10).alias("ddmmss"))
     return p.withColumn("degrees", U.ddmmss_to_decimal("ddmmss"))
+
+
+# ---------------------------------------------------------------------------
+# Timestamp from Y/M/D and hour 1..24
+# ---------------------------------------------------------------------------
+
+@query("build_ts", """
+SELECT event_id, make_timestamp(year(ts), month(ts), day(ts), 0, 0, 0) + to_hours(hour(ts) + 1) AS ts_end
+FROM events""")
+def q_build_ts(spark, sf):
+    from ..sources.hourly import build_ts
+    e = _t(spark, sf, "events")
+    return e.select("event_id", build_ts(F.year("ts"), F.month("ts"), F.dayofmonth("ts"),
+                                         F.hour("ts") + 1).alias("ts_end"))
+
+
+# ---------------------------------------------------------------------------
+# 3-hourly -> hourly on fixed bounds, time interpolation and forward fill
+# ---------------------------------------------------------------------------
+
+UP_START, UP_END = "2024-01-02 00:00:00", "2024-01-28 00:00:00"
+SQL_UP = f"""o3 AS (SELECT station, ts, CASE WHEN rmk IN (0, 1, 2) THEN NULL ELSE v END AS v, rmk
+  FROM obs WHERE hour(ts) % 3 = 0),
+up_g AS (SELECT station, unnest(generate_series(TIMESTAMP '{UP_START}', TIMESTAMP '{UP_END}', INTERVAL 1 HOUR)) AS ts
+  FROM (SELECT DISTINCT station FROM o3)),
+up AS (SELECT g.station, g.ts, o.v, o.rmk FROM up_g g LEFT JOIN o3 o ON o.station = g.station AND o.ts = g.ts)"""
+
+
+@query("upsample_3h_to_1h", sql_with(*BASE, SQL_UP, sql_neighbours("nb", "up")) + f"""
+SELECT station, ts, CASE WHEN v IS NOT NULL THEN v
+  WHEN pv IS NOT NULL AND nv IS NOT NULL THEN pv + (nv - pv) * {_SECS}
+  WHEN pv IS NOT NULL THEN pv END AS v,
+  last_value(rmk IGNORE NULLS) OVER (PARTITION BY station ORDER BY ts
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rmk
+FROM nb""")
+def q_upsample(spark, sf):
+    o = EV.obs(spark, sf).filter(F.hour("ts") % 3 == 0)
+    o = EV.mask_v(o).select("station", "ts", "v", "rmk")
+    up = GR.upsample(o, K, "ts", UP_START, UP_END)
+    up = SR.interpolate(up, K, "ts", ["v"], "time")
+    return SR.ffill(up, K, "ts", ["rmk"])
+
+
+# ---------------------------------------------------------------------------
+# F-14: local -> UTC; F-12 / F-13: solar night
+# ---------------------------------------------------------------------------
+
+@query("to_utc", sql_with(*BASE) + """
+SELECT station, ts, ts - INTERVAL 9 HOUR AS ts_utc, CAST(epoch(ts - INTERVAL 9 HOUR) AS BIGINT) AS time
+FROM obs""")
+def q_to_utc(spark, sf):
+    o = EV.obs(spark, sf).select("station", "ts")
+    utc = TX.local_to_utc(F.col("ts"))
+    return o.select("station", "ts", utc.alias("ts_utc"), TX.epoch_seconds(utc).alias("time"))
+
+
+def _station_lat(c="station"):
+    return (F.col(c) % 20).cast("double") + 24.0
+
+
+def _station_lon(c="station"):
+    return (F.col(c) % 25).cast("double") + 123.0
+
+
+def _sql_elev(ts_utc: str, lat: str, lon: str) -> str:
+    """Same closed form as skyframe.functions.solar, in DuckDB SQL."""
+    d = f"(date_diff('second', TIMESTAMP '2000-01-01 12:00:00', {ts_utc}) / 86400.0)"
+
+    def wrap(x):
+        return f"((({x}) % 360.0 + 360.0) % 360.0)"
+
+    def rad(x):
+        return f"(({x}) * 2 * pi() / 360.0)"
+    g = wrap(f"357.529 + 0.98560028 * {d}")
+    q = wrap(f"280.459 + 0.98564736 * {d}")
+    ecl = f"({q} + 1.915 * sin({rad(g)}) + 0.020 * sin({rad('2 * ' + g)}))"
+    eps = f"(23.439 - 3.6e-7 * {d})"
+    ra = f"atan2(cos({rad(eps)}) * sin({rad(ecl)}), cos({rad(ecl)}))"
+    dec = f"asin(sin({rad(eps)}) * sin({rad(ecl)}))"
+    gmst = wrap(f"280.46061837 + 360.98564736629 * {d}")
+    ha = f"({rad(gmst + ' + ' + lon)} - {ra})"
+    s = f"(sin({rad(lat)}) * sin({dec}) + cos({rad(lat)}) * cos({dec}) * cos({ha}))"
+    return f"degrees(asin({s}))"
+
+
+_LAT_SQL = "(CAST(station % 20 AS DOUBLE) + 24.0)"
+_LON_SQL = "(CAST(station % 25 AS DOUBLE) + 123.0)"
+
+
+@query("night_flag", sql_with(*BASE) + f"""
+SELECT station, ts, round(elev, 6) AS elevation, elev <= -0.571 AS night FROM (
+  SELECT station, ts, {_sql_elev("ts - INTERVAL 9 HOUR", _LAT_SQL, _LON_SQL)} AS elev FROM obs)""")
+def q_night_flag(spark, sf):
+    o = EV.obs(spark, sf).select("station", "ts")
+    utc = TX.local_to_utc(F.col("ts"))
+    el = solar_elevation(utc, _station_lat(), _station_lon())
+    return o.select("station", "ts", F.round(el, 6).alias("elevation"),
+                    is_night(utc, _station_lat(), _station_lon()).alias("night"))
+
+
+_NZ = ["duration_of_sunshine", "surface_downwelling_shortwave_flux_in_air"]
+
+
+@query("enforce_night_zero", sql_with(*WIDE, SQL_CF) + f""",
+cfn AS (SELECT station, ts, {', '.join(_NZ)},
+  {_sql_elev("ts - INTERVAL 9 HOUR", _LAT_SQL, _LON_SQL)} <= -0.571 AS night FROM cf),
+fl AS (SELECT station, """ + ", ".join(
+    f"bool_or(coalesce(NOT night AND {c} IS NOT NULL, false)) AS d_{i}" for i, c in enumerate(_NZ)) + """
+  FROM cfn GROUP BY station)
+SELECT c.station, c.ts, """ + ", ".join(
+    f"CASE WHEN c.night AND f.d_{i} THEN CAST(0 AS FLOAT) ELSE c.{c} END AS {c}" for i, c in enumerate(_NZ))
+    + " FROM cfn c JOIN fl f ON f.station = c.station")
+def q_enforce_night_zero(spark, sf):
+    c = _cf(spark, sf).select("station", "ts", *_NZ)
+    c = c.withColumn("lat", _station_lat()).withColumn("lon", _station_lon())
+    return QL.enforce_night_zero(c, K, "ts", "lat", "lon", _NZ).select("station", "ts", *_NZ)
+
+
+# ---------------------------------------------------------------------------
+# Daily units
+# ---------------------------------------------------------------------------
+
+DAILY_VALUES = {
+    "avrLhpa": "10000 + cs % 400", "avrKion": "cmin % 350 - 50", "maxKion": "cmax % 400 - 50",
+    "minKion": "cmin % 300 - 80", "avrRhum": "kmax", "minRhum": "kmin", "avrSped": "cs % 120",
+    "maxSped": "cmax % 200", "maxMuki": "ks % 17", "sunlght": "cs % 300", "dayPrec": "cmin % 90",
+}
+SQL_DAILY = """dagg AS (
+  SELECT station, date_trunc('day', ts) AS date, CAST(sum(cents) AS BIGINT) AS cs, min(cents) AS cmin,
+         max(cents) AS cmax, CAST(sum(k) AS BIGINT) AS ks, min(k) AS kmin, max(k) AS kmax
+  FROM ev GROUP BY station, date_trunc('day', ts)),
+draw AS (SELECT station, date, """ + ", ".join(f"CAST({e} AS INT) AS {c}" for c, e in DAILY_VALUES.items()) \
+    + """ FROM dagg),
+dconv AS (SELECT station, date,
+  CAST(avrLhpa AS DOUBLE) / 10.0 AS avrLhpa, CAST(avrKion AS DOUBLE) / 10.0 AS avrKion,
+  CAST(maxKion AS DOUBLE) / 10.0 AS maxKion, CAST(minKion AS DOUBLE) / 10.0 AS minKion,
+  CAST(avrRhum AS DOUBLE) / 100.0 AS avrRhum, CAST(minRhum AS DOUBLE) AS minRhum,
+  CAST(avrSped AS DOUBLE) / 10.0 AS avrSped, CAST(maxSped AS DOUBLE) / 10.0 AS maxSped,
+  ((-90.0 - CAST(maxMuki AS DOUBLE) * 22.5) % 360.0 + 360.0) % 360.0 + 0.0 AS maxMuki,
+  CASE WHEN year(date) >= 1981 THEN CAST(sunlght AS DOUBLE) * 1.0e5 / 3.6e3 / 24.0
+       ELSE CAST(sunlght AS DOUBLE) * 4.2 * 1.0e4 / 3.6e3 / 24.0 END AS sunlght,
+  CAST(dayPrec AS DOUBLE) / 10.0 AS dayPrec FROM draw)"""
+
+
+@query("daily_convert", sql_with(SQL_EV, SQL_DAILY) + """
+SELECT *, round(maxSped * cos(maxMuki * 2 * pi() / 360.0), 9) AS umax,
+  round(maxSped * sin(maxMuki * 2 * pi() / 360.0), 9) AS vmax,
+  round(avrSped * cos(maxMuki * 2 * pi() / 360.0), 9) AS u,
+  round(avrSped * sin(maxMuki * 2 * pi() / 360.0), 9) AS v FROM dconv""")
+def q_daily_convert(spark, sf):
+    from ..sources.daily import daily_units
+    e = EV.events(spark, sf).withColumn("date", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    a = e.groupBy("station", "date").agg(
+        F.sum("cents").alias("cs"), F.min("cents").alias("cmin"), F.max("cents").alias("cmax"),
+        F.sum("k").alias("ks"), F.min("k").alias("kmin"), F.max("k").alias("kmax"))
+    raw = a.selectExpr("station", "date", *[f"CAST({x} AS INT) AS {c}" for c, x in DAILY_VALUES.items()])
+    d = daily_units(raw)
+    return d.select("station", "date", *DAILY_VALUES.keys(),
+                    *[F.round(c, 9).alias(c) for c in ("umax", "vmax", "u", "v")])
+
+
+# ---------------------------------------------------------------------------
+# S13 / S14 / F-21: model-forcing text lines
+# ---------------------------------------------------------------------------
+
+def _pf(x: str, w: int) -> str:
+    return f"CASE WHEN {x} IS NULL THEN lpad('nan', {w}, ' ') ELSE printf('%{w}.5f', {x}) END"
+
+
+@query("forcing_text", sql_with(*WIDE, SQL_WMASK, SQL_PHYS) + f"""
+SELECT station, ts, strftime(ts, '%Y-%m-%d %H:%M:%S') || ' ' || {_pf('slht', 10)} AS line FROM wphys""")
+def q_forcing_text(spark, sf):
+    p = _physical(spark, sf)
+    return p.select("station", "ts", TX.forcing_line("ts", [("slht", 10, 5)]).alias("line"))
+
+
+@query("forcing_met_text", sql_with(*WIDE, SQL_WMASK, SQL_PHYS) + """
+SELECT station, ts, strftime(ts, '%Y-%m-%d %H:%M:%S') || ' ' || """ + " || ' ' || ".join(
+    _pf(x, w) for x, w in [("u", 10), ("v", 10), ("shpa", 12), ("kion", 10), ("humd", 10), ("clod", 10)])
+    + """ AS line FROM (SELECT *, sped * cos(muki * 2 * pi() / 360.0) AS u,
+                  sped * sin(muki * 2 * pi() / 360.0) AS v FROM wphys)""")
+def q_forcing_met_text(spark, sf):
+    from ..sources.sinks import FORCING_MET
+    p = _physical(spark, sf)
+    return p.select("station", "ts", TX.forcing_line("ts", FORCING_MET).alias("line"))
+
+
+# ---------------------------------------------------------------------------
+# S6, F-15..F-20, P6: vendor dialect
+# ---------------------------------------------------------------------------
+
+from ..schema import CALM_WORD, COMPASS_WORDS  # noqa: E402
+from ..sources import vendor as VS  # noqa: E402
+
+_WORDS = [CALM_WORD] + list(COMPASS_WORDS)
+_NIGHT_EV = "(hour(ts) >= 19 OR hour(ts) < 5)"
+
+
+def vendor_frame(spark, sf) -> DataFrame:
+    """Vendor-dialect rows (Japanese header, symbols in cells) from events."""
+    e = _t(spark, sf, "events").select(
+        "event_id", "user_id", "ts", "event_type", "value",
+        F.get_json_object("props", "$.k").try_cast("int").alias("k"))
+    v2 = F.format_string("%.2f", F.col("value"))
+    night = (F.hour("ts") >= 19) | (F.hour("ts") < 5)
+    et, k = F.col("event_type"), F.col("k")
+    cell = (F.when(et == "view", F.concat(v2, F.lit(")")))
+             .when(et == "click", F.concat(v2, F.lit("]")))
+             .when(et == "error", F.lit("×"))
+             .when(et == "signup", F.when(k % 3 == 0, F.lit("///")).when(k % 3 == 1, F.lit(" -- "))
+                   .otherwise(F.lit("#")))
+             .otherwise(v2))
+    hum = F.when(k % 13 == 0, F.lit("10-")).when(k % 13 == 1, F.lit("0+")).otherwise(k.cast("string"))
+    rad = F.when(night | (F.col("user_id") % 5 == 0), F.lit("")).otherwise(v2)
+    sun = F.when(night, F.lit("")).otherwise(F.format_string("%.1f", (k % 11) / 10.0))
+    words = F.array(*[F.lit(w) for w in _WORDS])
+    return e.select(
+        "event_id",
+        F.concat(F.lit("stn"), F.col("user_id").cast("string")).alias("station"),
+        F.year("ts").alias("year"),
+        (F.col("user_id") + 47000).alias("観測所ID"),
+        F.concat(F.lit("stn"), F.col("user_id").cast("string")).alias("名称"),
+        F.date_format("ts", "yyyy/M/d").alias("日付"),
+        (F.hour("ts") + 1).cast("string").alias("時"),
+        cell.alias("現地気圧(hPa)"),
+        F.format_string("%.1f", (k + 10100) / 10.0).alias("海面気圧(hPa)"),
+        F.format_string("%.1f", (k % 7) / 10.0).alias("降水量(mm)"),
+        F.format_string("%.1f", (k % 40) - 5.5).alias("気温(℃)"),
+        F.format_string("%.1f", (k % 30) - 8.5).alias("露点温度(℃)"),
+        F.format_string("%.1f", (k % 25) + 0.5).alias("蒸気圧(hPa)"),
+        hum.alias("湿度(%)"),
+        F.format_string("%.1f", (k % 15) / 2.0).alias("風速(m/s)"),
+        F.element_at(words, (k % 17) + 1).alias("風向"),
+        sun.alias("日照時間(h)"),
+        rad.alias("全天日射量(MJ/㎡)"),
+        hum.alias("雲量"),
+        F.lit("0").alias("降雪(cm)"), F.lit("0").alias("積雪(cm)"), F.lit("").alias("--"),
+        F.lit("20.0").alias("視程"))
+
+
+_WORDS_SQL = "[" + ", ".join(f"'{w}'" for w in _WORDS) + "]"
+SQL_VENDOR = f"""vev AS (
+  SELECT event_id, user_id, ts, event_type, value,
+         TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+vend AS (SELECT event_id, 'stn' || user_id AS station, CAST(year(ts) AS INTEGER) AS year, user_id + 47000 AS id,
+  'stn' || user_id AS name, strftime(ts, '%Y/%-m/%-d') AS date, CAST(hour(ts) + 1 AS VARCHAR) AS hh,
+  CASE event_type WHEN 'view' THEN printf('%.2f', value) || ')' WHEN 'click' THEN printf('%.2f', value) || ']'
+    WHEN 'error' THEN '×' WHEN 'signup' THEN CASE WHEN k % 3 = 0 THEN '///' WHEN k % 3 = 1 THEN ' -- '
+    ELSE '#' END ELSE printf('%.2f', value) END AS lhpa_c,
+  printf('%.1f', (k + 10100) / 10.0) AS shpa_c, printf('%.1f', (k % 7) / 10.0) AS kous_c,
+  printf('%.1f', (k % 40) - 5.5) AS kion_c, printf('%.1f', (k % 30) - 8.5) AS humd_c,
+  printf('%.1f', (k % 25) + 0.5) AS stem_c,
+  CASE WHEN k % 13 = 0 THEN '10-' WHEN k % 13 = 1 THEN '0+' ELSE CAST(k AS VARCHAR) END AS rhum_c,
+  printf('%.1f', (k % 15) / 2.0) AS sped_c, {_WORDS_SQL}[k % 17 + 1] AS word,
+  CASE WHEN {_NIGHT_EV} THEN '' ELSE printf('%.1f', (k % 11) / 10.0) END AS sun_c,
+  CASE WHEN {_NIGHT_EV} OR user_id % 5 = 0 THEN '' ELSE printf('%.2f', value) END AS rad_c,
+  CASE WHEN k % 13 = 0 THEN '10-' WHEN k % 13 = 1 THEN '0+' ELSE CAST(k AS VARCHAR) END AS clod_c
+  FROM vev)"""
+
+
+def _clean_sql(x: str) -> str:
+    s = (f"CASE WHEN {x} IN ('×', '///', '#', '') THEN NULL WHEN {x} = '0+' THEN '0' "
+         f"WHEN {x} = '10-' THEN '10' ELSE {x} END")
+    s = f"regexp_replace({s}, '\\s*--\\s*', '0', 'g')"
+    return f"regexp_replace({s}, '[\\)\\]]', '', 'g')"
+
+
+def _num_sql(x: str) -> str:
+    return f"TRY_CAST({_clean_sql(x)} AS DOUBLE)"
+
+
+@query("vendor_cell_clean", sql_with(SQL_VENDOR) + f"""
+SELECT event_id, lhpa_c AS cell, {_clean_sql('lhpa_c')} AS cleaned, {_num_sql('lhpa_c')} AS number,
+  rhum_c AS cell2, {_num_sql('rhum_c')} AS number2 FROM vend""")
+def q_vendor_cell_clean(spark, sf):
+    v = vendor_frame(spark, sf)
+    return v.select("event_id", F.col("現地気圧(hPa)").alias("cell"),
+                    VD.clean_cell("現地気圧(hPa)").alias("cleaned"),
+                    VD.clean_number("現地気圧(hPa)").alias("number"),
+                    F.col("湿度(%)").alias("cell2"), VD.clean_number("湿度(%)").alias("number2"))
+
+
+SQL_VZ = """vz AS (SELECT *, bool_or(rad IS NOT NULL) OVER (PARTITION BY station, year) AS rad_any,
+                      bool_or(sun IS NOT NULL) OVER (PARTITION BY station, year) AS sun_any
+  FROM (SELECT *, """ + _num_sql("rad_c") + " AS rad, " + _num_sql("sun_c") + """ AS sun FROM vend))"""
+
+
+@query("vendor_zero_fill", sql_with(SQL_VENDOR, SQL_VZ) + """
+SELECT event_id, station, year, CASE WHEN rad_any AND rad IS NULL THEN 0.0 ELSE rad END AS rad,
+  CASE WHEN NOT rad_any THEN 0 WHEN rad IS NULL THEN 2 ELSE 8 END AS rad_rmk FROM vz""")
+def q_vendor_zero_fill(spark, sf):
+    v = vendor_frame(spark, sf).select("event_id", "station", "year",
+                                       VD.clean_number("全天日射量(MJ/㎡)").alias("rad"))
+    z, q = VS.zero_fill(v, ["station", "year"], "rad", "rad")
+    return z.select("event_id", "station", "year", "rad", F.col(q).alias("rad_rmk"))
+
+
+def _x(col: str, f: int) -> str:
+    return f"CAST(CAST(round({col} * {f}) AS INTEGER) AS DOUBLE)"
+
+
+@query("vendor_convert", sql_with(SQL_VENDOR, SQL_VZ) + f""",
+vn AS (SELECT *, {_num_sql('lhpa_c')} AS lhpa, {_num_sql('shpa_c')} AS shpa, {_num_sql('kous_c')} AS kous,
+  {_num_sql('kion_c')} AS kion, {_num_sql('humd_c')} AS humd, {_num_sql('stem_c')} AS stem,
+  {_num_sql('rhum_c')} AS rhum, {_num_sql('sped_c')} AS sped, {_num_sql('clod_c')} AS clod,
+  CASE WHEN rad_any AND rad IS NULL THEN 0.0 ELSE rad END AS slht,
+  CASE WHEN sun_any AND sun IS NULL THEN 0.0 ELSE sun END AS lght,
+  CASE WHEN NOT rad_any THEN 0 WHEN rad IS NULL THEN 2 ELSE 8 END AS slhtRMK,
+  CASE WHEN NOT sun_any THEN 0 WHEN sun IS NULL THEN 2 ELSE 8 END AS lghtRMK FROM vz)
+SELECT event_id, station, year, CAST(id - 47000 AS INTEGER) AS KanID, name AS Kname,
+  CAST(id - 47000 AS INTEGER) AS KanID_1, TRY_CAST(split_part(date, '/', 1) AS INTEGER) AS YYYY,
+  TRY_CAST(split_part(date, '/', 2) AS INTEGER) AS MM, TRY_CAST(split_part(date, '/', 3) AS INTEGER) AS DD,
+  TRY_CAST({_clean_sql('hh')} AS INTEGER) AS HH,
+  {_x('lhpa', 10)} AS lhpa, 8 AS lhpaRMK, {_x('shpa', 10)} AS shpa, 8 AS shpaRMK,
+  {_x('kion', 10)} AS kion, 8 AS kionRMK, {_x('stem', 10)} AS stem, 8 AS stemRMK,
+  {_x('rhum', 1)} AS rhum, 8 AS rhumRMK,
+  CAST(map_extract(MAP {{{", ".join(f"'{w}': {i}" for i, w in enumerate(_WORDS))}}}, {_clean_sql('word')})[1]
+       AS INTEGER) AS muki, 8 AS mukiRMK,
+  {_x('sped', 10)} AS sped, 8 AS spedRMK, {_x('clod', 1)} AS clod, 8 AS clodRMK,
+  CAST(NULL AS DOUBLE) AS tnki, 0 AS tnkiRMK, {_x('humd', 10)} AS humd, 8 AS humdRMK,
+  {_x('lght', 10)} AS lght, lghtRMK, {_x('slht', 100)} AS slht, slhtRMK,
+  {_x('kous', 10)} AS kous, 8 AS kousRMK
+FROM vn""")
+def q_vendor_convert(spark, sf):
+    v = vendor_frame(spark, sf)
+    h = VS.vendor_to_hourly(v, ["station", "year"], extra=["event_id"])
+    vals = ["lhpa", "shpa", "kion", "stem", "rhum", "sped", "clod", "tnki", "humd", "lght", "slht", "kous"]
+    return h.select(*[F.col(c).cast("double").alias(c) if c in vals else F.col(c) for c in h.columns])
