@@ -264,6 +264,28 @@ def rolling_bounds(window: int, center: bool = True) -> tuple[int, int]:
     return (window // 2, (window - 1) // 2) if center else (window - 1, 0)
 
 
+def halo_blocks(df: DataFrame, keys, rn: str, before: int, after: int,
+                block: int | None = None) -> DataFrame:
+    """Cut each entity into blocks of ``block`` consecutive row numbers and give
+    every block copies of the ``before`` rows preceding it and the ``after``
+    rows following it (``__halo = true``). A window over
+    ``(keys, __blk) ORDER BY rn`` then sees every row it reaches within
+    ``before``/``after`` rows, without partitioning by the entity alone.
+    Drop the halo rows (``filter(~__halo)``) after the window."""
+    B = block or max(1024, 8 * (before + after + 1))
+    if before >= B or after >= B:
+        raise ValueError("block must exceed the window reach")
+    blk = F.floor((F.col(rn) - 1) / B).cast("long")
+    pos = (F.col(rn) - 1) % B
+    targets = F.array_compact(F.array(
+        F.struct(blk.alias("blk"), F.lit(False).alias("halo")),
+        F.when(pos >= B - before, F.struct((blk + 1).alias("blk"), F.lit(True).alias("halo"))),
+        F.when(pos < after, F.struct((blk - 1).alias("blk"), F.lit(True).alias("halo"))),
+    ))
+    x = df.withColumn("__t", F.explode(targets))
+    return x.withColumn("__blk", F.col("__t.blk")).withColumn("__halo", F.col("__t.halo")).drop("__t")
+
+
 def rolling_mean(df: DataFrame, keys, ts: str, cols, window: int, center: bool = True,
                  min_periods: int | None = None, chunk="month",
                  block: int | None = None, suffix: str = "") -> DataFrame:
@@ -271,26 +293,14 @@ def rolling_mean(df: DataFrame, keys, ts: str, cols, window: int, center: bool =
 
     ``min_periods=None`` is strict (a full window of non-null values is required);
     ``min_periods=1`` is tolerant. The result replaces ``c`` (or goes to
-    ``c + suffix``).
-
-    Rows are cut into blocks of ``block`` consecutive row numbers and each block
-    also receives the few rows of its neighbours that its windows reach (a halo),
-    so no window partition spans a whole entity.
+    ``c + suffix``). Windows run over row blocks with halos
+    (:func:`halo_blocks`), so no window partition spans a whole entity.
     """
     cols = list(cols)
     a, b = rolling_bounds(window, center)
     need = window if min_periods is None else min_periods
-    B = block or max(1024, 8 * (a + b + 1))
     nb = neighbours(df, keys, ts, [], chunk).drop(NROWS)
-    blk = F.floor((F.col(RN) - 1) / B).cast("long")
-    pos = (F.col(RN) - 1) % B
-    targets = F.array_compact(F.array(
-        F.struct(blk.alias("blk"), F.lit(False).alias("halo")),
-        F.when(pos >= B - a, F.struct((blk + 1).alias("blk"), F.lit(True).alias("halo"))),
-        F.when(pos < b, F.struct((blk - 1).alias("blk"), F.lit(True).alias("halo"))),
-    ))
-    x = nb.withColumn("__t", F.explode(targets))
-    x = x.withColumn("__blk", F.col("__t.blk")).withColumn("__halo", F.col("__t.halo")).drop("__t")
+    x = halo_blocks(nb, keys, RN, a, b, block)
     w = Window.partitionBy(*keys, "__blk").orderBy(RN).rowsBetween(-a, b)
     for c in cols:
         mean = F.avg(c).over(w)

@@ -198,16 +198,26 @@ def q_fill_max_gap_linear(spark, sf):
 # Rolling means; P4 every n-th
 # ---------------------------------------------------------------------------
 
+def _roll_expr(v: str, a: int, b: int, need: int, w: str = "w") -> str:
+    """Window mean as a left-to-right sum of the non-null values of the frame
+    divided by their count (the order Spark's frame aggregation uses)."""
+    terms = [f"lag({v}, {k}) OVER {w}" for k in range(a, 0, -1)] + [v] + \
+        [f"lead({v}, {k}) OVER {w}" for k in range(1, b + 1)]
+    cnt = " + ".join(f"CASE WHEN {t} IS NULL THEN 0 ELSE 1 END" for t in terms)
+    tot = "0.0"
+    for t in terms:
+        tot = f"({tot} + coalesce({t}, 0.0))"
+    return f"CASE WHEN ({cnt}) >= {need} THEN {tot} / CAST(({cnt}) AS DOUBLE) END"
+
+
 def _roll_sql(a: int, b: int, need: int) -> str:
-    w = f"(PARTITION BY station ORDER BY ts ROWS BETWEEN {a} PRECEDING AND {b} FOLLOWING)"
     return sql_with(*GRID) + f"""
-SELECT station, ts, CASE WHEN count(v) OVER {w} >= {need} THEN round(avg(v) OVER {w}, 6) END AS v
-FROM gridm"""
+SELECT station, ts, {_roll_expr('v', a, b, need)} AS v FROM gridm
+WINDOW w AS (PARTITION BY station ORDER BY ts)"""
 
 
 def _roll(spark, sf, window, min_periods=None):
-    r = SR.rolling_mean(_gridm(spark, sf), K, "ts", ["v"], window, True, min_periods)
-    return r.withColumn("v", F.round("v", 6))
+    return SR.rolling_mean(_gridm(spark, sf), K, "ts", ["v"], window, True, min_periods)
 
 
 @query("rolling_strict", _roll_sql(2, 2, 5))
@@ -503,19 +513,17 @@ def q_value_range_vector(spark, sf):
     return r.withColumn("mag_max", F.round("mag_max", 9)).withColumn("mag_min", -F.col("mag_max"))
 
 
-@query("rolling_vector", sql_with(*WIDE, SQL_WMASK, SQL_PHYS) + """
-SELECT station, ts, round(CASE WHEN cu >= 1 THEN mu END, 6) AS u, round(CASE WHEN cv >= 1 THEN mv END, 6) AS v,
-  round(sqrt((CASE WHEN cu >= 1 THEN mu END) * (CASE WHEN cu >= 1 THEN mu END)
-           + (CASE WHEN cv >= 1 THEN mv END) * (CASE WHEN cv >= 1 THEN mv END)), 6) AS speed
-FROM (SELECT station, ts, avg(u) OVER w AS mu, count(u) OVER w AS cu, avg(v) OVER w AS mv, count(v) OVER w AS cv
-      FROM (SELECT station, ts, sped * cos(muki * 2 * pi() / 360.0) AS u,
-                   sped * sin(muki * 2 * pi() / 360.0) AS v FROM wphys)
-      WINDOW w AS (PARTITION BY station ORDER BY ts ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING))""")
+@query("rolling_vector", sql_with(*WIDE, SQL_WMASK, SQL_PHYS) + f"""
+SELECT station, ts, u, v, sqrt(u * u + v * v) AS speed FROM (
+  SELECT station, ts, {_roll_expr('u', 1, 1, 1)} AS u, {_roll_expr('v', 1, 1, 1)} AS v
+  FROM (SELECT station, ts, round(sped * cos(muki * 2 * pi() / 360.0), 9) AS u,
+               round(sped * sin(muki * 2 * pi() / 360.0), 9) AS v FROM wphys)
+  WINDOW w AS (PARTITION BY station ORDER BY ts))""")
 def q_rolling_vector(spark, sf):
-    p = _physical(spark, sf).select("station", "ts", "u", "v")
+    p = _physical(spark, sf).select("station", "ts", F.round("u", 9).alias("u"), F.round("v", 9).alias("v"))
     r = SR.rolling_vector_magnitude(p, K, "ts", "u", "v", 3, True, 1)
-    return r.select("station", "ts", F.round("u", 6).alias("u"), F.round("v", 6).alias("v"),
-                    F.round("speed", 6).alias("speed"))
+    return r.select("station", "ts", "u", "v", F.sqrt(F.col("u") * F.col("u") + F.col("v") * F.col("v"))
+                    .alias("speed"))
 
 
 @query("first_ids", sql_with(SQL_EV.replace("date_trunc('hour', ts) AS ts", "ts")) + """
@@ -914,3 +922,51 @@ def q_vendor_convert(spark, sf):
     h = VS.vendor_to_hourly(v, ["station", "year"], extra=["event_id"])
     vals = ["lhpa", "shpa", "kion", "stem", "rhum", "sped", "clod", "tnki", "humd", "lght", "slht", "kous"]
     return h.select(*[F.col(c).cast("double").alias(c) if c in vals else F.col(c) for c in h.columns])
+
+
+# ---------------------------------------------------------------------------
+# PCHIP and Akima gap fills (max gap 3)
+# ---------------------------------------------------------------------------
+
+def _edge_sql(h0, h1, m0, m1):
+    d = f"(((2 * {h0} + {h1}) * {m0} - {h0} * {m1}) / ({h0} + {h1}))"
+    return (f"CASE WHEN sign({d}) <> sign({m0}) THEN 0.0 "
+            f"WHEN sign({m0}) <> sign({m1}) AND abs({d}) > 3.0 * abs({m0}) THEN 3.0 * {m0} ELSE {d} END")
+
+
+_HERM = ("((2 * t3 - 3 * t2 + 1) * y0 + (t3 - 2 * t2 + t) * h * d0 + (-2 * t3 + 3 * t2) * y1 "
+         "+ (t3 - t2) * h * d1)")
+
+SQL_PCHIP = f"""pv AS (SELECT station, ts, v AS y, CAST(date_diff('second', TIMESTAMP '1970-01-01', ts) AS DOUBLE) AS x,
+    row_number() OVER (PARTITION BY station ORDER BY ts) AS r, count(*) OVER (PARTITION BY station) AS nn
+  FROM gridm WHERE v IS NOT NULL),
+ps AS (SELECT *, (lead(y) OVER w - y) / (lead(x) OVER w - x) AS s FROM pv
+  WINDOW w AS (PARTITION BY station ORDER BY r)),
+pm AS (SELECT *, x - lag(x) OVER w AS hp, lead(x) OVER w - x AS hn, lag(s) OVER w AS mp, s AS mn,
+    lead(x, 2) OVER w - lead(x) OVER w AS h2n, lag(x) OVER w - lag(x, 2) OVER w AS h2p,
+    lead(s) OVER w AS s2n, lag(s, 2) OVER w AS s2p FROM ps WINDOW w AS (PARTITION BY station ORDER BY r)),
+pd AS (SELECT *, CASE WHEN nn = 1 THEN NULL WHEN nn = 2 THEN (CASE WHEN r = 1 THEN mn ELSE mp END)
+    WHEN r = 1 THEN {_edge_sql('hn', 'h2n', 'mn', 's2n')}
+    WHEN r = nn THEN {_edge_sql('hp', 'h2p', 'mp', 's2p')}
+    WHEN sign(mp) <> sign(mn) OR mp = 0 OR mn = 0 THEN 0.0
+    ELSE ((2 * hn + hp) + (hn + 2 * hp)) / ((2 * hn + hp) / mp + (hn + 2 * hp) / mn) END AS d FROM pm),
+piv AS (SELECT station, ts AS lt, x AS x0, y AS y0, d AS d0, lead(x) OVER w AS x1, lead(y) OVER w AS y1,
+    lead(d) OVER w AS d1 FROM pd WINDOW w AS (PARTITION BY station ORDER BY r)),
+pt_ AS (SELECT n.station, n.ts, i.*, CAST(date_diff('second', TIMESTAMP '1970-01-01', n.ts) AS DOUBLE) AS xq
+  FROM nb n JOIN piv i ON i.station = n.station AND i.lt = n.pt
+  WHERE n.v IS NULL AND {_GAP_LEN.replace('v IS NULL', 'n.v IS NULL').replace('nr', 'n.nr').replace('pr', 'n.pr').replace(' n + 1', ' n.n + 1')} <= {MAX_GAP}
+    AND n.pr IS NOT NULL AND n.nr IS NOT NULL),
+pf AS (SELECT station, ts, {_HERM} AS f FROM (
+  SELECT *, x1 - x0 AS h, (xq - x0) / (x1 - x0) AS t, ((xq - x0) / (x1 - x0)) * ((xq - x0) / (x1 - x0)) AS t2,
+    ((xq - x0) / (x1 - x0)) * ((xq - x0) / (x1 - x0)) * ((xq - x0) / (x1 - x0)) AS t3 FROM pt_))"""
+
+
+@query("interp_pchip", sql_with(*NB_GRIDM, SQL_PCHIP) + """
+SELECT n.station, n.ts, coalesce(n.v, f.f) AS v FROM nb n LEFT JOIN pf f ON f.station = n.station AND f.ts = n.ts""")
+def q_interp_pchip(spark, sf):
+    return GP.fill_max_gap(_gridm(spark, sf), K, "ts", ["v"], MAX_GAP, "pchip")
+
+
+@query("interp_akima")
+def q_interp_akima(spark, sf):
+    return GP.fill_max_gap(_gridm(spark, sf), K, "ts", ["v"], MAX_GAP, "akima")
