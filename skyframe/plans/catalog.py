@@ -32,11 +32,35 @@ QUERIES: dict = {}
 ORACLE_SQL: dict = {}
 
 
+def _pos_zero(sql: str) -> str:
+    """Wrap every ``round(x, 9)`` as ``(round(x, 9) + 0.0)``: DuckDB keeps the
+    sign of a rounded negative zero, Spark returns +0.0."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + 5
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = sql[j:k + 1]
+        out.append(sql[i:j])
+        out.append(f"({inner} + 0.0)" if inner.replace(" ", "").endswith(",9)") else inner)
+        i = k + 1
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE_SQL[name] = sql
+            ORACLE_SQL[name] = _pos_zero(sql)
         return fn
     return deco
 

@@ -41,7 +41,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return v
+        return v + 0.0
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().replace(tzinfo=None)
     return v
