@@ -82,7 +82,9 @@ def neighbours(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str]
     keys = list(keys)
     cols = list(cols)
     part = keys + [CHUNK]
-    d = df.withColumn(CHUNK, chunk_expr(ts, chunk))
+    # Distribute by (entity, chunk): a long entity spreads over several tasks,
+    # and the window branch and the summary branch share this one exchange.
+    d = df.withColumn(CHUNK, chunk_expr(ts, chunk)).repartition(*part)
     w = Window.partitionBy(*part).orderBy(F.col(ts))
     d = d.withColumn(_LRN, F.row_number().over(w))
     if cols:
