@@ -35,8 +35,11 @@ def gap_info(df: DataFrame, keys, ts: str, cols, chunk="month") -> DataFrame:
     (``inside|head|tail|all``) for each null of each column."""
     cols = list(cols)
     nb = neighbours(df, keys, ts, cols, chunk)
+    ex = {}
     for c in cols:
-        nb = nb.withColumn(f"{c}_gap_len", gap_len_expr(c)).withColumn(f"{c}_gap_pos", gap_pos_expr(c))
+        ex[f"{c}_gap_len"] = gap_len_expr(c)
+        ex[f"{c}_gap_pos"] = gap_pos_expr(c)
+    nb = nb.withColumns(ex)
     return nb.drop(RN, NROWS, *[prev_col(c) for c in cols], *[next_col(c) for c in cols])
 
 
@@ -89,7 +92,9 @@ def fill_max_gap(df: DataFrame, keys, ts: str, cols, max_gap: int, method: str =
         from . import splines
         return splines.fill_max_gap_spline(df, keys, ts, cols, max_gap, method, chunk)
     nb = neighbours(df, keys, ts, cols, chunk)
+    ex = {}
     for c in cols:
         ok = (F.col(c).isNull() & (gap_len_expr(c) <= max_gap) & (gap_pos_expr(c) == "inside"))
-        nb = nb.withColumn(c, F.when(ok, interp_expr(c, ts, method)).otherwise(F.col(c)))
+        ex[c] = F.when(ok, interp_expr(c, ts, method)).otherwise(F.col(c))
+    nb = nb.withColumns(ex)
     return nb.drop(RN, NROWS, *[prev_col(c) for c in cols], *[next_col(c) for c in cols])

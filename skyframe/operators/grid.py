@@ -102,11 +102,10 @@ def regularize(df: DataFrame, keys: Sequence[str], ts: str, step="1 hour", bound
     g = grid_frame(df, keys, ts, step, bounds, carry, block)
     g = g.select(*keys, ts, *[F.col(c).alias(f"__g_{c}") for c in carry])
     out = g.join(df, on=keys + [ts], how="left")
-    for c in carry:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"__g_{c}"))).drop(f"__g_{c}")
+    ex = {c: F.coalesce(F.col(c), F.col(f"__g_{c}")) for c in carry}
     for c, v in (fill or {}).items():
-        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType)))
-    return out.select(*df.columns)
+        ex[c] = F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType))
+    return out.withColumns(ex).select(*df.columns)
 
 
 def missing_rows(df: DataFrame, keys: Sequence[str], ts: str, step="1 hour",

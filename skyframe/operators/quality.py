@@ -32,12 +32,12 @@ def mask_rmk(df: DataFrame, variables: Sequence[str] = HOURLY_VARIABLES,
     behaviour when codes are numeric, see README)."""
     if policy == "none":
         return df
-    out = df
+    ex = {}
     for v in variables:
         if v in df.columns and rmk_col(v) in df.columns:
             codes = RMK_MISSING if universal else missing_rmk_codes(v)
-            out = out.withColumn(v, masked(v, rmk_col(v), codes))
-    return out
+            ex[v] = masked(v, rmk_col(v), codes)
+    return df.withColumns(ex)
 
 
 def any_flags(df: DataFrame, keys: Sequence[str], flags: dict) -> DataFrame:
@@ -61,18 +61,18 @@ def night_zero_by_rmk(df: DataFrame, keys: Sequence[str],
     variables = [v for v in variables if v in df.columns]
     flags = has_valid_obs(df, keys, variables)
     out = df.join(flags, on=keys, how="left")
+    ex = {}
     for v in variables:
         cond = F.col(f"{v}_has_valid") & (rmk_int(rmk_col(v)) == 2)
-        out = out.withColumn(v, F.when(F.coalesce(cond, F.lit(False)), F.lit(0.0))
-                                 .otherwise(F.col(v)))
-    return out.select(*df.columns)
+        ex[v] = F.when(F.coalesce(cond, F.lit(False)), F.lit(0.0)).otherwise(F.col(v))
+    return out.withColumns(ex).select(*df.columns)
 
 
 def wind_rules(df: DataFrame, muki: str = "muki", sped: str = "sped",
                compat: bool = False) -> DataFrame:
     """F-9 over a frame (see :func:`skyframe.functions.quality.wind_rule_columns`)."""
     m, s = wind_rule_columns(muki, rmk_col(muki), sped, rmk_col(sped), compat)
-    return df.withColumn(muki, m).withColumn(sped, s)
+    return df.withColumns({muki: m, sped: s})
 
 
 def enforce_night_zero(df: DataFrame, keys: Sequence[str], ts: str, lat: str, lon: str,
@@ -85,7 +85,7 @@ def enforce_night_zero(df: DataFrame, keys: Sequence[str], ts: str, lat: str, lo
     flags = any_flags(x, keys, {f"__day_{c}": (~F.col("__night")) & F.col(c).isNotNull()
                                 for c in cols})
     out = x.join(flags, on=keys, how="left")
-    for c in cols:
-        out = out.withColumn(c, F.when(F.col("__night") & F.coalesce(F.col(f"__day_{c}"), F.lit(False)),
-                                       F.lit(0.0).cast(df.schema[c].dataType)).otherwise(F.col(c)))
+    out = out.withColumns({c: F.when(F.col("__night") & F.coalesce(F.col(f"__day_{c}"), F.lit(False)),
+                                     F.lit(0.0).cast(df.schema[c].dataType)).otherwise(F.col(c))
+                           for c in cols})
     return out.select(*df.columns)

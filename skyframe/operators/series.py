@@ -59,15 +59,19 @@ def chunk_expr(ts: str, unit: str | None) -> Column:
     raise ValueError(f"unknown chunk unit {unit!r}")
 
 
-def _sample(ts: str, rn: str, c: str) -> Column:
-    return F.when(F.col(c).isNotNull(),
-                  F.struct(F.col(ts).alias("t"), F.col(rn).cast("long").alias("r"),
-                           F.col(c).alias("v")))
+def q(name: str) -> str:
+    """Quote a column name for a SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _shift(s: Column, off: Column) -> Column:
-    return F.when(s.isNotNull(), F.struct(s["t"].alias("t"), (s["r"] + off).alias("r"),
-                                          s["v"].alias("v")))
+def _sample_sql(ts: str, rn: str, c: str) -> str:
+    return (f"CASE WHEN {q(c)} IS NOT NULL THEN named_struct('t', {q(ts)}, "
+            f"'r', CAST({q(rn)} AS BIGINT), 'v', {q(c)}) END")
+
+
+def _shift_sql(x: str, off: str) -> str:
+    return (f"CASE WHEN {x} IS NOT NULL THEN named_struct('t', {x}.t, 'r', {x}.r + {q(off)}, "
+            f"'v', {x}.v) END")
 
 
 def neighbours(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str] = (),
@@ -85,46 +89,52 @@ def neighbours(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str]
     # Distribute by (entity, chunk): a long entity spreads over several tasks,
     # and the window branch and the summary branch share this one exchange.
     d = df.withColumn(CHUNK, chunk_expr(ts, chunk)).repartition(*part)
-    w = Window.partitionBy(*part).orderBy(F.col(ts))
-    d = d.withColumn(_LRN, F.row_number().over(w))
+    pby = ", ".join(q(k) for k in part)
+    kby = ", ".join(q(k) for k in keys)
+    d = d.withColumn(_LRN, F.expr(f"row_number() OVER (PARTITION BY {pby} ORDER BY {q(ts)})"))
     if cols:
-        wa = w.rowsBetween(UNB, CUR)
-        wd = Window.partitionBy(*part).orderBy(F.col(ts).desc()).rowsBetween(UNB, CUR)
+        wa = f"OVER (PARTITION BY {pby} ORDER BY {q(ts)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        wd = (f"OVER (PARTITION BY {pby} ORDER BY {q(ts)} DESC "
+              f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+        ex = {}
         for c in cols:
-            s = _sample(ts, _LRN, c)
-            d = d.withColumn(f"__lp_{c}", F.last(s, ignorenulls=True).over(wa))
-            d = d.withColumn(f"__ln_{c}", F.last(s, ignorenulls=True).over(wd))
+            smp = _sample_sql(ts, _LRN, c)
+            ex[f"__lp_{c}"] = F.expr(f"last({smp}, true) {wa}")
+            ex[f"__ln_{c}"] = F.expr(f"last({smp}, true) {wd}")
+        d = d.withColumns(ex)
 
     # One row per (entity, chunk): size, first and last valid sample.
     aggs = [F.count(F.lit(1)).alias("__cn")]
     for c in cols:
-        s = _sample(ts, _LRN, c)
-        aggs += [F.max(s).alias(f"__cl_{c}"), F.min(s).alias(f"__cf_{c}")]
+        smp = _sample_sql(ts, _LRN, c)
+        aggs += [F.expr(f"max({smp})").alias(f"__cl_{c}"), F.expr(f"min({smp})").alias(f"__cf_{c}")]
     s = d.groupBy(*part).agg(*aggs)
-    wk = Window.partitionBy(*keys).orderBy(CHUNK)
-    before = wk.rowsBetween(UNB, -1)
-    after = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc()).rowsBetween(UNB, -1)
-    s = (s.withColumn(_OFF, F.coalesce(F.sum("__cn").over(before), F.lit(0)).cast("long"))
-          .withColumn(NROWS, F.sum("__cn").over(Window.partitionBy(*keys)).cast("long")))
+    before = f"OVER (PARTITION BY {kby} ORDER BY {q(CHUNK)} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    after = (f"OVER (PARTITION BY {kby} ORDER BY {q(CHUNK)} DESC "
+             f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+    s = s.withColumns({
+        _OFF: F.expr(f"CAST(coalesce(sum(__cn) {before}, 0) AS BIGINT)"),
+        NROWS: F.expr(f"CAST(sum(__cn) OVER (PARTITION BY {kby}) AS BIGINT)")})
     keep = part + [_OFF, NROWS]
-    for c in cols:
-        s = (s.withColumn(f"__cl_{c}", _shift(F.col(f"__cl_{c}"), F.col(_OFF)))
-              .withColumn(f"__cf_{c}", _shift(F.col(f"__cf_{c}"), F.col(_OFF))))
-        s = (s.withColumn(f"__cp_{c}", F.last(f"__cl_{c}", ignorenulls=True).over(before))
-              .withColumn(f"__cx_{c}", F.last(f"__cf_{c}", ignorenulls=True).over(after)))
-        keep += [f"__cp_{c}", f"__cx_{c}"]
+    if cols:
+        shifted, carried = {}, {}
+        for c in cols:
+            shifted[f"__cl_{c}"] = F.expr(_shift_sql(q(f"__cl_{c}"), _OFF))
+            shifted[f"__cf_{c}"] = F.expr(_shift_sql(q(f"__cf_{c}"), _OFF))
+            carried[f"__cp_{c}"] = F.expr(f"last({q(f'__cl_{c}')}, true) {before}")
+            carried[f"__cx_{c}"] = F.expr(f"last({q(f'__cf_{c}')}, true) {after}")
+            keep += [f"__cp_{c}", f"__cx_{c}"]
+        s = s.withColumns(shifted).withColumns(carried)
     s = s.select(*keep)
 
     out = d.join(s, on=part, how="inner")
-    out = out.withColumn(RN, (F.col(_LRN) + F.col(_OFF)).cast("long"))
+    ex = {RN: F.expr(f"CAST({q(_LRN)} + {q(_OFF)} AS BIGINT)")}
     drop = [CHUNK, _LRN, _OFF]
     for c in cols:
-        out = (out.withColumn(prev_col(c), F.coalesce(_shift(F.col(f"__lp_{c}"), F.col(_OFF)),
-                                                      F.col(f"__cp_{c}")))
-                  .withColumn(next_col(c), F.coalesce(_shift(F.col(f"__ln_{c}"), F.col(_OFF)),
-                                                      F.col(f"__cx_{c}"))))
+        ex[prev_col(c)] = F.expr(f"coalesce({_shift_sql(q(f'__lp_{c}'), _OFF)}, {q(f'__cp_{c}')})")
+        ex[next_col(c)] = F.expr(f"coalesce({_shift_sql(q(f'__ln_{c}'), _OFF)}, {q(f'__cx_{c}')})")
         drop += [f"__lp_{c}", f"__ln_{c}", f"__cp_{c}", f"__cx_{c}"]
-    return out.drop(*drop)
+    return out.withColumns(ex).drop(*drop)
 
 
 def _drop_nb(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -139,8 +149,7 @@ def ffill(df: DataFrame, keys, ts: str, cols, chunk="month") -> DataFrame:
     """Last non-null value forward within each entity (leading nulls stay)."""
     cols = list(cols)
     nb = neighbours(df, keys, ts, cols, chunk)
-    for c in cols:
-        nb = nb.withColumn(c, F.col(prev_col(c))["v"])
+    nb = nb.withColumns({c: F.col(prev_col(c))["v"] for c in cols})
     return _drop_nb(nb, cols)
 
 
@@ -148,8 +157,7 @@ def bfill(df: DataFrame, keys, ts: str, cols, chunk="month") -> DataFrame:
     """Next non-null value backward within each entity (trailing nulls stay)."""
     cols = list(cols)
     nb = neighbours(df, keys, ts, cols, chunk)
-    for c in cols:
-        nb = nb.withColumn(c, F.col(next_col(c))["v"])
+    nb = nb.withColumns({c: F.col(next_col(c))["v"] for c in cols})
     return _drop_nb(nb, cols)
 
 
@@ -220,7 +228,7 @@ def interp_expr(c: str, ts: str, method: str = "time") -> Column:
 
 
 def interpolate(df: DataFrame, keys, ts: str, cols, method: str = "time",
-                limit_area: str | None = None, chunk="month") -> DataFrame:
+                limit_area: str | None = None, chunk="month", ffill_cols=()) -> DataFrame:
     """Fill nulls of ``cols``.
 
     ``time`` (and ``index``/``values``/``slinear``) is linear in elapsed time,
@@ -228,18 +236,21 @@ def interpolate(df: DataFrame, keys, ts: str, cols, method: str = "time",
     trailing gap. ``nearest`` (ties to the earlier sample) and ``zero``
     (previous sample) fill inside gaps only. Leading gaps stay null.
     ``limit_area="inside"`` restricts every method to inside gaps.
+    ``ffill_cols`` are forward-filled in the same pass (one exchange for both).
     """
     cols = list(cols)
+    ffill_cols = list(ffill_cols)
     if method not in LOCAL_METHODS:
         raise ValueError(f"unsupported method {method!r}")
-    nb = neighbours(df, keys, ts, cols, chunk)
+    nb = neighbours(df, keys, ts, cols + ffill_cols, chunk)
+    ex = {c: F.col(prev_col(c))["v"] for c in ffill_cols}
     for c in cols:
         e = interp_expr(c, ts, method)
         if method in HOLDS_TAIL and limit_area != "inside":
             p, n = F.col(prev_col(c)), F.col(next_col(c))
             e = F.when(F.col(c).isNull() & p.isNotNull() & n.isNull(), p["v"]).otherwise(e)
-        nb = nb.withColumn(c, e)
-    return _drop_nb(nb, cols)
+        ex[c] = e
+    return _drop_nb(nb.withColumns(ex), cols + ffill_cols)
 
 
 # ---------------------------------------------------------------------------
@@ -304,10 +315,7 @@ def rolling_mean(df: DataFrame, keys, ts: str, cols, window: int, center: bool =
     nb = neighbours(df, keys, ts, [], chunk).drop(NROWS)
     x = halo_blocks(nb, keys, RN, a, b, block)
     w = Window.partitionBy(*keys, "__blk").orderBy(RN).rowsBetween(-a, b)
-    for c in cols:
-        mean = F.avg(c).over(w)
-        cnt = F.count(c).over(w)
-        x = x.withColumn(c + suffix, F.when(cnt >= need, mean))
+    x = x.withColumns({c + suffix: F.when(F.count(c).over(w) >= need, F.avg(c).over(w)) for c in cols})
     return x.filter(~F.col("__halo")).drop("__blk", "__halo", RN)
 
 

@@ -18,6 +18,7 @@ from ..operators import grid as GR
 from ..operators import quality as QL
 from ..operators import series as SR
 from ..schema import HOURLY_VARIABLES, rmk_col
+from ..session import cut_lineage
 
 ID_COLUMNS = ["KanID", "Kname", "KanID_1"]
 
@@ -26,23 +27,24 @@ def to_physical(df: DataFrame, keep_code: bool = True) -> DataFrame:
     """F-2..F-4: packed units -> physical units, direction code -> math angle,
     wind components ``u, v``. The original direction code stays in
     ``muki_code`` (code 0 and code 16 share the angle 270)."""
-    out = df
+    ex = {}
     if keep_code and "muki" in df.columns:
-        out = out.withColumn("muki_code", U.num("muki").cast("int"))
+        ex["muki_code"] = U.num("muki").cast("int")
     for v, div in U.HOURLY_DIVISORS.items():
         if v in df.columns:
-            out = out.withColumn(v, U.scale(v, div))
+            ex[v] = U.scale(v, div)
     if "muki" in df.columns:
-        out = out.withColumn("muki", U.code_to_math_angle("muki"))
+        ex["muki"] = U.code_to_math_angle("muki")
     if "tnki" in df.columns:
-        out = out.withColumn("tnki", U.num("tnki"))
+        ex["tnki"] = U.num("tnki")
     if "slht" in df.columns:
-        out = out.withColumn("slht", U.irradiance_w_m2("slht"))
+        ex["slht"] = U.irradiance_w_m2("slht")
     if "kous" in df.columns:
-        out = out.withColumn("kous", U.precip_m_s("kous"))
+        ex["kous"] = U.precip_m_s("kous")
+    out = df.withColumns(ex)
     if "muki" in df.columns and "sped" in df.columns:
         u, v = U.math_uv("sped", "muki")
-        out = out.withColumn("u", u).withColumn("v", v)
+        out = out.withColumns({"u": u, "v": v})
     return out
 
 
@@ -66,18 +68,20 @@ def clean_hourly(raw: DataFrame, start=None, end=None, keys: Sequence[str] = ("s
         return {"org": org}
     measures = [v for v in HOURLY_VARIABLES + ["u", "v"] if v in org.columns
                 and v not in categorical]
-    interp = SR.interpolate(org, keys, ts, measures, "time", chunk=chunk)
-    if categorical:
-        interp = SR.ffill(interp, keys, ts, list(categorical), chunk=chunk)
-    # strict hourly grid over the requested range, then fill
+    org = cut_lineage(org, "hourly-org")
+    interp = SR.interpolate(org, keys, ts, measures, "time", chunk=chunk,
+                            ffill_cols=list(categorical))
+    # Strict hourly grid over the requested range. Linear-in-time interpolation
+    # composes, so filling the hourly grid straight from the original samples
+    # equals interpolating on the original interval first and upsampling after;
+    # quality codes and identifiers are forward-filled in the same pass.
+    base = org.select(*keys, ts, *measures, *categorical, *rmks, *ids)
     if start is not None and end is not None:
-        hourly = GR.upsample(interp.select(*keys, ts, *measures, *categorical, *rmks, *ids),
-                             keys, ts, start, end)
+        hourly = GR.upsample(base, keys, ts, start, end)
     else:
-        hourly = GR.regularize(interp.select(*keys, ts, *measures, *categorical, *rmks, *ids),
-                               keys, ts, "1 hour")
-    hourly = SR.interpolate(hourly, keys, ts, measures, "time", chunk=chunk)
-    hourly = SR.ffill(hourly, keys, ts, rmks + ids + list(categorical), chunk=chunk)
+        hourly = GR.regularize(base, keys, ts, "1 hour")
+    hourly = SR.interpolate(hourly, keys, ts, measures, "time", chunk=chunk,
+                            ffill_cols=rmks + ids + list(categorical))
     if circular and "u" in hourly.columns:
         angle = F.pmod(F.degrees(F.atan2(F.col("v"), F.col("u"))), F.lit(360.0)) + 0.0
         hourly = hourly.withColumn("muki", F.when(F.col("u").isNotNull(), angle))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,10 +59,14 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return fallback
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the reliable checkpoint folder so that later
-    stages (and executor loss) do not recompute the whole plan. Without a
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    (``spark.checkpoint.dir``) and continue from the written table, so later
+    stages and lost executors do not recompute the whole plan. Without a
     configured folder the plan is returned unchanged."""
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    return df
+    d = checkpoint_dir(df.sparkSession)
+    if not d:
+        return df
+    path = f"{d.rstrip('/')}/skyframe-{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -71,11 +71,8 @@ def read_hourly_raw(spark: SparkSession, root: str, stations: Sequence[str] | No
 
 def _typed(df: DataFrame) -> DataFrame:
     ints = ["KanID", "KanID_1", "YYYY", "MM", "DD", "HH"] + [rmk_col(v) for v in HOURLY_VARIABLES]
-    out = df
-    for c in ints:
-        out = out.withColumn(c, F.trim(F.col(c)).try_cast("int"))
-    out = out.withColumn("ts", build_ts(F.col("YYYY"), F.col("MM"), F.col("DD"), F.col("HH")))
-    return out
+    out = df.withColumns({c: F.trim(F.col(c)).try_cast("int") for c in ints})
+    return out.withColumn("ts", build_ts(F.col("YYYY"), F.col("MM"), F.col("DD"), F.col("HH")))
 
 
 def _typed_schema(spark):
