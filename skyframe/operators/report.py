@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .gaps import to_long
-from .series import NROWS, RN, neighbours, next_col, prev_col
+from .series import neighbours, next_col, prev_col
 
 
 def missing_summary(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -33,7 +33,8 @@ def missing_report(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[s
     entity and variable (all when ``limit`` is falsy), plus ``total_missing``.
 
     Runs on the long form ``(keys, variable)``; the ordinal of a missing sample
-    is the global row number of the null rows, so no window spans an entity.
+    is a running count of the null rows computed in the same chunked pass, so
+    no window spans an entity.
     """
     keys = list(keys)
     extra = {"rmk": rmk} if rmk else None
@@ -41,16 +42,17 @@ def missing_report(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[s
     if not rmk:
         long = long.withColumn("rmk", F.lit(None).cast("int"))
     lk = keys + ["variable"]
-    nb = neighbours(long, lk, ts, ["value"], chunk)
+    # one pass: neighbours of every sample and the running count of missing ones
+    nb = neighbours(long, lk, ts, ["value"], chunk, counts={"ordinal": "value IS NULL"})
+    nulls = nb.filter(F.col("value").isNull())
+    if limit:
+        nulls = nulls.filter(F.col("ordinal") <= limit)
     p, n = F.col(prev_col("value")), F.col(next_col("value"))
-    nulls = nb.filter(F.col("value").isNull()).select(
+    return nulls.select(
         *lk, ts, "rmk",
         p["t"].alias("prev_time"), p["v"].alias("prev_value"),
-        n["t"].alias("next_time"), n["v"].alias("next_value"))
-    ranked = neighbours(nulls, lk, ts, [], chunk)
-    if limit:
-        ranked = ranked.filter(F.col(RN) <= limit)
-    return ranked.withColumnRenamed(RN, "ordinal").withColumnRenamed(NROWS, "total_missing")
+        n["t"].alias("next_time"), n["v"].alias("next_value"),
+        "ordinal", F.col("ordinal_total").alias("total_missing"))
 
 
 def attach_rmk(report: DataFrame, rmk_long: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:

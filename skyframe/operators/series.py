@@ -75,16 +75,21 @@ def _shift_sql(x: str, off: str) -> str:
 
 
 def neighbours(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str] = (),
-               chunk: str | None = "month") -> DataFrame:
+               chunk: str | None = "month", counts: dict | None = None) -> DataFrame:
     """Add the global row number ``__rn``, the entity size ``__n`` and, for each
     column ``c`` of ``cols``, the previous and next valid samples
     ``c__prev``/``c__next`` as ``struct<t, r, v>`` (time, row number, value).
     The current row counts as its own neighbour when it is valid.
 
+    ``counts`` maps a name to a SQL boolean condition; for each, ``name`` gets
+    the running count (inclusive) of rows meeting it within the entity and
+    ``name + "_total"`` the entity total -- in the same pass.
+
     ``(keys, ts)`` must be unique.
     """
     keys = list(keys)
     cols = list(cols)
+    counts = dict(counts or {})
     part = keys + [CHUNK]
     # Distribute by (entity, chunk): a long entity spreads over several tasks,
     # and the window branch and the summary branch share this one exchange.
@@ -92,6 +97,9 @@ def neighbours(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str]
     pby = ", ".join(q(k) for k in part)
     kby = ", ".join(q(k) for k in keys)
     d = d.withColumn(_LRN, F.expr(f"row_number() OVER (PARTITION BY {pby} ORDER BY {q(ts)})"))
+    if counts:
+        run = f"OVER (PARTITION BY {pby} ORDER BY {q(ts)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        d = d.withColumns({f"__lc_{n}": F.expr(f"count_if({cond}) {run}") for n, cond in counts.items()})
     if cols:
         wa = f"OVER (PARTITION BY {pby} ORDER BY {q(ts)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
         wd = (f"OVER (PARTITION BY {pby} ORDER BY {q(ts)} DESC "
@@ -105,6 +113,7 @@ def neighbours(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str]
 
     # One row per (entity, chunk): size, first and last valid sample.
     aggs = [F.count(F.lit(1)).alias("__cn")]
+    aggs += [F.expr(f"count_if({cond})").alias(f"__cc_{n}") for n, cond in counts.items()]
     for c in cols:
         smp = _sample_sql(ts, _LRN, c)
         aggs += [F.expr(f"max({smp})").alias(f"__cl_{c}"), F.expr(f"min({smp})").alias(f"__cf_{c}")]
@@ -116,6 +125,13 @@ def neighbours(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str]
         _OFF: F.expr(f"CAST(coalesce(sum(__cn) {before}, 0) AS BIGINT)"),
         NROWS: F.expr(f"CAST(sum(__cn) OVER (PARTITION BY {kby}) AS BIGINT)")})
     keep = part + [_OFF, NROWS]
+    if counts:
+        ex = {}
+        for n in counts:
+            ex[f"__co_{n}"] = F.expr(f"CAST(coalesce(sum(__cc_{n}) {before}, 0) AS BIGINT)")
+            ex[f"{n}_total"] = F.expr(f"CAST(sum(__cc_{n}) OVER (PARTITION BY {kby}) AS BIGINT)")
+            keep += [f"__co_{n}", f"{n}_total"]
+        s = s.withColumns(ex)
     if cols:
         shifted, carried = {}, {}
         for c in cols:
@@ -130,6 +146,9 @@ def neighbours(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str]
     out = d.join(s, on=part, how="inner")
     ex = {RN: F.expr(f"CAST({q(_LRN)} + {q(_OFF)} AS BIGINT)")}
     drop = [CHUNK, _LRN, _OFF]
+    for n in counts:
+        ex[n] = F.expr(f"CAST(__lc_{n} + __co_{n} AS BIGINT)")
+        drop += [f"__lc_{n}", f"__co_{n}"]
     for c in cols:
         ex[prev_col(c)] = F.expr(f"coalesce({_shift_sql(q(f'__lp_{c}'), _OFF)}, {q(f'__cp_{c}')})")
         ex[next_col(c)] = F.expr(f"coalesce({_shift_sql(q(f'__ln_{c}'), _OFF)}, {q(f'__cx_{c}')})")

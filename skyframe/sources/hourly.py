@@ -51,10 +51,23 @@ def build_ts(y, m, d, hh):
 
 
 def read_hourly_raw(spark: SparkSession, root: str, stations: Sequence[str] | None = None,
-                    start=None, end=None, pad: int = 1) -> DataFrame:
+                    start=None, end=None, pad: int = 1, layout: str = "archive") -> DataFrame:
     """S1 + S2: typed raw rows ``station, year, ts`` + the 33 columns (values as
-    text, quality codes as INT). ``stations=None`` reads every station."""
+    text, quality codes as INT). ``stations=None`` reads every station.
+
+    ``layout="archive"``: ``{root}/{station}/{station}{year}.csv``;
+    ``layout="partitioned"``: ``{root}/station=../year=../*.csv`` as written by
+    :func:`skyframe.sources.sinks.write_hourly_csv` (partition pruning on both)."""
     years = year_span(start, end, pad) if start is not None and end is not None else None
+    if layout == "partitioned":
+        df = (spark.read.schema(hourly_raw_schema()).option("header", False)
+              .option("mode", "PERMISSIVE").option("basePath", root).csv(root))
+        df = df.withColumn("station", F.col("station").cast("string"))
+        if stations is not None:
+            df = df.filter(F.col("station").isin(list(stations)))
+        if years is not None:
+            df = df.filter(F.col("year").between(min(years), max(years)))
+        return _typed(df)
     if stations is None:
         patterns = [f"{root.rstrip('/')}/*/*.csv"]
     else:
