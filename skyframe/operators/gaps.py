@@ -83,11 +83,14 @@ def fill_max_gap(df: DataFrame, keys, ts: str, cols, max_gap: int, method: str =
     """Fill only inside gaps of at most ``max_gap`` rows; longer gaps and
     leading/trailing gaps stay null. ``method`` is any local method of
     :func:`skyframe.operators.series.interpolate`, or ``pchip``/``akima``
-    (windowed cubic Hermite) or ``cubic``/``cubicspline``/``quadratic`` (segment
-    splines), see :mod:`skyframe.operators.splines`."""
+    (windowed cubic Hermite, :mod:`skyframe.operators.splines`) or
+    ``cubic``/``cubicspline`` (not-a-knot spline, :mod:`skyframe.operators.cubic`)."""
     if max_gap < 1:
         raise ValueError("max_gap must be >= 1")
     cols = list(cols)
+    if method in ("cubic", "cubicspline"):
+        from . import cubic
+        return cubic.fill_max_gap_cubic(df, keys, ts, cols, max_gap, chunk)
     if method not in LOCAL_METHODS:
         from . import splines
         return splines.fill_max_gap_spline(df, keys, ts, cols, max_gap, method, chunk)

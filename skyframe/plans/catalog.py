@@ -994,3 +994,9 @@ def q_interp_pchip(spark, sf):
 @query("interp_akima")
 def q_interp_akima(spark, sf):
     return GP.fill_max_gap(_gridm(spark, sf), K, "ts", ["v"], MAX_GAP, "akima")
+
+
+@query("interp_cubic")
+def q_interp_cubic(spark, sf):
+    """Not-a-knot cubic spline fill of inside gaps up to MAX_GAP rows."""
+    return GP.fill_max_gap(_gridm(spark, sf), K, "ts", ["v"], MAX_GAP, "cubic")
