@@ -47,37 +47,59 @@ def _ship_by_value() -> None:
 _ship_by_value()
 
 
-def _thomas(lo: np.ndarray, di: np.ndarray, up: np.ndarray, rhs: np.ndarray) -> np.ndarray:
-    """Tridiagonal solve; ``rhs`` may have several columns."""
+def _thomas(lo, di, up, rhs_cols):
+    """Tridiagonal solve (plain-float sweeps); one solution per right-hand side."""
     n = len(di)
-    c = np.zeros(n)
-    d = np.zeros_like(rhs, dtype=float)
-    c[0] = up[0] / di[0]
-    d[0] = rhs[0] / di[0]
+    c = [0.0] * n
+    ds = [[0.0] * n for _ in rhs_cols]
+    c[0] = up[0] / di[0] if n > 1 else 0.0
+    for d, rhs in zip(ds, rhs_cols):
+        d[0] = rhs[0] / di[0]
     for i in range(1, n):
         den = di[i] - lo[i] * c[i - 1]
         c[i] = up[i] / den if i < n - 1 else 0.0
-        d[i] = (rhs[i] - lo[i] * d[i - 1]) / den
-    out = np.zeros_like(d)
-    out[-1] = d[-1]
-    for i in range(n - 2, -1, -1):
-        out[i] = d[i] - c[i] * out[i + 1]
-    return out
-
-
-def _rows(g: np.ndarray, x: np.ndarray, y: np.ndarray, pos: dict, n: int):
-    """Coefficients (lower, diag, upper, rhs) of equation ``g`` (global 0-based)."""
-    X = lambda k: x[pos[k]]
-    Y = lambda k: y[pos[k]]
-    dx = lambda k: X(k + 1) - X(k)
-    m = lambda k: (Y(k + 1) - Y(k)) / dx(k)
-    if g == 0:
-        d = X(2) - X(0)
-        return 0.0, dx(1), d, ((dx(0) + 2 * d) * dx(1) * m(0) + dx(0) ** 2 * m(1)) / d
-    if g == n - 1:
-        d = X(n - 1) - X(n - 3)
-        return d, dx(n - 3), 0.0, (dx(n - 2) ** 2 * m(n - 3) + (2 * d + dx(n - 2)) * dx(n - 3) * m(n - 2)) / d
-    return dx(g), 2 * (dx(g - 1) + dx(g)), dx(g - 1), 3 * (dx(g) * m(g - 1) + dx(g - 1) * m(g))
+        for d, rhs in zip(ds, rhs_cols):
+            d[i] = (rhs[i] - lo[i] * d[i - 1]) / den
+    outs = []
+    for d in ds:
+        o = [0.0] * n
+        o[-1] = d[-1]
+        for i in range(n - 2, -1, -1):
+            o[i] = d[i] - c[i] * o[i + 1]
+        outs.append(np.array(o))
+    return outs
+
+
+def _coefficients(g: np.ndarray, x: np.ndarray, y: np.ndarray, i0: int, n: int):
+    """Rows ``g`` (global 0-based, consecutive) of the not-a-knot slope system.
+    ``x``/``y`` hold consecutive samples starting at global index ``i0``."""
+    dx = np.diff(x)
+    m = np.diff(y) / dx
+    li = g - i0                       # local index of each equation's sample
+    lo = np.zeros(len(g))
+    di = np.zeros(len(g))
+    up = np.zeros(len(g))
+    rhs = np.zeros(len(g))
+    inner = (g > 0) & (g < n - 1)
+    j = li[inner]
+    lo[inner] = dx[j]
+    di[inner] = 2 * (dx[j - 1] + dx[j])
+    up[inner] = dx[j - 1]
+    rhs[inner] = 3 * (dx[j] * m[j - 1] + dx[j - 1] * m[j])
+    first = np.where(g == 0)[0]
+    if len(first):
+        k = first[0]
+        d = x[2] - x[0]
+        di[k], up[k] = dx[1], d
+        rhs[k] = ((dx[0] + 2 * d) * dx[1] * m[0] + dx[0] ** 2 * m[1]) / d
+    last = np.where(g == n - 1)[0]
+    if len(last):
+        k = last[0]
+        e = li[k]
+        d = x[e] - x[e - 2]
+        lo[k], di[k] = d, dx[e - 2]
+        rhs[k] = (dx[e - 1] ** 2 * m[e - 2] + (2 * d + dx[e - 1]) * dx[e - 2] * m[e - 1]) / d
+    return lo, di, up, rhs
 
 
 def _small_slopes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -97,34 +119,33 @@ def _block_solve(keys: list[str]):
         x = pdf["x"].to_numpy(float)
         y = pdf["y"].to_numpy(float)
         n = int(pdf["n"].iloc[0])
-        halo = pdf["halo"].to_numpy(bool)
-        pos = {int(g) - 1: i for i, g in enumerate(r)}
-        own = np.where(~halo)[0]
-        gs = r[own] - 1
+        own = np.where(~pdf["halo"].to_numpy(bool))[0]
         k = len(own)
-        if k == 0:
-            return pd.DataFrame({c: [] for c in keys + ["blk", "r", "ts", "x", "y", "p", "a", "b", "x1", "y1"]})
+        gs = r[own] - 1
         if n <= 3:
             s = _small_slopes(x[own], y[own]) if n >= 2 else np.full(k, np.nan)
             p, a, b = s, np.zeros(k), np.zeros(k)
         else:
-            lo, di, up, rhs = (np.zeros(k) for _ in range(4))
-            for i, g in enumerate(gs):
-                lo[i], di[i], up[i], rhs[i] = _rows(int(g), x, y, pos, n)
-            e = np.zeros((k, 3))
-            e[:, 0] = rhs
-            e[0, 1] = -lo[0]          # coupling to the slope before the block
-            e[-1, 2] = -up[-1]        # coupling to the slope after the block
-            sol = _thomas(lo, di, up, e)
-            p, a, b = sol[:, 0], sol[:, 1], sol[:, 2]
+            lo, di, up, rhs = _coefficients(gs, x, y, int(r[0]) - 1, n)
+            e1 = np.zeros(k)
+            e2 = np.zeros(k)
+            e1[0] = -lo[0]            # coupling to the slope before the block
+            e2[-1] = -up[-1]          # coupling to the slope after the block
+            p, a, b = _thomas(lo.tolist(), di.tolist(), up.tolist(),
+                              [rhs.tolist(), e1.tolist(), e2.tolist()])
+        nxt = own + 1                 # samples are consecutive: the next one follows
+        has = nxt < len(r)
+        x1 = np.where(has, x[np.minimum(nxt, len(r) - 1)], np.nan)
+        y1 = np.where(has, y[np.minimum(nxt, len(r) - 1)], np.nan)
+        # affine slope of the next sample: inside the block its own (p, a, b);
+        # after the last sample of the block it is the unknown slope after it
+        p1 = np.append(p[1:], 0.0)
+        a1 = np.append(a[1:], 0.0)
+        b1 = np.append(b[1:], 1.0)
         out = pd.DataFrame({"r": r[own], "ts": pdf["ts"].to_numpy()[own], "x": x[own], "y": y[own],
-                            "p": p, "a": a, "b": b})
+                            "p": p, "a": a, "b": b, "x1": x1, "y1": y1, "p1": p1, "a1": a1, "b1": b1})
         for c in keys + ["blk"]:
             out[c] = pdf[c].iloc[0]
-        # next sample (for the interval starting here)
-        nx = {int(g): i for i, g in enumerate(r)}
-        out["x1"] = [x[nx[g + 1]] if g + 1 in nx else np.nan for g in r[own]]
-        out["y1"] = [y[nx[g + 1]] if g + 1 in nx else np.nan for g in r[own]]
         return out
     return fn
 
@@ -201,8 +222,12 @@ def cubic_slopes(df: DataFrame, keys: Sequence[str], ts: str, col: str, chunk="m
         T.StructField("ts", T.TimestampNTZType()), T.StructField("x", T.DoubleType()),
         T.StructField("y", T.DoubleType()), T.StructField("p", T.DoubleType()),
         T.StructField("a", T.DoubleType()), T.StructField("b", T.DoubleType()),
-        T.StructField("x1", T.DoubleType()), T.StructField("y1", T.DoubleType())])
+        T.StructField("x1", T.DoubleType()), T.StructField("y1", T.DoubleType()),
+        T.StructField("p1", T.DoubleType()), T.StructField("a1", T.DoubleType()),
+        T.StructField("b1", T.DoubleType())])
     rows = h.groupBy(*keys, "blk").applyInPandas(_block_solve(keys), row_schema)
+    # one exchange shared by both consumers, so the block solve runs once
+    rows = rows.repartition(*keys, "blk")
     w_first = F.min_by(F.struct("p", "a", "b"), "r")
     w_last = F.max_by(F.struct("p", "a", "b"), "r")
     ends = rows.groupBy(*keys, "blk").agg(w_first.alias("f"), w_last.alias("l")).select(
@@ -212,10 +237,11 @@ def cubic_slopes(df: DataFrame, keys: Sequence[str], ts: str, col: str, chunk="m
                                          T.StructField("s_before", T.DoubleType()),
                                          T.StructField("s_after", T.DoubleType())])
     lr = ends.groupBy(*keys).applyInPandas(_reduced_solve(keys), red_schema)
-    s = rows.join(lr, on=keys + ["blk"], how="inner") \
-            .withColumn("d", F.col("p") + F.col("a") * F.col("s_before") + F.col("b") * F.col("s_after"))
-    nxt = s.select(*keys, (F.col("r") - 1).alias("r"), F.col("d").alias("d1"))
-    s = s.join(nxt, on=keys + ["r"], how="left")
+    sb, sa = F.col("s_before"), F.col("s_after")
+    s = rows.join(lr, on=keys + ["blk"], how="inner").withColumns({
+        "d": F.col("p") + F.col("a") * sb + F.col("b") * sa,
+        "d1": F.when(F.col("x1").isNotNull() & ~F.isnan("x1"),
+                     F.col("p1") + F.col("a1") * sb + F.col("b1") * sa)})
     return s.select(*keys, F.col("ts").alias(ts), F.col("x").alias("__x"), F.col("y").alias("__y"),
                     F.col("d").alias("__d"), F.col("x1").alias("__x1"), F.col("y1").alias("__y1"),
                     F.col("d1").alias("__d1"))
