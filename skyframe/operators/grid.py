@@ -31,11 +31,18 @@ def step_seconds(step) -> int:
     return int(m.group(1)) * _UNITS[m.group(2)]
 
 
-def _explode_offsets(b: DataFrame, n_steps: Column, block: int) -> DataFrame:
-    """Add ``__k`` = 0 .. n_steps-1 (one row each)."""
+def _explode_offsets(b: DataFrame, n_steps: Column, block: int, keys: Sequence[str]) -> DataFrame:
+    """Add ``__k`` = 0 .. n_steps-1 (one row each). The first level yields one
+    row per block of ``block`` steps; those few rows are redistributed by
+    (entity, block) before the second level, so a long entity's grid is
+    generated by many tasks."""
     b = b.withColumn("__nk", n_steps.cast("long")).filter(F.col("__nk") > 0)
     b = b.withColumn("__blk", F.explode(F.sequence(F.lit(0).cast("long"),
                                                    F.floor((F.col("__nk") - 1) / block).cast("long"))))
+    # explicit count: the rows are few, so adaptive coalescing would otherwise
+    # put the whole expansion into one task
+    n_parts = int(b.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    b = b.repartition(n_parts, *keys, "__blk")
     lo = F.col("__blk") * block
     hi = F.least(lo + block - 1, F.col("__nk") - 1)
     return b.withColumn("__k", F.explode(F.sequence(lo, hi))).drop("__blk", "__nk")
@@ -68,7 +75,7 @@ def grid_frame(df: DataFrame, keys: Sequence[str], ts: str, step="1 hour", bound
         end = F.make_timestamp_ntz(y + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
         b = b.withColumn("__lo", start).withColumn("__s", step_s)
         n = F.floor(F.timestamp_diff("SECOND", start, end) / F.col("__s")) + 1
-        g = _explode_offsets(b, n, block)
+        g = _explode_offsets(b, n, block, keys)
         g = g.withColumn(ts, F.timestamp_add("SECOND", F.col("__k") * F.col("__s"), F.col("__lo")))
         return g.select(*keys, ts, *carry)
 
@@ -84,7 +91,7 @@ def grid_frame(df: DataFrame, keys: Sequence[str], ts: str, step="1 hour", bound
             b = df.select(*keys).distinct()
         b = b.withColumn("__lo", F.lit(str(start)).cast(tt)).withColumn("__hi", F.lit(str(end)).cast(tt))
     n = F.floor(F.timestamp_diff("SECOND", F.col("__lo"), F.col("__hi")) / s) + 1
-    g = _explode_offsets(b, n, block)
+    g = _explode_offsets(b, n, block, keys)
     g = g.withColumn(ts, F.timestamp_add("SECOND", F.col("__k") * s, F.col("__lo")))
     return g.select(*keys, ts, *carry)
 

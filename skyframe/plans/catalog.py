@@ -557,7 +557,7 @@ def q_first_ids(spark, sf):
     e = _t(spark, sf, "events").select(
         F.col("user_id").alias("station"), "ts", F.col("value").alias("first_value"),
         F.get_json_object("props", "$.k").try_cast("int").alias("first_k"))
-    e = e.withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    e = e.withColumn("day", EV.day_of("ts"))
     return GR.first_ids(e, ["station", "day"], "ts", ["first_value", "first_k"])
 
 
@@ -769,7 +769,7 @@ SELECT *, round(maxSped * cos(maxMuki * 2 * pi() / 360.0), 9) AS umax,
   round(avrSped * sin(maxMuki * 2 * pi() / 360.0), 9) AS v FROM dconv""")
 def q_daily_convert(spark, sf):
     from ..sources.daily import daily_units
-    e = EV.events(spark, sf).withColumn("date", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    e = EV.events(spark, sf).withColumn("date", EV.day_of("ts"))
     a = e.groupBy("station", "date").agg(
         F.sum("cents").alias("cs"), F.min("cents").alias("cmin"), F.max("cents").alias("cmax"),
         F.sum("k").alias("ks"), F.min("k").alias("kmin"), F.max("k").alias("kmax"))

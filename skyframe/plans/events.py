@@ -58,12 +58,23 @@ WIDE_COLUMNS = ["station", "ts", "KanID", "Kname"] + HOURLY_VARIABLES + \
     [rmk_col(v) for v in HOURLY_VARIABLES]
 
 
+def hour_of(ts) -> "F.Column":
+    """Truncate a TIMESTAMP_NTZ to the hour without passing through the session zone."""
+    t = F.col(ts) if isinstance(ts, str) else ts
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0))
+
+
+def day_of(ts) -> "F.Column":
+    t = F.col(ts) if isinstance(ts, str) else ts
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.lit(0), F.lit(0), F.lit(0))
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``station, ts (hour), value, k, cents`` from ``events``."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     return e.select(
         F.col("user_id").alias("station"),
-        F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("ts"),
+        hour_of("ts").alias("ts"),
         F.col("value"),
         F.get_json_object("props", "$.k").try_cast("int").alias("k"),
         F.round(F.col("value") * 100).cast("long").alias("cents"))
