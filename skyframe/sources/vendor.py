@@ -36,21 +36,27 @@ def read_vendor_csv(spark: SparkSession, base: str, stations: Sequence[str] | No
               .withColumn("year", F.regexp_extract(path, r"_(\d{4})\.csv$", 1).try_cast("int")))
 
 
-def zero_fill(df: DataFrame, keys: Sequence[str], col: str, tag: str = "z") -> tuple[DataFrame, str]:
-    """F-16: NULL -> 0 when the group (station-year) has any non-null value,
-    quality 2 on the filled rows; an all-null group keeps NULL with quality 0.
-    Returns the frame and the name of the quality column it adds."""
+def zero_fill_many(df: DataFrame, keys: Sequence[str], cols: dict) -> DataFrame:
+    """F-16 for several columns with one aggregation and one join: for each
+    ``col -> quality column``, NULL -> 0 when the group (station-year) has any
+    non-null value, quality 2 on the filled rows, 8 on observed rows; an
+    all-null group keeps NULL with quality 0."""
     keys = list(keys)
-    q = f"__q_{tag}"
-    flag = f"__any_{tag}"
-    flags = any_flags(df, keys, {flag: F.col(col).isNotNull()})
+    flags = any_flags(df, keys, {f"__any_{i}": F.col(c).isNotNull() for i, c in enumerate(cols)})
     out = df.join(flags, on=keys, how="left")
-    out = out.withColumn(q, F.when(~F.col(flag), F.lit(0))
-                            .when(F.col(col).isNull(), F.lit(2))
-                            .otherwise(F.lit(VENDOR_DEFAULT_RMK)))
-    out = out.withColumn(col, F.when(F.col(flag) & F.col(col).isNull(), F.lit(0.0))
-                              .otherwise(F.col(col)))
-    return out.drop(flag), q
+    ex = {}
+    for i, (c, q) in enumerate(cols.items()):
+        flag = F.col(f"__any_{i}")
+        ex[q] = (F.when(~flag, F.lit(0)).when(F.col(c).isNull(), F.lit(2))
+                  .otherwise(F.lit(VENDOR_DEFAULT_RMK)))
+        ex[c] = F.when(flag & F.col(c).isNull(), F.lit(0.0)).otherwise(F.col(c))
+    return out.withColumns(ex).drop(*[f"__any_{i}" for i in range(len(cols))])
+
+
+def zero_fill(df: DataFrame, keys: Sequence[str], col: str, tag: str = "z") -> tuple[DataFrame, str]:
+    """F-16 for one column; returns the frame and the quality column it adds."""
+    q = f"__q_{tag}"
+    return zero_fill_many(df, keys, {col: q}), q
 
 
 def vendor_to_hourly(df: DataFrame, keys: Sequence[str] = ("station", "year"),
@@ -72,8 +78,8 @@ def vendor_to_hourly(df: DataFrame, keys: Sequence[str] = ("station", "year"),
     for c in (RADIATION, SUNSHINE):
         if c not in x.columns:
             x = x.withColumn(c, F.lit(None).cast("double"))
-    x, q_rad = zero_fill(x, keys, RADIATION, "rad")
-    x, q_sun = zero_fill(x, keys, SUNSHINE, "sun")
+    q_rad, q_sun = "__q_rad", "__q_sun"
+    x = zero_fill_many(x, keys, {RADIATION: q_rad, SUNSHINE: q_sun})
     y, m, d = VD.split_date(DATE)
     sel = {
         "KanID": (F.col("観測所ID") - VENDOR_ID_OFFSET).cast("int"),
