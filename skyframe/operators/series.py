@@ -364,6 +364,19 @@ def time_slice(df: DataFrame, ts: str, start, end, closed: str = "both") -> Data
     return df.filter(cond)
 
 
+def pick_variables(df: DataFrame, keep: Sequence[str], variables: Sequence[str],
+                   on_unknown: str = "error") -> DataFrame:
+    """``keep`` columns plus the requested ``variables``; unknown names raise
+    (``on_unknown="error"``) or are skipped with a warning (``"warn"``)."""
+    unknown = [v for v in variables if v not in df.columns]
+    if unknown and on_unknown == "error":
+        raise ValueError(f"unknown variables: {unknown}")
+    if unknown:
+        import warnings
+        warnings.warn(f"skipping unknown variables: {unknown}")
+    return df.select(*keep, *[v for v in variables if v in df.columns])
+
+
 def drop_null(df: DataFrame, cols) -> DataFrame:
     """P5: drop rows where any of ``cols`` is null."""
     return df.na.drop(subset=list(cols))

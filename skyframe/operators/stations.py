@@ -24,6 +24,11 @@ def select_station(catalogue: DataFrame, name: str, column: str = "name_en") ->
     return catalogue.filter(F.col(column) == F.lit(name))
 
 
+def lookup_station(catalogue: DataFrame, name: str, column: str = "name_en") -> DataFrame:
+    """O3: the first catalogue row with that name (at most one row)."""
+    return select_station(catalogue, name, column).limit(1)
+
+
 def attach_station_meta(obs: DataFrame, catalogue: DataFrame, on, how: str = "left",
                         max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Latitude, longitude, altitude etc. onto observations. The catalogue

@@ -1000,3 +1000,35 @@ def q_interp_akima(spark, sf):
 def q_interp_cubic(spark, sf):
     """Not-a-knot cubic spline fill of inside gaps up to MAX_GAP rows."""
     return GP.fill_max_gap(_gridm(spark, sf), K, "ts", ["v"], MAX_GAP, "cubic")
+
+
+# ---------------------------------------------------------------------------
+# Plot preparation: display units -> range -> tolerant rolling mean -> every 3rd
+# ---------------------------------------------------------------------------
+
+PLOT_START, PLOT_END = "2024-01-05 00:00:00", "2024-01-20 00:00:00"
+
+
+@query("plot_prepare", sql_with(*WIDE, SQL_CF) + f""",
+pdisp AS (SELECT station, ts, CAST(air_temperature AS DOUBLE) - 273.15 AS air_temperature,
+                 CAST(air_pressure AS DOUBLE) / 100.0 AS air_pressure FROM cf
+          WHERE ts >= TIMESTAMP '{PLOT_START}' AND ts <= TIMESTAMP '{PLOT_END}'),
+proll AS (SELECT station, ts, {_roll_expr('air_temperature', 1, 1, 1)} AS air_temperature,
+                 {_roll_expr('air_pressure', 1, 1, 1)} AS air_pressure,
+                 row_number() OVER w AS rn FROM pdisp WINDOW w AS (PARTITION BY station ORDER BY ts))
+SELECT station, ts, air_temperature, air_pressure FROM proll WHERE (rn - 1) % 3 = 0""")
+def q_plot_prepare(spark, sf):
+    from .plot import prepare_timeseries
+    return prepare_timeseries(_cf(spark, sf), ["air_temperature", "air_pressure"], PLOT_START, PLOT_END,
+                              window=3, every=3)
+
+
+# Quality codes attached to the report rows by a join with a long RMK table
+@query("missing_report_rmk_join", _rep_sql())
+def q_missing_report_rmk_join(spark, sf):
+    m = QL.mask_rmk(EV.wide_grid(spark, sf))
+    r = RP.missing_report(m, K, "ts", _REP_VARS, REPORT_LIMIT)
+    rmk_long = GP.to_long(m, K, "ts", _REP_VARS, {"rmk": {v: rmk_col(v) for v in _REP_VARS}})
+    j = RP.attach_rmk(r, rmk_long.select("station", "ts", "variable", "rmk"), K, "ts")
+    return j.select("station", "variable", "ts", "rmk", "prev_time", "prev_value", "next_time",
+                    "next_value", "ordinal", "total_missing")

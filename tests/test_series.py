@@ -224,3 +224,12 @@ def test_regularize_fill_and_carry(spark):
     assert GR.missing_rows(df, ["k"], "ts").count() == 2
     cov = GR.coverage(df, ["k"], "ts").first()
     assert cov.step_seconds == 3 * 3600 and cov.end_ts == dt.datetime(2024, 1, 1, 6)
+
+
+def test_pick_variables(spark):
+    df = series(spark, [1, 2])
+    assert SR.pick_variables(df, ["k", "ts"], ["v"]).columns == ["k", "ts", "v"]
+    with pytest.raises(ValueError):
+        SR.pick_variables(df, ["k", "ts"], ["v", "nope"])
+    with pytest.warns(UserWarning):
+        assert SR.pick_variables(df, ["k"], ["nope", "v"], on_unknown="warn").columns == ["k", "v"]

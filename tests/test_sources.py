@@ -207,3 +207,10 @@ def test_real_catalogue_facts(spark):
     for name, kid in [("Asosan", 821), ("Ibukiyama", 751), ("Tsurugisan", 894)]:
         x = OS.select_station(st, name).first()
         assert x.kanid == kid and x.elev_m > 1000
+
+
+def test_lookup_station(spark):
+    from skyframe.operators import stations as OS
+    cat = spark.createDataFrame([("Tokyo", 662), ("Tokyo", 999), ("Naha", 936)], "name_en string, kanid int")
+    assert OS.lookup_station(cat, "Tokyo").count() == 1
+    assert OS.lookup_station(cat, "Nowhere").count() == 0
