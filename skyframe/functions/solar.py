@@ -19,7 +19,6 @@ J2000_NOON_UTC = "2000-01-01 12:00:00"
 # (standard refraction at 1013.25 hPa and 12 degC).
 APPARENT_HORIZON_DEG = -0.571
 
-_DEG = 2 * math.pi / 360.0
 
 
 def _rad(x: Column) -> Column:

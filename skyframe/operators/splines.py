@@ -75,8 +75,6 @@ def slopes(df: DataFrame, keys, ts: str, col: str, method: str = "pchip",
               .when(r == 1, first).when(r == N, last).otherwise(interior))
         x = x.withColumn("__d", d)
     elif method == "akima":
-        s0, s1 = F.col("__s"), lag("__s", 1)
-
         def S(k: int) -> Column:
             """Secant S(r + k), k in -2..1, with the edge extensions."""
             i = r + k
@@ -89,7 +87,6 @@ def slopes(df: DataFrame, keys, ts: str, col: str, method: str = "pchip",
             return (F.when(i == 0, 2 * s_1 - s_2).when(i == -1, 3 * s_1 - 2 * s_2)
                      .when(i == N, 2 * e_1 - e_2).when(i == N + 1, 3 * e_1 - 2 * e_2)
                      .otherwise(real))
-        del s0, s1
         x = (x.withColumn("__m2", S(-2)).withColumn("__m1", S(-1))
               .withColumn("__m0", S(0)).withColumn("__p1", S(1)))
         m2, m1, m0, p1 = F.col("__m2"), F.col("__m1"), F.col("__m0"), F.col("__p1")

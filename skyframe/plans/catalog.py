@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions import text as TX
 from ..functions import units as U
 from ..functions import vendor as VD
-from ..functions.quality import rmk_int
 from ..functions.solar import is_night, solar_elevation
 from ..operators import aggregates as AG
 from ..operators import gaps as GP

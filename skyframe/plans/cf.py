@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import units as U
 from ..operators import quality as QL
 from ..operators import report as RP
-from ..schema import CF_TABLE, CF_WIND_COMPONENTS, HOURLY_VARIABLES
+from ..schema import CF_TABLE, CF_WIND_COMPONENTS
 
 NIGHT_ZERO_CF = ("duration_of_sunshine", "surface_downwelling_shortwave_flux_in_air")
 

@@ -5,14 +5,11 @@ import datetime as dt
 import glob
 import os
 
-from pyspark.sql import functions as F
-
 from skyframe.functions.quality import describe_rmk
 from skyframe.schema import DAILY_PAIRS, HOURLY_COLUMNS, daily_columns
 from skyframe.sources import daily as D
 from skyframe.sources import hourly as H
 from skyframe.sources import sinks as SK
-from skyframe.sources import vendor as VS
 from test_sources import write_station_year
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from skyframe.operators import quality as QL
 from skyframe.plans.cf import summarize_missing, to_cf
-from skyframe.schema import HOURLY_VARIABLES, rmk_col
+from skyframe.schema import HOURLY_VARIABLES
 from skyframe.sources import hourly as H
 from skyframe.sources import sinks as SK
 from skyframe.sources import stations as STN
