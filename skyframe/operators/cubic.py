@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .series import NROWS, RN, gap_len_expr, gap_pos_expr, halo_blocks, neighbours, next_col, prev_col
-from .splines import hermite
+from .splines import hermite, valid_counts, valid_rows
 
 BLOCK = 4096
 
@@ -203,15 +203,16 @@ def _banded_solve(band: np.ndarray, rhs: np.ndarray) -> np.ndarray:
 
 
 def cubic_slopes(df: DataFrame, keys: Sequence[str], ts: str, col: str, chunk="month",
-                 block: int = BLOCK) -> DataFrame:
+                 block: int = BLOCK, valid: DataFrame | None = None) -> DataFrame:
     """Per valid sample: ``keys, ts, __x, __y, __d`` (spline slope) and the next
-    sample ``__x1, __y1, __d1``."""
+    sample ``__x1, __y1, __d1``. ``valid`` may pass the numbered valid samples
+    (:func:`skyframe.operators.splines.valid_rows`) of an existing pass."""
     keys = list(keys)
-    v = df.filter(F.col(col).isNotNull()).select(
-        *keys, F.col(ts).alias("ts"), F.col(col).cast("double").alias("y"),
-        F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
-        .cast("double").alias("x"))
-    nb = neighbours(v, keys, "ts", [], chunk).withColumnRenamed(RN, "r").withColumnRenamed(NROWS, "n")
+    if valid is None:
+        nb0 = neighbours(df.select(*keys, ts, col), keys, ts, [], chunk, counts=valid_counts([col]))
+        valid = valid_rows(nb0, keys, ts, col)
+    nb = valid.select(*keys, F.col(ts).alias("ts"), F.col("__y").alias("y"), F.col("__x").alias("x"),
+                      F.col(RN).alias("r"), F.col(NROWS).alias("n"))
     h = halo_blocks(nb, keys, "r", 2, 2, block).withColumnRenamed("__blk", "blk") \
         .withColumnRenamed("__halo", "halo")
     # halo copies aimed at blocks past either end of the series have no group to join
@@ -253,17 +254,19 @@ def fill_max_gap_cubic(df: DataFrame, keys, ts: str, cols: Sequence[str], max_ga
     ``max_gap`` rows from the not-a-knot cubic spline through all valid samples."""
     keys = list(keys)
     cols = list(cols)
-    nb = neighbours(df, keys, ts, cols, chunk)
+    nb = neighbours(df, keys, ts, cols, chunk, counts=valid_counts(cols))
     out = nb
     xq = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                           F.col(ts)).cast("double")
     for c in cols:
         ok = F.col(c).isNull() & (gap_len_expr(c) <= max_gap) & (gap_pos_expr(c) == "inside")
         tgt = nb.filter(ok).select(*keys, ts, F.col(prev_col(c))["t"].alias("__lt"))
-        sl = cubic_slopes(df.select(*keys, ts, c), keys, ts, c, chunk, block).withColumnRenamed(ts, "__lt")
+        sl = cubic_slopes(df, keys, ts, c, chunk, block, valid=valid_rows(nb, keys, ts, c)) \
+            .withColumnRenamed(ts, "__lt")
         f = tgt.join(sl, on=keys + ["__lt"], how="inner").select(
             *keys, ts, hermite(xq, F.col("__x"), F.col("__y"), F.col("__d"), F.col("__x1"),
                                F.col("__y1"), F.col("__d1")).alias(f"__f_{c}"))
         out = out.join(f, on=keys + [ts], how="left") \
                  .withColumn(c, F.coalesce(F.col(c), F.col(f"__f_{c}"))).drop(f"__f_{c}")
-    return out.drop(RN, NROWS, *[prev_col(c) for c in cols], *[next_col(c) for c in cols])
+    return out.drop(RN, NROWS, *[prev_col(c) for c in cols], *[next_col(c) for c in cols],
+                    *[x for c in cols for x in (f"__vo_{c}", f"__vo_{c}_total")])

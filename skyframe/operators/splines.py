@@ -34,21 +34,30 @@ def _pchip_edge(h0, h1, m0, m1) -> Column:
              .otherwise(d))
 
 
-def _valid_rows(df: DataFrame, keys, ts: str, col: str, chunk) -> DataFrame:
-    v = df.filter(F.col(col).isNotNull()).select(
+def valid_counts(cols: Sequence[str]) -> dict:
+    """``counts`` argument for :func:`neighbours` that numbers the valid samples
+    of each column in the same pass (``__vo_c`` and ``__vo_c_total``)."""
+    return {f"__vo_{c}": f"`{c}` IS NOT NULL" for c in cols}
+
+
+def valid_rows(nb: DataFrame, keys, ts: str, col: str) -> DataFrame:
+    """Valid samples of ``col`` from a :func:`neighbours` frame built with
+    :func:`valid_counts`: ``keys, ts, __y, __x`` (seconds), ``__rn`` (ordinal
+    among valid samples) and ``__n`` (their number)."""
+    return nb.filter(F.col(col).isNotNull()).select(
         *keys, ts, F.col(col).cast("double").alias("__y"),
         F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
-        .cast("double").alias("__x"))
-    return neighbours(v, keys, ts, [], chunk)
+        .cast("double").alias("__x"),
+        F.col(f"__vo_{col}").alias(RN), F.col(f"__vo_{col}_total").alias(NROWS))
 
 
-def slopes(df: DataFrame, keys, ts: str, col: str, method: str = "pchip",
-           chunk="month", block: int | None = None) -> DataFrame:
-    """Per valid sample: ``keys, ts, __x, __y, __d`` (Hermite slope in value per
-    second) and the next valid sample ``__x1, __y1, __d1``."""
+def slopes(valid: DataFrame, keys, ts: str, method: str = "pchip",
+           block: int | None = None) -> DataFrame:
+    """Per valid sample (a :func:`valid_rows` frame): ``keys, ts, __x, __y, __d``
+    (Hermite slope in value per second) and the next valid sample
+    ``__x1, __y1, __d1``."""
     keys = list(keys)
-    nb = _valid_rows(df, keys, ts, col, chunk)
-    x = halo_blocks(nb, keys, RN, HALO, HALO, block)
+    x = halo_blocks(valid, keys, RN, HALO, HALO, block)
     w = Window.partitionBy(*keys, "__blk").orderBy(RN)
     X, Y, r, N = F.col("__x"), F.col("__y"), F.col(RN), F.col(NROWS)
 
@@ -126,13 +135,13 @@ def fill_max_gap_spline(df: DataFrame, keys, ts: str, cols: Sequence[str], max_g
     cols = list(cols)
     if method not in ("pchip", "akima"):
         raise ValueError(f"method {method!r} is not available (see README, 'Not built')")
-    nb = neighbours(df, keys, ts, cols, chunk)
+    # one pass gives neighbours, gap lengths and the ordinal of every valid sample
+    nb = neighbours(df, keys, ts, cols, chunk, counts=valid_counts(cols))
     out = nb
     for c in cols:
         ok = F.col(c).isNull() & (gap_len_expr(c) <= max_gap) & (gap_pos_expr(c) == "inside")
         tgt = nb.filter(ok).select(*keys, ts, F.col(prev_col(c))["t"].alias("__lt"))
-        sl = slopes(df.select(*keys, ts, c), keys, ts, c, method, chunk) \
-            .withColumnRenamed(ts, "__lt")
+        sl = slopes(valid_rows(nb, keys, ts, c), keys, ts, method).withColumnRenamed(ts, "__lt")
         xq = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                               F.col(ts)).cast("double")
         f = tgt.join(sl, on=keys + ["__lt"], how="inner").select(
@@ -140,4 +149,5 @@ def fill_max_gap_spline(df: DataFrame, keys, ts: str, cols: Sequence[str], max_g
                                F.col("__y1"), F.col("__d1")).alias(f"__f_{c}"))
         out = out.join(f, on=keys + [ts], how="left") \
                  .withColumn(c, F.coalesce(F.col(c), F.col(f"__f_{c}"))).drop(f"__f_{c}")
-    return out.drop(RN, NROWS, *[prev_col(c) for c in cols], *[next_col(c) for c in cols])
+    return out.drop(RN, NROWS, *[prev_col(c) for c in cols], *[next_col(c) for c in cols],
+                    *[x for c in cols for x in (f"__vo_{c}", f"__vo_{c}_total")])
