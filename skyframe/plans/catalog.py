@@ -637,15 +637,17 @@ def q_build_ts(spark, sf):
 # 3-hourly -> hourly on fixed bounds, time interpolation and forward fill
 # ---------------------------------------------------------------------------
 
-UP_START, UP_END = "2024-01-02 00:00:00", "2024-01-28 00:00:00"
-SQL_UP = f"""o3 AS (SELECT station, ts, CASE WHEN rmk IN (0, 1, 2) THEN NULL ELSE v END AS v, rmk
-  FROM obs WHERE hour(ts) % 3 = 0),
+# Whole month of the driver's events (both ends inclusive).
+UP_START, UP_END = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+SQL_UP = f"""o3 AS (SELECT station, ts3 AS ts,
+    CASE WHEN max(k % 10) IN (0, 1, 2) THEN NULL ELSE round(avg(value), 6) END AS v, max(k % 10) AS rmk
+  FROM (SELECT *, ts - to_hours(hour(ts) % 3) AS ts3 FROM ev) GROUP BY station, ts3),
 up_g AS (SELECT station, unnest(generate_series(TIMESTAMP '{UP_START}', TIMESTAMP '{UP_END}', INTERVAL 1 HOUR)) AS ts
   FROM (SELECT DISTINCT station FROM o3)),
 up AS (SELECT g.station, g.ts, o.v, o.rmk FROM up_g g LEFT JOIN o3 o ON o.station = g.station AND o.ts = g.ts)"""
 
 
-@query("upsample_3h_to_1h", sql_with(*BASE, SQL_UP, sql_neighbours("nb", "up")) + f"""
+@query("upsample_3h_to_1h", sql_with(SQL_EV, SQL_UP, sql_neighbours("nb", "up")) + f"""
 SELECT station, ts, CASE WHEN v IS NOT NULL THEN v
   WHEN pv IS NOT NULL AND nv IS NOT NULL THEN pv + (nv - pv) * {_SECS}
   WHEN pv IS NOT NULL THEN pv END AS v,
@@ -653,11 +655,15 @@ SELECT station, ts, CASE WHEN v IS NOT NULL THEN v
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rmk
 FROM nb""")
 def q_upsample(spark, sf):
-    o = EV.obs(spark, sf).filter(F.hour("ts") % 3 == 0)
-    o = EV.mask_v(o).select("station", "ts", "v", "rmk")
+    """A 3-hourly series (all events aggregated per 3-hour period) put on the
+    hourly grid of the month, measures interpolated in time, codes forward-filled."""
+    e = EV.events(spark, sf)
+    e = e.withColumn("ts", F.timestamp_add("HOUR", -(F.hour("ts") % 3), F.col("ts")))
+    o = e.groupBy("station", "ts").agg(F.round(F.avg("value"), 6).alias("v"),
+                                       F.max(F.col("k") % 10).alias("rmk"))
+    o = EV.mask_v(o)
     up = GR.upsample(o, K, "ts", UP_START, UP_END)
-    up = SR.interpolate(up, K, "ts", ["v"], "time")
-    return SR.ffill(up, K, "ts", ["rmk"])
+    return SR.interpolate(up, K, "ts", ["v"], "time", ffill_cols=["rmk"])
 
 
 # ---------------------------------------------------------------------------
