@@ -197,20 +197,17 @@ def nearest_valid(df: DataFrame, keys, ts: str, col: str, chunk="month") -> Data
 def gap_len_expr(c: str) -> Column:
     """Length (rows) of the maximal null run containing the row; 0 for valid rows.
     Needs the columns added by :func:`neighbours`."""
-    p, n = F.col(prev_col(c)), F.col(next_col(c))
-    return F.when(F.col(c).isNull(),
-                  F.coalesce(n["r"], F.col(NROWS) + 1) - F.coalesce(p["r"], F.lit(0)) - 1) \
-            .otherwise(F.lit(0).cast("long"))
+    p, n = q(prev_col(c)), q(next_col(c))
+    return F.expr(f"CASE WHEN {q(c)} IS NULL THEN coalesce({n}.r, {q(NROWS)} + 1) - coalesce({p}.r, 0) - 1 "
+                  f"ELSE CAST(0 AS BIGINT) END")
 
 
 def gap_pos_expr(c: str) -> Column:
     """``inside`` | ``head`` | ``tail`` | ``all`` for null rows, null for valid rows."""
-    p, n = F.col(prev_col(c)), F.col(next_col(c))
-    return (F.when(F.col(c).isNotNull(), F.lit(None).cast("string"))
-             .when(p.isNull() & n.isNull(), F.lit("all"))
-             .when(p.isNull(), F.lit("head"))
-             .when(n.isNull(), F.lit("tail"))
-             .otherwise(F.lit("inside")))
+    p, n = q(prev_col(c)), q(next_col(c))
+    return F.expr(f"CASE WHEN {q(c)} IS NOT NULL THEN CAST(NULL AS STRING) "
+                  f"WHEN {p} IS NULL AND {n} IS NULL THEN 'all' WHEN {p} IS NULL THEN 'head' "
+                  f"WHEN {n} IS NULL THEN 'tail' ELSE 'inside' END")
 
 
 # ---------------------------------------------------------------------------
@@ -226,24 +223,31 @@ def _seconds(a: Column, b: Column) -> Column:
     return F.timestamp_diff("SECOND", a, b)
 
 
-def interp_expr(c: str, ts: str, method: str = "time") -> Column:
-    """Value of ``c`` interpolated between its neighbours (inside gaps only; valid
-    rows keep their value). Needs the columns added by :func:`neighbours`."""
-    p, n = F.col(prev_col(c)), F.col(next_col(c))
-    pv, nv = p["v"], n["v"]
+def interp_sql(c: str, ts: str, method: str = "time") -> str:
+    """SQL for the value of ``c`` interpolated between its neighbours (inside
+    gaps only; valid rows keep their value)."""
+    p, n, t = q(prev_col(c)), q(next_col(c)), q(ts)
     if method in LINEAR_IN_TIME:
-        val = pv + (nv - pv) * _seconds(p["t"], F.col(ts)).cast("double") \
-            / _seconds(p["t"], n["t"]).cast("double")
+        val = (f"{p}.v + ({n}.v - {p}.v) * CAST(timestampdiff(SECOND, {p}.t, {t}) AS DOUBLE) "
+               f"/ CAST(timestampdiff(SECOND, {p}.t, {n}.t) AS DOUBLE)")
     elif method == "linear":
-        val = pv + (nv - pv) * (F.col(RN) - p["r"]).cast("double") / (n["r"] - p["r"]).cast("double")
+        val = (f"{p}.v + ({n}.v - {p}.v) * CAST({q(RN)} - {p}.r AS DOUBLE) "
+               f"/ CAST({n}.r - {p}.r AS DOUBLE)")
     elif method == "nearest":
         # ties go to the earlier sample
-        val = F.when(_seconds(p["t"], F.col(ts)) <= _seconds(F.col(ts), n["t"]), pv).otherwise(nv)
+        val = (f"CASE WHEN timestampdiff(SECOND, {p}.t, {t}) <= timestampdiff(SECOND, {t}, {n}.t) "
+               f"THEN {p}.v ELSE {n}.v END")
     elif method == "zero":
-        val = pv
+        val = f"{p}.v"
     else:
         raise ValueError(f"method {method!r} is not a local method")
-    return F.when(F.col(c).isNotNull(), F.col(c)).when(p.isNotNull() & n.isNotNull(), val)
+    return (f"CASE WHEN {q(c)} IS NOT NULL THEN {q(c)} "
+            f"WHEN {p} IS NOT NULL AND {n} IS NOT NULL THEN {val} END")
+
+
+def interp_expr(c: str, ts: str, method: str = "time") -> Column:
+    """Column form of :func:`interp_sql`. Needs the columns added by :func:`neighbours`."""
+    return F.expr(interp_sql(c, ts, method))
 
 
 def interpolate(df: DataFrame, keys, ts: str, cols, method: str = "time",
@@ -262,13 +266,13 @@ def interpolate(df: DataFrame, keys, ts: str, cols, method: str = "time",
     if method not in LOCAL_METHODS:
         raise ValueError(f"unsupported method {method!r}")
     nb = neighbours(df, keys, ts, cols + ffill_cols, chunk)
-    ex = {c: F.col(prev_col(c))["v"] for c in ffill_cols}
+    ex = {c: F.expr(f"{q(prev_col(c))}.v") for c in ffill_cols}
     for c in cols:
-        e = interp_expr(c, ts, method)
+        e = interp_sql(c, ts, method)
         if method in HOLDS_TAIL and limit_area != "inside":
-            p, n = F.col(prev_col(c)), F.col(next_col(c))
-            e = F.when(F.col(c).isNull() & p.isNotNull() & n.isNull(), p["v"]).otherwise(e)
-        ex[c] = e
+            p, n = q(prev_col(c)), q(next_col(c))
+            e = f"CASE WHEN {q(c)} IS NULL AND {p} IS NOT NULL AND {n} IS NULL THEN {p}.v ELSE {e} END"
+        ex[c] = F.expr(e)
     return _drop_nb(nb.withColumns(ex), cols + ffill_cols)
 
 
