@@ -1037,3 +1037,51 @@ def q_missing_report_rmk_join(spark, sf):
     j = RP.attach_rmk(r, rmk_long.select("station", "ts", "variable", "rmk"), K, "ts")
     return j.select("station", "variable", "ts", "rmk", "prev_time", "prev_value", "next_time",
                     "next_value", "ordinal", "total_missing")
+
+
+# ---------------------------------------------------------------------------
+# Round trips through the archive CSV layout and the CF
+# parquet layout, written into the session's shared checkpoint folder
+# ---------------------------------------------------------------------------
+
+def _scratch(spark, name: str) -> str:
+    import tempfile
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    d = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="skyframe-local-"))
+    return f"{d.rstrip('/')}/skyframe-{name}-{uuid.uuid4().hex}"
+
+
+@query("archive_csv_roundtrip", sql_with(SQL_EV, SQL_WIDE.split(",\nw_b AS")[0]) + """
+SELECT station, ts + INTERVAL 1 HOUR AS ts, """ + ", ".join(
+    [f"CAST({v} AS DOUBLE) AS {v}" for v in HOURLY_VARIABLES] + [rmk_col(v) for v in HOURLY_VARIABLES])
+    + " FROM wraw")
+def q_archive_csv_roundtrip(spark, sf):
+    """Archive rows (hour-ending convention, hour 1..24) written with the
+    33-column writer and read back with the archive reader."""
+    from ..sources import hourly as H
+    from ..sources import sinks as SK
+    w = EV.wide_raw(spark, sf)
+    end = F.timestamp_add("HOUR", F.lit(1), F.col("ts"))
+    day = F.timestamp_add("SECOND", F.lit(-1), end)
+    hh = F.when(F.hour(end) == 0, F.lit(24)).otherwise(F.hour(end))
+    rows = w.select(F.col("station").cast("string").alias("station"), F.year(day).alias("year"),
+                    F.col("KanID"), F.col("Kname"), F.col("KanID").alias("KanID_1"),
+                    F.year(day).alias("YYYY"), F.month(day).alias("MM"), F.dayofmonth(day).alias("DD"),
+                    hh.alias("HH"), *HOURLY_VARIABLES, *[rmk_col(v) for v in HOURLY_VARIABLES])
+    path = _scratch(spark, "archive")
+    SK.write_hourly_csv(rows, path)
+    back = H.read_hourly_raw(spark, path, layout="partitioned")
+    return back.select(F.col("station").cast("long").alias("station"), "ts",
+                       *[U.num(v).alias(v) for v in HOURLY_VARIABLES], *[rmk_col(v) for v in HOURLY_VARIABLES])
+
+
+@query("cf_parquet_roundtrip", sql_with(*WIDE, SQL_CF) + "SELECT * FROM cf")
+def q_cf_parquet_roundtrip(spark, sf):
+    """CF frame written as parquet partitioned by station and year (attributes
+    in column metadata) and read back."""
+    from ..sources import sinks as SK
+    path = _scratch(spark, "cf")
+    SK.write_cf(_cf(spark, sf), path)
+    back = SK.read_cf(spark, path, _CF_NAMES)
+    return back.select(F.col("station").cast("long").alias("station"), "ts", *_CF_NAMES)
