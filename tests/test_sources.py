@@ -3,6 +3,7 @@ public): hourly CSV tree, vendor dialect, station catalogue, CF parquet,
 model-forcing text."""
 
 import datetime as dt
+import math
 import glob
 import os
 
@@ -214,3 +215,33 @@ def test_lookup_station(spark):
     cat = spark.createDataFrame([("Tokyo", 662), ("Tokyo", 999), ("Naha", 936)], "name_en string, kanid int")
     assert OS.lookup_station(cat, "Tokyo").count() == 1
     assert OS.lookup_station(cat, "Nowhere").count() == 0
+
+
+def test_cf_compat_mode(spark, archive):
+    raw = H.read_hourly(spark, archive, ["Tokyo"], "2020-01-01 00:00:00", "2020-01-02 00:00:00", units="raw",
+                        rmk_policy="none")
+    d = {r.ts: r for r in to_cf(raw).collect()}
+    c = {r.ts: r for r in to_cf(raw, compat=True).collect()}
+    t = dt.datetime(2020, 1, 1, 2)     # code 2 (NE), precipitation 3 (0.3 mm/h)
+    assert d[t].wind_from_direction == 45.0                      # from-direction of the code
+    assert abs(c[t].wind_from_direction - 225.0) < 1e-6          # math angle passed through
+    assert abs(c[t].precipitation_flux * 1000 - d[t].precipitation_flux) < 1e-9
+    # code 12 (west) with a light speed: zeroed only by the literal calm rule
+    w = [ts for ts, r in d.items() if r.wind_speed is not None and 0 < r.wind_speed <= 3.0
+         and abs(c[ts].wind_from_direction) < 1e-6]
+    assert all(c[ts].wind_speed == 0.0 for ts in w)
+
+
+def test_hourly_circular_and_categorical(spark, archive):
+    out = H.read_hourly(spark, archive, ["Tokyo"], "2020-01-01 00:00:00", "2020-01-02 00:00:00")
+    plain = {r.ts: r for r in out["hourly"].collect()}
+    from skyframe.plans.hourly import clean_hourly
+    raw = H.read_hourly_raw(spark, archive, ["Tokyo"], "2020-01-01 00:00:00", "2020-01-02 00:00:00")
+    alt = clean_hourly(raw.drop("year"), "2020-01-01 00:00:00", "2020-01-02 00:00:00",
+                       circular=True, categorical=["tnki"])
+    got = {r.ts: r for r in alt["hourly"].collect()}
+    t = dt.datetime(2020, 1, 1, 6)      # inserted row between two valid samples
+    assert got[t].tnki == got[dt.datetime(2020, 1, 1, 5)].tnki          # forward-filled code
+    r = got[dt.datetime(2020, 1, 1, 3)]
+    assert abs(r.muki - (math.degrees(math.atan2(r.v, r.u)) % 360.0)) < 1e-9
+    assert plain[t].kion is not None
