@@ -1085,3 +1085,19 @@ def q_cf_parquet_roundtrip(spark, sf):
     SK.write_cf(_cf(spark, sf), path)
     back = SK.read_cf(spark, path, _CF_NAMES)
     return back.select(F.col("station").cast("long").alias("station"), "ts", *_CF_NAMES)
+
+
+@query("vendor_csv_roundtrip", ORACLE_SQL["vendor_convert"])
+def q_vendor_csv_roundtrip(spark, sf):
+    """S6 on derived rows: vendor-dialect rows written as header CSV files per
+    station-year, read back with the vendor reader (all cells as text) and
+    converted to archive rows."""
+    v = vendor_frame(spark, sf)
+    path = _scratch(spark, "vendor")
+    (v.repartition("station", "year").write.mode("errorifexists").partitionBy("station", "year")
+       .option("header", True).option("lineSep", "\n").csv(path))
+    back = VS.read_vendor_csv(spark, path, layout="partitioned")
+    h = VS.vendor_to_hourly(back, ["station", "year"], extra=["event_id"])
+    vals = ["lhpa", "shpa", "kion", "stem", "rhum", "sped", "clod", "tnki", "humd", "lght", "slht", "kous"]
+    return h.select(*[F.col(c).cast("double").alias(c) if c in vals else
+                      (F.col(c).cast("long").alias(c) if c == "event_id" else F.col(c)) for c in h.columns])

@@ -23,8 +23,20 @@ WIND_WORD = "風向"
 
 
 def read_vendor_csv(spark: SparkSession, base: str, stations: Sequence[str] | None = None,
-                    years: Sequence[int] | None = None) -> DataFrame:
-    """Every cell as text; ``station`` and ``year`` from the path."""
+                    years: Sequence[int] | None = None, layout: str = "vendor") -> DataFrame:
+    """Every cell as text; ``station`` and ``year`` from the path.
+    ``layout="vendor"``: ``{base}{year}/{station}_{year}.csv``;
+    ``layout="partitioned"``: ``{base}/station=../year=../*.csv`` (pruned on both)."""
+    if layout == "partitioned":
+        df = (spark.read.option("header", True).option("inferSchema", False)
+              .option("basePath", base).csv(base))
+        df = df.withColumn("station", F.col("station").cast("string")) \
+               .withColumn("year", F.col("year").cast("int"))
+        if stations is not None:
+            df = df.filter(F.col("station").isin(list(stations)))
+        if years is not None:
+            df = df.filter(F.col("year").isin([int(y) for y in years]))
+        return df
     base = base.rstrip("/") + "/"
     if stations is None or years is None:
         patterns = [f"{base}*/*_*.csv"]
