@@ -1101,3 +1101,59 @@ def q_vendor_csv_roundtrip(spark, sf):
     vals = ["lhpa", "shpa", "kion", "stem", "rhum", "sped", "clod", "tnki", "humd", "lght", "slht", "kous"]
     return h.select(*[F.col(c).cast("double").alias(c) if c in vals else
                       (F.col(c).cast("long").alias(c) if c == "event_id" else F.col(c)) for c in h.columns])
+
+
+# S5 / A8 / D1 on derived rows: the 63-column daily archive layout
+from ..schema import DAILY_CODES, DAILY_PAIRS, DAILY_TRAILING, daily_columns  # noqa: E402
+
+_DAILY_OTHER = "cs % 50"
+
+
+def _daily_value_sql(p: str) -> str:
+    return DAILY_VALUES.get(p, _DAILY_OTHER)
+
+
+def _daily_rmk_sql(j: int) -> str:
+    return f"CASE (ks + {j}) % 10 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 8 END"
+
+
+_DAILY_SELECT = (["CAST(station AS INT) AS KanID", "'stn' || station AS Kname", "CAST(station AS INT) AS KanID_1",
+                  "year(date) AS YYYY", "month(date) AS MM", "day(date) AS DD"]
+                 + [x for j, p in enumerate(DAILY_PAIRS) for x in
+                    (f"CAST({_daily_value_sql(p)} AS INT) AS {p}", f"CAST({_daily_rmk_sql(j)} AS INT) AS {p}RMK")]
+                 + [f"0 AS {c}" for c in DAILY_CODES] + [f"0 AS {DAILY_TRAILING}", f"8 AS {DAILY_TRAILING}RMK"])
+_DAILY_OUT = ["avrLhpa", "avrKion", "maxKion", "minKion", "avrRhum", "minRhum", "avrSped", "maxSped",
+              "sunlght", "dayPrec"]
+
+
+def _daily_conv_sql(p: str) -> str:
+    base = f"CASE WHEN {p}RMK IN (0, 1) THEN NULL ELSE CAST({p} AS DOUBLE) END"
+    if p == "sunlght":
+        return (f"CASE WHEN YYYY >= 1981 THEN {base} * 1.0e5 / 3.6e3 / 24.0 "
+                f"ELSE {base} * 4.2 * 1.0e4 / 3.6e3 / 24.0 END")
+    if p == "minRhum":
+        return base
+    return f"{base} / {'100.0' if p == 'avrRhum' else '10.0'}"
+
+
+@query("daily_csv_roundtrip", sql_with(SQL_EV, SQL_DAILY.split(",\ndraw AS")[0],
+                                       "draw AS (SELECT station, date, " + ", ".join(_DAILY_SELECT)
+                                       + " FROM dagg)") + """
+SELECT station, date, """ + ", ".join(f"{_daily_conv_sql(p)} AS {p}" for p in _DAILY_OUT) + ", "
+    + ", ".join(f"{p}RMK" for p in _DAILY_OUT) + " FROM draw")
+def q_daily_csv_roundtrip(spark, sf):
+    """Daily archive rows derived from events, written headerless per
+    station-year, read with the daily reader, masked (RMK 0/1) and converted."""
+    from ..sources import daily as D
+    e = EV.events(spark, sf).withColumn("date", EV.day_of("ts"))
+    a = e.groupBy("station", "date").agg(
+        F.sum("cents").alias("cs"), F.min("cents").alias("cmin"), F.max("cents").alias("cmax"),
+        F.sum("k").alias("ks"), F.min("k").alias("kmin"), F.max("k").alias("kmax"))
+    rows = a.selectExpr("CAST(station AS STRING) AS station", "year(date) AS year", *_DAILY_SELECT)
+    path = _scratch(spark, "daily")
+    (rows.select("station", "year", *[F.col(c).cast("string").alias(c) for c in daily_columns()])
+         .repartition("station", "year").write.mode("errorifexists").partitionBy("station", "year")
+         .option("header", False).option("lineSep", "\n").csv(path))
+    clean = D.read_daily(spark, path, layout="partitioned")["clean"]
+    return clean.select(F.col("station").cast("long").alias("station"), "date", *_DAILY_OUT,
+                        *[f"{p}RMK" for p in _DAILY_OUT])

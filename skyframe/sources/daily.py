@@ -20,13 +20,22 @@ DAILY_MISSING_RMK = (0, 1)
 
 
 def read_daily_raw(spark: SparkSession, root: str, stations: Sequence[str] | None = None,
-                   start=None, end=None) -> DataFrame:
+                   start=None, end=None, layout: str = "archive") -> DataFrame:
+    """``layout="archive"`` (``{root}/{station}/{station}{year}.csv``) or
+    ``layout="partitioned"`` (``{root}/station=../year=../*.csv``)."""
     years = list(range(_dt(start).year, _dt(end).year + 1)) if start and end else None
-    patterns = ([f"{root.rstrip('/')}/*/*.csv"] if stations is None
-                else existing(spark, hourly_patterns(root, stations, years)))
-    df = spark.read.schema(daily_raw_schema()).option("header", False).csv(patterns)
-    df = df.withColumn("station", F.regexp_extract(F.col("_metadata.file_path"),
-                                                   r"/([^/]+)/[^/]*?(\d{4})\.csv$", 1))
+    if layout == "partitioned":
+        df = (spark.read.schema(daily_raw_schema()).option("header", False)
+              .option("basePath", root).csv(root))
+        df = df.withColumn("station", F.col("station").cast("string")).drop("year")
+        if stations is not None:
+            df = df.filter(F.col("station").isin(list(stations)))
+    else:
+        patterns = ([f"{root.rstrip('/')}/*/*.csv"] if stations is None
+                    else existing(spark, hourly_patterns(root, stations, years)))
+        df = spark.read.schema(daily_raw_schema()).option("header", False).csv(patterns)
+        df = df.withColumn("station", F.regexp_extract(F.col("_metadata.file_path"),
+                                                       r"/([^/]+)/[^/]*?(\d{4})\.csv$", 1))
     for c in ["KanID", "KanID_1", "YYYY", "MM", "DD"] + [rmk_col(p) for p in DAILY_PAIRS]:
         df = df.withColumn(c, F.trim(F.col(c)).try_cast("int"))
     df = df.withColumn("date", F.make_timestamp_ntz("YYYY", "MM", "DD", F.lit(0), F.lit(0), F.lit(0)))
@@ -65,8 +74,9 @@ def daily_clean(df: DataFrame) -> DataFrame:
     return out
 
 
-def read_daily(spark: SparkSession, root: str, stations=None, start=None, end=None) -> dict:
+def read_daily(spark: SparkSession, root: str, stations=None, start=None, end=None,
+               layout: str = "archive") -> dict:
     """``{"org": converted, "clean": converted and masked}``."""
-    raw = read_daily_raw(spark, root, stations, start, end)
+    raw = read_daily_raw(spark, root, stations, start, end, layout)
     org = daily_units(raw)
     return {"org": org, "clean": daily_units(daily_clean(raw))}
