@@ -1157,3 +1157,25 @@ def q_daily_csv_roundtrip(spark, sf):
     clean = D.read_daily(spark, path, layout="partitioned")["clean"]
     return clean.select(F.col("station").cast("long").alias("station"), "date", *_DAILY_OUT,
                         *[f"{p}RMK" for p in _DAILY_OUT])
+
+
+@query("forcing_file_roundtrip", ORACLE_SQL["forcing_met_text"].replace(
+    "SELECT station, ts, strftime", "SELECT station, strftime").replace(" AS line FROM", " AS line FROM", 1))
+def q_forcing_file_roundtrip(spark, sf):
+    """S14 writer: forcing lines written per station (range-partitioned and
+    sorted) and read back as text."""
+    from ..sources import sinks as SK
+    path = _scratch(spark, "forcing")
+    SK.export_forcing_met(_physical(spark, sf), path)
+    back = spark.read.option("basePath", path).text(path)
+    return back.select(F.col("station").cast("long").alias("station"), F.col("value").alias("line"))
+
+
+@query("csv_roundtrip", sql_with(*WIDE, SQL_WMASK, SQL_PHYS) + "SELECT station, ts, kion, sped, slht FROM wphys")
+def q_csv_roundtrip(spark, sf):
+    """S9 writer (header, time column first) and S8 reader with the schema."""
+    from ..sources import sinks as SK
+    p = _physical(spark, sf).select("station", "ts", "kion", "sped", "slht")
+    path = _scratch(spark, "csv")
+    SK.write_csv(p, path)
+    return SK.read_csv_back(spark, path, p.select("ts", "station", "kion", "sped", "slht").schema)
