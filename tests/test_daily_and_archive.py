@@ -43,7 +43,7 @@ def test_daily_reader(spark, tmpdir_path):
 
 
 def test_archive_csv_roundtrip(spark, tmpdir_path):
-    root = f"{tmpdir_path}/gwo"
+    root = f"{tmpdir_path}/archive"
     write_station_year(root, "Tokyo", 662, 2020, 1)
     raw = H.read_hourly_raw(spark, root, ["Tokyo"])
     SK.write_hourly_csv(raw, f"{tmpdir_path}/out")
@@ -56,7 +56,7 @@ def test_archive_csv_roundtrip(spark, tmpdir_path):
 
 
 def test_forcing_batch(spark, tmpdir_path):
-    root = f"{tmpdir_path}/gwo"
+    root = f"{tmpdir_path}/archive"
     write_station_year(root, "Tokyo", 662, 2020, 1)
     hourly = H.read_hourly(spark, root, ["Tokyo"], "2020-01-01", "2020-01-02")["hourly"]
     SK.export_forcing_batch(hourly, f"{tmpdir_path}/forcing")

@@ -11,7 +11,7 @@ from test_sources import write_station_year
 
 
 def test_station_chain(spark, tmpdir_path):
-    root = f"{tmpdir_path}/gwo"
+    root = f"{tmpdir_path}/archive"
     write_station_year(root, "Tokyo", 662, 2020, 1, skip=set(range(30, 60)) | {5},
                        override={10: {"kion": ("", 1)}})
     cat = spark.createDataFrame([("Tokyo", 662, 35.69, 139.75, 25.2)],
