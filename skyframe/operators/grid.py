@@ -31,25 +31,28 @@ def step_seconds(step) -> int:
     return int(m.group(1)) * _UNITS[m.group(2)]
 
 
-def _explode_offsets(b: DataFrame, n_steps: Column, block: int, keys: Sequence[str]) -> DataFrame:
-    """Add ``__k`` = 0 .. n_steps-1 (one row each). The first level yields one
+def _explode_offsets(b: DataFrame, n_steps: Column, block: int, keys: Sequence[str],
+                     first: Column | None = None) -> DataFrame:
+    """Add ``__k`` = first .. n_steps-1 (one row each). The first level yields one
     row per block of ``block`` steps; those few rows are redistributed by
     (entity, block) before the second level, so a long entity's grid is
     generated by many tasks."""
-    b = b.withColumn("__nk", n_steps.cast("long")).filter(F.col("__nk") > 0)
-    b = b.withColumn("__blk", F.explode(F.sequence(F.lit(0).cast("long"),
+    b = b.withColumn("__nk", n_steps.cast("long"))
+    b = b.withColumn("__k0", (first if first is not None else F.lit(0)).cast("long"))
+    b = b.filter(F.col("__nk") > F.col("__k0"))
+    b = b.withColumn("__blk", F.explode(F.sequence(F.floor(F.col("__k0") / block).cast("long"),
                                                    F.floor((F.col("__nk") - 1) / block).cast("long"))))
     # explicit count: the rows are few, so adaptive coalescing would otherwise
     # put the whole expansion into one task
     n_parts = int(b.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     b = b.repartition(n_parts, *keys, "__blk")
-    lo = F.col("__blk") * block
-    hi = F.least(lo + block - 1, F.col("__nk") - 1)
-    return b.withColumn("__k", F.explode(F.sequence(lo, hi))).drop("__blk", "__nk")
+    lo = F.greatest(F.col("__blk") * block, F.col("__k0"))
+    hi = F.least(F.col("__blk") * block + block - 1, F.col("__nk") - 1)
+    return b.withColumn("__k", F.explode(F.sequence(lo, hi))).drop("__blk", "__nk", "__k0")
 
 
 def grid_frame(df: DataFrame, keys: Sequence[str], ts: str, step="1 hour", bounds="data",
-               carry: Sequence[str] = (), block: int = 4096) -> DataFrame:
+               carry: Sequence[str] = (), block: int = 4096, clip=None) -> DataFrame:
     """Complete time grid per entity: ``keys, ts`` plus ``carry`` columns taken
     from the entity's first row.
 
@@ -59,6 +62,9 @@ def grid_frame(df: DataFrame, keys: Sequence[str], ts: str, step="1 hour", bound
       * ``"year"`` -- the archive rule per calendar year present in the data:
         ``Y-01-01 01:00 .. (Y+1)-01-01 00:00`` hourly, or ``03:00`` 3-hourly
         before 1991 (a row belongs to the year of ``ts - 1 second``).
+
+    ``clip=(start, end)`` (year rule only) generates just the grid points inside
+    that closed range instead of whole years.
     """
     keys = list(keys)
     carry = list(carry)
@@ -74,8 +80,15 @@ def grid_frame(df: DataFrame, keys: Sequence[str], ts: str, step="1 hour", bound
                                      F.when(y < HOURLY_FROM_YEAR, 3).otherwise(1), F.lit(0), F.lit(0))
         end = F.make_timestamp_ntz(y + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
         b = b.withColumn("__lo", start).withColumn("__s", step_s)
+        first = None
+        if clip is not None:
+            tt = df.schema[ts].dataType
+            c0, c1 = F.lit(str(clip[0])).cast(tt), F.lit(str(clip[1])).cast(tt)
+            end = F.least(end, c1)
+            # first offset at or after the clip start
+            first = F.greatest(F.lit(0), F.ceil(F.timestamp_diff("SECOND", start, c0) / F.col("__s")))
         n = F.floor(F.timestamp_diff("SECOND", start, end) / F.col("__s")) + 1
-        g = _explode_offsets(b, n, block, keys)
+        g = _explode_offsets(b, n, block, keys, first)
         g = g.withColumn(ts, F.timestamp_add("SECOND", F.col("__k") * F.col("__s"), F.col("__lo")))
         return g.select(*keys, ts, *carry)
 
@@ -97,7 +110,8 @@ def grid_frame(df: DataFrame, keys: Sequence[str], ts: str, step="1 hour", bound
 
 
 def regularize(df: DataFrame, keys: Sequence[str], ts: str, step="1 hour", bounds="data",
-               fill: dict | None = None, carry: Sequence[str] = (), block: int = 4096) -> DataFrame:
+               fill: dict | None = None, carry: Sequence[str] = (), block: int = 4096,
+               clip=None) -> DataFrame:
     """Left join of the complete grid with the data.
 
     Inserted rows get null values, ``fill`` constants (for instance quality code
@@ -106,7 +120,7 @@ def regularize(df: DataFrame, keys: Sequence[str], ts: str, step="1 hour", bound
     """
     keys = list(keys)
     carry = list(carry)
-    g = grid_frame(df, keys, ts, step, bounds, carry, block)
+    g = grid_frame(df, keys, ts, step, bounds, carry, block, clip)
     g = g.select(*keys, ts, *[F.col(c).alias(f"__g_{c}") for c in carry])
     out = g.join(df, on=keys + [ts], how="left")
     ex = {c: F.coalesce(F.col(c), F.col(f"__g_{c}")) for c in carry}

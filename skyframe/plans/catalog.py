@@ -1060,6 +1060,15 @@ def q_archive_csv_roundtrip(spark, sf):
     """Archive rows (hour-ending convention, hour 1..24) written with the
     33-column writer and read back with the archive reader."""
     from ..sources import hourly as H
+    path = _write_archive(spark, sf)
+    back = H.read_hourly_raw(spark, path, layout="partitioned")
+    return back.select(F.col("station").cast("long").alias("station"), "ts",
+                       *[U.num(v).alias(v) for v in HOURLY_VARIABLES], *[rmk_col(v) for v in HOURLY_VARIABLES])
+
+
+def _write_archive(spark, sf) -> str:
+    """Archive rows derived from events (hour-ending convention, hour 1..24),
+    written with the 33-column writer into the checkpoint folder."""
     from ..sources import sinks as SK
     w = EV.wide_raw(spark, sf)
     end = F.timestamp_add("HOUR", F.lit(1), F.col("ts"))
@@ -1071,9 +1080,7 @@ def q_archive_csv_roundtrip(spark, sf):
                     hh.alias("HH"), *HOURLY_VARIABLES, *[rmk_col(v) for v in HOURLY_VARIABLES])
     path = _scratch(spark, "archive")
     SK.write_hourly_csv(rows, path)
-    back = H.read_hourly_raw(spark, path, layout="partitioned")
-    return back.select(F.col("station").cast("long").alias("station"), "ts",
-                       *[U.num(v).alias(v) for v in HOURLY_VARIABLES], *[rmk_col(v) for v in HOURLY_VARIABLES])
+    return path
 
 
 @query("cf_parquet_roundtrip", sql_with(*WIDE, SQL_CF) + "SELECT * FROM cf")
@@ -1179,3 +1186,14 @@ def q_csv_roundtrip(spark, sf):
     path = _scratch(spark, "csv")
     SK.write_csv(p, path)
     return SK.read_csv_back(spark, path, p.select("ts", "station", "kion", "sped", "slht").schema)
+
+
+@query("station_chain")
+def q_station_chain(spark, sf):
+    """S15 on derived archive files: read -> year grid (clipped to the month) ->
+    CF step -> lineage cut -> bounded gap fill of all 14 CF variables."""
+    from .chain import run_station_chain
+    path = _write_archive(spark, sf)
+    out = run_station_chain(spark, path, None, None, "2024-01-01", "2024-02-01", max_gap=MAX_GAP,
+                            layout="partitioned")
+    return out["filled"].withColumn("station", F.col("station").cast("long"))

@@ -42,11 +42,13 @@ def run_station_chain(spark: SparkSession, hourly_root: str, out_path: str | Non
                       max_gap: int = DEFAULT_MAX_GAP, missing_limit: int = DEFAULT_MISSING_LIMIT,
                       method: str = "time", skip_check: bool = False,
                       skip_interpolate: bool = False, catalogue: DataFrame | None = None,
-                      overwrite: bool = False, compat: bool = False) -> dict[str, DataFrame]:
+                      overwrite: bool = False, compat: bool = False,
+                      layout: str = "archive") -> dict[str, DataFrame]:
     """Returns ``{"cf", "summary", "report", "gap_stats", "filled"}`` (absent
     entries when skipped); writes ``filled`` (or ``cf``) when ``out_path`` is set."""
     start, end = H.parse_bounds(start, end)          # date-only bounds get 00:00:00
-    raw = H.read_hourly(spark, hourly_root, list(stations), start, end, units="raw", rmk_policy="none")
+    raw = H.read_hourly(spark, hourly_root, None if stations is None else list(stations), start, end,
+                        units="raw", rmk_policy="none", layout=layout)
     cf = to_cf(raw, ["station"], "ts", compat=compat)
     if catalogue is not None:
         meta = catalogue.select(F.col("name_en").alias("station"), "lat", "lon", "elev_m")

@@ -59,7 +59,8 @@ def clean_hourly(raw: DataFrame, start=None, end=None, keys: Sequence[str] = ("s
     raw = raw.select(*cols)
     ids = [c for c in ID_COLUMNS if c in raw.columns]
     rmks = [rmk_col(v) for v in HOURLY_VARIABLES if rmk_col(v) in raw.columns]
-    g = GR.regularize(raw, keys, ts, bounds="year", fill={r: 0 for r in rmks}, carry=ids)
+    clip = (start, end) if start is not None and end is not None else None
+    g = GR.regularize(raw, keys, ts, bounds="year", fill={r: 0 for r in rmks}, carry=ids, clip=clip)
     g = QL.mask_rmk(g, policy=rmk_policy)
     if start is not None or end is not None:
         g = SR.time_slice(g, ts, start, end)

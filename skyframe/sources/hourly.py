@@ -95,12 +95,13 @@ def _typed_schema(spark):
 
 def read_hourly(spark: SparkSession, root: str, stations: Sequence[str] | None = None,
                 start=None, end=None, raw: bool = False, units: str = "physical",
-                rmk_policy: str = "mask", interpolate: bool = True) -> dict[str, DataFrame] | DataFrame:
+                rmk_policy: str = "mask", interpolate: bool = True,
+                layout: str = "archive") -> dict[str, DataFrame] | DataFrame:
     """S1-S4. ``raw=True``: original rows in ``[start, end]`` without any
     editing (S3). Otherwise the reader chain of
     :func:`skyframe.plans.hourly.clean_hourly`; ``units="raw"`` stops after
     grid + mask (S4)."""
-    df = read_hourly_raw(spark, root, stations, start, end)
+    df = read_hourly_raw(spark, root, stations, start, end, layout=layout)
     if raw:
         return time_slice(df, "ts", start, end) if start is not None else df
     from ..operators.grid import regularize
@@ -108,8 +109,9 @@ def read_hourly(spark: SparkSession, root: str, stations: Sequence[str] | None =
     from ..plans.hourly import clean_hourly, ID_COLUMNS
     if units == "raw":
         rmks = [rmk_col(v) for v in HOURLY_VARIABLES]
+        clip = (start, end) if start is not None and end is not None else None
         g = regularize(df.drop("year", "YYYY", "MM", "DD", "HH"), ["station"], "ts", bounds="year",
-                       fill={r: 0 for r in rmks}, carry=ID_COLUMNS)
+                       fill={r: 0 for r in rmks}, carry=ID_COLUMNS, clip=clip)
         g = mask_rmk(g, policy=rmk_policy)
         return time_slice(g, "ts", start, end) if start is not None else g
     return clean_hourly(df.drop("year"), start, end, ["station"], "ts", rmk_policy, interpolate)

@@ -233,3 +233,13 @@ def test_pick_variables(spark):
         SR.pick_variables(df, ["k", "ts"], ["v", "nope"])
     with pytest.warns(UserWarning):
         assert SR.pick_variables(df, ["k"], ["nope", "v"], on_unknown="warn").columns == ["k", "v"]
+
+
+def test_grid_year_rule_clipped(spark):
+    rows = [("A", dt.datetime(1990, 6, 1, 3)), ("B", dt.datetime(2020, 3, 1, 5))]
+    df = spark.createDataFrame(rows, "s string, ts timestamp_ntz")
+    full = GR.grid_frame(df, ["s"], "ts", bounds="year")
+    clip = ("1990-03-01 01:00:00", "2020-03-02 00:00:00")
+    g = GR.grid_frame(df, ["s"], "ts", bounds="year", clip=clip)
+    exp = SR.time_slice(full, "ts", *clip)
+    assert sorted(g.collect()) == sorted(exp.collect())
