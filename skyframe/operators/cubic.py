@@ -102,6 +102,44 @@ def _coefficients(g: np.ndarray, x: np.ndarray, y: np.ndarray, i0: int, n: int):
     return lo, di, up, rhs
 
 
+def _quad_coefficients(g: np.ndarray, x: np.ndarray, y: np.ndarray, i0: int, n: int):
+    """Slope system of the interpolating quadratic spline whose knots are the
+    midpoints between samples (no knot in the first and last interval):
+    one quadratic piece per sample, C1 at the midpoints."""
+    h = np.diff(x)
+    dl = np.diff(y) / h
+    li = g - i0
+    lo = np.zeros(len(g))
+    di = np.zeros(len(g))
+    up = np.zeros(len(g))
+    rhs = np.zeros(len(g))
+    for k, (gi, j) in enumerate(zip(g, li)):
+        if gi == 0:
+            di[k], up[k], rhs[k] = 1.0, 1.0, 2 * dl[j]
+        elif gi == n - 1:
+            lo[k], di[k], rhs[k] = 1.0, 1.0, 2 * dl[j - 1]
+        elif gi == 1:
+            di[k] = 2 / h[j - 1] + 3 / h[j]
+            up[k] = 1 / h[j]
+            rhs[k] = 2 * dl[j - 1] / h[j - 1] + 4 * dl[j] / h[j]
+        elif gi == n - 2:
+            lo[k] = 1 / h[j - 1]
+            di[k] = 3 / h[j - 1] + 2 / h[j]
+            rhs[k] = 4 * dl[j - 1] / h[j - 1] + 2 * dl[j] / h[j]
+        else:
+            lo[k] = 1 / h[j - 1]
+            di[k] = 3 * (1 / h[j - 1] + 1 / h[j])
+            up[k] = 1 / h[j]
+            rhs[k] = 4 * (dl[j - 1] / h[j - 1] + dl[j] / h[j])
+    return lo, di, up, rhs
+
+
+def _parabola_slopes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Slopes at three samples of the parabola through them."""
+    c = np.polyfit(x - x[0], y, 2)
+    return 2 * c[0] * (x - x[0]) + c[1]
+
+
 def _small_slopes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Two samples: a line; three samples: the parabola (not-a-knot at both ends)."""
     m = np.diff(y) / np.diff(x)
@@ -112,7 +150,7 @@ def _small_slopes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.array([2 * m[0] - s1, s1, 2 * m[1] - s1])
 
 
-def _block_solve(keys: list[str]):
+def _block_solve(keys: list[str], kind: str = "cubic"):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("r")
         r = pdf["r"].to_numpy(np.int64)
@@ -123,10 +161,14 @@ def _block_solve(keys: list[str]):
         k = len(own)
         gs = r[own] - 1
         if n <= 3:
-            s = _small_slopes(x[own], y[own]) if n >= 2 else np.full(k, np.nan)
+            if kind == "cubic":
+                s = _small_slopes(x[own], y[own]) if n >= 2 else np.full(k, np.nan)
+            else:
+                s = _parabola_slopes(x[own], y[own]) if n == 3 else np.full(k, np.nan)
             p, a, b = s, np.zeros(k), np.zeros(k)
         else:
-            lo, di, up, rhs = _coefficients(gs, x, y, int(r[0]) - 1, n)
+            coef = _coefficients if kind == "cubic" else _quad_coefficients
+            lo, di, up, rhs = coef(gs, x, y, int(r[0]) - 1, n)
             e1 = np.zeros(k)
             e2 = np.zeros(k)
             e1[0] = -lo[0]            # coupling to the slope before the block
@@ -143,7 +185,8 @@ def _block_solve(keys: list[str]):
         a1 = np.append(a[1:], 0.0)
         b1 = np.append(b[1:], 1.0)
         out = pd.DataFrame({"r": r[own], "ts": pdf["ts"].to_numpy()[own], "x": x[own], "y": y[own],
-                            "p": p, "a": a, "b": b, "x1": x1, "y1": y1, "p1": p1, "a1": a1, "b1": b1})
+                            "p": p, "a": a, "b": b, "x1": x1, "y1": y1, "p1": p1, "a1": a1, "b1": b1,
+                            "n": np.full(k, n, dtype=np.int64)})
         for c in keys + ["blk"]:
             out[c] = pdf[c].iloc[0]
         return out
@@ -203,7 +246,7 @@ def _banded_solve(band: np.ndarray, rhs: np.ndarray) -> np.ndarray:
 
 
 def cubic_slopes(df: DataFrame, keys: Sequence[str], ts: str, col: str, chunk="month",
-                 block: int = BLOCK, valid: DataFrame | None = None) -> DataFrame:
+                 block: int = BLOCK, valid: DataFrame | None = None, kind: str = "cubic") -> DataFrame:
     """Per valid sample: ``keys, ts, __x, __y, __d`` (spline slope) and the next
     sample ``__x1, __y1, __d1``. ``valid`` may pass the numbered valid samples
     (:func:`skyframe.operators.splines.valid_rows`) of an existing pass."""
@@ -225,8 +268,8 @@ def cubic_slopes(df: DataFrame, keys: Sequence[str], ts: str, col: str, chunk="m
         T.StructField("a", T.DoubleType()), T.StructField("b", T.DoubleType()),
         T.StructField("x1", T.DoubleType()), T.StructField("y1", T.DoubleType()),
         T.StructField("p1", T.DoubleType()), T.StructField("a1", T.DoubleType()),
-        T.StructField("b1", T.DoubleType())])
-    rows = h.groupBy(*keys, "blk").applyInPandas(_block_solve(keys), row_schema)
+        T.StructField("b1", T.DoubleType()), T.StructField("n", T.LongType())])
+    rows = h.groupBy(*keys, "blk").applyInPandas(_block_solve(keys, kind), row_schema)
     # one exchange shared by both consumers, so the block solve runs once
     rows = rows.repartition(*keys, "blk")
     w_first = F.min_by(F.struct("p", "a", "b"), "r")
@@ -245,13 +288,30 @@ def cubic_slopes(df: DataFrame, keys: Sequence[str], ts: str, col: str, chunk="m
                      F.col("p1") + F.col("a1") * sb + F.col("b1") * sa)})
     return s.select(*keys, F.col("ts").alias(ts), F.col("x").alias("__x"), F.col("y").alias("__y"),
                     F.col("d").alias("__d"), F.col("x1").alias("__x1"), F.col("y1").alias("__y1"),
-                    F.col("d1").alias("__d1"))
+                    F.col("d1").alias("__d1"), F.col("r").alias("__r"), F.col("n").alias("__nv"))
+
+
+def quadratic_eval(xq, x0, y0, d0, x1, y1, d1, r, n):
+    """Value of the midpoint-knot quadratic spline on ``[x0, x1]`` (the interval
+    starting at the ``r``-th of ``n`` samples) from the end values and slopes."""
+    h = x1 - x0
+    u = xq - x0
+    dl = (y1 - y0) / h
+    a_mid = ((d1 - d0) / h + 4 * (dl - (d0 + d1) / 2) / h) / 2
+    b_mid = ((d1 - d0) / h - 4 * (dl - (d0 + d1) / 2) / h) / 2
+    mid = (r >= 2) & (r <= n - 2)          # the interval holds a knot at its midpoint
+    one_piece = y0 + d0 * u + ((dl - d0) / h) * u * u
+    return (F.when(mid & (u <= h / 2), y0 + d0 * u + a_mid * u * u)
+             .when(mid, y1 + d1 * (u - h) + b_mid * (u - h) * (u - h))
+             .otherwise(one_piece))
 
 
 def fill_max_gap_cubic(df: DataFrame, keys, ts: str, cols: Sequence[str], max_gap: int,
-                       chunk="month", block: int = BLOCK) -> DataFrame:
-    """W11 with ``cubic``/``cubicspline``: fill inside gaps of at most
-    ``max_gap`` rows from the not-a-knot cubic spline through all valid samples."""
+                       chunk="month", block: int = BLOCK, kind: str = "cubic") -> DataFrame:
+    """W11 with ``cubic``/``cubicspline`` (not-a-knot cubic spline) or
+    ``quadratic`` (quadratic spline with knots at the midpoints between
+    samples): fill inside gaps of at most ``max_gap`` rows from the spline
+    through all valid samples."""
     keys = list(keys)
     cols = list(cols)
     nb = neighbours(df, keys, ts, cols, chunk, counts=valid_counts(cols))
@@ -261,11 +321,12 @@ def fill_max_gap_cubic(df: DataFrame, keys, ts: str, cols: Sequence[str], max_ga
     for c in cols:
         ok = F.col(c).isNull() & (gap_len_expr(c) <= max_gap) & (gap_pos_expr(c) == "inside")
         tgt = nb.filter(ok).select(*keys, ts, F.col(prev_col(c))["t"].alias("__lt"))
-        sl = cubic_slopes(df, keys, ts, c, chunk, block, valid=valid_rows(nb, keys, ts, c)) \
+        sl = cubic_slopes(df, keys, ts, c, chunk, block, valid=valid_rows(nb, keys, ts, c), kind=kind) \
             .withColumnRenamed(ts, "__lt")
-        f = tgt.join(sl, on=keys + ["__lt"], how="inner").select(
-            *keys, ts, hermite(xq, F.col("__x"), F.col("__y"), F.col("__d"), F.col("__x1"),
-                               F.col("__y1"), F.col("__d1")).alias(f"__f_{c}"))
+        args = [F.col(a) for a in ("__x", "__y", "__d", "__x1", "__y1", "__d1")]
+        val = (hermite(xq, *args) if kind == "cubic"
+               else quadratic_eval(xq, *args, F.col("__r"), F.col("__nv")))
+        f = tgt.join(sl, on=keys + ["__lt"], how="inner").select(*keys, ts, val.alias(f"__f_{c}"))
         out = out.join(f, on=keys + [ts], how="left") \
                  .withColumn(c, F.coalesce(F.col(c), F.col(f"__f_{c}"))).drop(f"__f_{c}")
     return out.drop(RN, NROWS, *[prev_col(c) for c in cols], *[next_col(c) for c in cols],

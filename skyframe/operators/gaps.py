@@ -88,9 +88,10 @@ def fill_max_gap(df: DataFrame, keys, ts: str, cols, max_gap: int, method: str =
     if max_gap < 1:
         raise ValueError("max_gap must be >= 1")
     cols = list(cols)
-    if method in ("cubic", "cubicspline"):
+    if method in ("cubic", "cubicspline", "quadratic"):
         from . import cubic
-        return cubic.fill_max_gap_cubic(df, keys, ts, cols, max_gap, chunk)
+        return cubic.fill_max_gap_cubic(df, keys, ts, cols, max_gap, chunk,
+                                        kind="quadratic" if method == "quadratic" else "cubic")
     if method not in LOCAL_METHODS:
         from . import splines
         return splines.fill_max_gap_spline(df, keys, ts, cols, max_gap, method, chunk)

@@ -1197,3 +1197,10 @@ def q_station_chain(spark, sf):
     out = run_station_chain(spark, path, None, None, "2024-01-01", "2024-02-01", max_gap=MAX_GAP,
                             layout="partitioned")
     return out["filled"].withColumn("station", F.col("station").cast("long"))
+
+
+@query("interp_quadratic")
+def q_interp_quadratic(spark, sf):
+    """Quadratic-spline fill (knots at the midpoints between samples) of
+    inside gaps up to MAX_GAP rows."""
+    return GP.fill_max_gap(_gridm(spark, sf), K, "ts", ["v"], MAX_GAP, "quadratic")

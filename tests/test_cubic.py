@@ -77,3 +77,42 @@ def test_cubic_on_polynomial_is_exact(spark):
     out = GP.fill_max_gap(df, ["k"], "ts", ["v"], 3, "cubic").orderBy("ts").collect()
     for h, r in enumerate(out):
         assert abs(r.v - f(h / 10.0)) < 1e-9
+
+
+def _bspline_quadratic_midknots(x, y, q):
+    """Independent check: interpolating degree-2 B-spline with knots
+    [x0]*3 + midpoints(x)[1:-1] + [x_end]*3, by Cox-de Boor and a dense solve."""
+    k = 2
+    mids = (x[1:] + x[:-1]) / 2
+    t = np.r_[[x[0]] * 3, mids[1:-1], [x[-1]] * 3]
+    n = len(x)
+
+    def basis(j, d, v):
+        if d == 0:
+            if t[j] <= v < t[j + 1] or (v == t[-1] and t[j] < t[j + 1] == t[-1]):
+                return 1.0
+            return 0.0
+        a = 0.0 if t[j + d] == t[j] else (v - t[j]) / (t[j + d] - t[j]) * basis(j, d - 1, v)
+        b = 0.0 if t[j + d + 1] == t[j + 1] else (t[j + d + 1] - v) / (t[j + d + 1] - t[j + 1]) * basis(j + 1, d - 1, v)
+        return a + b
+
+    A = np.array([[basis(j, k, v) for j in range(n)] for v in x])
+    c = np.linalg.solve(A, y)
+    return [sum(c[j] * basis(j, k, v) for j in range(n)) for v in q]
+
+
+@pytest.mark.parametrize("n,block", [(40, 7), (40, 4096), (4, 7), (3, 7)])
+def test_quadratic_matches_bspline(spark, n, block):
+    rnd = random.Random(100 + n + block)
+    hours = sorted(rnd.sample(range(3 * n), n))
+    vals = [rnd.uniform(-3, 3) for _ in hours]
+    rows = [(1, BASE + dt.timedelta(hours=h), v) for h, v in zip(hours, vals)]
+    have = set(hours)
+    rows += [(1, BASE + dt.timedelta(hours=h), None) for h in range(hours[0], hours[-1] + 1) if h not in have]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, v double")
+    out = GP.fill_max_gap(df, ["k"], "ts", ["v"], 10 ** 6, "quadratic").orderBy("ts").collect()
+    x = np.array([3600.0 * h for h in hours])
+    qs = [(r.ts - BASE).total_seconds() for r in out if int((r.ts - BASE).total_seconds() // 3600) not in have]
+    exp = _bspline_quadratic_midknots(x, np.array(vals), qs)
+    got = [r.v for r in out if int((r.ts - BASE).total_seconds() // 3600) not in have]
+    assert np.allclose(got, exp, rtol=1e-7, atol=1e-7)
