@@ -90,7 +90,11 @@ def main(sf_dir: str, names=None):
     sys.path.insert(0, "/root/repo")
     from skyframe.session import get_spark
     import __spark_entry__ as E
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    import os
+    extra = {}
+    if os.environ.get("ORACLE_SESSION_TZ"):          # check independence of the session zone
+        extra["spark.sql.session.timeZone"] = os.environ["ORACLE_SESSION_TZ"]
+    spark = get_spark("local[8]", shuffle_partitions=8, extra=extra)
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
