@@ -823,7 +823,8 @@ _NIGHT_EV = "(hour(ts) >= 19 OR hour(ts) < 5)"
 
 def vendor_frame(spark, sf) -> DataFrame:
     """Vendor-dialect rows (Japanese header, symbols in cells) from events."""
-    e = _t(spark, sf, "events").select(
+    from ..session import spread
+    e = spread(_t(spark, sf, "events"), "event_id").select(
         "event_id", "user_id", "ts", "event_type", "value",
         F.get_json_object("props", "$.k").try_cast("int").alias("k"))
     v2 = F.format_string("%.2f", F.col("value"))
