@@ -651,8 +651,8 @@ up AS (SELECT g.station, g.ts, o.v, o.rmk FROM up_g g LEFT JOIN o3 o ON o.statio
 SELECT station, ts, CASE WHEN v IS NOT NULL THEN v
   WHEN pv IS NOT NULL AND nv IS NOT NULL THEN pv + (nv - pv) * {_SECS}
   WHEN pv IS NOT NULL THEN pv END AS v,
-  last_value(rmk IGNORE NULLS) OVER (PARTITION BY station ORDER BY ts
-    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rmk
+  CAST(last_value(rmk IGNORE NULLS) OVER (PARTITION BY station ORDER BY ts
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS rmk
 FROM nb""")
 def q_upsample(spark, sf):
     """A 3-hourly series (all events aggregated per 3-hour period) put on the
@@ -663,7 +663,9 @@ def q_upsample(spark, sf):
                                        F.max(F.col("k") % 10).alias("rmk"))
     o = EV.mask_v(o)
     up = GR.upsample(o, K, "ts", UP_START, UP_END)
-    return SR.interpolate(up, K, "ts", ["v"], "time", ffill_cols=["rmk"])
+    out = SR.interpolate(up, K, "ts", ["v"], "time", ffill_cols=["rmk"])
+    # the code is NULL before a station's first sample: emit it as DOUBLE
+    return out.withColumn("rmk", F.col("rmk").cast("double"))
 
 
 # ---------------------------------------------------------------------------
