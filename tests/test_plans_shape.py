@@ -20,13 +20,3 @@ def test_neighbours_partitioning(spark):
     part_lines = [ln for ln in plan.splitlines() if "hashpartitioning(k#" in ln]
     assert any("__chunk" in ln for ln in part_lines)
     assert "unboundedfollowing" not in plan.lower().replace(" ", "")
-    # one long entity spans several chunks, so its rows reach several tasks
-    # (adaptive coalescing would merge this tiny test shuffle, so it is off here)
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        used = SR.neighbours(df, ["k"], "ts", []).rdd.glom().map(len).filter(lambda n: n > 0).count()
-    finally:
-        spark.conf.set(key, old)
-    assert used > 1
