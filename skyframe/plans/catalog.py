@@ -999,7 +999,42 @@ def q_interp_pchip(spark, sf):
     return GP.fill_max_gap(_gridm(spark, sf), K, "ts", ["v"], MAX_GAP, "pchip")
 
 
-@query("interp_akima")
+def _akima_S(k: int) -> str:
+    real = {-2: "lag(s, 2) OVER w", -1: "lag(s, 1) OVER w", 0: "s", 1: "lead(s, 1) OVER w"}[k]
+    s1 = "(CASE WHEN r = 1 THEN s WHEN r = 2 THEN lag(s, 1) OVER w ELSE lag(s, 2) OVER w END)"
+    s2 = "(CASE WHEN r = 1 THEN lead(s, 1) OVER w WHEN r = 2 THEN s ELSE lag(s, 1) OVER w END)"
+    e1 = "(CASE WHEN r = nn THEN lag(s, 1) OVER w WHEN r = nn - 1 THEN s ELSE lead(s, 1) OVER w END)"
+    e2 = "(CASE WHEN r = nn THEN lag(s, 2) OVER w WHEN r = nn - 1 THEN lag(s, 1) OVER w ELSE s END)"
+    i = f"(r + {k})"
+    return (f"CASE WHEN {i} = 0 THEN 2 * {s1} - {s2} WHEN {i} = -1 THEN 3 * {s1} - 2 * {s2} "
+            f"WHEN {i} = nn THEN 2 * {e1} - {e2} WHEN {i} = nn + 1 THEN 3 * {e1} - 2 * {e2} ELSE {real} END")
+
+
+SQL_AKIMA = f"""av AS (SELECT station, ts, v AS y, CAST(date_diff('second', TIMESTAMP '1970-01-01', ts) AS DOUBLE) AS x,
+    row_number() OVER (PARTITION BY station ORDER BY ts) AS r, count(*) OVER (PARTITION BY station) AS nn
+  FROM gridm WHERE v IS NOT NULL),
+asec AS (SELECT *, (lead(y) OVER w - y) / (lead(x) OVER w - x) AS s FROM av
+  WINDOW w AS (PARTITION BY station ORDER BY r)),
+am AS (SELECT *, {_akima_S(-2)} AS m2, {_akima_S(-1)} AS m1, {_akima_S(0)} AS m0, {_akima_S(1)} AS p1,
+    CASE WHEN r = 1 THEN s ELSE lag(s, 1) OVER w END AS lin
+  FROM asec WINDOW w AS (PARTITION BY station ORDER BY r)),
+af AS (SELECT *, abs(p1 - m0) AS f1, abs(m1 - m2) AS f2, abs(p1 - m0) + abs(m1 - m2) AS f12 FROM am),
+afm AS (SELECT *, max(CASE WHEN nn >= 3 THEN f12 END) OVER (PARTITION BY station) AS fmax FROM af),
+ad AS (SELECT *, CASE WHEN nn = 1 THEN NULL WHEN nn = 2 THEN lin
+    WHEN f12 > 1e-9 * fmax THEN (f1 * m1 + f2 * m0) / f12 ELSE 0.5 * (p1 + m2) END AS d FROM afm),
+aiv AS (SELECT station, ts AS lt, x AS x0, y AS y0, d AS d0, lead(x) OVER w AS x1, lead(y) OVER w AS y1,
+    lead(d) OVER w AS d1 FROM ad WINDOW w AS (PARTITION BY station ORDER BY r)),
+at_ AS (SELECT n.station, n.ts, i.*, CAST(date_diff('second', TIMESTAMP '1970-01-01', n.ts) AS DOUBLE) AS xq
+  FROM nb n JOIN aiv i ON i.station = n.station AND i.lt = n.pt
+  WHERE n.v IS NULL AND {_GAP_LEN.replace('v IS NULL', 'n.v IS NULL').replace('nr', 'n.nr').replace('pr', 'n.pr').replace(' n + 1', ' n.n + 1')} <= {MAX_GAP}
+    AND n.pr IS NOT NULL AND n.nr IS NOT NULL),
+afill AS (SELECT station, ts, {_HERM} AS f FROM (
+  SELECT *, x1 - x0 AS h, (xq - x0) / (x1 - x0) AS t, ((xq - x0) / (x1 - x0)) * ((xq - x0) / (x1 - x0)) AS t2,
+    ((xq - x0) / (x1 - x0)) * ((xq - x0) / (x1 - x0)) * ((xq - x0) / (x1 - x0)) AS t3 FROM at_))"""
+
+
+@query("interp_akima", sql_with(*NB_GRIDM, SQL_AKIMA) + """
+SELECT n.station, n.ts, coalesce(n.v, f.f) AS v FROM nb n LEFT JOIN afill f ON f.station = n.station AND f.ts = n.ts""")
 def q_interp_akima(spark, sf):
     return GP.fill_max_gap(_gridm(spark, sf), K, "ts", ["v"], MAX_GAP, "akima")
 
