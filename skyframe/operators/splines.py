@@ -84,30 +84,38 @@ def slopes(valid: DataFrame, keys, ts: str, method: str = "pchip",
               .when(r == 1, first).when(r == N, last).otherwise(interior))
         x = x.withColumn("__d", d)
     elif method == "akima":
+        # each neighbouring secant once, as a plain column
+        x = x.withColumns({"__sm2": lag("__s", 2), "__sm1": lag("__s", 1), "__sp1": lead("__s", 1)})
+        sm2, sm1, s0, sp1 = F.col("__sm2"), F.col("__sm1"), F.col("__s"), F.col("__sp1")
+        # first two and last two secants of the entity as seen from this row
+        s_1 = F.when(r == 1, s0).when(r == 2, sm1).otherwise(sm2)
+        s_2 = F.when(r == 1, sp1).when(r == 2, s0).otherwise(sm1)
+        e_1 = F.when(r == N, sm1).when(r == N - 1, s0).otherwise(sp1)
+        e_2 = F.when(r == N, sm2).when(r == N - 1, sm1).otherwise(s0)
+
         def S(k: int) -> Column:
             """Secant S(r + k), k in -2..1, with the edge extensions."""
             i = r + k
-            real = {-2: lag("__s", 2), -1: lag("__s", 1), 0: F.col("__s"), 1: lead("__s", 1)}[k]
-            # first two secants and last two secants as seen from this row
-            s_1 = F.when(r == 1, F.col("__s")).when(r == 2, lag("__s", 1)).otherwise(lag("__s", 2))
-            s_2 = F.when(r == 1, lead("__s", 1)).when(r == 2, F.col("__s")).otherwise(lag("__s", 1))
-            e_1 = F.when(r == N, lag("__s", 1)).when(r == N - 1, F.col("__s")).otherwise(lead("__s", 1))
-            e_2 = F.when(r == N, lag("__s", 2)).when(r == N - 1, lag("__s", 1)).otherwise(F.col("__s"))
+            real = {-2: sm2, -1: sm1, 0: s0, 1: sp1}[k]
             return (F.when(i == 0, 2 * s_1 - s_2).when(i == -1, 3 * s_1 - 2 * s_2)
                      .when(i == N, 2 * e_1 - e_2).when(i == N + 1, 3 * e_1 - 2 * e_2)
                      .otherwise(real))
-        x = (x.withColumn("__m2", S(-2)).withColumn("__m1", S(-1))
-              .withColumn("__m0", S(0)).withColumn("__p1", S(1)))
+        x = x.withColumns({"__m2": S(-2), "__m1": S(-1), "__m0": S(0), "__p1": S(1)})
         m2, m1, m0, p1 = F.col("__m2"), F.col("__m1"), F.col("__m0"), F.col("__p1")
-        x = x.withColumn("__f1", F.abs(p1 - m0)).withColumn("__f2", F.abs(m1 - m2))
+        x = x.withColumns({"__f1": F.abs(p1 - m0), "__f2": F.abs(m1 - m2)})
         x = x.withColumn("__f12", F.col("__f1") + F.col("__f2"))
-        mx = (x.filter(~F.col("__halo") & (N >= 3)).groupBy(*keys)
-               .agg(F.max("__f12").alias("__fmax")))
-        x = x.join(mx, on=keys, how="left")
+        # entity-wide maximum: per block on the existing (entity, block)
+        # partitioning, then over the few block rows, joined back on (entity,
+        # block) so only the small side moves
+        bm = (x.filter(~F.col("__halo") & (N >= 3)).groupBy(*keys, "__blk")
+               .agg(F.max("__f12").alias("__bmax")))
+        km = bm.groupBy(*keys).agg(F.max("__bmax").alias("__fmax"))
+        bk = bm.select(*keys, "__blk").join(km, on=keys, how="inner")
+        x = x.join(bk, on=keys + ["__blk"], how="left")
         t = F.when(F.col("__f12") > 1e-9 * F.col("__fmax"),
                    (F.col("__f1") * m1 + F.col("__f2") * m0) / F.col("__f12")) \
              .otherwise(0.5 * (p1 + m2))
-        lin = F.when(r == 1, F.col("__s")).otherwise(lag("__s", 1))
+        lin = F.when(r == 1, s0).otherwise(sm1)
         x = x.withColumn("__d", F.when(N == 1, F.lit(None).cast("double")).when(N == 2, lin).otherwise(t))
         x = x.drop("__fmax")
     else:
