@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,20 +57,30 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
         return d
     os.makedirs(fallback, exist_ok=True)
     spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    return checkpoint_dir(spark)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for intermediate tables: ``spark.checkpoint.dir``. A session
+    that names none may run only in a single process (master ``local[...]``),
+    where one folder is made for it; on a cluster this raises, because a
+    machine-local folder would lose rows."""
+    d = checkpoint_dir(spark)
+    if d:
+        return d
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="skyframe-local-"))
+    raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Materialise ``df`` as a parquet table in the shared checkpoint folder
-    (``spark.checkpoint.dir``) and continue from the written table, so later
-    stages and lost executors do not recompute the whole plan. Without a
-    configured folder the plan is returned unchanged."""
-    d = checkpoint_dir(df.sparkSession)
-    if not d:
-        return df
-    path = f"{d.rstrip('/')}/skyframe-{name}-{uuid.uuid4().hex}"
+    """Materialise ``df`` as a parquet table in the shared folder
+    (:func:`shared_dir`) and continue from the written table, so later stages
+    and lost executors do not recompute the whole plan."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/skyframe-{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *cols: str) -> DataFrame:
