@@ -6,6 +6,7 @@ import sys
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..session import cut_lineage
 
@@ -42,6 +43,12 @@ def crc_mod(col: str, mod: int) -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % mod
 
 
+def carried(row: DataFrame, name: str, ddl: str) -> StructType:
+    """Schema of the struct column ``name`` (the caller's own columns, whatever
+    their names) followed by the fields of ``ddl``."""
+    return StructType([row.schema[name], *StructType.fromDDL(ddl).fields])
+
+
 def packed_rows(batch, size: int = 8 << 20, column: str = "text"):
     """Split an Arrow batch into runs of rows whose texts hold about ``size``
     bytes, so that work memory follows bytes and not row counts."""

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import packed_rows, ship
+from .common import carried, packed_rows, ship
 
 ship(__name__)
 
@@ -165,8 +165,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
         return unit <= share[F.col("lang")]
 
     chosen = (rows.where(F.col("lang").isin(langs)).where(below(4.0 * landmarks_per_lang))
-              .groupBy("lang").agg(F.min_by("text", "h").alias("first"),
-                                   F.slice(F.sort_array(F.collect_list(F.struct("h", "text"))), 1, landmarks_per_lang)
+              .groupBy("lang").agg(F.slice(F.sort_array(F.collect_list(F.struct("h", "text"))), 1, landmarks_per_lang)
                                    .alias("some")).orderBy("lang").collect())
     texts = [r["text"] for row in chosen for r in row["some"]]
     model = Model(texts, langs)
@@ -211,8 +210,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
     cols = [c for c in (keep if keep is not None else docs.columns) if c not in (pred, score)]
     src = docs.select(F.col(text).alias("__text"), F.struct(*[F.col(c) for c in cols] or [F.lit(0).alias("_")])
                       .alias("__row"))
-    row_type = src.schema["__row"].dataType.simpleString()
-
     def run(batches):
         for batch in batches:
             for part in packed_rows(batch, BLOCK_BYTES, "__text"):
@@ -221,6 +218,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
                     [part.column("__row"), pa.array(langs, pa.string()), pa.array(values, pa.float64())],
                     names=["__row", "__pred", "__score"])
 
-    out = src.mapInArrow(run, f"__row {row_type}, __pred string, __score double")
+    out = src.mapInArrow(run, carried(src, "__row", "__pred string, __score double"))
     return out.select(*[F.col(f"__row.`{c}`").alias(c) for c in cols], F.col("__pred").alias(pred),
                       F.col("__score").alias(score))

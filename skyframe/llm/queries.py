@@ -3,9 +3,10 @@ with production parameters to the whole table and returns the full result."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import language_id as LI, secret_scan as SS
+from . import byte_bpe as BB, language_id as LI, packing as PK, secret_scan as SS
 from .common import crc_mod, documents
 
 LLM_QUERIES: dict = {}
@@ -38,3 +39,15 @@ def q_secret_scan(spark, sf):
     out = SS.find_secrets(documents(spark, sf), keep=["doc_id"], with_text=False)
     return out.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess",
                       "max_log10_guesses")
+
+
+@query("op6_byte_bpe")
+def q_byte_bpe(spark, sf):
+    return BB.encode(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                     keep=["doc_id"], with_ids=False).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op8_best_fit_packing")
+def q_best_fit_packing(spark, sf):
+    out = PK.pack(documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

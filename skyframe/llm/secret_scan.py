@@ -22,7 +22,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import packed_rows, ship
+from .common import carried, packed_rows, ship
 
 ship(__name__)
 
@@ -198,8 +198,6 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
     cols = [c for c in (keep if keep is not None else docs.columns) if c not in new]
     src = docs.select(F.col(text).alias("__text"), F.struct(*[F.col(c) for c in cols] or [F.lit(0).alias("_")])
                       .alias("__row"))
-    row_type = src.schema["__row"].dataType.simpleString()
-
     def run(batches):
         for batch in batches:
             for part in packed_rows(batch, column="__text"):
@@ -218,5 +216,5 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
                 yield pa.RecordBatch.from_arrays([part.column("__row")] + [pa.array(out[n], t) for n, t in zip(new, types)],
                                                  names=["__row", *new])
 
-    out = src.mapInArrow(run, f"__row {row_type}, {FIELDS}")
+    out = src.mapInArrow(run, carried(src, "__row", FIELDS))
     return out.select(*[F.col(f"__row.`{c}`").alias(c) for c in cols], *new)
