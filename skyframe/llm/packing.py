@@ -34,8 +34,8 @@ from .common import carried, packed_rows, ship, written
 ship(__name__)
 
 CAPACITY = 2048
-SALTS = 64                  # numbering of a length is spread over so many groups
-CACHE = 250_000             # texts between blanks (and words) whose ids a task remembers
+SALTS = 16                  # numbering of a length is spread over so many groups
+CACHE = 500_000             # texts between blanks (and words) whose ids a task remembers
 END = b"\0\0\0\0"
 
 # Fixed value: the word pattern that the tokenizer file states.
@@ -46,9 +46,11 @@ class WordTokenizer:
     """Ids of the tokenizer file, remembered per word.
 
     No token of this vocabulary crosses white space, so a text is the
-    concatenation of its parts between ASCII blanks. A part of Latin-1
-    characters is composed, lower-cased and split by the file's word pattern
-    here; every other part, and every new word, goes to the library."""
+    concatenation of its parts between ASCII blanks. Parts of visible Latin-1
+    characters (nothing to compose) are lower-cased and split by the file's word
+    pattern here; every other part goes to the library, and so does every new
+    word. New words are sent many at a time, separated by blanks; the last
+    token of a word is marked as such in the vocabulary."""
 
     def __init__(self, path: str):
         import os
@@ -57,40 +59,61 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.word = regex.compile(WORD)
-        self.plain = regex.compile(r"[!-~\xa1-\xff]+")   # visible Latin-1: no white space, nothing to compose
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.pieces = regex.compile(WORD + "| ")
+        self.other = regex.compile(r"[^ -~\xa1-\xff]")
         self.words: dict[str, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, parts: set[bytes]) -> None:
-        split, other = {}, []
-        for p in parts:
-            s = p.decode("utf-8")
-            if self.plain.fullmatch(s):
-                split[p] = self.word.findall(s.lower())
+    def _ids(self, text: str) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _learn_words(self, new: list[str]) -> None:
+        for lo in range(0, len(new), 2048):
+            some = new[lo:lo + 2048]
+            ids = self._ids(" ".join(some))
+            stop = np.flatnonzero(self.ends[ids]) + 1
+            raw, at = ids.tobytes(), 0
+            for word, end in zip(some, (4 * stop).tolist(), strict=True):
+                self.words[word] = raw[at:end]
+                at = end
+
+    def _learn(self, unknown: set[bytes]) -> None:
+        parts = list(unknown)
+        joined = b" ".join(parts).decode("utf-8")
+        if self.other.search(joined):
+            texts = joined.split(" ")
+            for p, t in zip(parts, texts):
+                if self.other.search(t):
+                    self.parts[p] = self._ids(t).tobytes()
+            parts = [p for p, t in zip(parts, texts) if p not in self.parts]
+            joined = b" ".join(parts).decode("utf-8")
+        if not parts:
+            return
+        pieces = self.pieces.findall(joined.lower())
+        self._learn_words(list(set(pieces).difference(self.words, (" ",))))
+        words, at, own = self.words, 0, []
+        for piece in pieces:
+            if piece == " ":
+                self.parts[parts[at]] = b"".join(own)
+                at, own = at + 1, []
             else:
-                other.append(p)
-        new = list({w for ws in split.values() for w in ws}.difference(self.words))
-        for lo in range(0, len(new), 4096):
-            some = new[lo:lo + 4096]
-            self.words.update(zip(some, self._library(some)))
-        self.parts.update((p, b"".join([self.words[w] for w in ws])) for p, ws in split.items())
-        for lo in range(0, len(other), 4096):
-            some = other[lo:lo + 4096]
-            self.parts.update(zip(some, self._library([p.decode("utf-8") for p in some])))
+                own.append(words[piece])
+        self.parts[parts[at]] = b"".join(own)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         split = [(t or "").encode("utf-8").split() for t in texts]
-        unknown = set().union(*split).difference(self.parts)
+        used = set().union(*split)
+        unknown = used.difference(self.parts)
         if len(self.parts) + len(unknown) > CACHE:          # forget, but keep what this block needs
-            needed = set().union(*split)
-            self.parts = {p: self.parts[p] for p in needed if p in self.parts}
+            self.parts = {p: self.parts[p] for p in used if p in self.parts}
+        if len(self.words) > CACHE:
             self.words = {}
-        self._learn(unknown)
+        if unknown:
+            self._learn(unknown)
         get = self.parts.__getitem__
         return [b"".join(map(get, ps)) for ps in split]
 
@@ -103,6 +126,7 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", keep: list[str] | N
     new = ["piece", "start", "length", "ids", "ids_crc32"]
     cols = [c for c in (keep if keep is not None else docs.columns) if c not in new]
     src = docs.select(F.col(text).alias("text"), F.struct(*[F.col(c) for c in cols] or [F.lit(0).alias("_")]).alias("row"))
+
     def run(batches):
         tokens = WordTokenizer(path)
         for batch in batches:
