@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .textstats import measure
+from .textstats import with_measures
 
 # name -> failure condition over the measurements. The order fixes the bits;
 # new rules are added at the end.
@@ -62,11 +62,7 @@ def ledger(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -
     Columns of ``docs`` named like new ones are replaced."""
     new = [*MEASURES, "fail_bits"]
     cols = [c for c in (keep if keep is not None else docs.columns) if c not in new]
-    m = docs.select(F.struct(*[F.col(c) for c in cols] or [F.lit(0).alias("_")]).alias("__row"),
-                    measure(F.col(text)).alias("__m"))
-    place = {**{n: f"__m.w.{n}" for n in ("n_words", "word_chars", "n_distinct", "n_repeat_words")},
-             **{n: f"__m.l.{n}" for n in ("n_lines", "n_dup_lines")}}
-    flat = m.select("__row", *[F.col(place.get(n, f"__m.{n}")).alias(n) for n in MEASURES])
+    flat = with_measures(docs, text, cols, MEASURES)
     bits = F.lit(0).cast("long")
     for name, failed in _rules():
         bits = bits.bitwiseOR(F.when(failed, F.lit(BIT[name])).otherwise(F.lit(0)).cast("long"))

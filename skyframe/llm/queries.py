@@ -6,13 +6,50 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import byte_bpe as BB, language_id as LI, packing as PK, secret_scan as SS
+from . import byte_bpe as BB, language_id as LI, packing as PK, quality_rules as QR, secret_scan as SS
 from .common import crc_mod, documents
 
 LLM_QUERIES: dict = {}
 LLM_ORACLE_SQL: dict = {}
 
 
+SQL_QUALITY_RULES = r"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls
+  FROM documents),
+win AS (
+  SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+rep AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM win) WHERE c > 1),
+cov AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM rep) GROUP BY r),
+m AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum([length(x) FOR x IN ws]), 0) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+         len(ls) AS n_lines, len(list_distinct(ws)) AS n_distinct, length(t) AS n_chars,
+         length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) AS n_upper,
+         length(t) - length(replace(t, '!', '')) AS n_bangs
+  FROM w LEFT JOIN cov USING (r)),
+b AS (
+  SELECT *, CAST((CASE WHEN n_words < 50 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END)
+    + (CASE WHEN 10 * n_symbols > 3 * n_words THEN 4 ELSE 0 END)
+    + (CASE WHEN 10 * n_dup_lines > 5 * n_lines AND n_dup_lines >= 3 THEN 8 ELSE 0 END)
+    + (CASE WHEN word_chars < 2 * n_words OR word_chars > 15 * n_words THEN 16 ELSE 0 END)
+    + (CASE WHEN 10 * n_upper > 4 * n_chars THEN 32 ELSE 0 END)
+    + (CASE WHEN 10 * n_bangs > 3 * n_words THEN 64 ELSE 0 END)
+    + (CASE WHEN 20 * n_distinct < n_words AND n_words >= 200 THEN 128 ELSE 0 END) AS BIGINT) AS fail_bits
+  FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed,
+       fail_bits = 0 AS kept, fail_bits FROM b
+"""
+
+
 def query(name: str, sql: str | None = None):
     def add(fn):
         LLM_QUERIES[name] = fn
@@ -51,3 +88,12 @@ def q_byte_bpe(spark, sf):
 def q_best_fit_packing(spark, sf):
     out = PK.pack(documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op10_quality_rules", SQL_QUALITY_RULES)
+def q_quality_rules(spark, sf):
+    rows = QR.ledger(documents(spark, sf), keep=["doc_id"])
+    out = QR.apply_policy(QR.apply_policy(rows, "base", "base_kept"), "v1", "policy_kept")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      (~F.col("base_kept")).alias("base_failed"), (F.col("base_kept") & F.col("policy_kept")).alias("kept"),
+                      "fail_bits")

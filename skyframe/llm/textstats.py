@@ -6,7 +6,7 @@ that every statistic reads the same arrays.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import let
 
@@ -16,47 +16,56 @@ GAPS = "\t\n\x0b\x0c\r"
 
 def words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text."""
-    return F.filter(F.split(F.translate(text, GAPS, " " * len(GAPS)), " "), lambda w: w != "")
+    for gap in GAPS:                     # replacing is much cheaper than translating
+        text = F.replace(text, F.lit(gap), F.lit(" "))
+    return F.filter(F.split(text, " "), lambda w: w != "")
 
 
 def repeated_positions(w: Column) -> Column:
     """Number of words inside 3-word windows that occur twice or more: sort the
-    windows with their places, mark equal neighbours, count the places covered."""
+    windows (by a 64-bit hash of their words) with their places, keep those with
+    an equal neighbour, count the places covered."""
     def covered(s: Column) -> Column:
-        n = F.size(s)
-        at = F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.when(
-            (F.get(s, k)["a"] == F.get(s, k + 1)["a"]) & (F.get(s, k)["b"] == F.get(s, k + 1)["b"])
-            & (F.get(s, k)["c"] == F.get(s, k + 1)["c"])
-            | (k > 0) & (F.get(s, k)["a"] == F.get(s, k - 1)["a"]) & (F.get(s, k)["b"] == F.get(s, k - 1)["b"])
-            & (F.get(s, k)["c"] == F.get(s, k - 1)["c"]), F.get(s, k)["i"]))
-        starts = F.filter(at, lambda i: i.isNotNull())
-        return F.size(F.array_distinct(F.flatten(F.array(
-            starts, F.transform(starts, lambda i: i + 1), F.transform(starts, lambda i: i + 2)))))
+        starts = F.transform(
+            F.filter(s, lambda x, k: (x["h"] == F.get(s, k + 1)["h"]) | (F.coalesce(x["h"] == F.get(s, k - 1)["h"], F.lit(False)))),
+            lambda x: x["i"])
+        return let(starts, lambda a: F.size(F.array_distinct(F.concat(
+            a, F.transform(a, lambda i: i + 1), F.transform(a, lambda i: i + 2)))))
 
     windows = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(
-        F.get(w, i).alias("a"), F.get(w, i + 1).alias("b"), F.get(w, i + 2).alias("c"), i.alias("i")))
-    return F.when(F.size(w) < 4, F.lit(0)).otherwise(let(F.array_sort(windows), covered))
+        F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")))
+    return F.when(F.size(w) < 4, F.lit(0)).otherwise(let(F.sort_array(windows), covered))
 
 
 def lines_with_words(text: Column) -> Column:
     """The ``\\n``-separated lines that hold a word."""
-    return F.filter(F.split(text, "\n"), lambda x: F.trim(F.translate(x, GAPS, " " * len(GAPS))) != "")
+    return F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(" " + GAPS)) != "")
 
 
-def char_count(text: Column, pattern: str) -> Column:
-    """Characters of ``text`` outside the class ``pattern`` removed by a regex."""
-    return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
+# Character classes that are counted, each by a mark that stands for it.
+CLASSES = {"n_symbols": "#*$%&|<>", "n_upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "n_digits": "0123456789", "n_bangs": "!",
+           "n_ends": ".?", "n_commas": ","}
 
 
-def measure(text: Column) -> Column:
-    """Struct of counts of one text (null counts as empty)."""
+def class_counts(t: Column, names) -> list[Column]:
+    """Characters of each class: one translation to marks, then a length
+    difference per mark. Marks that stand in the text itself become blanks."""
+    marks = {n: chr(1 + k) for k, n in enumerate(CLASSES)}
+    pairs = [(c, marks[n]) for n in names for c in CLASSES[n]] + [(m, " ") for m in marks.values()]
+    marked = F.translate(t, "".join(a for a, _ in pairs), "".join(b for _, b in pairs))
+    return [let(marked, lambda x: F.struct(*[
+        (F.length(x) - F.length(F.replace(x, F.lit(marks[n]), F.lit("")))).cast("long").alias(n) for n in names])).alias("c")]
+
+
+def measure(text: Column, classes) -> Column:
+    """Struct of counts of one text (null counts as empty); ``with_measures``
+    turns it into columns."""
     t = F.coalesce(text, F.lit(""))
 
     def of_words(w: Column) -> Column:
         return F.struct(
             F.size(w).cast("long").alias("n_words"),
-            F.coalesce(F.aggregate(w, F.lit(0).cast("long"), lambda s, x: s + F.length(x)), F.lit(0).cast("long"))
-            .alias("word_chars"),
+            F.aggregate(w, F.lit(0).cast("long"), lambda s, x: s + F.length(x)).alias("word_chars"),
             F.size(F.array_distinct(w)).cast("long").alias("n_distinct"),
             repeated_positions(w).cast("long").alias("n_repeat_words"))
 
@@ -64,10 +73,20 @@ def measure(text: Column) -> Column:
         return F.struct(F.size(x).cast("long").alias("n_lines"),
                         (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
 
-    symbols = (F.length(t) - F.length(F.translate(t, "#*$%&|<>", ""))).cast("long")
     return F.struct(let(words(t), of_words).alias("w"), let(lines_with_words(t), of_lines).alias("l"),
-                    symbols.alias("n_symbols"), F.length(t).cast("long").alias("n_chars"),
-                    (F.length(t) - F.length(F.translate(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).cast("long").alias("n_upper"),
-                    (F.length(t) - F.length(F.translate(t, "0123456789", ""))).cast("long").alias("n_digits"),
-                    (F.length(t) - F.length(F.translate(t, "!", ""))).cast("long").alias("n_bangs"),
-                    (F.length(t) - F.length(F.translate(t, ".!?", ""))).cast("long").alias("n_ends"))
+                    F.length(t).cast("long").alias("n_chars"), *class_counts(t, classes))
+
+
+MEASURES = {**{n: f"w.{n}" for n in ("n_words", "word_chars", "n_distinct", "n_repeat_words")},
+            **{n: f"l.{n}" for n in ("n_lines", "n_dup_lines")}, "n_chars": "n_chars",
+            **{n: f"c.{n}" for n in CLASSES}}
+
+
+def with_measures(docs: DataFrame, text: str, cols: list[str], names) -> DataFrame:
+    """``cols`` as a struct ``__row`` and the measurements ``names``. The struct
+    of counts goes through a generator, so the optimiser cannot compute it once
+    per use."""
+    counts = measure(F.col(text), [n for n in CLASSES if n in names])
+    m = docs.select(F.struct(*[F.col(c) for c in cols] or [F.lit(0).alias("_")]).alias("__row"),
+                    F.explode(F.array(counts)).alias("__m"))
+    return m.select("__row", *[F.col(f"__m.{MEASURES[n]}").alias(n) for n in names])
