@@ -6,7 +6,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import byte_bpe as BB, language_id as LI, packing as PK, quality_rules as QR, secret_scan as SS
+from . import (ann as NN, byte_bpe as BB, language_id as LI, line_dedup as LD, packing as PK, quality_model as QM,
+               quality_rules as QR, secret_scan as SS, simhash as SH)
 from .common import crc_mod, documents
 
 LLM_QUERIES: dict = {}
@@ -97,3 +98,35 @@ def q_quality_rules(spark, sf):
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       (~F.col("base_kept")).alias("base_failed"), (F.col("base_kept") & F.col("policy_kept")).alias("kept"),
                       "fail_bits")
+
+
+@query("op4_simhash")
+def q_simhash(spark, sf):
+    out = SH.near_duplicates(documents(spark, sf))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op5_line_dedup")
+def q_line_dedup(spark, sf):
+    """Per document: its lines, the deleted ones, the maximal repeated runs and
+    the digest of what is kept (null text: empty)."""
+    out = LD.dedup_lines(documents(spark, sf))
+    return out.select(
+        "doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"),
+        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_deleted"),
+        F.coalesce("__runs", F.lit(0)).cast("long").alias("n_runs"),
+        F.sha2(F.coalesce("__kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op7_learned_partitions")
+def q_learned_partitions(spark, sf):
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return NN.search(rows, F.col("id") % 20 == 0)
+
+
+@query("op9_quality_classifier")
+def q_quality_classifier(spark, sf):
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where(crc_mod("doc_id", 5) != 0)
+    out = QM.score(documents(spark, sf), labels, keep=["doc_id"])
+    return out.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score",
+                      (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import language_id as LI, secret_scan as SS
+from . import language_id as LI, line_dedup as LD, packing as PK, secret_scan as SS, simhash as SH
 from .queries import language_model
 
 MIN_SCORE = 0.2
@@ -17,22 +18,36 @@ def language_stage(spark, docs, sf_dir):
     return scored.where((F.col("__pred_lang") != LI.UNDETERMINED) & (F.col("__lang_score") >= MIN_SCORE)).select(*docs.columns)
 
 
+def _with_text(docs, text):
+    """The columns of ``docs`` with another text and its length in code points."""
+    return [text.alias("text") if c == "text" else
+            F.coalesce(F.length(text).cast("long"), F.col("n_chars")).alias("n_chars") if c == "n_chars" else F.col(c)
+            for c in docs.columns]
+
+
 def line_stage(spark, docs, sf_dir):
-    return docs
+    """Later copies of repeated line runs are deleted; a document that consists
+    of nothing else goes."""
+    out = LD.dedup_lines(docs)
+    out = out.where(F.col("__gone").isNull() | (F.btrim("__kept", F.lit(" \n" + LD.BLANKS)) != ""))
+    return out.select(*_with_text(docs, F.col("__kept")))
 
 
 def simhash_stage(spark, docs, sf_dir):
-    return docs
+    """Of every group of near-duplicates the document with the smallest id stays."""
+    kept = (SH.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp")).distinct())
+    out = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    return out.dropDuplicates(["doc_id"])
 
 
 def secret_stage(spark, docs, sf_dir):
     """Every span is replaced by a mark; no document goes."""
     found = SS.find_secrets(docs.select("*", F.col("text").alias("__scan")), text="__scan")
-    cols = [F.col("redacted").alias("text") if c == "text" else
-            F.coalesce(F.length("redacted").cast("long"), F.col("n_chars")).alias("n_chars") if c == "n_chars" else F.col(c)
-            for c in docs.columns]
-    return found.select(*cols)
+    return found.select(*_with_text(docs, F.col("redacted")))
 
 
 def packing_stage(spark, docs, sf_dir):
-    return docs
+    """Token pieces with their place in the packed sequences."""
+    out = PK.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
