@@ -22,7 +22,7 @@ document (both get the same verdict); a document that loses all its lines goes.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import ship, written
 
@@ -43,9 +43,8 @@ def _lines(text: str) -> Column:
 
 
 def line_table(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(o, d, p, h, n): document, line number, two hashes of the line, characters
-    that are no white space at its ends. Lines that occur once are left out: no
-    repeated run holds them."""
+    """(o, d, p, h, c, n): document, line number, two hashes of the line, and its
+    characters without white space at its ends."""
     rows = (docs.where(F.col(text).isNotNull() & (F.col(text) != ""))
             .select(*_document(key, text), F.posexplode(_lines(text)).alias("p", "line"))
             .select("o", "d", "p", F.xxhash64("line").alias("h"), F.crc32(F.col("line").cast("binary")).alias("c"),

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from . import (ann as NN, byte_bpe as BB, language_id as LI, line_dedup as LD, packing as PK, quality_model as QM,
-               quality_rules as QR, secret_scan as SS, simhash as SH)
+               quality_rules as QR, secret_scan as SS, simhash as SH, suffix_dedup as SD)
 from .common import crc_mod, documents
 
 LLM_QUERIES: dict = {}
@@ -130,3 +130,9 @@ def q_quality_classifier(spark, sf):
     out = QM.score(documents(spark, sf), labels, keep=["doc_id"])
     return out.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score",
                       (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op3_suffix_dedup")
+def q_suffix_dedup(spark, sf):
+    return SD.remove_repeats(documents(spark, sf), keep=["doc_id"]).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
