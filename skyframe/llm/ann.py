@@ -170,7 +170,8 @@ def build(vectors: DataFrame, sample: int = SAMPLE) -> tuple[Router, int]:
     rows = vectors.where(F.xxhash64("id", F.lit("sample")) / F.lit(2.0 ** 64) + 0.5 <= share).orderBy("id").collect()
     sizes = [len(r["v"]) for r in rows]
     dim = max(sorted(set(sizes)), key=sizes.count) if sizes else 0
-    return Router(np.array([r["v"] for r in rows if len(r["v"]) == dim]).reshape(-1, dim)), dim
+    same = [r["v"] for r in rows if len(r["v"]) == dim]
+    return Router(np.array(same, dtype=np.float64).reshape(len(same), dim)), dim
 
 
 def search(rows: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector: str = "embedding",
