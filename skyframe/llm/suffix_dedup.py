@@ -261,25 +261,30 @@ def sorted_buckets(batches):
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """(u, spans): per text (u, raw) with repeats, the byte ranges [start, end,
     start, end, ...] that its repeated windows cover."""
-    runs = written(texts.where(F.octet_length("raw") >= LENGTH).select("raw", "u").mapInArrow(
-        runs_of_texts, "bucket long, context long, u long, place long"), "runs")
+    # not written: finding the runs twice costs less than a table of them all
+    runs = texts.where(F.octet_length("raw") >= LENGTH).select("raw", "u").mapInArrow(
+        runs_of_texts, "bucket long, context long, u long, place long")
+    # buckets with two runs or more; mixed: of different contexts
+    buckets = (runs.groupBy("bucket").agg(F.count("*").alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi"))
+               .where("n > 1").select("bucket", (F.col("lo") != F.col("hi")).alias("mixed")))
+    live = written(runs.join(buckets, "bucket").select("bucket", "context", "u", "place", "mixed"), "live")
     # distinct contexts, combined before the shuffle, each with one text that holds it
-    contexts = runs.groupBy("bucket", "context").agg(F.count("*").alias("copies"), F.min(F.struct("u", "place")).alias("one"))
-    shared = contexts.groupBy("bucket").agg(F.count("*").alias("kinds"), F.sum("copies").alias("all")).where("all > 1")
-    live = written(contexts.join(shared, "bucket").select("bucket", "context", "copies", "kinds", "one.*"), "contexts")
-    whole = live.where("kinds = 1").select("bucket", "context", F.array(
+    contexts = written(live.groupBy("bucket", "context", "mixed").agg(
+        F.count("*").alias("copies"), F.min("u").alias("u"), F.min_by("place", "u").alias("place")), "contexts")
+    whole = contexts.where("not mixed").select("bucket", "context", F.array(
         F.lit(0), F.col("place").bitwiseAND(F.lit(0xFFFF)).cast("int")).alias("windows"))
-    asked = live.where("kinds > 1").groupBy("u").agg(
+    asked = contexts.where("mixed").groupBy("u").agg(
         F.collect_list(F.struct("bucket", "context", "copies", "place")).alias("asked"))
-    fetched = (texts.select("u", "raw").join(asked, "u").select("raw", "asked")
+    # the same exchange of the texts (with all columns) serves this join and the last one
+    fetched = (texts.join(asked, "u").select("row", "raw", "asked")
                .mapInArrow(contexts_of_texts, "bucket long, context long, copies long, bytes binary"))
     mixed = (fetched.repartition("bucket").sortWithinPartitions("bucket")
              .mapInArrow(sorted_buckets, "bucket long, context long, windows array<int>"))
-    found = written(whole.unionByName(mixed), "found")
+    found = whole.unionByName(mixed)
     # windows [a, b) of a run cover the bytes [at + a, at + b + LENGTH - 1)
     at = F.shiftright("place", 16)
     spans = F.transform("windows", lambda x, i: at + x + F.when(i % 2 == 1, F.lit(LENGTH - 1)).otherwise(F.lit(0)))
-    return (runs.join(found, ["bucket", "context"]).select("u", spans.alias("spans"))
+    return (live.join(found, ["bucket", "context"]).select("u", spans.alias("spans"))
             .groupBy("u").agg(F.flatten(F.collect_list("spans")).alias("spans")))
 
 
