@@ -32,7 +32,7 @@ ship(__name__)
 
 CHUNK = 16384               # code points of a chunk
 OVERLAP = 512               # more of them, shared with the next chunk
-CACHE = 300_000             # pieces whose ids a task remembers
+CACHE = 200_000             # pieces whose ids a task remembers
 
 
 def load_ranks(path: str) -> dict[bytes, int]:

@@ -35,7 +35,7 @@ ship(__name__)
 
 CAPACITY = 2048
 SALTS = 16                  # numbering of a length is spread over so many groups
-CACHE = 500_000             # texts between blanks (and words) whose ids a task remembers
+CACHE = 300_000             # texts between blanks (and words) whose ids a task remembers
 END = b"\0\0\0\0"
 
 # Fixed value: the word pattern that the tokenizer file states.
