@@ -39,8 +39,11 @@ def parse_local(text) -> Column:
     return F.to_timestamp_ntz(_c(text))
 
 
-def fixed(x, width: int | None, decimals: int = 5) -> Column:
-    """F-21: ``{x:W.Df}``; NULL prints ``nan`` right-aligned, as Python does."""
+def fixed(x, width: int | None, decimals: int | None = 5) -> Column:
+    """F-21: ``{x:W.Df}``; NULL prints ``nan`` right-aligned, as Python does.
+    Without a width the full value is printed."""
+    if width is None:
+        return F.coalesce(_c(x).cast("string"), F.lit("nan"))
     spec = f"%{width or ''}.{decimals}f"
     nan = F.lpad(F.lit("nan"), width, " ") if width else F.lit("nan")
     return F.when(_c(x).isNull(), nan).otherwise(F.format_string(spec, _c(x)))

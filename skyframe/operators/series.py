@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -356,7 +357,7 @@ def rolling_vector_magnitude(df: DataFrame, keys, ts: str, u: str, v: str, windo
 
 def time_slice(df: DataFrame, ts: str, start, end, closed: str = "both") -> DataFrame:
     """Rows with ``start <= ts <= end`` (``closed="left"``: ``ts < end``)."""
-    if start is not None and end is not None and str(start) >= str(end):
+    if start is not None and end is not None and pd.Timestamp(start) >= pd.Timestamp(end):
         raise ValueError("start must be before end")
     t = F.col(ts)
     cond = F.lit(True)

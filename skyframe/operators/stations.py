@@ -8,17 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A catalogue above this many rows is joined with a shuffle instead of a broadcast.
-BROADCAST_MAX_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after checking the row count (reads at most
-    ``max_rows + 1`` rows); larger inputs are returned unchanged."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def select_station(catalogue: DataFrame, name: str, column: str = "name_en") -> DataFrame:
     """Catalogue rows whose name equals ``name`` (empty when absent)."""
     return catalogue.filter(F.col(column) == F.lit(name))
@@ -29,11 +18,10 @@ def lookup_station(catalogue: DataFrame, name: str, column: str = "name_en") ->
     return select_station(catalogue, name, column).limit(1)
 
 
-def attach_station_meta(obs: DataFrame, catalogue: DataFrame, on, how: str = "left",
-                        max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Latitude, longitude, altitude etc. onto observations. The catalogue
-    is broadcast when its checked size allows, shuffled otherwise."""
-    return obs.join(broadcast_if_small(catalogue, max_rows), on=on, how=how)
+def attach_station_meta(obs: DataFrame, catalogue: DataFrame, on, how: str = "left") -> DataFrame:
+    """Latitude, longitude, altitude etc. onto observations. Adaptive
+    execution broadcasts the catalogue when its measured size is small."""
+    return obs.join(catalogue, on=on, how=how)
 
 
 def catalogue_missing(data_names: DataFrame, catalogue: DataFrame, data_col: str,

@@ -572,9 +572,9 @@ def q_duplicate_keys(spark, sf):
 
 @query("station_meta_join", """
 SELECT c.c_custkey, c.c_name, c.c_acctbal, n.n_name, n.n_regionkey
-FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE n.n_name = 'JAPAN'""")
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE n.n_name = 'NATION_7'""")
 def q_station_meta_join(spark, sf):
-    nation = ST.select_station(_t(spark, sf, "nation"), "JAPAN", "n_name")
+    nation = ST.select_station(_t(spark, sf, "nation"), "NATION_7", "n_name")
     cust = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_nationkey")
     j = ST.attach_station_meta(cust, nation.withColumnRenamed("n_nationkey", "c_nationkey"),
                                on="c_nationkey", how="inner")
@@ -582,11 +582,10 @@ def q_station_meta_join(spark, sf):
 
 
 @query("catalogue_antijoin", """
-SELECT DISTINCT c_custkey FROM customer c
-WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)""")
+SELECT DISTINCT d.doc_id FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
 def q_catalogue_antijoin(spark, sf):
-    return ST.catalogue_missing(_t(spark, sf, "customer"), _t(spark, sf, "orders"),
-                                "c_custkey", "o_custkey")
+    return ST.catalogue_missing(_t(spark, sf, "documents"), _t(spark, sf, "labels"), "doc_id", "doc_id")
 
 
 @query("code_disagreements", """
@@ -637,13 +636,20 @@ def q_build_ts(spark, sf):
 # 3-hourly -> hourly on fixed bounds, time interpolation and forward fill
 # ---------------------------------------------------------------------------
 
-# Whole month of the driver's events (both ends inclusive).
-UP_START, UP_END = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
-SQL_UP = f"""o3 AS (SELECT station, ts3 AS ts,
+# From the first day of the events to the day after the last one (both ends inclusive).
+def _whole_days(spark, sf) -> tuple[str, str]:
+    days = _t(spark, sf, "events").agg(F.date_format(F.date_trunc("day", F.min("ts")), "yyyy-MM-dd HH:mm:ss"),
+                                       F.date_format(F.date_add(F.to_date(F.max("ts")), 1), "yyyy-MM-dd 00:00:00")).first()
+    return days[0], days[1]
+
+
+SQL_UP = """o3 AS (SELECT station, ts3 AS ts,
     CASE WHEN max(k % 10) IN (0, 1, 2) THEN NULL ELSE round(avg(value), 6) END AS v, max(k % 10) AS rmk
   FROM (SELECT *, ts - to_hours(hour(ts) % 3) AS ts3 FROM ev) GROUP BY station, ts3),
-up_g AS (SELECT station, unnest(generate_series(TIMESTAMP '{UP_START}', TIMESTAMP '{UP_END}', INTERVAL 1 HOUR)) AS ts
-  FROM (SELECT DISTINCT station FROM o3)),
+up_b AS (SELECT CAST(date_trunc('day', min(ts)) AS TIMESTAMP) AS lo,
+    CAST(date_trunc('day', max(ts)) AS TIMESTAMP) + INTERVAL 1 DAY AS hi FROM ev),
+up_g AS (SELECT station, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS ts
+  FROM (SELECT DISTINCT station FROM o3), up_b),
 up AS (SELECT g.station, g.ts, o.v, o.rmk FROM up_g g LEFT JOIN o3 o ON o.station = g.station AND o.ts = g.ts)"""
 
 
@@ -662,7 +668,7 @@ def q_upsample(spark, sf):
     o = e.groupBy("station", "ts").agg(F.round(F.avg("value"), 6).alias("v"),
                                        F.max(F.col("k") % 10).alias("rmk"))
     o = EV.mask_v(o)
-    up = GR.upsample(o, K, "ts", UP_START, UP_END)
+    up = GR.upsample(o, K, "ts", *_whole_days(spark, sf))
     out = SR.interpolate(up, K, "ts", ["v"], "time", ffill_cols=["rmk"])
     # the code is NULL before a station's first sample: emit it as DOUBLE
     return out.withColumn("rmk", F.col("rmk").cast("double"))
@@ -825,8 +831,7 @@ _NIGHT_EV = "(hour(ts) >= 19 OR hour(ts) < 5)"
 
 def vendor_frame(spark, sf) -> DataFrame:
     """Vendor-dialect rows (Japanese header, symbols in cells) from events."""
-    from ..session import spread
-    e = spread(_t(spark, sf, "events"), "event_id").select(
+    e = _t(spark, sf, "events").repartition("event_id").select(
         "event_id", "user_id", "ts", "event_type", "value",
         F.get_json_object("props", "$.k").try_cast("int").alias("k"))
     v2 = F.format_string("%.2f", F.col("value"))
@@ -1083,10 +1088,9 @@ def q_missing_report_rmk_join(spark, sf):
 # ---------------------------------------------------------------------------
 
 def _scratch(spark, name: str) -> str:
-    import tempfile
     import uuid
-    from ..session import ensure_checkpoint_dir
-    d = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="skyframe-local-"))
+    from ..session import shared_dir
+    d = shared_dir(spark)
     return f"{d.rstrip('/')}/skyframe-{name}-{uuid.uuid4().hex}"
 
 
@@ -1228,11 +1232,11 @@ def q_csv_roundtrip(spark, sf):
 
 @query("station_chain")
 def q_station_chain(spark, sf):
-    """S15 on derived archive files: read -> year grid (clipped to the month) ->
+    """S15 on derived archive files: read -> year grid (clipped to the days of the events) ->
     CF step -> lineage cut -> bounded gap fill of all 14 CF variables."""
     from .chain import run_station_chain
     path = _write_archive(spark, sf)
-    out = run_station_chain(spark, path, None, None, "2024-01-01", "2024-02-01", max_gap=MAX_GAP,
+    out = run_station_chain(spark, path, None, None, *_whole_days(spark, sf), max_gap=MAX_GAP,
                             layout="partitioned")
     return out["filled"].withColumn("station", F.col("station").cast("long"))
 
@@ -1242,3 +1246,10 @@ def q_interp_quadratic(spark, sf):
     """Quadratic-spline fill (knots at the midpoints between samples) of
     inside gaps up to MAX_GAP rows."""
     return GP.fill_max_gap(_gridm(spark, sf), K, "ts", ["v"], MAX_GAP, "quadratic")
+
+
+# The spline SQL uses its shared tables several times: have them computed once.
+import re  # noqa: E402
+
+for _name in ("interp_pchip", "interp_akima"):
+    ORACLE_SQL[_name] = re.sub(r"\b(\w+) AS \(\s*SELECT", r"\1 AS MATERIALIZED (SELECT", ORACLE_SQL[_name])

@@ -82,13 +82,3 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Hash-distribute ``df`` on ``cols`` when it has fewer partitions than the
-    cluster runs tasks in parallel (a small input read from one file), so that
-    row-heavy work after it uses every core; large inputs pass unchanged.
-    Hash partitioning keeps recomputation after an executor loss deterministic."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
-        return df
-    return df.repartition(par, *cols)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,19 +49,38 @@ def write_cf(cf: DataFrame, path: str, keys: Sequence[str] = ("station",), ts: s
     stays in ``ts`` and the instant goes to ``time`` (seconds since 1970 UTC).
     Variable attributes travel in the column metadata; per-station global
     attributes (coverage, coordinates, provenance) go to ``{path}/_global``.
-    Refuses to overwrite unless asked."""
+    Other stations and years of the store stay as they are: a station-year that
+    is there already is refused unless ``overwrite`` replaces it."""
     keys = list(keys)
-    mode = "overwrite" if overwrite else "errorifexists"
+    mode = "overwrite" if overwrite else "append"
     out = (cf.withColumn("year", F.year(F.col(ts)))
              .withColumn("time", epoch_seconds(local_to_utc(F.col(ts), LOCAL_TZ))))
-    (out.repartition(*keys, "year").sortWithinPartitions(*keys, ts)
-        .write.mode(mode).partitionBy(*keys, "year").parquet(f"{path}/data"))
+    if not overwrite:
+        _refuse_existing(out, f"{path}/data", [*keys, "year"])
+    (out.repartition(*keys, "year").sortWithinPartitions(*keys, ts).write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*keys, "year").parquet(f"{path}/data"))
     cov = cf.groupBy(*keys).agg(F.min(ts).alias("time_coverage_start"),
                                 F.max(ts).alias("time_coverage_end"),
                                 F.count(F.lit(1)).alias("n_times"))
     if global_attrs is not None:
         cov = cov.join(global_attrs, on=keys, how="left")
-    cov.write.mode(mode).parquet(f"{path}/_global")
+    (cov.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys).parquet(f"{path}/_global"))
+
+
+def _refuse_existing(out: DataFrame, path: str, keys: list[str]) -> None:
+    """Raise when the store at ``path`` holds one of the partitions of ``out``."""
+    try:
+        there = out.sparkSession.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return
+        raise
+    both = there.select(*[F.col(k).cast("string") for k in keys]).distinct().join(
+        out.select(*[F.col(k).cast("string") for k in keys]).distinct(), keys, "left_semi")
+    found = both.limit(5).collect()
+    if found:
+        raise FileExistsError(f"{path} already holds {[tuple(r) for r in found]}")
 
 
 def read_cf(spark: SparkSession, path: str, variables: Sequence[str] | None = None,
@@ -88,7 +108,7 @@ def _ordered_text(df: DataFrame, keys: Sequence[str], ts: str, line, path: str,
     x.drop(ts).write.mode(mode).partitionBy(*keys).text(path)
 
 
-def export_forcing(df: DataFrame, var: str, path: str, width: int | None = 10, decimals: int = 5,
+def export_forcing(df: DataFrame, var: str, path: str, width: int | None = 10, decimals: int | None = 5,
                    keys: Sequence[str] = ("station",), ts: str = "ts", mode: str = "errorifexists") -> None:
     """``"{ts} {value:W.Df}"`` lines for one variable, per station."""
     _ordered_text(df, keys, ts, forcing_line(ts, [(var, width, decimals)]), path, mode)
@@ -102,8 +122,8 @@ def export_forcing_met(df: DataFrame, path: str, keys: Sequence[str] = ("station
 
 def export_forcing_batch(df: DataFrame, path: str, keys: Sequence[str] = ("station",), ts: str = "ts",
                          mode: str = "errorifexists") -> None:
-    """Sunshine, precipitation and the meteorological forcing for all
-    stations of ``df``."""
-    export_forcing(df, "lght", f"{path}/lght", None, 5, keys, ts, mode)
-    export_forcing(df, "kous", f"{path}/kous", None, 5, keys, ts, mode)
+    """Irradiance (``10.5f``), precipitation (full value: m/s are small
+    numbers) and the meteorological forcing for all stations of ``df``."""
+    export_forcing(df, "slht", f"{path}/slht", 10, 5, keys, ts, mode)
+    export_forcing(df, "kous", f"{path}/kous", None, None, keys, ts, mode)
     export_forcing_met(df, f"{path}/met", keys, ts, mode)

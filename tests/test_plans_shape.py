@@ -20,13 +20,3 @@ def test_neighbours_partitioning(spark):
     part_lines = [ln for ln in plan.splitlines() if "hashpartitioning(k#" in ln]
     assert any("__chunk" in ln for ln in part_lines)
     assert "unboundedfollowing" not in plan.lower().replace(" ", "")
-
-
-def test_spread_only_small_inputs(spark):
-    from skyframe.session import spread
-    par = spark.sparkContext.defaultParallelism
-    one = spark.range(1000).coalesce(1)
-    assert spread(one, "id").rdd.getNumPartitions() == par
-    many = spark.range(0, 1000, 1, par * 2)
-    assert spread(many, "id").rdd.getNumPartitions() == par * 2
-    assert sorted(r.id for r in spread(one, "id").collect()) == list(range(1000))

@@ -246,3 +246,18 @@ def test_hourly_circular_and_categorical(spark, archive):
     r = got[dt.datetime(2020, 1, 1, 3)]
     assert abs(r.muki - (math.degrees(math.atan2(r.v, r.u)) % 360.0)) < 1e-9
     assert plain[t].kion is not None
+
+
+def test_cf_store_keeps_other_stations(spark, tmpdir_path):
+    """Writing, adding and replacing one station leaves the others alone."""
+    from skyframe.sources import sinks as SK
+    def of(station, v):
+        return spark.sql(f"SELECT '{station}' AS station, TIMESTAMP_NTZ'2024-01-01 01:00:00' AS ts, {v}D AS kion")
+    path = f"{tmpdir_path}/store"
+    SK.write_cf(of("A", 1), path)
+    SK.write_cf(of("B", 2), path)
+    SK.write_cf(of("B", 3), path, overwrite=True)
+    with pytest.raises(FileExistsError):
+        SK.write_cf(of("A", 4), path)
+    assert {(r.station, r.kion) for r in SK.read_cf(spark, path, ["kion"]).collect()} == {("A", 1.0), ("B", 3.0)}
+    assert spark.read.parquet(f"{path}/_global").count() == 2
