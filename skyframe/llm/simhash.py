@@ -125,16 +125,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row."""
+    """(doc_id, text_hash, fp) of every row; the hash tells rows of one id apart."""
     def run(batches):
         for batch in batches:
             for part in packed_rows(batch):
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([fingerprint(t, shingle) for t in part.column("text").to_pylist()], pa.int64())],
-                    names=["doc_id", "fp"])
+                    [part.column("doc_id"), part.column("text_hash"),
+                     pa.array([fingerprint(t, shingle) for t in part.column("text").to_pylist()], pa.int64())],
+                    names=["doc_id", "text_hash", "fp"])
 
-    src = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return src.mapInArrow(run, "doc_id long, fp long")
+    src = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+    return src.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def links(distinct: DataFrame, bits: int = MAX_BITS) -> DataFrame:
@@ -184,13 +185,27 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
                     bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fp, component_id) per row; ``component_id`` is the smallest
-    document id that is reachable over links of at most ``bits`` bits."""
+    """(doc_id, text_hash, fp, component, component_id) per row; ``component_id``
+    is the smallest document id that is reachable over links of at most ``bits``
+    bits (null where no row of the group has an id), ``component`` the smallest
+    fingerprint."""
     prints = written(fingerprints(docs, text, key, shingle), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "distinct")
     found = components(links(distinct, bits))
     member = distinct.join(found, distinct["fp"] == found["node"], "left").select(
         distinct["fp"], "first", F.coalesce("component", distinct["fp"]).alias("component"))
     smallest = member.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = member.join(smallest, "component").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = member.join(smallest, "component").select("fp", "component", "component_id")
+    return prints.join(named, "fp").select("doc_id", "text_hash", "fp", "component", "component_id")
+
+
+def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
+               bits: int = MAX_BITS) -> DataFrame:
+    """Of every group of near-duplicates one row of ``docs``: the smallest id
+    (null ids last), then the smallest text hash; of repeated rows any one."""
+    found = near_duplicates(docs, text, key, shingle, bits)
+    first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("k"))
+    first = first.select(F.col("k.doc_id").alias("__first_id"), F.col("k.text_hash").alias("__first_hash"))
+    tagged = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("hash"))
+    kept = tagged.join(first, tagged["id"].eqNullSafe(first["__first_id"]) & (tagged["hash"] == first["__first_hash"]), "left_semi")
+    return kept.dropDuplicates(["id", "hash"]).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -1,12 +1,14 @@
 """Duplicate operators against brute force: substrings, SimHash, line runs."""
 
 import hashlib
+import random
 import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
-from helpers import corpus, frame, odd_texts, rows
+from helpers import corpus, frame, odd_texts, rows, sentence
 from skyframe.llm import line_dedup as LD, simhash as SH, suffix_dedup as SD
 
 
@@ -161,3 +163,15 @@ def test_line_runs(spark):
             assert r["__kept"] == "\n".join(x for i, x in enumerate(r["text"].split("\n")) if i not in gone)
     assert sum(bool(r["__gone"]) for r in out) > 5
     assert LD.dedup_lines(frame(spark, [])).count() == 0
+
+
+def test_one_row_stays_of_every_group(spark):
+    """Rows without an id, rows of one id with different texts, repeated rows."""
+    rng = random.Random(9)
+    one, two, three = (sentence(rng, "en", 40) for _ in range(3))
+    data = [(None, one, "en", "s", 1), (None, two, "en", "s", 1), (4, three, "en", "s", 1), (4, one, "en", "s", 1),
+            (4, three, "en", "s", 1), (2, three + " ", "en", "s", 1), (7, None, "en", "s", 0), (8, "", "en", "s", 0)]
+    kept = SH.keep_first(frame(spark, data).withColumn("__id", F.lit("mine")))
+    assert kept.columns[-1] == "__id"
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted(
+        [(True, 0, two), (False, 4, one), (False, 2, three + " "), (False, 7, "")])
