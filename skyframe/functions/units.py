@@ -6,14 +6,16 @@ F-11 display units, F-18 vendor scaling, D1/D2 daily units, F-23 magnitude.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import CF_TABLE
+from ..schema import CF_SOURCE
 
-PI = math.pi
+SECONDS_PER_HOUR = 3600.0
+HOURS_PER_DAY = 24.0
+MM_PER_M = 1000.0
+CM2_PER_M2 = 1.0e4
+JOULES_PER_CALORIE = 4.2
 
 
 def col(c) -> Column:
@@ -57,6 +59,7 @@ def scale(c, divisor: float) -> Column:
     return num(c) / divisor
 
 
+# FIXED VALUES: units of the archive files.
 HOURLY_DIVISORS = {
     "lhpa": 10.0,   # 0.1 hPa -> hPa
     "shpa": 10.0,   # 0.1 hPa -> hPa
@@ -70,14 +73,18 @@ HOURLY_DIVISORS = {
 }
 
 
+JOULES_PER_IRRADIANCE_UNIT = 1.0e4      # 0.01 MJ
+PRECIPITATION_UNITS_PER_MM = 10.0
+
+
 def irradiance_w_m2(c) -> Column:
     """0.01 MJ m-2 per hour -> W m-2."""
-    return num(c) * 1.0e4 / 3.6e3
+    return num(c) * JOULES_PER_IRRADIANCE_UNIT / SECONDS_PER_HOUR
 
 
 def precip_m_s(c) -> Column:
     """0.1 mm per hour -> m s-1."""
-    return num(c) / (1.0e3 * 3.6e3 * 10)
+    return num(c) / (PRECIPITATION_UNITS_PER_MM * MM_PER_M * SECONDS_PER_HOUR)
 
 
 # ---------------------------------------------------------------------------
@@ -97,13 +104,9 @@ def code_to_from_direction(code) -> Column:
     return F.when(k != 0, F.pmod(k * 22.5, F.lit(360.0)))
 
 
-def radians(deg) -> Column:
-    return col(deg) * 2 * PI / 360.0
-
-
 def math_uv(speed, angle) -> tuple[Column, Column]:
     """F-4: components from speed and math angle: (s cos a, s sin a)."""
-    r = radians(angle)
+    r = F.radians(col(angle))
     return col(speed) * F.cos(r), col(speed) * F.sin(r)
 
 
@@ -111,7 +114,7 @@ def from_uv(speed, from_dir) -> tuple[Column, Column]:
     """F-6: components from speed and from-direction: (-s sin d, -s cos d).
     Calm (no direction, |s| <= 1e-6) gives (0, 0); other missing inputs NULL."""
     s, d = col(speed), col(from_dir)
-    r = radians(d)
+    r = F.radians(d)
     calm = d.isNull() & s.isNotNull() & (F.abs(s) <= 1e-6)
     u = F.when(d.isNotNull() & s.isNotNull(), -s * F.sin(r)).when(calm, F.lit(0.0))
     v = F.when(d.isNotNull() & s.isNotNull(), -s * F.cos(r)).when(calm, F.lit(0.0))
@@ -130,34 +133,41 @@ def magnitude(a, b) -> Column:
 WATER_DENSITY = 1000.0  # kg m-3
 
 
-def cf_value(kind: str, x, compat: bool = False) -> Column:
+KELVIN_AT_0C = 273.15
+PASCALS_PER_HPA = 100.0
+
+CONVERSIONS = {
+    "hpa_to_pa": lambda x: x * PASCALS_PER_HPA,
+    "c_to_k": lambda x: x + KELVIN_AT_0C,
+    "h_to_s": lambda x: x * SECONDS_PER_HOUR,
+    "precip": lambda x: x * WATER_DENSITY,      # m s-1 of water -> kg m-2 s-1
+}
+# Physical unit of the archive reader -> CF unit, where they differ.
+CF_CONVERSION = {"lhpa": "hpa_to_pa", "shpa": "hpa_to_pa", "stem": "hpa_to_pa", "kion": "c_to_k", "humd": "c_to_k",
+                 "lght": "h_to_s", "kous": "precip"}
+
+
+def cf_value(kind: str | None, x, compat: bool = False) -> Column:
+    """``x`` after the conversion ``kind`` (none: unchanged). ``compat`` keeps
+    precipitation in m s-1, as the literal reference does."""
     x = col(x).cast("double")
-    if kind == "hpa_to_pa":
-        return x * 100.0
-    if kind == "c_to_k":
-        return x + 273.15
-    if kind == "h_to_s":
-        return x * 3600.0
-    if kind == "precip":
-        # m s-1 of water -> kg m-2 s-1 (the literal reference keeps m s-1)
-        return x if compat else x * WATER_DENSITY
-    if kind == "identity":
+    if kind is None or (compat and kind == "precip"):
         return x
-    raise ValueError(kind)
+    return CONVERSIONS[kind](x)
 
 
 def cf_columns(compat: bool = False) -> dict[str, Column]:
     """CF target name -> expression over the physical-unit columns."""
-    return {name: cf_value(v.kind, v.source, compat) for name, v in CF_TABLE.items()}
+    return {name: cf_value(CF_CONVERSION.get(source), source, compat) for name, source in CF_SOURCE.items()}
 
 
 def display_value(units: str, x) -> Column:
     """F-11: K -> degC, Pa -> hPa, anything else unchanged."""
     x = col(x)
     if units == "K":
-        return x - 273.15
+        return x - KELVIN_AT_0C
     if units == "Pa":
-        return x / 100.0
+        return x / PASCALS_PER_HPA
     return x
 
 
@@ -165,6 +175,7 @@ def display_value(units: str, x) -> Column:
 # Daily units
 # ---------------------------------------------------------------------------
 
+# FIXED VALUES: units of the daily archive files.
 DAILY_DIVISORS = {
     "avrLhpa": 10.0, "avrShpa": 10.0, "minShpa": 10.0, "avrKion": 10.0, "maxKion": 10.0,
     "minKion": 10.0, "avrStem": 10.0, "avrRhum": 100.0, "avrSped": 10.0, "maxSped": 10.0,
@@ -174,9 +185,11 @@ DAILY_DIVISORS = {
 DAILY_ANGLES = ("maxMuki", "maxSMuk")
 # Daily irradiance unit switch: 0.1 MJ m-2 from 1981, 1 cal cm-2 before.
 DAILY_IRRADIANCE_MJ_FROM = 1981
+JOULES_PER_DAILY_UNIT = 1.0e5           # 0.1 MJ
 
 
 def daily_irradiance_w_m2(x, year) -> Column:
     x = num(x)
-    return F.when(col(year) >= DAILY_IRRADIANCE_MJ_FROM, x * 1.0e5 / 3.6e3 / 24.0) \
-            .otherwise(x * 4.2 * 1.0e4 / 3.6e3 / 24.0)
+    joules = (F.when(col(year) >= DAILY_IRRADIANCE_MJ_FROM, x * JOULES_PER_DAILY_UNIT)
+               .otherwise(x * JOULES_PER_CALORIE * CM2_PER_M2))
+    return joules / SECONDS_PER_HOUR / HOURS_PER_DAY

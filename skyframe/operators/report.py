@@ -8,8 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .gaps import to_long
-from .series import neighbours, next_col, prev_col
+from .series import neighbours, next_col, prev_col, q
 
 
 def missing_summary(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -32,27 +31,27 @@ def missing_report(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[s
     valid time and value and its quality code; the first ``limit`` samples per
     entity and variable (all when ``limit`` is falsy), plus ``total_missing``.
 
-    Runs on the long form ``(keys, variable)``; the ordinal of a missing sample
-    is a running count of the null rows computed in the same chunked pass, so
-    no window spans an entity.
+    One pass over the wide frame gives the neighbours and the running count of
+    missing samples of every variable; only the null samples within the limit
+    become rows of their own, after the shuffle.
     """
-    keys = list(keys)
-    extra = {"rmk": rmk} if rmk else None
-    long = to_long(df, keys, ts, cols, extra)
-    if not rmk:
-        long = long.withColumn("rmk", F.lit(None).cast("int"))
-    lk = keys + ["variable"]
-    # one pass: neighbours of every sample and the running count of missing ones
-    nb = neighbours(long, lk, ts, ["value"], chunk, counts={"ordinal": "value IS NULL"})
-    nulls = nb.filter(F.col("value").isNull())
-    if limit:
-        nulls = nulls.filter(F.col("ordinal") <= limit)
-    p, n = F.col(prev_col("value")), F.col(next_col("value"))
-    return nulls.select(
-        *lk, ts, "rmk",
-        p["t"].alias("prev_time"), p["v"].alias("prev_value"),
-        n["t"].alias("next_time"), n["v"].alias("next_value"),
-        "ordinal", F.col("ordinal_total").alias("total_missing"))
+    keys, cols, rmk = list(keys), list(cols), dict(rmk or {})
+    wide = df.select(*keys, ts, *[F.col(c).cast("double").alias(c) for c in cols],
+                     *dict.fromkeys(rmk[c] for c in cols if c in rmk))
+    nb = neighbours(wide, keys, ts, cols, chunk, counts={f"__ord_{c}": f"{q(c)} IS NULL" for c in cols})
+    samples = []
+    for c in cols:
+        wanted = F.col(c).isNull()
+        if limit:
+            wanted = wanted & (F.col(f"__ord_{c}") <= limit)
+        p, n = F.col(prev_col(c)), F.col(next_col(c))
+        samples.append(F.when(wanted, F.struct(
+            F.lit(c).alias("variable"), (F.col(rmk[c]) if c in rmk else F.lit(None)).try_cast("int").alias("rmk"),
+            p["t"].alias("prev_time"), p["v"].alias("prev_value"), n["t"].alias("next_time"), n["v"].alias("next_value"),
+            F.col(f"__ord_{c}").alias("ordinal"), F.col(f"__ord_{c}_total").alias("total_missing"))))
+    out = nb.select(*keys, ts, F.explode(F.array_compact(F.array(*samples))).alias("__s"))
+    return out.select(*keys, "__s.variable", ts, *[f"__s.{c}" for c in (
+        "rmk", "prev_time", "prev_value", "next_time", "next_value", "ordinal", "total_missing")])
 
 
 def attach_rmk(report: DataFrame, rmk_long: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:

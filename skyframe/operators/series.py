@@ -47,10 +47,8 @@ def next_col(c: str) -> str:
     return f"{c}__next"
 
 
-def chunk_expr(ts: str, unit: str | None) -> Column:
+def chunk_expr(ts: str, unit: str) -> Column:
     t = F.col(ts)
-    if unit is None:
-        return F.lit(0)
     if unit == "year":
         return F.year(t)
     if unit == "month":
@@ -76,7 +74,7 @@ def _shift_sql(x: str, off: str) -> str:
 
 
 def neighbours(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str] = (),
-               chunk: str | None = "month", counts: dict | None = None) -> DataFrame:
+               chunk: str = "month", counts: dict | None = None) -> DataFrame:
     """Add the global row number ``__rn``, the entity size ``__n`` and, for each
     column ``c`` of ``cols``, the previous and next valid samples
     ``c__prev``/``c__next`` as ``struct<t, r, v>`` (time, row number, value).

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import text as TX
 from ..functions import units as U
 from ..functions import vendor as VD
+from ..functions.quality import describe_rmk
 from ..functions.solar import is_night, solar_elevation
 from ..operators import aggregates as AG
 from ..operators import gaps as GP
@@ -22,7 +23,7 @@ from ..operators import quality as QL
 from ..operators import report as RP
 from ..operators import series as SR
 from ..operators import stations as ST
-from ..schema import HOURLY_VARIABLES, rmk_col
+from ..schema import HOURLY_VARIABLES, RMK_DESCRIPTION, rmk_col
 from . import events as EV
 from .events import (SQL_EV, SQL_GRID, SQL_OBS, SQL_OBSM, SQL_WIDE, sql_neighbours, sql_with)
 
@@ -1230,6 +1231,51 @@ def q_csv_roundtrip(spark, sf):
     return SK.read_csv_back(spark, path, p.select("ts", "station", "kion", "sped", "slht").schema)
 
 
+_REP_CF = {"air_temperature": "kion", "wind_speed": "sped", "surface_downwelling_shortwave_flux_in_air": "slht"}
+
+
+def _chain_report_sql() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT c.station, c.ts, '{v}' AS variable, CAST(c.{v} AS DOUBLE) AS value, g.{rmk_col(s)} AS rmk "
+        "FROM cf c JOIN wgrid g ON g.station = c.station AND g.ts = c.ts" for v, s in _REP_CF.items())
+    return sql_with(*WIDE, SQL_CF, f"wlong AS ({parts})", sql_neighbours("nb", "wlong", "station, variable", "value")) + f"""
+SELECT station, variable, ts, rmk, prev_time, prev_value, next_time, next_value, ordinal, total_missing
+FROM (SELECT station, variable, ts, rmk, pt AS prev_time, pv AS prev_value, nt AS next_time, nv AS next_value,
+        row_number() OVER (PARTITION BY station, variable ORDER BY ts) AS ordinal,
+        count(*) OVER (PARTITION BY station, variable) AS total_missing
+      FROM nb WHERE value IS NULL)
+WHERE ordinal <= {REPORT_LIMIT}"""
+
+
+@query("cf_missing_report", _chain_report_sql())
+def q_cf_missing_report(spark, sf):
+    """The report of the station chain: missing samples of the CF frame with the
+    quality code of the archive variable behind each CF variable."""
+    from ..plans.cf import to_cf
+    codes = {v: rmk_col(s) for v, s in _REP_CF.items()}
+    cf = to_cf(EV.wide_grid(spark, sf), K, "ts", extra=list(codes.values()))
+    return RP.missing_report(cf, K, "ts", list(codes), REPORT_LIMIT, rmk=codes).select(
+        "station", "variable", "ts", "rmk", "prev_time", "prev_value", "next_time", "next_value", "ordinal", "total_missing")
+
+
+@query("quality_code_text", sql_with(*GRID) + """
+SELECT station, coalesce(strftime(CASE WHEN v IS NOT NULL THEN ts END, '%Y-%m-%d %H:%M:%S'), 'N/A') AS observed,
+  CASE rmk """ + " ".join(f"WHEN {k} THEN '{v}'" for k, v in RMK_DESCRIPTION.items()) + """ END AS meaning FROM grid""")
+def q_quality_code_text(spark, sf):
+    """F-22 and F-24: time text or N/A, and the description of the quality code."""
+    g = EV.obs_grid(spark, sf)
+    return g.select("station", TX.iso_or_na(F.when(F.col("v").isNotNull(), F.col("ts"))).alias("observed"),
+                    describe_rmk("rmk").alias("meaning"))
+
+
+@query("pick_and_drop_null", sql_with(*WIDE, SQL_WMASK) + """
+SELECT station, ts, kion, sped FROM wmask WHERE kion IS NOT NULL AND sped IS NOT NULL""")
+def q_pick_and_drop_null(spark, sf):
+    """Chosen variables, rows without any null among them."""
+    m = QL.mask_rmk(EV.wide_grid(spark, sf))
+    return SR.drop_null(SR.pick_variables(m, ["station", "ts"], ["kion", "sped"]), ["kion", "sped"])
+
+
 @query("station_chain")
 def q_station_chain(spark, sf):
     """S15 on derived archive files: read -> year grid (clipped to the days of the events) ->

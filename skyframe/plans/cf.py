@@ -12,17 +12,13 @@ from pyspark.sql import functions as F
 from ..functions import units as U
 from ..operators import quality as QL
 from ..operators import report as RP
-from ..schema import CF_TABLE, CF_WIND_COMPONENTS
+from ..schema import CF_SOURCE, CF_UNITS, CF_WIND_COMPONENTS
 
 NIGHT_ZERO_CF = ("duration_of_sunshine", "surface_downwelling_shortwave_flux_in_air")
 
 
 def cf_metadata(name: str) -> dict:
-    if name in CF_TABLE:
-        v = CF_TABLE[name]
-        return {"standard_name": v.standard_name, "long_name": v.long_name, "units": v.units, **v.extra}
-    sn, ln, un = CF_WIND_COMPONENTS[name]
-    return {"standard_name": sn, "long_name": ln, "units": un}
+    return {"standard_name": name, "long_name": name.replace("_", " "), "units": CF_UNITS[name]}
 
 
 def to_cf(raw_grid: DataFrame, keys: Sequence[str] = ("station",), ts: str = "ts",
@@ -52,9 +48,8 @@ def to_cf(raw_grid: DataFrame, keys: Sequence[str] = ("station",), ts: str = "ts
             x = x.withColumn(v, U.scale(v, div))
         x = x.withColumn("slht", U.irradiance_w_m2("slht")).withColumn("kous", U.precip_m_s("kous"))
     sel = [F.col(k) for k in keys] + [F.col(ts)]
-    for name, v in CF_TABLE.items():
-        src = "wdir" if v.source == "muki" else v.source
-        e = U.cf_value(v.kind, src, compat)
+    for name, source in CF_SOURCE.items():
+        e = U.cf_value(U.CF_CONVERSION.get(source), "wdir" if source == "muki" else source, compat)
         sel.append(e.cast("float").alias(name, metadata=cf_metadata(name)))
     u, w = U.from_uv("sped", "wdir")
     if round_trig is not None:
@@ -66,7 +61,7 @@ def to_cf(raw_grid: DataFrame, keys: Sequence[str] = ("station",), ts: str = "ts
 
 
 def cf_variables() -> list[str]:
-    return list(CF_TABLE) + list(CF_WIND_COMPONENTS)
+    return [*CF_SOURCE, *CF_WIND_COMPONENTS]
 
 
 def summarize_missing(cf: DataFrame, keys: Sequence[str] = ("station",)) -> DataFrame:

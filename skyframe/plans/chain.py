@@ -25,6 +25,7 @@ from ..operators import gaps as GP
 from ..operators import quality as QL
 from ..operators import report as RP
 from ..operators import stations as OS
+from ..schema import CF_SOURCE, rmk_col
 from ..session import cut_lineage
 from ..sources import hourly as H
 from ..sources import sinks as SK
@@ -43,32 +44,41 @@ def run_station_chain(spark: SparkSession, hourly_root: str, out_path: str | Non
                       method: str = "time", skip_check: bool = False,
                       skip_interpolate: bool = False, catalogue: DataFrame | None = None,
                       overwrite: bool = False, compat: bool = False,
-                      layout: str = "archive") -> dict[str, DataFrame]:
+                      layout: str = "archive", variables: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Returns ``{"cf", "summary", "report", "gap_stats", "filled"}`` (absent
-    entries when skipped); writes ``filled`` (or ``cf``) when ``out_path`` is set."""
+    entries when skipped); writes ``filled`` (or ``cf``) when ``out_path`` is set.
+    ``variables`` restricts the report and the fill (default: all CF variables).
+    The report carries the quality code of the archive variable behind each CF
+    variable (of the wind speed for the wind components)."""
     start, end = H.parse_bounds(start, end)          # date-only bounds get 00:00:00
     raw = H.read_hourly(spark, hourly_root, None if stations is None else list(stations), start, end,
                         units="raw", rmk_policy="none", layout=layout)
-    cf = to_cf(raw, ["station"], "ts", compat=compat)
+    codes = {v: rmk_col(CF_SOURCE.get(v, "sped")) for v in cf_variables()}
+    code_columns = list(dict.fromkeys(codes.values()))
+    cf = to_cf(raw, ["station"], "ts", compat=compat, extra=code_columns)
     if catalogue is not None:
         meta = catalogue.select(F.col("name_en").alias("station"), "lat", "lon", "elev_m")
         cf = OS.attach_station_meta(cf, meta, on="station", how="left")
         cf = QL.enforce_night_zero(cf, ["station"], "ts", "lat", "lon", list(NIGHT_ZERO_CF))
-    cf = cut_lineage(cf, "cf")
+    coded = cut_lineage(cf, "cf")
+    cf = coded.drop(*code_columns)
     out: dict[str, DataFrame] = {"cf": cf, "summary": summarize_missing(cf)}
-    variables = [v for v in cf_variables() if v in cf.columns]
+    chosen = list(cf_variables() if variables is None else variables)
+    unknown = [v for v in chosen if v not in codes]
+    if unknown:
+        raise ValueError(f"unknown variables: {unknown}")
     if not skip_check:
-        out["report"] = RP.missing_report(cf, ["station"], "ts", variables, missing_limit)
+        out["report"] = RP.missing_report(coded, ["station"], "ts", chosen, missing_limit, rmk=codes)
     result = cf
     if not skip_interpolate:
-        result = GP.fill_max_gap(cf, ["station"], "ts", variables, max_gap, method)
+        result = GP.fill_max_gap(cf, ["station"], "ts", chosen, max_gap, method)
         out["filled"] = result
-        long = GP.to_long(cf, ["station"], "ts", variables)
+        long = GP.to_long(cf, ["station"], "ts", chosen)
         out["gap_stats"] = GP.gap_stats(long, ["station", "variable"], "ts", "value", max_gap)
     if out_path:
         attrs = None
         if catalogue is not None:
             attrs = catalogue.select(F.col("name_en").alias("station"), "kanid", "lat", "lon", "elev_m")
-        keep = ["station", "ts"] + variables
+        keep = ["station", "ts", *cf_variables()]
         SK.write_cf(result.select(*keep), out_path, overwrite=overwrite, global_attrs=attrs)
     return out

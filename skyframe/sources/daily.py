@@ -27,15 +27,19 @@ def read_daily_raw(spark: SparkSession, root: str, stations: Sequence[str] | Non
     if layout == "partitioned":
         df = (spark.read.schema(daily_raw_schema()).option("header", False)
               .option("basePath", root).csv(root))
+        if years is not None:
+            df = df.filter(F.col("year").between(min(years), max(years)))
         df = df.withColumn("station", F.col("station").cast("string")).drop("year")
         if stations is not None:
             df = df.filter(F.col("station").isin(list(stations)))
     else:
-        patterns = ([f"{root.rstrip('/')}/*/*.csv"] if stations is None
-                    else existing(spark, hourly_patterns(root, stations, years)))
-        df = spark.read.schema(daily_raw_schema()).option("header", False).csv(patterns)
-        df = df.withColumn("station", F.regexp_extract(F.col("_metadata.file_path"),
-                                                       r"/([^/]+)/[^/]*?(\d{4})\.csv$", 1))
+        patterns = existing(spark, hourly_patterns(root, ["*"] if stations is None else stations, years))
+        if patterns:
+            df = spark.read.schema(daily_raw_schema()).option("header", False).csv(patterns)
+            df = df.withColumn("station", F.regexp_extract(F.col("_metadata.file_path"),
+                                                           r"/([^/]+)/[^/]*?(\d{4})\.csv$", 1))
+        else:
+            df = spark.createDataFrame([], daily_raw_schema()).withColumn("station", F.lit(""))
     for c in ["KanID", "KanID_1", "YYYY", "MM", "DD"] + [rmk_col(p) for p in DAILY_PAIRS]:
         df = df.withColumn(c, F.trim(F.col(c)).try_cast("int"))
     df = df.withColumn("date", F.make_timestamp_ntz("YYYY", "MM", "DD", F.lit(0), F.lit(0), F.lit(0)))

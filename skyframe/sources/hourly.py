@@ -68,10 +68,7 @@ def read_hourly_raw(spark: SparkSession, root: str, stations: Sequence[str] | No
         if years is not None:
             df = df.filter(F.col("year").between(min(years), max(years)))
         return _typed(df)
-    if stations is None:
-        patterns = [f"{root.rstrip('/')}/*/*.csv"]
-    else:
-        patterns = existing(spark, hourly_patterns(root, stations, years))
+    patterns = existing(spark, hourly_patterns(root, ["*"] if stations is None else stations, years))
     if not patterns:
         return spark.createDataFrame([], _typed_schema(spark))
     df = (spark.read.schema(hourly_raw_schema()).option("header", False)

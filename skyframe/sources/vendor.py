@@ -20,6 +20,7 @@ SUNSHINE = "日照時間(h)"
 DATE = "日付"
 HOUR = "時"
 WIND_WORD = "風向"
+ANY_YEAR = ["[0-9][0-9][0-9][0-9]"]
 
 
 def read_vendor_csv(spark: SparkSession, base: str, stations: Sequence[str] | None = None,
@@ -38,10 +39,8 @@ def read_vendor_csv(spark: SparkSession, base: str, stations: Sequence[str] | No
             df = df.filter(F.col("year").isin([int(y) for y in years]))
         return df
     base = base.rstrip("/") + "/"
-    if stations is None or years is None:
-        patterns = [f"{base}*/*_*.csv"]
-    else:
-        patterns = existing(spark, [f"{base}{y}/{s}_{y}.csv" for y in years for s in stations])
+    patterns = existing(spark, [f"{base}{y}/{s}_{y}.csv" for y in (ANY_YEAR if years is None else years)
+                                for s in (["*"] if stations is None else stations)])
     df = spark.read.option("header", True).option("inferSchema", False).csv(patterns)
     path = F.col("_metadata.file_path")
     return (df.withColumn("station", F.regexp_extract(path, r"/([^/]+)_(\d{4})\.csv$", 1))

@@ -68,4 +68,4 @@ def test_forcing_batch(spark, tmpdir_path):
 def test_rmk_description(spark):
     df = spark.createDataFrame([(8,), (1,), (42,)], "r int")
     got = [r.d for r in df.select(describe_rmk("r").alias("d")).collect()]
-    assert got[0] == "Normal observation value" and got[1] == "Missing" and got[2] is None
+    assert got[0] == "regular value" and got[1] == "missing" and got[2] is None

@@ -22,6 +22,7 @@ def test_station_chain(spark, tmpdir_path):
     assert cf.count() == 4 * 24          # no 2019 file, so 2020-01-01 00:00 has no row
     rep = out["report"].filter("variable = 'air_temperature'").collect()
     assert len(rep) == 5 and rep[0].total_missing >= 32
+    assert {r.rmk for r in out["report"].collect()} & {0, 1}     # the quality code comes along
     t = {r.ts.hour + 24 * (r.ts.day - 1): r.air_temperature for r in filled.collect()}
     assert t[6] is not None and t[11] is not None        # short gaps filled
     assert t[40] is None                                  # long gap kept
