@@ -14,8 +14,9 @@ lengths (at most ``capacity`` counts, whatever the number of documents):
 A plan line (*pattern*) says which lengths share a sequence and how many such
 sequences there are. Each consumption uses up some length, so the plan has few
 thousand lines at most. Pieces are numbered within their length (counts per salt
-and length, so that a frequent length is spread over many tasks) and the plan
-line of a number gives its sequence and offset.
+and length; a length has one salt more per ``SALT_ROWS`` pieces, so that the
+commonest length is spread over as many tasks as it needs) and the plan line of a
+number gives its sequence and offset.
 
 Defined results: a null text counts as empty; an empty document is one piece of
 length 1 (its end id); repeated rows are packed each; no rows give no plan.
@@ -34,7 +35,8 @@ from .common import carried, packed_rows, ship, written
 ship(__name__)
 
 CAPACITY = 2048
-SALTS = 16                  # numbering of a length is spread over so many groups
+SALTS = 16                  # numbering of a length is spread over so many groups at least,
+SALT_ROWS = 1 << 16         # and over one more per so many pieces
 CACHE = 300_000             # texts between blanks (and words) whose ids a task remembers
 END = b"\0\0\0\0"
 
@@ -226,14 +228,19 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[in
 def place(pieces: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (with a column ``length``; a table that reads the same each
     time) plus ``sequence_id`` and ``offset``. ``order`` names the columns that
-    number pieces of one length."""
-    spark = pieces.sparkSession
-    salted = pieces.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)).cast("int"))
-    counts = salted.groupBy("length", "__salt").agg(F.count("*").alias("n"))
-    # at most capacity x SALTS rows: numbers before each group of a length
-    before = counts.select("length", "__salt", (F.sum("n").over(
+    number pieces of one length; they should tell rows apart, also repeated ones.
+    Those whose names start with two underscores are left out of the result."""
+    own_columns = [c for c in pieces.columns if c not in order or not c.startswith("__")]
+    # at most ``capacity`` counts
+    totals = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    many = [x for n, c in totals.items() if c >= SALT_ROWS
+            for x in (F.lit(n).cast("long"), F.lit(SALTS + c // SALT_ROWS).cast("long"))]
+    salts = F.coalesce(F.create_map(*many)[F.col("length")], F.lit(SALTS)) if many else F.lit(SALTS).cast("long")
+    salted = pieces.withColumn("__salt", F.pmod(F.xxhash64(*order), salts).cast("int"))
+    # pieces with a smaller salt of the same length; distributed like the numbering
+    # below, so either this small side is broadcast or one exchange serves both
+    before = salted.groupBy("length", "__salt").agg(F.count("*").alias("n")).select("length", "__salt", (F.sum("n").over(
         Window.partitionBy("length").orderBy("__salt").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("__before"))
-    totals = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     lines, first, used = [], 0, {}
     for lengths, times in plan(totals, capacity):
         at = 0
@@ -247,10 +254,10 @@ def place(pieces: DataFrame, order: list[str], capacity: int = CAPACITY) -> Data
     by_length: dict[int, np.ndarray] = {}
     for length in used:                                     # lines of a length come in the order of their numbers
         by_length[length] = np.array([x[1:] for x in lines if x[0] == length], dtype=np.int64)
-    numbered = (salted.join(F.broadcast(before), ["length", "__salt"])
+    numbered = (salted.join(before, ["length", "__salt"])
                 .withColumn("__rank", F.col("__before") + F.row_number().over(
                     Window.partitionBy("length", "__salt").orderBy(*order)) - 1)
-                .select(F.struct(*pieces.columns).alias("row"), "length", "__rank"))
+                .select(F.struct(*own_columns).alias("row"), "length", "__rank"))
 
     def assign(batches):
         for batch in batches:
@@ -265,7 +272,7 @@ def place(pieces: DataFrame, order: list[str], capacity: int = CAPACITY) -> Data
                                              names=["row", "sequence_id", "offset"])
 
     placed = numbered.mapInArrow(assign, carried(numbered, "row", "sequence_id long, offset long"))
-    return placed.select(*[F.col(f"row.`{c}`").alias(c) for c in pieces.columns], "sequence_id", "offset")
+    return placed.select(*[F.col(f"row.`{c}`").alias(c) for c in own_columns], "sequence_id", "offset")
 
 
 def pack(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", keep: list[str] | None = None,
@@ -274,5 +281,6 @@ def pack(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", ke
     pieces = tokenize(docs, path, text, keep if keep is not None else [key], capacity)
     if not with_ids:
         pieces = pieces.drop("ids")
-    pieces = written(pieces, "pieces")
-    return place(pieces, [key, "piece", "start", "length", "ids_crc32"], capacity)
+    # written with a number of its own per row: repeated rows spread over the salts too
+    pieces = written(pieces.withColumn("__row_number", F.monotonically_increasing_id()), "pieces")
+    return place(pieces, ["__row_number"], capacity)

@@ -77,6 +77,16 @@ def test_tokens_and_packing(spark):
     assert PK.pack(frame(spark, []), path).count() == 0
 
 
+def test_frequent_length_of_repeated_rows_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(PK, "SALT_ROWS", 8)
+    out = PK.pack(frame(spark, [(1, "the same words again")] * 300), P.path("word_bpe_49k.json"), keep=["doc_id"])
+    assert "__row_number" not in out.columns
+    rows = out.collect()
+    places = {(r["sequence_id"], r["offset"]) for r in rows}
+    assert len(rows) == len(places) == 300
+    assert len({r["sequence_id"] for r in rows}) == -(-sum(r["length"] for r in rows) // 2048)
+
+
 def test_plan_uses_every_piece_once_and_fills_gaps():
     rng = random.Random(5)
     counts = {}
