@@ -79,7 +79,7 @@ def test_tokens_and_packing(spark):
 
 def test_frequent_length_of_repeated_rows_is_spread(spark, monkeypatch):
     monkeypatch.setattr(PK, "SALT_ROWS", 8)
-    out = PK.pack(frame(spark, [(1, "the same words again")] * 300), P.path("word_bpe_49k.json"), keep=["doc_id"])
+    out = PK.pack(frame(spark, [(1, "the same words again", "en", "web", 20)] * 300), P.path("word_bpe_49k.json"), keep=["doc_id"])
     assert "__row_number" not in out.columns
     rows = out.collect()
     places = {(r["sequence_id"], r["offset"]) for r in rows}
