@@ -42,3 +42,22 @@ def code_disagreements(data: DataFrame, catalogue: DataFrame, name: str, data_co
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A10: keys occurring more than once, with their count (empty = unique)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+
+
+def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` itself, after a check (one job) that no key occurs twice; raises
+    with a few of the repeated keys otherwise."""
+    found = duplicate_keys(df, keys).limit(5).collect()
+    if found:
+        raise ValueError(f"repeated keys: {[tuple(r) for r in found]}")
+    return df
+
+
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the smallest by the other columns in their order (nulls
+    first). Combined before the shuffle, so many copies of a key are one row."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    least = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__least"))
+    return least.select(*[F.col(c) if c in keys else F.col(f"__least.{c}").alias(c) for c in df.columns])

@@ -23,7 +23,7 @@ from ..operators import quality as QL
 from ..operators import report as RP
 from ..operators import series as SR
 from ..operators import stations as ST
-from ..schema import HOURLY_VARIABLES, RMK_DESCRIPTION, rmk_col
+from ..schema import HOURLY_VARIABLES, RMK_DESCRIPTION, missing_rmk_codes, rmk_col
 from . import events as EV
 from .events import (SQL_EV, SQL_GRID, SQL_OBS, SQL_OBSM, SQL_WIDE, sql_neighbours, sql_with)
 
@@ -1276,6 +1276,109 @@ def q_pick_and_drop_null(spark, sf):
     return SR.drop_null(SR.pick_variables(m, ["station", "ts"], ["kion", "sped"]), ["kion", "sped"])
 
 
+def _inner_days(spark, sf) -> tuple[str, str]:
+    """From the third day of the events to the start of their last day."""
+    days = _t(spark, sf, "events").agg(F.date_format(F.date_add(F.to_date(F.min("ts")), 2), "yyyy-MM-dd 00:00:00"),
+                                       F.date_format(F.date_trunc("day", F.max("ts")), "yyyy-MM-dd HH:mm:ss")).first()
+    return days[0], days[1]
+
+
+SQL_INNER = """inner_days AS (SELECT date_trunc('day', min(ts)) + INTERVAL 2 DAY AS lo, date_trunc('day', max(ts)) AS hi FROM ev)"""
+SQL_WRAW = SQL_WIDE.split(",\nw_b AS")[0]
+
+
+@query("raw_slice", sql_with(SQL_EV, SQL_WRAW, SQL_INNER) + """
+SELECT station, ts + INTERVAL 1 HOUR AS ts, """ + ", ".join(
+    [f"CAST({v} AS DOUBLE) AS {v}" for v in HOURLY_VARIABLES] + [rmk_col(v) for v in HOURLY_VARIABLES])
+    + " FROM wraw, inner_days WHERE ts + INTERVAL 1 HOUR BETWEEN lo AND hi")
+def q_raw_slice(spark, sf):
+    """S3: original archive rows of a time range, without grid or masking."""
+    from ..sources import hourly as H
+    back = H.read_hourly(spark, _write_archive(spark, sf), None, *_inner_days(spark, sf), raw=True, layout="partitioned")
+    return back.select(F.col("station").cast("long").alias("station"), "ts",
+                       *[U.num(v).alias(v) for v in HOURLY_VARIABLES], *[rmk_col(v) for v in HOURLY_VARIABLES])
+
+
+def _raw_units_sql() -> str:
+    values = [f"CASE WHEN coalesce(w.{rmk_col(v)}, 0) IN ({', '.join(map(str, sorted(missing_rmk_codes(v))))}) THEN NULL "
+              f"ELSE CAST(w.{v} AS DOUBLE) END AS {v}" for v in HOURLY_VARIABLES]
+    codes = [f"coalesce(w.{rmk_col(v)}, 0) AS {rmk_col(v)}" for v in HOURLY_VARIABLES]
+    return sql_with(SQL_EV, SQL_WRAW, SQL_INNER) + f"""
+SELECT g.station, g.ts, {', '.join(values + codes)}
+FROM (SELECT station, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS ts
+      FROM (SELECT DISTINCT station FROM wraw), inner_days) g
+LEFT JOIN wraw w ON w.station = g.station AND w.ts + INTERVAL 1 HOUR = g.ts"""
+
+
+@query("raw_units_grid", _raw_units_sql())
+def q_raw_units_grid(spark, sf):
+    """Packed units on the complete grid of a time range, masked by code."""
+    from ..sources import hourly as H
+    grid = H.read_hourly(spark, _write_archive(spark, sf), None, *_inner_days(spark, sf), units="raw", layout="partitioned")
+    return grid.select(F.col("station").cast("long").alias("station"), "ts",
+                       *[U.num(v).alias(v) for v in HOURLY_VARIABLES], *[rmk_col(v) for v in HOURLY_VARIABLES])
+
+
+@query("absent_station_years", sql_with(SQL_EV) + """
+SELECT s.station, CAST(y.year AS INTEGER) AS year
+FROM (SELECT DISTINCT station FROM ev) s,
+     (SELECT unnest(generate_series(min(year(ts)) - 1, max(year(ts)))) AS year FROM ev) y
+WHERE NOT EXISTS (SELECT 1 FROM ev WHERE ev.station = s.station AND year(ev.ts) = y.year)""")
+def q_absent_station_years(spark, sf):
+    """Requested station-years (one year before the first as well) without a file."""
+    from ..sources import hourly as H
+    years = _t(spark, sf, "events").select(F.col("user_id").alias("station"), F.year("ts").alias("y"))
+    span = years.agg(F.min("y").alias("lo"), F.max("y").alias("hi")).first()
+    asked = years.select("station").distinct().withColumn(
+        "year", F.explode(F.sequence(F.lit(span["lo"] - 1), F.lit(span["hi"]))))
+    absent = H.absent_station_years(spark, _write_archive(spark, sf), asked, layout="partitioned")
+    return absent.select(F.col("station").cast("long").alias("station"), "year")
+
+
+def _sexagesimal_sql(degrees: str) -> str:
+    return f"round({degrees} + (c_custkey % 60) / 60 + (c_custkey * 7 % 60) / 3600, 9)"
+
+
+@query("station_catalogue", f"""
+SELECT c_name AS name_en, CAST(c_custkey AS INTEGER) AS kanid, c_name AS name_ja,
+  {_sexagesimal_sql('20 + c_custkey % 26')} AS lat, {_sexagesimal_sql('122 + c_custkey % 32')} AS lon,
+  c_acctbal AS elev_m, c_acctbal AS baro_height_m, (c_custkey % 1990) / 10 AS anemo_height_m,
+  CAST(1.5 AS DOUBLE) AS temp_height_m FROM customer""")
+def q_station_catalogue(spark, sf):
+    """S7 and F-1: a catalogue CSV derived from the customers, read with its
+    columns renamed and its coordinates decoded."""
+    from ..schema import STATION_COLUMNS
+    from ..sources.stations import load_stations
+
+    def sexagesimal(degrees):
+        return F.format_string("%d.%02d%02d", degrees, F.col("c_custkey") % 60, F.col("c_custkey") * 7 % 60)
+
+    k = F.col("c_custkey")
+    values = ["c_name", "c_custkey", "c_name", sexagesimal(20 + k % 26), sexagesimal(122 + k % 32), "c_acctbal", "c_acctbal",
+              (k % 1990) / 10, F.lit(1.5)]
+    path = _scratch(spark, "stations")
+    (_t(spark, sf, "customer").select(*[(F.col(v) if isinstance(v, str) else v).alias(n) for n, v in zip(STATION_COLUMNS, values)])
+     .write.option("header", True).csv(path))
+    return load_stations(spark, path).withColumns({c: F.round(c, 9) for c in ("lat", "lon")})
+
+
+@query("station_lookup", """
+SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_name = 'Customer#000000007' ORDER BY c_custkey LIMIT 1""")
+def q_station_lookup(spark, sf):
+    """O3: the catalogue row of one name."""
+    return ST.lookup_station(_t(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey"), "Customer#000000007", "c_name")
+
+
+@query("one_row_per_hour", sql_with("""e AS (SELECT user_id AS station, date_trunc('hour', ts) AS ts, event_id, value FROM events)""") + """
+SELECT station, ts, event_id, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY station, ts ORDER BY event_id) AS r FROM e) WHERE r = 1""")
+def q_one_row_per_hour(spark, sf):
+    """Rows that repeat a station and time are reduced to one defined row."""
+    e = _t(spark, sf, "events").select(F.col("user_id").alias("station"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"),
+                                       "event_id", "value")
+    return ST.require_unique(ST.one_per_key(e, ["station", "ts"]), ["station", "ts"])
+
+
 @query("station_chain")
 def q_station_chain(spark, sf):
     """S15 on derived archive files: read -> year grid (clipped to the days of the events) ->

@@ -25,11 +25,11 @@ def read_daily_raw(spark: SparkSession, root: str, stations: Sequence[str] | Non
     ``layout="partitioned"`` (``{root}/station=../year=../*.csv``)."""
     years = list(range(_dt(start).year, _dt(end).year + 1)) if start and end else None
     if layout == "partitioned":
-        df = (spark.read.schema(daily_raw_schema()).option("header", False)
-              .option("basePath", root).csv(root))
+        df = (spark.read.schema(daily_raw_schema().add("station", "string").add("year", "integer"))
+              .option("header", False).option("basePath", root).csv(root))
         if years is not None:
             df = df.filter(F.col("year").between(min(years), max(years)))
-        df = df.withColumn("station", F.col("station").cast("string")).drop("year")
+        df = df.drop("year")
         if stations is not None:
             df = df.filter(F.col("station").isin(list(stations)))
     else:

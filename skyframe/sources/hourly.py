@@ -60,9 +60,9 @@ def read_hourly_raw(spark: SparkSession, root: str, stations: Sequence[str] | No
     :func:`skyframe.sources.sinks.write_hourly_csv` (partition pruning on both)."""
     years = year_span(start, end, pad) if start is not None and end is not None else None
     if layout == "partitioned":
-        df = (spark.read.schema(hourly_raw_schema()).option("header", False)
-              .option("mode", "PERMISSIVE").option("basePath", root).csv(root))
-        df = df.withColumn("station", F.col("station").cast("string"))
+        # the partition types are given: inferred ones would turn station "0123" into 123
+        df = (spark.read.schema(hourly_raw_schema().add("station", "string").add("year", "integer"))
+              .option("header", False).option("mode", "PERMISSIVE").option("basePath", root).csv(root))
         if stations is not None:
             df = df.filter(F.col("station").isin(list(stations)))
         if years is not None:
@@ -79,6 +79,25 @@ def read_hourly_raw(spark: SparkSession, root: str, stations: Sequence[str] | No
     return _typed(df)
 
 
+def station_years(spark: SparkSession, root: str, layout: str = "archive") -> DataFrame:
+    """(station, year) of the files below ``root``. The files are listed, not read."""
+    path = F.col("path")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.csv").load(root).select("path"))
+    pattern = r"/station=([^/]+)/year=(\d+)/[^/]+$" if layout == "partitioned" else r"/([^/]+)/[^/]*?(\d{4})\.csv$"
+    return (files.select(F.regexp_extract(path, pattern, 1).alias("station"),
+                         F.regexp_extract(path, pattern, 2).try_cast("int").alias("year"))
+            .where(F.col("year").isNotNull()).distinct())
+
+
+def absent_station_years(spark: SparkSession, root: str, requested: DataFrame,
+                         layout: str = "archive") -> DataFrame:
+    """The (station, year) rows of ``requested`` that have no file: what a read
+    of them leaves out."""
+    asked = requested.select(F.col("station").cast("string"), F.col("year").cast("int")).distinct()
+    return asked.join(station_years(spark, root, layout), ["station", "year"], "left_anti")
+
+
 def _typed(df: DataFrame) -> DataFrame:
     ints = ["KanID", "KanID_1", "YYYY", "MM", "DD", "HH"] + [rmk_col(v) for v in HOURLY_VARIABLES]
     out = df.withColumns({c: F.trim(F.col(c)).try_cast("int") for c in ints})

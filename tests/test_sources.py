@@ -261,3 +261,23 @@ def test_cf_store_keeps_other_stations(spark, tmpdir_path):
         SK.write_cf(of("A", 4), path)
     assert {(r.station, r.kion) for r in SK.read_cf(spark, path, ["kion"]).collect()} == {("A", 1.0), ("B", 3.0)}
     assert spark.read.parquet(f"{path}/_global").count() == 2
+
+
+def test_partitioned_station_keeps_leading_zeros_and_absent_years(spark, tmp_path):
+    from skyframe.operators.stations import one_per_key, require_unique
+    from skyframe.schema import HOURLY_COLUMNS
+    from skyframe.sources import hourly as H
+    row = {c: "8" if c.endswith("RMK") else "1" for c in HOURLY_COLUMNS}
+    row.update(Kname="x", YYYY="2020", MM="1", DD="1", HH="24")
+    df = spark.createDataFrame([{**row, "station": "0123", "year": 2020}])
+    path = str(tmp_path / "archive")
+    df.select("station", "year", *HOURLY_COLUMNS).write.partitionBy("station", "year").option("header", False).csv(path)
+    back = H.read_hourly_raw(spark, path, ["0123"], layout="partitioned")
+    assert [(r["station"], r["year"]) for r in back.select("station", "year").collect()] == [("0123", 2020)]
+    asked = spark.createDataFrame([("0123", 2020), ("0123", 2021), ("9", 2020)], "station string, year int")
+    absent = H.absent_station_years(spark, path, asked, layout="partitioned").collect()
+    assert {tuple(r) for r in absent} == {("0123", 2021), ("9", 2020)}
+    twice = spark.createDataFrame([("a", 1, 5), ("a", 1, 3), ("b", 1, None)], "k string, t int, v int")
+    assert {tuple(r) for r in require_unique(one_per_key(twice, ["k", "t"]), ["k", "t"]).collect()} == {("a", 1, 3), ("b", 1, None)}
+    with pytest.raises(ValueError):
+        require_unique(twice, ["k", "t"])
