@@ -49,7 +49,12 @@ def carried(row: DataFrame, name: str, ddl: str) -> StructType:
     return StructType([row.schema[name], *StructType.fromDDL(ddl).fields])
 
 
-def packed_rows(batch, size: int = 8 << 20, column: str = "text"):
+def text_column(batch, column: str = "text", row: str | None = None):
+    """The column, or where ``row`` is given the field ``column`` of that struct."""
+    return batch.column(column) if row is None else batch.column(row).field(column)
+
+
+def packed_rows(batch, size: int = 8 << 20, column: str = "text", row: str | None = None):
     """Split an Arrow batch into runs of rows whose texts hold about ``size``
     bytes, so that work memory follows bytes and not row counts."""
     import numpy as np
@@ -57,7 +62,8 @@ def packed_rows(batch, size: int = 8 << 20, column: str = "text"):
     if n == 0:
         return
     import pyarrow.compute as pc
-    lens = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lens = pc.fill_null(pc.binary_length(text_column(batch, column, row)), 0)
+    lens = np.asarray(lens.to_numpy(zero_copy_only=False), dtype=np.int64)
     ends = np.cumsum(lens)
     start = 0
     while start < n:

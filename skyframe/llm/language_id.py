@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import carried, packed_rows, ship
+from .common import carried, packed_rows, ship, text_column
 
 ship(__name__)
 
@@ -208,12 +208,15 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
     """``keep`` columns (default: all) plus the predicted language and a score.
     Columns of ``docs`` named like the two new ones are replaced."""
     cols = [c for c in (keep if keep is not None else docs.columns) if c not in (pred, score)]
-    src = docs.select(F.col(text).alias("__text"), F.struct(*[F.col(c) for c in cols] or [F.lit(0).alias("_")])
-                      .alias("__row"))
+    # a text that is kept goes to Python once, as a field of its row
+    field, row = (text, "__row") if text in cols else ("__text", None)
+    src = docs.select(*([] if row else [F.col(text).alias("__text")]),
+                      F.struct(*[F.col(c) for c in cols] or [F.lit(0).alias("_")]).alias("__row"))
+
     def run(batches):
         for batch in batches:
-            for part in packed_rows(batch, BLOCK_BYTES, "__text"):
-                langs, values = model.score(part.column("__text").to_pylist())
+            for part in packed_rows(batch, BLOCK_BYTES, field, row):
+                langs, values = model.score(text_column(part, field, row).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("__row"), pa.array(langs, pa.string()), pa.array(values, pa.float64())],
                     names=["__row", "__pred", "__score"])

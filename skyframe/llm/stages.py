@@ -41,8 +41,10 @@ def simhash_stage(spark, docs, sf_dir):
 
 def secret_stage(spark, docs, sf_dir):
     """Every span is replaced by a mark; no document goes."""
-    found = SS.find_secrets(docs.select("*", F.col("text").alias("__scan")), text="__scan")
-    return found.select(*_with_text(docs, F.col("redacted")))
+    # the other columns travel as one struct, so none can clash, and the text goes once each way
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != "text"] or [F.lit(0).alias("_")]).alias("__others"), "text")
+    found = SS.find_secrets(rows, keep=["__others"]).select("__others.*", F.col("redacted").alias("text"))
+    return found.select(*_with_text(docs, F.col("text")))
 
 
 def packing_stage(spark, docs, sf_dir):
