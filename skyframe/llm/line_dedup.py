@@ -14,6 +14,11 @@ source are inside a longer run and are skipped. What is left are the maximal
 repeated runs (document, start, lines) with their source. Runs that hold at least
 ``MIN_CHARS`` characters besides white space are deleted; first copies stay.
 
+Characters are added up along the doubling levels, and overlapping runs are merged
+as pairs of start and end: the lines of a run are never listed, so a document of n
+equal lines, whose n - 1 later lines each start a run of up to n lines, costs
+n log n rows.
+
 A line is the text between ``\\n``; lines are equal when they are equal without
 the white space at their ends. Defined results: a null or empty text has no runs;
 a null document id sorts last; rows with the same id and the same text are one
@@ -22,9 +27,9 @@ document (both get the same verdict); a document that loses all its lines goes.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import ship, written
+from .common import let, ship, written
 
 ship(__name__)
 
@@ -60,19 +65,21 @@ def _first(rows: DataFrame, by: list[str]) -> DataFrame:
     place = F.struct("o", "d", "p")
     heads = (rows.groupBy(*by).agg(F.min(place).alias("f"), F.count("*").alias("__n")).where("__n > 1")
              .select(*by, "f"))
-    return rows.join(heads, by).select("o", "d", "p", F.col("f.o").alias("o1"), F.col("f.d").alias("d1"),
+    return rows.join(heads, by).select("o", "d", "p", "n", F.col("f.o").alias("o1"), F.col("f.d").alias("d1"),
                                        F.col("f.p").alias("p1"))
 
 
 def doubled(lines: DataFrame) -> list[DataFrame]:
     """Level j: positions (o, d, p) whose 2^j lines occur twice or more, with
-    the first position (o1, d1, p1) of the same lines."""
-    levels = [written(_first(lines.select("o", "d", "p", "h", "c"), ["h", "c"]), "rank-1")]
+    the characters n of those lines and the first position (o1, d1, p1) of the
+    same lines."""
+    levels = [written(_first(lines, ["h", "c"]), "rank-1")]
     k = 1
     while True:
         here = levels[-1]
-        ahead = here.select("o", "d", (F.col("p") - k).alias("p"), *[F.col(c).alias(f"{c[0]}2") for c in ("o1", "d1", "p1")])
-        pairs = here.join(ahead, ["o", "d", "p"])
+        ahead = here.select("o", "d", (F.col("p") - k).alias("p"), *[F.col(c).alias(f"{c[0]}2") for c in ("o1", "d1", "p1")],
+                            F.col("n").alias("n2"))
+        pairs = here.join(ahead, ["o", "d", "p"]).withColumn("n", F.col("n") + F.col("n2")).drop("n2")
         level = written(_first(pairs, ["o1", "d1", "p1", "o2", "d2", "p2"]), f"rank-{2 * k}")
         if level.isEmpty():
             return levels
@@ -81,15 +88,15 @@ def doubled(lines: DataFrame) -> list[DataFrame]:
 
 
 def maximal_runs(levels: list[DataFrame]) -> DataFrame:
-    """(o, d, p, n_lines, o1, d1, p1): the later copies, each as the longest run
-    it has in common with its source."""
+    """(o, d, p, n_lines, n, o1, d1, p1): the later copies, each as the longest run
+    it has in common with its source, with the run's characters n."""
     later = (F.col("o1") != F.col("o")) | (F.col("d1") != F.col("d")) | (F.col("p1") != F.col("p"))
     best = None
     for j, level in enumerate(levels):
         own = level.where(later).withColumn("j", F.lit(j))
         best = own if best is None else best.unionByName(own)
     # the longest named prefix of every later copy
-    best = best.groupBy("o", "d", "p").agg(F.max_by(F.struct("o1", "d1", "p1", "j"), "j").alias("s")).select(
+    best = best.groupBy("o", "d", "p").agg(F.max_by(F.struct("o1", "d1", "p1", "j", "n"), "j").alias("s")).select(
         "o", "d", "p", "s.*")
     best = written(best, "later")
     # inside a longer run: the line before is a later copy with the source before
@@ -102,30 +109,38 @@ def maximal_runs(levels: list[DataFrame]) -> DataFrame:
     # longest common prefix with the source: descend the levels
     for j in range(len(levels) - 2, -1, -1):
         names = levels[j].select(F.col("o").alias("a"), F.col("d").alias("b"), F.col("p").alias("q"),
-                                 F.struct("o1", "d1", "p1").alias("name"))
-        mine = names.select(F.col("a").alias("o"), F.col("b").alias("d"), F.col("q").alias("__at"), F.col("name").alias("__mine"))
+                                 F.struct("o1", "d1", "p1").alias("name"), F.col("n").alias("more"))
+        mine = names.select(F.col("a").alias("o"), F.col("b").alias("d"), F.col("q").alias("__at"), F.col("name").alias("__mine"),
+                            F.col("more").alias("__n"))
         theirs = names.select(F.col("a").alias("o1"), F.col("b").alias("d1"), F.col("q").alias("__at1"),
                               F.col("name").alias("__theirs"))
+        longer = (F.col("j") > j) & (F.col("__mine") == F.col("__theirs"))
         runs = (runs.withColumn("__at", (F.col("p") + F.col("n_lines")).cast("int"))
                 .withColumn("__at1", (F.col("p1") + F.col("n_lines")).cast("int"))
                 .join(mine, ["o", "d", "__at"], "left").join(theirs, ["o1", "d1", "__at1"], "left")
-                .withColumn("n_lines", F.col("n_lines") + F.when((F.col("j") > j) & (F.col("__mine") == F.col("__theirs")),
-                                                                 F.lit(1 << j)).otherwise(F.lit(0)))
-                .drop("__at", "__at1", "__mine", "__theirs"))
-    return runs.select("o", "d", "p", "n_lines", "o1", "d1", "p1")
+                .withColumns({"n_lines": F.col("n_lines") + F.when(longer, F.lit(1 << j)).otherwise(F.lit(0)),
+                              "n": F.col("n") + F.when(longer, F.col("__n")).otherwise(F.lit(0))})
+                .drop("__at", "__at1", "__mine", "__theirs", "__n"))
+    return runs.select("o", "d", "p", "n_lines", "n", "o1", "d1", "p1")
 
 
 def deleted_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_chars: int = MIN_CHARS) -> DataFrame:
-    """(o, d, gone, n_runs): per document the sorted numbers of its deleted lines."""
+    """(o, d, gone, n_runs): per document its deleted lines as sorted, disjoint
+    pairs (s, e) of first line and the line after the last one."""
     lines = line_table(docs, text, key)
-    runs = written(maximal_runs(doubled(lines)), "runs")
-    spread = (runs.select("o", "d", F.col("p").alias("run"),
-                          F.explode(F.sequence(F.col("p"), (F.col("p") + F.col("n_lines") - 1).cast("int"))).alias("p")))
-    sized = spread.join(lines.select("o", "d", "p", "n"), ["o", "d", "p"])
-    long_runs = sized.groupBy("o", "d", "run").agg(F.sum("n").alias("n"), F.collect_list("p").alias("ps")).where(
-        F.col("n") >= min_chars)
-    return long_runs.groupBy("o", "d").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ps")))).alias("gone"),
-                                           F.count("*").alias("n_runs"))
+    runs = maximal_runs(doubled(lines)).where(F.col("n") >= min_chars)
+    # of the runs that end at one line the longest covers the others
+    ends = runs.groupBy("o", "d", (F.col("p") + F.col("n_lines")).cast("int").alias("e")).agg(
+        F.min("p").alias("s"), F.count("*").alias("n"))
+    # overlapping pairs are merged: a pair that starts behind all ends so far opens a new one
+    # (pairs of one document; they end in its row)
+    order = Window.partitionBy("o", "d").orderBy("s", "e")
+    reach = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opened = ends.withColumn("new", F.coalesce((F.col("s") > reach).cast("long"), F.lit(1).cast("long")))
+    parts = (opened.withColumn("part", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+             .groupBy("o", "d", "part").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("n").alias("n")))
+    return parts.groupBy("o", "d").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("gone"),
+                                       F.sum("n").alias("n_runs"))
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_chars: int = MIN_CHARS) -> DataFrame:
@@ -135,8 +150,14 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_ch
     o, d = _document(key, text)
     tagged = docs.withColumn("__o", o).withColumn("__d", d)
     found = gone.select(F.col("o").alias("__o"), F.col("d").alias("__d"), F.col("gone").alias("__gone"), F.col("n_runs").alias("__runs"))
-    kept = F.array_join(F.transform(F.filter(
-        F.transform(F.split(F.col(text), "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
-        lambda s: ~F.array_contains("__gone", s["i"])), lambda s: s["x"]), "\n")
+    # what stays: the lines from the end of one pair to the start of the next one
+    edges = lambda at: F.concat(
+        F.array(F.struct(F.lit(0).alias("s"), F.lit(0).alias("e"))), F.col("__gone"),
+        F.array(F.struct(at.alias("s"), at.alias("e"))))
+    kept = let(F.split(F.col(text), "\n"), lambda xs: let(edges(F.size(xs)), lambda gs: F.array_join(F.flatten(F.transform(
+        F.sequence(F.lit(1), F.size(gs) - 1),
+        lambda i: F.slice(xs, F.get(gs, i - 1)["e"] + 1, F.get(gs, i)["s"] - F.get(gs, i - 1)["e"]))), "\n")))
+    numbers = F.flatten(F.transform("__gone", lambda g: F.sequence(g["s"], g["e"] - 1)))
     return (tagged.join(found, ["__o", "__d"], "left").drop("__o", "__d")
-            .withColumn("__kept", F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept)))
+            .withColumn("__kept", F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept))
+            .withColumn("__gone", numbers))

@@ -165,6 +165,16 @@ def test_line_runs(spark):
     assert LD.dedup_lines(frame(spark, [])).count() == 0
 
 
+def test_long_texts_of_repeated_lines(spark):
+    """50000 equal or periodic lines: about 1.25e9 (line, run) pairs if runs were listed line by line."""
+    n = 50000
+    texts = ["\n".join(["the same"] * n), "\n" * n + "the end", "\n".join(f"row {i % 7} of seven" for i in range(n))]
+    out = {r["doc_id"]: r for r in LD.dedup_lines(frame(spark, rows(texts))).collect()}
+    assert out[0]["__gone"] == list(range(1, n)) and out[0]["__kept"] == "the same"
+    assert out[1]["__gone"] is None and out[1]["__kept"] == texts[1]
+    assert out[2]["__gone"] == list(range(7, n)) and out[2]["__kept"] == "\n".join(texts[2].split("\n")[:7])
+
+
 def test_one_row_stays_of_every_group(spark):
     """Rows without an id, rows of one id with different texts, repeated rows."""
     rng = random.Random(9)
