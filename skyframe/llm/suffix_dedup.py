@@ -19,7 +19,11 @@ equal places). So suffixes (window starts) fall into buckets by anchor:
    in a difference cover D are ranked by their next LENGTH - PERIOD bytes, and any
    two windows have a common shift below PERIOD that takes both onto sample
    positions, so one look at two ranks decides. Memory is one bounded block of
-   buckets, not a suffix array.
+   buckets, not a suffix array: a bucket of more than HOT_ROWS distinct contexts (a
+   frequent passage below LENGTH bytes with ever other neighbours) is not sorted as
+   a whole. Its windows become rows dealt out by (bucket, 128-bit digest of the
+   window) and counted per digest, so it spreads over all tasks; one window is about
+   one row of a context's up to LENGTH - GRAM + 1, and none is left out.
 4. A window that equals another one marks its bytes; marks of a document are
    joined, and the kept bytes are cut out.
 
@@ -34,7 +38,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import carried, packed_rows, ship, written
 
@@ -45,6 +49,7 @@ GRAM = 32
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)      # a perfect difference set modulo 31: every remainder is a difference
 BLOCK_ROWS = 6000                   # contexts that are sorted together (whole buckets)
+HOT_ROWS = 2000                     # contexts of a bucket that is still sorted as a whole
 PIECE = 2 << 20                     # bytes of texts handled at once
 PLACE_BITS = 24                     # places in a stretch of text whose anchors are found at once
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -161,6 +166,21 @@ def contexts_of_texts(batches):
                     held = []
 
 
+def windows_of_texts(batches):
+    """(bucket, context, copies, at, digest): every window of the runs that a
+    text is asked for."""
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    for batch in contexts_of_texts(batches):
+        for lo in range(0, batch.num_rows, 500):
+            part = batch.slice(lo, 500)
+            rows = []
+            for b, c, n, block in zip(*(part.column(k).to_pylist() for k in ("bucket", "context", "copies", "bytes"))):
+                rows += [(b, c, n, at, hashlib.blake2b(block[at:at + LENGTH], digest_size=16).digest())
+                         for at in range(len(block) - LENGTH + 1)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)],
+                                             names=["bucket", "context", "copies", "at", "digest"])
+
+
 def _rows_of(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     """The ``size`` bytes from every position as one fixed-size string each."""
     view = np.lib.stride_tricks.sliding_window_view(data, size)[at]
@@ -231,7 +251,7 @@ def _codes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def sorted_buckets(batches):
     """(bucket, context, windows): rows come sorted by bucket; whole buckets are
-    gathered to blocks of about BLOCK_ROWS contexts and sorted."""
+    gathered to blocks of less than BLOCK_ROWS + HOT_ROWS contexts and sorted."""
     def emit(buckets, contexts, copies, blocks):
         found = repeated_windows(np.array(buckets, dtype=np.int64), blocks)
         b, c, spans = [], [], []
@@ -258,6 +278,13 @@ def sorted_buckets(batches):
         yield emit(*held)
 
 
+def _edges(ats: str) -> Column:
+    """[a, b, a, b, ...]: the runs [a, b) of sorted distinct numbers."""
+    starts = F.filter(ats, lambda x, i: (i == 0) | (F.get(F.col(ats), i - 1) < x - 1))
+    ends = F.transform(F.filter(ats, lambda x, i: (i == F.size(ats) - 1) | (F.get(F.col(ats), i + 1) > x + 1)), lambda x: x + 1)
+    return F.flatten(F.zip_with(starts, ends, lambda a, b: F.array(a, b)))
+
+
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """(u, spans): per text (u, raw) with repeats, the byte ranges [start, end,
     start, end, ...] that its repeated windows cover."""
@@ -271,16 +298,33 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     # distinct contexts, combined before the shuffle, each with one text that holds it
     contexts = written(live.groupBy("bucket", "context", "mixed").agg(
         F.count("*").alias("copies"), F.min("u").alias("u"), F.min_by("place", "u").alias("place")), "contexts")
-    whole = contexts.where("not mixed").select("bucket", "context", F.array(
-        F.lit(0), F.col("place").bitwiseAND(F.lit(0xFFFF)).cast("int")).alias("windows"))
-    asked = contexts.where("mixed").groupBy("u").agg(
-        F.collect_list(F.struct("bucket", "context", "copies", "place")).alias("asked"))
-    # the same exchange of the texts (with all columns) serves this join and the last one
-    fetched = (texts.join(asked, "u").select("row", "raw", "asked")
-               .mapInArrow(contexts_of_texts, "bucket long, context long, copies long, bytes binary"))
-    mixed = (fetched.repartition("bucket").sortWithinPartitions("bucket")
+    several = contexts.where("mixed")
+    hot = written(several.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > HOT_ROWS).select("bucket"), "hot")
+    crowded = several.join(hot, "bucket", "left_semi")
+
+    def whole(rows):
+        return rows.select("bucket", "context", F.array(
+            F.lit(0), F.col("place").bitwiseAND(F.lit(0xFFFF)).cast("int")).alias("windows"))
+
+    def asked(rows):
+        # the same exchange of the texts (with all columns) serves these joins and the last one
+        wanted = rows.groupBy("u").agg(F.collect_list(F.struct("bucket", "context", "copies", "place")).alias("asked"))
+        return texts.join(wanted, "u").select("row", "raw", "asked")
+
+    mixed = (asked(several.join(hot, "bucket", "left_anti"))
+             .mapInArrow(contexts_of_texts, "bucket long, context long, copies long, bytes binary")
+             .repartition("bucket").sortWithinPartitions("bucket")
              .mapInArrow(sorted_buckets, "bucket long, context long, windows array<int>"))
-    found = whole.unionByName(mixed)
+    found = whole(contexts.where("not mixed")).unionByName(mixed)
+    if not hot.isEmpty():
+        windows = asked(crowded).mapInArrow(
+            windows_of_texts, "bucket long, context long, copies long, at int, digest binary")
+        marked = (windows.withColumn("n", F.count("*").over(Window.partitionBy("bucket", "digest")))
+                  .where("n > 1 AND copies = 1").groupBy("bucket", "context")
+                  .agg(F.sort_array(F.collect_list("at")).alias("ats"))
+                  .select("bucket", "context", _edges("ats").alias("windows")))
+        # a context that stands elsewhere too is repeated as a whole
+        found = found.unionByName(whole(crowded.where("copies > 1"))).unionByName(marked)
     # windows [a, b) of a run cover the bytes [at + a, at + b + LENGTH - 1)
     at = F.shiftright("place", 16)
     spans = F.transform("windows", lambda x, i: at + x + F.when(i % 2 == 1, F.lit(LENGTH - 1)).otherwise(F.lit(0)))

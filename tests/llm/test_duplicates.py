@@ -43,6 +43,28 @@ def test_repeated_substrings(spark):
     assert SD.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_hot_bucket_is_not_sorted_as_a_whole(spark, monkeypatch):
+    """Passages below and above LENGTH bytes in every text, with other neighbours each time."""
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    short, long = word(180), word(230)
+    texts = [word(150) + short + word(150) for _ in range(60)] + [word(90) + long + word(90) for _ in range(30)]
+    texts += ["x" + texts[0][20:], texts[1], texts[2][:400] + "q", texts[70][30:], "ab" * 150]
+    data = rows(texts)
+    monkeypatch.setattr(SD, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(SD, "HOT_ROWS", 4, raising=False)
+    sort = SD.repeated_windows
+
+    def bounded(bucket, blocks):
+        assert len(blocks) < 8 + 4
+        return sort(bucket, blocks)
+
+    monkeypatch.setattr(SD, "repeated_windows", bounded)
+    out = sorted(SD.remove_repeats(frame(spark, data), keep=["doc_id"]).collect(), key=lambda r: r["doc_id"])
+    assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out] == brute_repeats(
+        [t.encode() for t in texts], 200)
+
+
 def test_cover_sees_every_pair_of_remainders():
     s = SD.shift_table()
     for i in range(SD.PERIOD):
