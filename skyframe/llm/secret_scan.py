@@ -5,7 +5,8 @@ text. Values that stand in a credential context (``pwd: ...``, ``login = ...``,
 the password of a URL) and are not inside a pattern match are rated by the number
 of guesses an attacker needs: a dynamic programme finds the cheapest segmentation
 of the value into dictionary words, dates, repeats, keyboard walks and brute-force
-spans, and values that cost at least ``MIN_LOG10_GUESSES`` are reported as kind
+spans. The dictionary holds common password words and the most frequent words of the
+corpus, counted over all documents outside credential values. Values that cost at least ``MIN_LOG10_GUESSES`` are reported as kind
 ``guess``. Every pattern match stays in the result.
 
 Positions are code points, ends exclusive. Defined results: null and empty texts
@@ -27,7 +28,8 @@ from .common import carried, packed_rows, ship
 ship(__name__)
 
 MIN_LOG10_GUESSES = 9.0     # values that cost less are placeholders, dates or plain words
-LETTERS_ONLY = 0.6          # log10 guesses a character of a value of letters only (about two bits)
+DICTIONARY = 20000          # most frequent corpus words that are taken as plain words
+MIN_DOCS = 5                # documents that hold such a word at least
 WALK_MAX = 24               # keys of a keyboard walk
 JOIN = math.log10(2)        # cost of one more segment
 KINDS = ("assign", "access", "hex", "guess")
@@ -43,7 +45,7 @@ ASSIGN_KEYS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key
 # Credential contexts whose values the guess cost is computed for.
 CONTEXT = re.compile(
     r"""(?ai:\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api_?key|credentials?|auth|login|pin))["']?[ \t]*[:=][ \t]*["']?([^\s"'<>,;]{4,})"""
-    r"""|://[^\s:/@]{1,64}:([^\s/@]{4,})@""")
+    r"""|://[^\s:/@]+:([^\s/@]{4,})@""")
 CONTEXT_KEYS = (b"pass", b"pwd", b"secret", b"token", b"apikey", b"api_key", b"credential", b"auth", b"login",
                 b"pin", b"://")
 
@@ -69,14 +71,12 @@ def _walks() -> dict[str, set[str]]:
 
 NEAR = _walks()
 RANK = {w: i + 1 for i, w in enumerate(WORDS)}
-LONGEST_WORD = max(map(len, WORDS))
+LONGEST_WORD = 24           # letters of a word
 DATE = re.compile(r"(?a:(?:19|20)\d\d(?:[-./]?(?:0[1-9]|1[0-2])(?:[-./]?(?:0[1-9]|[12]\d|3[01]))?)?"
                   r"|(?:0?[1-9]|[12]\d|3[01])[-./](?:0?[1-9]|1[0-2])[-./](?:19|20)?\d\d)")
 
 
 def _alphabet(value: str) -> float:
-    if value.isalpha():
-        return LETTERS_ONLY
     size = 0
     size += 26 * any("a" <= c <= "z" for c in value)
     size += 26 * any("A" <= c <= "Z" for c in value)
@@ -86,7 +86,7 @@ def _alphabet(value: str) -> float:
     return math.log10(max(size, 2))
 
 
-def segments(value: str):
+def segments(value: str, ranks: dict[str, int] = RANK):
     """The spans other than brute force: (start, end, log10 guesses). Words,
     plain or with letters written as digits, dates, keyboard walks of at most
     ``WALK_MAX`` keys, and repeats (from the start of the repeated run)."""
@@ -97,7 +97,7 @@ def segments(value: str):
     for i in range(n):
         for j in range(i + 3, min(n, i + LONGEST_WORD) + 1):
             for form, extra in ((low, 0.0), (plain, math.log10(4))):
-                rank = RANK.get(form[i:j])
+                rank = ranks.get(form[i:j])
                 if rank:
                     case = 0.0
                     if value[i:j] != low[i:j]:
@@ -121,7 +121,7 @@ def segments(value: str):
                     yield i, j, unit * one + math.log10((j - i) // unit)
 
 
-def log10_guesses(value: str) -> float:
+def log10_guesses(value: str, ranks: dict[str, int] = RANK) -> float:
     """log10 of the guesses for the cheapest segmentation of ``value``, by
     dynamic programming over its ends. Every segment costs ``JOIN`` on top of
     its own guesses; a brute-force span costs one symbol of the value's
@@ -131,7 +131,7 @@ def log10_guesses(value: str) -> float:
         return 0.0
     one = _alphabet(value)
     edges: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]      # end -> (start, log10 guesses)
-    for i, j, guesses in segments(value):
+    for i, j, guesses in segments(value, ranks):
         edges[j].append((i, guesses))
     least = [0.0] + [math.inf] * n                                         # of the first i characters
     brute = math.inf                                                       # of those, ending in a brute-force span
@@ -141,7 +141,7 @@ def log10_guesses(value: str) -> float:
     return least[n]
 
 
-def scan(text: str | None, threshold: float = MIN_LOG10_GUESSES) -> tuple[list[tuple[int, int, int]], float]:
+def scan(text: str | None, threshold: float = MIN_LOG10_GUESSES, ranks: dict[str, int] = RANK) -> tuple[list[tuple[int, int, int]], float]:
     """(spans as (start, kind index, end), in order; the largest guess cost
     among the credential values of the text, 0 without any)."""
     if not text:
@@ -158,7 +158,7 @@ def scan(text: str | None, threshold: float = MIN_LOG10_GUESSES) -> tuple[list[t
         base.sort()
         for m in CONTEXT.finditer(text):
             g = 1 if m.group(1) is not None else 2
-            cost = log10_guesses(m.group(g))
+            cost = log10_guesses(m.group(g), ranks)
             most = max(most, cost)
             if cost >= threshold and not any(s < m.end(g) and m.start(g) < e for s, _, e in base):
                 found.append((m.start(g), 3, m.end(g)))
@@ -185,6 +185,24 @@ def redact(text: str | None, spans) -> str | None:
     return "".join(out)
 
 
+# The credential values (CONTEXT) for Java, to leave them out of the word counts.
+NO_VALUES = (r"""(?i)\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api_?key|credentials?|auth|login|pin)["']?[ \t]*[:=]"""
+             r"""[ \t]*["']?[^\s"'<>,;]+|://\S*""")
+
+
+def word_ranks(docs: DataFrame, text: str = "text") -> dict[str, int]:
+    """Word -> rank: the common password words, then the ``DICTIONARY`` words that
+    stand in most documents (``MIN_DOCS`` at least) outside credential values."""
+    words = F.array_distinct(F.split(F.lower(F.regexp_replace(F.col(text), NO_VALUES, " ")), r"[^\p{L}]+"))
+    found = (docs.select(F.explode(words).alias("w")).where(F.length("w").between(3, LONGEST_WORD))
+             .groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)
+             .orderBy(F.desc("n"), "w").limit(DICTIONARY).collect())
+    ranks = dict(RANK)
+    for r in found:
+        ranks.setdefault(r["w"], len(ranks) + 1)
+    return ranks
+
+
 FIELDS = ("n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_guess long, "
           "max_log10_guesses double, redacted string")
 
@@ -198,12 +216,14 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
     cols = [c for c in (keep if keep is not None else docs.columns) if c not in new]
     src = docs.select(F.col(text).alias("__text"), F.struct(*[F.col(c) for c in cols] or [F.lit(0).alias("_")])
                       .alias("__row"))
+    ranks = word_ranks(docs, text)
+
     def run(batches):
         for batch in batches:
             for part in packed_rows(batch, column="__text"):
                 out = {n: [] for n in new}
                 for t in part.column("__text").to_pylist():
-                    spans, most = scan(t, threshold)
+                    spans, most = scan(t, threshold, ranks)
                     base = [x for x in spans if x[1] < 3]
                     for k, n in enumerate(("n_assign", "n_access", "n_hex")):
                         out[n].append(sum(x[1] == k for x in base))

@@ -96,6 +96,16 @@ def test_guess_cost_orders_passwords():
     assert SS.log10_guesses("a" * 100000) < 10
 
 
+def test_secrets_of_letters_only(spark):
+    texts = ["pwd: QxWvZkTrMnPl", "login=QxWvZkTrMnPl", "https://u:QxWvZkTrMnPl@h", "password: qxwvzktr",
+             "https://" + "u" * 90 + ":QxWvZkTrMnPl@h", "login: zauberwald", "auth: required", "pwd: changeme"]
+    texts += ["der zauberwald is required"] * 5
+    out = {r["doc_id"]: r for r in SS.find_secrets(frame(spark, rows(texts)), keep=["doc_id"]).collect()}
+    assert [out[i]["n_guess"] for i in range(len(texts))] == [1] * 5 + [0] * 8
+    assert all("[SECRET]" in out[i]["redacted"] for i in range(5))
+    assert SS.log10_guesses("QxWvZkTrMnPl") == pytest.approx(12 * math.log10(52) + SS.JOIN)
+
+
 ENC = None
 
 
