@@ -2,7 +2,7 @@
 
 Three pattern kinds (``assign``, ``access``, ``hex``) are found everywhere in the
 text. Values that stand in a credential context (``pwd: ...``, ``login = ...``,
-the password of a URL) and are not inside a pattern match are rated by the number
+the password of a URL) and reach beyond the pattern matches are rated by the number
 of guesses an attacker needs: a dynamic programme finds the cheapest segmentation
 of the value into dictionary words, dates, repeats, keyboard walks and brute-force
 spans. The dictionary holds common password words and the most frequent words of the
@@ -16,6 +16,7 @@ each.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -156,11 +157,19 @@ def scan(text: str | None, threshold: float = MIN_LOG10_GUESSES, ranks: dict[str
     most, found = 0.0, []
     if any(k in raw for k in CONTEXT_KEYS):
         base.sort()
+        starts, ends = [], []                                              # the base spans, overlapping ones joined
+        for s, _, e in base:
+            if ends and s <= ends[-1]:
+                ends[-1] = max(ends[-1], e)
+            else:
+                starts.append(s)
+                ends.append(e)
         for m in CONTEXT.finditer(text):
             g = 1 if m.group(1) is not None else 2
             cost = log10_guesses(m.group(g), ranks)
             most = max(most, cost)
-            if cost >= threshold and not any(s < m.end(g) and m.start(g) < e for s, _, e in base):
+            at = bisect.bisect_right(starts, m.start(g)) - 1
+            if cost >= threshold and (at < 0 or ends[at] < m.end(g)):      # not wholly inside base spans
                 found.append((m.start(g), 3, m.end(g)))
     return sorted(base + found), most
 

@@ -106,6 +106,14 @@ def test_secrets_of_letters_only(spark):
     assert SS.log10_guesses("QxWvZkTrMnPl") == pytest.approx(12 * math.log10(52) + SS.JOIN)
 
 
+def test_secret_beyond_its_pattern_span(spark):
+    texts = ["password=CorrectHorse$Battery9! x", "pwd: abc!deadbeefdeadbeefX#9 y", "password = 'abcdefghijkl' z"]
+    out = sorted(SS.find_secrets(frame(spark, rows(texts)), keep=["doc_id"]).collect(), key=lambda r: r["doc_id"])
+    assert [(r["spans"], r["redacted"]) for r in out] == [
+        ("assign:0:21,guess:9:31", "[SECRET] x"), ("guess:5:28,hex:9:25", "pwd: [SECRET] y"),
+        ("assign:0:24", "[SECRET]' z")]
+
+
 ENC = None
 
 
