@@ -50,8 +50,8 @@ class WordTokenizer:
     No token of this vocabulary crosses white space, so a text is the
     concatenation of its parts between ASCII blanks. Parts of visible Latin-1
     characters (nothing to compose) are lower-cased and split by the file's word
-    pattern here; every other part goes to the library, and so does every new
-    word. New words are sent many at a time, separated by blanks; the last
+    pattern here; every other part, and every part that holds an added token of
+    the file ('<|endoftext|>'), goes to the library, and so does every new word. New words are sent many at a time, separated by blanks; the last
     token of a word is marked as such in the vocabulary."""
 
     def __init__(self, path: str):
@@ -60,12 +60,12 @@ class WordTokenizer:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.pieces = regex.compile(WORD + "| ")
-        self.other = regex.compile(r"[^ -~\xa1-\xff]")
+        added = [regex.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.other = regex.compile("|".join([r"[^ -~\xa1-\xff]", *added]))
         self.words: dict[str, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
 

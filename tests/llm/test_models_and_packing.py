@@ -77,6 +77,16 @@ def test_tokens_and_packing(spark):
     assert PK.pack(frame(spark, []), path).count() == 0
 
 
+def test_added_tokens_as_the_library_reads_them(spark):
+    path = P.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["a<|endoftext|>b and <|startoftext|> c", "<|endoftext|>", "<|ENDOFTEXT|> é<|endoftext|>", "plain words"]
+    out = {r["doc_id"]: r for r in PK.pack(frame(spark, rows(texts)), path, keep=["doc_id"]).collect()}
+    for i, t in enumerate(texts):
+        ids = np.array(library.encode(t, add_special_tokens=False).ids + [0], dtype="<u4")
+        assert (out[i]["length"], out[i]["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_frequent_length_of_repeated_rows_is_spread(spark, monkeypatch):
     monkeypatch.setattr(PK, "SALT_ROWS", 8)
     out = PK.pack(frame(spark, [(1, "the same words again", "en", "web", 20)] * 300), P.path("word_bpe_49k.json"), keep=["doc_id"])
