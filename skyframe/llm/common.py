@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from ..session import cut_lineage
 
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
+SHARE = 256                 # a key of more than one row in so many is hot
 
 
 def ship(module_name: str) -> None:
@@ -43,6 +44,42 @@ def crc_mod(col: str, mod: int) -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % mod
 
 
+def named(column: str) -> Column:
+    """The column of exactly this name, also where the name holds a dot or a back-quote."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def as_row(columns: list[str]) -> Column:
+    """The columns as one struct ``row``: their names cannot clash with an operator's own."""
+    return F.struct(*[named(c).alias(c) for c in columns] or [F.lit(0).alias("_")]).alias("row")
+
+
+def of_row(columns: list[str]) -> list[Column]:
+    """The columns of the struct ``row`` again."""
+    return [F.col("row").getField(c).alias(c) for c in columns]
+
+
+def join_by_share(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` left-joined with ``table`` (one row per ``key``, nulls are a key
+    like any other; ``count`` says how many of the rows have it), without
+    ``count``. Keys of more than one row in ``SHARE`` - there can be no more than
+    ``SHARE`` of them - are broadcast; the other rows are shuffled by the key."""
+    values = [c for c in table.columns if c not in (key, count)]
+    total = table.agg(F.sum(named(count))).first()[0] or 0
+    heavy = named(count) * SHARE > total
+    packed = F.struct(*[named(c).alias(c) for c in values])
+    hot = table.where(heavy).select(named(key).alias("__hot_key"), packed.alias("__hot"))
+    cold = table.where(~heavy).select(named(key).alias("__cold_key"), F.lit(0).cast("long").alias("__cold_spread"), packed.alias("__cold"))
+    marked = (rows.select(as_row(rows.columns), named(key).alias("__key"))
+              .join(F.broadcast(hot), F.col("__key").eqNullSafe(F.col("__hot_key")), "left"))
+    # rows of a hot key need no partner any more: a number of their own spreads them over all tasks
+    marked = marked.withColumn("__spread", F.when(F.col("__hot").isNotNull(), F.xxhash64(F.monotonically_increasing_id()).bitwiseOR(F.lit(1)))
+                               .otherwise(F.lit(0).cast("long")))
+    same = F.col("__key").eqNullSafe(F.col("__cold_key")) & (F.col("__spread") == F.col("__cold_spread"))
+    joined = marked.join(cold, same, "left").withColumn("__found", F.coalesce("__hot", "__cold"))
+    return joined.select(*of_row(rows.columns), *[F.col("__found").getField(c).alias(c) for c in values])
+
+
 def carried(row: DataFrame, name: str, ddl: str) -> StructType:
     """Schema of the struct column ``name`` (the caller's own columns, whatever
     their names) followed by the fields of ``ddl``."""

@@ -7,8 +7,9 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from . import (ann as NN, byte_bpe as BB, language_id as LI, line_dedup as LD, packing as PK, quality_model as QM,
-               quality_rules as QR, secret_scan as SS, simhash as SH, suffix_dedup as SD)
-from .common import crc_mod, documents
+               quality_rules as QR, resampling as RS, secret_scan as SS, simhash as SH, suffix_dedup as SD, url_filter as UF,
+               vector_codes as VC)
+from .common import crc_mod, documents, written
 
 LLM_QUERIES: dict = {}
 LLM_ORACLE_SQL: dict = {}
@@ -51,6 +52,98 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 """
 
 
+SQL_URL_FILTER = r"""
+WITH r(rule_host, rule_path, rule_verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+  ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+p AS (
+  SELECT row_number() OVER () AS n, page_id,
+         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages),
+listed AS (SELECT DISTINCT host || regexp_replace(path, '/+$', '') AS canonical FROM p
+           WHERE regexp_matches(host, '(^|[.-])(ads|bets|casino|track)([.-]|$)')),
+fits AS (
+  SELECT n, rule_host || rule_path AS rule, rule_verdict,
+         row_number() OVER (PARTITION BY n ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) AS k
+  FROM p JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule,
+       coalesce(rule_verdict, CASE WHEN canonical IS NOT NULL THEN 'block' END, 'allow') AS verdict
+FROM p LEFT JOIN (SELECT * FROM fits WHERE k = 1) USING (n)
+       LEFT JOIN listed ON canonical = host || regexp_replace(path, '/+$', '')
+"""
+
+
+# crc32 by nibbles: the 16 table values are the ones of the polynomial 0xEDB88320
+SQL_RESAMPLING = r"""
+WITH nibble AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0],
+      lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS c FROM range(16) r(i))),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+dw AS (SELECT r, w, count(*) AS n FROM (SELECT r, unnest(ws) AS w FROM d) GROUP BY r, w),
+words AS (SELECT DISTINCT w FROM (SELECT w FROM dw UNION ALL SELECT w FROM b)),
+-- low nibble of a byte before its high one
+bucket AS (
+  SELECT w, xor(list_reduce(list_concat([4294967295], flatten([[strpos('0123456789ABCDEF', x[2]) - 1, strpos('0123456789ABCDEF', x[1]) - 1]
+                FOR x IN regexp_extract_all(hex(encode(w)), '..')])),
+                lambda c, v: xor(c >> 4, t[1 + (xor(c, v) & 15)])), 4294967295) % 10000 AS k
+  FROM words, nibble),
+s AS (SELECT k, sum(n) AS s FROM dw JOIN bucket USING (w) GROUP BY k),
+t AS (SELECT k, count(*) AS t FROM b JOIN bucket USING (w) GROUP BY k),
+gain AS (
+  SELECT k, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (SELECT coalesce(sum(s), 0) + 10000 FROM s)::DOUBLE
+         / ((s + 1)::DOUBLE * (SELECT coalesce(sum(t), 0) + 10000 FROM t)::DOUBLE))) AS BIGINT) AS g
+  FROM s LEFT JOIN t USING (k)),
+weight AS (SELECT r, sum(n) AS n, sum(n * g) AS total FROM dw JOIN bucket USING (w) JOIN gain USING (k) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, CAST(len(ws) AS BIGINT) AS n_features, CAST(coalesce(floor(total / n), 0) AS BIGINT) AS weight,
+         CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS noise
+  FROM d LEFT JOIN weight USING (r)),
+ranks AS (
+  SELECT r, row_number() OVER (ORDER BY weight + noise DESC, doc_id NULLS LAST, n_features) AS rank
+  FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, weight + noise AS score,
+       CASE WHEN rank <= (SELECT 10 * count(*) // 100 FROM ranks) THEN rank END AS rank
+FROM scored LEFT JOIN ranks USING (r)
+"""
+
+
+def _sql_vector_codes(rounds: int = 4) -> str:
+    """The rounds one after the other: ``best`` assigns, ``book`` moves the entries."""
+    best = """best{k} AS MATERIALIZED (
+  SELECT r, p, min({{'d': d, 'e': e}}) AS b FROM (
+    SELECT r, p, e, sum((x - c) * (x - c)) AS d FROM part JOIN book{k} USING (p, i) GROUP BY r, p, e) GROUP BY r, p),
+"""
+    book = """book{n} AS MATERIALIZED (
+  SELECT p, e, i, coalesce(m, c) AS c FROM book{k} LEFT JOIN (
+    SELECT p, b.e AS e, i, CAST(floor(sum(x) / count(*)) AS BIGINT) AS m FROM part JOIN best{k} USING (r, p) GROUP BY p, b.e, i)
+  USING (p, e, i)),
+"""
+    steps = "".join(best.format(k=k) + book.format(k=k, n=k + 1) for k in range(rounds)) + best.format(k=rounds)
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+         [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS xs
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+part AS MATERIALIZED (
+  SELECT r, (j * 4) // len(xs) AS p, j % (len(xs) // 4) AS i, xs[j + 1] AS x
+  FROM (SELECT r, xs, unnest(range(len(xs))) AS j FROM v)),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, i, x AS c FROM part WHERE r <= 256),
+{steps}coded AS (
+  SELECT r, string_agg(printf('%02x', b.e), '' ORDER BY p) AS code, CAST(sum(b.d) AS BIGINT) AS error FROM best{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, i)) FROM book{rounds}) AS codebooks_sha256
+FROM v JOIN coded USING (r)
+"""
+
+
 def query(name: str, sql: str | None = None):
     def add(fn):
         LLM_QUERIES[name] = fn
@@ -136,3 +229,35 @@ def q_quality_classifier(spark, sf):
 def q_suffix_dedup(spark, sf):
     return SD.remove_repeats(documents(spark, sf), keep=["doc_id"]).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+# The rules of the contract.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def listed_hosts(pages):
+    """The driver tables hold no list of urls. The query lists, as blocked, the
+    canonical urls on hosts with a label for advertising or betting."""
+    host = UF.host_of(F.col("url"))
+    return (pages.where(host.rlike("(^|[.-])(ads|bets|casino|track)([.-]|$)"))
+            .select(UF.canonical(host, UF.path_of(F.col("url"))).alias("canonical"), F.lit("block").alias("verdict")).distinct())
+
+
+@query("op11_url_filter", SQL_URL_FILTER)
+def q_url_filter(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return UF.filter_urls(pages, rules, listed_hosts(pages), keep=["page_id"])
+
+
+@query("op12_importance_resampling", SQL_RESAMPLING)
+def q_importance_resampling(spark, sf):
+    out = RS.resample(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"), keep=["doc_id"])
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_vector_codes", _sql_vector_codes())
+def q_vector_codes(spark, sf):
+    coded, books = VC.compress(spark.read.parquet(f"{sf}/embeddings.parquet"), keep=["vec_id", "label"])
+    out = VC.with_label_error(written(coded, "codes"), "label")
+    return out.select("vec_id", "code", "error", "label_error", F.lit(VC.codebooks_digest(books)).alias("codebooks_sha256"))
