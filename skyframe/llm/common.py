@@ -49,14 +49,14 @@ def named(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
-def as_row(columns: list[str]) -> Column:
-    """The columns as one struct ``row``: their names cannot clash with an operator's own."""
-    return F.struct(*[named(c).alias(c) for c in columns] or [F.lit(0).alias("_")]).alias("row")
+def as_row(columns: list[str], name: str = "row") -> Column:
+    """The columns as one struct ``name``: their names cannot clash with an operator's own."""
+    return F.struct(*[named(c).alias(c) for c in columns] or [F.lit(0).alias("_")]).alias(name)
 
 
-def of_row(columns: list[str]) -> list[Column]:
-    """The columns of the struct ``row`` again."""
-    return [F.col("row").getField(c).alias(c) for c in columns]
+def of_row(columns: list[str], name: str = "row") -> list[Column]:
+    """The columns of the struct ``name`` again."""
+    return [F.col(name).getField(c).alias(c) for c in columns]
 
 
 def join_by_share(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:

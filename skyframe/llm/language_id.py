@@ -23,14 +23,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import carried, packed_rows, ship, text_column
+from .common import as_row, carried, named, of_row, packed_rows, ship, text_column
 
 ship(__name__)
 
 UNDETERMINED = "und"
 SAMPLE_PER_LANG = 600       # bound of the training sample: expected rows per language
-LANDMARKS_PER_LANG = 12     # bound of the landmark texts per language
-MAX_LANGS = 200             # languages that take part, the most frequent first
+LANDMARKS_PER_LANG = 12     # bound of the landmark texts per language,
+LANDMARKS = 768             # lowered where all languages together would have more (one each at least)
 RIDGE = 1e-3
 BLOCK_BYTES = 4 << 20
 BLOCK_ROWS = 128
@@ -151,13 +151,14 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     """Fit on ``labelled`` (text, lang). The training sample is drawn by the
     hash of the key, about ``sample_per_lang`` rows per language; the landmarks
     are its rows with the smallest hashes. Gram sums are added up by Spark."""
-    rows = (labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"),
-                            F.xxhash64(F.col(key), F.lit("sample")).alias("h"))
+    rows = (labelled.select(named(text).alias("text"), named(lang).alias("lang"),
+                            F.xxhash64(named(key), F.lit("sample")).alias("h"))
             .where(F.col("lang").isNotNull() & F.col("text").isNotNull()))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    counts = rows.groupBy("lang").count().collect()          # one row per language
     if not counts:
         return Model([], [])
     langs = sorted(r["lang"] for r in counts)
+    landmarks_per_lang = max(1, min(landmarks_per_lang, LANDMARKS // len(langs)))
     unit = (F.col("h") / F.lit(2.0 ** 64)) + 0.5
 
     def below(per_lang):
@@ -187,12 +188,14 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
         yield pa.RecordBatch.from_pydict({"i": pa.array(np.arange(m, dtype=np.int32)),
                                           "v": pa.array(list(total), pa.list_(pa.float64()))})
 
-    # m * (m + c) sums in all, however many rows take part
-    cells = (sample.select("text", "lang").mapInArrow(gram, "i int, v array<double>")
-             .select("i", F.posexplode("v").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x")).collect())
+    # m rows of m + c sums in all, however many rows take part: a row is cut into
+    # pieces, whose arrays are added up component by component
+    cells = sample.select("text", "lang").mapInArrow(gram, "i int, v array<double>")
+    add = lambda old, new: F.when(F.size(old) == 0, new).otherwise(F.zip_with(old, new, lambda a, b: a + b))
+    cells = cells.groupBy("i").agg(F.aggregate(F.collect_list("v"), F.array().cast("array<double>"), add).alias("v")).collect()
     total = np.zeros((m, m + c))
     for r in cells:
-        total[r["i"], r["j"]] = r["x"]
+        total[r["i"]] = r["v"]
     marks = model.landmarks()
     kmm = marks.matrix.astype(np.float64).T @ marks.matrix.astype(np.float64)
     val, vec = np.linalg.eigh(kmm)
@@ -210,8 +213,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
     cols = [c for c in (keep if keep is not None else docs.columns) if c not in (pred, score)]
     # a text that is kept goes to Python once, as a field of its row
     field, row = (text, "__row") if text in cols else ("__text", None)
-    src = docs.select(*([] if row else [F.col(text).alias("__text")]),
-                      F.struct(*[F.col(c) for c in cols] or [F.lit(0).alias("_")]).alias("__row"))
+    src = docs.select(*([] if row else [named(text).alias("__text")]), as_row(cols, "__row"))
 
     def run(batches):
         for batch in batches:
@@ -222,5 +224,5 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
                     names=["__row", "__pred", "__score"])
 
     out = src.mapInArrow(run, carried(src, "__row", "__pred string, __score double"))
-    return out.select(*[F.col(f"__row.`{c}`").alias(c) for c in cols], F.col("__pred").alias(pred),
+    return out.select(*of_row(cols, "__row"), F.col("__pred").alias(pred),
                       F.col("__score").alias(score))

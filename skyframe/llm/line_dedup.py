@@ -1,163 +1,171 @@
-"""Line dedup: repeated runs of lines, found with a suffix array over line ids.
-
-The corpus is a sequence of line ids per document. Distributed prefix doubling
-names, for k = 1, 2, 4, ..., the k lines that follow a position by the *first*
-position (smallest document id, then line number) with the same k lines: the name
-of 2k lines is the class of the pair (name of k here, name of k further on). Only
-positions whose k lines occur twice or more go on to 2k, so the work follows the
-repeated part of the corpus, and the rounds end with the longest repeated run.
-
-A position is a *later copy* when its longest named prefix first occurs earlier.
-The longest common prefix with that source is found by descending the doubling
-levels; positions whose predecessor is a later copy of the line before the same
-source are inside a longer run and are skipped. What is left are the maximal
-repeated runs (document, start, lines) with their source. Runs that hold at least
-``MIN_CHARS`` characters besides white space are deleted; first copies stay.
-
-Characters are added up along the doubling levels, and overlapping runs are merged
-as pairs of start and end: the lines of a run are never listed, so a document of n
-equal lines, whose n - 1 later lines each start a run of up to n lines, costs
-n log n rows.
+"""Line dedup: repeated runs of lines, by prefix doubling over line ids.
+
+The corpus is a sequence of line ids per document, and a suffix starts at every
+line. Distributed prefix doubling names, for k = 1, 2, 4, ..., the first k lines of
+a suffix: suffixes with the same name are an interval of the suffix array whose
+longest common prefix is k lines or more. The name is the interval's *first*
+position (smallest document id, then line number); the name of 2k lines is the
+class of the pair (name of k here, name of k further on). Only positions whose k
+lines occur twice or more go on to 2k.
+
+A run counts from ``MIN_CHARS`` characters besides white space. A repeated run of
+any length is covered by its smallest countable runs: from each of its lines
+forward and backward, the fewest lines that hold ``MIN_CHARS``. These have at most
+two per line and a length of their own, so the interval of *exactly* that common
+prefix is named by two overlapping doubled names (the first and the last 2^j of its
+lines), and every member but the first position is a later copy. Overlapping later
+copies join to the maximal repeated runs, which are deleted; first copies stay. So
+a line goes exactly if some run of ``MIN_CHARS`` around it starts at an earlier
+place of the corpus too, whatever else its lines have in common with other places.
+
+Runs travel as pairs of start and end: the lines of a run are never listed. The
+rounds of doubling end with the longest smallest run, not with the longest
+repeated one. Names shared by many positions are joined by
+``common.join_by_share``, so the commonest line is not one task's work.
 
 A line is the text between ``\\n``; lines are equal when they are equal without
 the white space at their ends. Defined results: a null or empty text has no runs;
 a null document id sorts last; rows with the same id and the same text are one
-document (both get the same verdict); a document that loses all its lines goes.
+document (both get the same verdict); a text may lose all its lines.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import let, ship, written
+from .common import as_row, join_by_share, let, named, of_row, packed_rows, ship, written
 
 ship(__name__)
 
 MIN_CHARS = 20
 BLANKS = " \t\x0b\x0c\r"
 LAST = (1 << 63) - 1
+PLACE = ["o", "d", "p"]
 
 
 def _document(key: str, text: str) -> list[Column]:
     """(o, d): the order of a document and a hash that tells documents of one id apart."""
-    return [F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("o"), F.xxhash64(F.col(key), F.col(text)).alias("d")]
-
-
-def _lines(text: str) -> Column:
-    return F.transform(F.split(F.col(text), "\n"), lambda x: F.btrim(x, F.lit(BLANKS)))
-
-
-def line_table(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(o, d, p, h, c, n): document, line number, two hashes of the line, and its
-    characters without white space at its ends."""
-    rows = (docs.where(F.col(text).isNotNull() & (F.col(text) != ""))
-            .select(*_document(key, text), F.posexplode(_lines(text)).alias("p", "line"))
-            .select("o", "d", "p", F.xxhash64("line").alias("h"), F.crc32(F.col("line").cast("binary")).alias("c"),
-                    F.length("line").cast("long").alias("n")))
-    rows = rows.dropDuplicates(["o", "d", "p"])
-    return written(rows, "lines")
+    return [F.coalesce(named(key).cast("long"), F.lit(LAST)).alias("o"), F.xxhash64(named(key), named(text)).alias("d")]
+
+
+def smallest_runs(chars: np.ndarray, min_chars: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each line the fewest lines from it forward, and up to it backward,
+    that hold ``min_chars`` characters; 0 where there are not so many."""
+    n = len(chars)
+    before = np.concatenate([[0], np.cumsum(chars)])
+    end = np.searchsorted(before, before[:-1] + min_chars, side="left")     # first place with enough behind it
+    forward = np.where(end <= n, np.maximum(end - np.arange(n), 1), 0)
+    start = np.searchsorted(before, before[1:] - min_chars, side="right") - 1
+    backward = np.where(before[1:] >= min_chars, np.maximum(np.arange(1, n + 1) - start, 1), 0)
+    return forward, backward
+
+
+def line_table(docs: DataFrame, text: str = "text", key: str = "doc_id", min_chars: int = MIN_CHARS) -> DataFrame:
+    """(o, d, p, h, c, forward, backward): document, line number, a 128-bit hash of
+    the line, and the lines of its smallest runs."""
+    def run(batches):
+        import xxhash
+        for batch in batches:
+            for part in packed_rows(batch, 4 << 20):
+                sizes, digests, forward, backward = [], [], [], []
+                for t in part.column("text").to_pylist():
+                    lines = [x.strip(BLANKS) for x in t.split("\n")]
+                    sizes.append(len(lines))
+                    digests.extend(xxhash.xxh3_128_digest(x.encode("utf-8")) for x in lines)
+                    a, b = smallest_runs(np.fromiter(map(len, lines), np.int64, len(lines)), min_chars)
+                    forward.append(a)
+                    backward.append(b)
+                of = pa.array(np.repeat(np.arange(part.num_rows), sizes))
+                h = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("o").take(of), part.column("d").take(of), pa.array(np.concatenate([np.arange(s, dtype=np.int32) for s in sizes])),
+                     pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()),
+                     *[pa.array(np.concatenate(x).astype(np.int32)) for x in (forward, backward)]],
+                    names=["o", "d", "p", "h", "c", "forward", "backward"])
+
+    rows = docs.where(named(text).isNotNull() & (named(text) != "")).select(*_document(key, text), named(text).alias("text"))
+    return written(rows.mapInArrow(run, "o long, d long, p int, h long, c long, forward int, backward int"), "lines")
 
 
 def _first(rows: DataFrame, by: list[str]) -> DataFrame:
     """``rows`` whose class (columns ``by``) holds two positions or more, with
-    the first position of the class: (o1, d1, p1). One pass combined before the
-    shuffle, so a class that holds a third of all positions is one row."""
-    place = F.struct("o", "d", "p")
-    heads = (rows.groupBy(*by).agg(F.min(place).alias("f"), F.count("*").alias("__n")).where("__n > 1")
-             .select(*by, "f"))
-    return rows.join(heads, by).select("o", "d", "p", "n", F.col("f.o").alias("o1"), F.col("f.d").alias("d1"),
-                                       F.col("f.p").alias("p1"))
-
-
-def doubled(lines: DataFrame) -> list[DataFrame]:
-    """Level j: positions (o, d, p) whose 2^j lines occur twice or more, with
-    the characters n of those lines and the first position (o1, d1, p1) of the
-    same lines."""
-    levels = [written(_first(lines, ["h", "c"]), "rank-1")]
-    k = 1
-    while True:
-        here = levels[-1]
-        ahead = here.select("o", "d", (F.col("p") - k).alias("p"), *[F.col(c).alias(f"{c[0]}2") for c in ("o1", "d1", "p1")],
-                            F.col("n").alias("n2"))
-        pairs = here.join(ahead, ["o", "d", "p"]).withColumn("n", F.col("n") + F.col("n2")).drop("n2")
-        level = written(_first(pairs, ["o1", "d1", "p1", "o2", "d2", "p2"]), f"rank-{2 * k}")
-        if level.isEmpty():
-            return levels
-        levels.append(level)
-        k *= 2
+    the first position of the class as ``f`` in place of ``by``."""
+    keyed = rows.withColumn("key", F.struct(*by)).drop(*by)
+    heads = (keyed.groupBy("key").agg(F.min(F.struct(*PLACE)).alias("f"), F.count("*").alias("size")).where("size > 1"))
+    return join_by_share(keyed, written(heads, "classes"), "key", "size").where(F.col("f").isNotNull()).drop("key")
 
 
-def maximal_runs(levels: list[DataFrame]) -> DataFrame:
-    """(o, d, p, n_lines, n, o1, d1, p1): the later copies, each as the longest run
-    it has in common with its source, with the run's characters n."""
-    later = (F.col("o1") != F.col("o")) | (F.col("d1") != F.col("d")) | (F.col("p1") != F.col("p"))
-    best = None
-    for j, level in enumerate(levels):
-        own = level.where(later).withColumn("j", F.lit(j))
-        best = own if best is None else best.unionByName(own)
-    # the longest named prefix of every later copy
-    best = best.groupBy("o", "d", "p").agg(F.max_by(F.struct("o1", "d1", "p1", "j", "n"), "j").alias("s")).select(
-        "o", "d", "p", "s.*")
-    best = written(best, "later")
-    # inside a longer run: the line before is a later copy with the source before
-    before = best.select("o", "d", (F.col("p") + 1).alias("p"), F.col("o1").alias("ob"), F.col("d1").alias("db"),
-                         (F.col("p1") + 1).alias("pb"))
-    runs = (best.join(before, ["o", "d", "p"], "left")
-            .where(~F.coalesce((F.col("ob") == F.col("o1")) & (F.col("db") == F.col("d1")) & (F.col("pb") == F.col("p1")),
-                               F.lit(False)))
-            .drop("ob", "db", "pb").withColumn("n_lines", F.pow(F.lit(2), F.col("j")).cast("long")))
-    # longest common prefix with the source: descend the levels
-    for j in range(len(levels) - 2, -1, -1):
-        names = levels[j].select(F.col("o").alias("a"), F.col("d").alias("b"), F.col("p").alias("q"),
-                                 F.struct("o1", "d1", "p1").alias("name"), F.col("n").alias("more"))
-        mine = names.select(F.col("a").alias("o"), F.col("b").alias("d"), F.col("q").alias("__at"), F.col("name").alias("__mine"),
-                            F.col("more").alias("__n"))
-        theirs = names.select(F.col("a").alias("o1"), F.col("b").alias("d1"), F.col("q").alias("__at1"),
-                              F.col("name").alias("__theirs"))
-        longer = (F.col("j") > j) & (F.col("__mine") == F.col("__theirs"))
-        runs = (runs.withColumn("__at", (F.col("p") + F.col("n_lines")).cast("int"))
-                .withColumn("__at1", (F.col("p1") + F.col("n_lines")).cast("int"))
-                .join(mine, ["o", "d", "__at"], "left").join(theirs, ["o1", "d1", "__at1"], "left")
-                .withColumns({"n_lines": F.col("n_lines") + F.when(longer, F.lit(1 << j)).otherwise(F.lit(0)),
-                              "n": F.col("n") + F.when(longer, F.col("__n")).otherwise(F.lit(0))})
-                .drop("__at", "__at1", "__mine", "__theirs", "__n"))
-    return runs.select("o", "d", "p", "n_lines", "n", "o1", "d1", "p1")
+def doubled(first: DataFrame, longest: int) -> list[DataFrame]:
+    """Level j: positions whose 2^j lines occur twice or more with their name
+    ``f``, for all 2^j up to ``longest``; ``first`` is level 0."""
+    levels, k = [first.select(*PLACE, "f")], 1
+    while 2 * k <= longest:
+        here = levels[-1]
+        ahead = here.select("o", "d", (F.col("p") - k).alias("p"), F.col("f").alias("g"))
+        pairs = here.join(ahead, PLACE)
+        levels.append(written(_first(pairs, ["f", "g"]), f"rank-{2 * k}"))
+        k *= 2
+    return levels
+
+
+def later_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", min_chars: int = MIN_CHARS) -> DataFrame:
+    """(o, d, s, e): smallest runs, lines s to e - 1, that start earlier as well."""
+    lines = line_table(docs, text, key, min_chars)
+    # repeated rows are one document: from here on every position is one row
+    first = written(_first(lines, ["h", "c"]).dropDuplicates(PLACE), "rank-1")
+    runs = first.select("o", "d", F.inline(F.array(
+        F.struct(F.col("p"), F.col("forward").alias("size")),
+        F.struct((F.col("p") - F.col("backward") + 1).alias("p"), F.col("backward").alias("size"))))).where("size > 0").distinct()
+    runs = written(runs, "smallest-runs")
+    longest = runs.agg(F.max("size")).first()[0] or 0
+    later = F.col("f") != F.struct(*PLACE)
+    out = runs.where("size = 1").join(first.select(*PLACE, "f"), PLACE).where(later).select("o", "d", "p", "size")
+    for j, level in enumerate(doubled(first, longest)):
+        k = 1 << j
+        if k == 1:
+            continue                                        # runs of one line: above
+        own = runs.where((F.col("size") >= k) & (F.col("size") < 2 * k))
+        tail = level.select("o", "d", F.col("p").alias("at"), F.col("f").alias("g"))
+        both = own.join(level, PLACE).withColumn("at", F.col("p") + F.col("size") - k).join(tail, ["o", "d", "at"]).drop("at")
+        same = _first(both.withColumn("lines", F.col("size")), ["lines", "f", "g"])
+        out = out.unionByName(same.where(later).select("o", "d", "p", "size"))
+    return out.select("o", "d", F.col("p").alias("s"), (F.col("p") + F.col("size")).alias("e"))
 
 
 def deleted_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_chars: int = MIN_CHARS) -> DataFrame:
-    """(o, d, gone, n_runs): per document its deleted lines as sorted, disjoint
-    pairs (s, e) of first line and the line after the last one."""
-    lines = line_table(docs, text, key)
-    runs = maximal_runs(doubled(lines)).where(F.col("n") >= min_chars)
-    # of the runs that end at one line the longest covers the others
-    ends = runs.groupBy("o", "d", (F.col("p") + F.col("n_lines")).cast("int").alias("e")).agg(
-        F.min("p").alias("s"), F.count("*").alias("n"))
-    # overlapping pairs are merged: a pair that starts behind all ends so far opens a new one
-    # (pairs of one document; they end in its row)
+    """(o, d, gone): per document its deleted lines as sorted, disjoint pairs
+    (s, e) of first line and the line after the last one."""
+    ends = later_copies(docs, text, key, min_chars).groupBy("o", "d", "e").agg(F.min("s").alias("s"))
+    # overlapping and touching pairs are merged: a pair that starts behind all ends so far opens a new one
     order = Window.partitionBy("o", "d").orderBy("s", "e")
     reach = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opened = ends.withColumn("new", F.coalesce((F.col("s") > reach).cast("long"), F.lit(1).cast("long")))
     parts = (opened.withColumn("part", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-             .groupBy("o", "d", "part").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("n").alias("n")))
-    return parts.groupBy("o", "d").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("gone"),
-                                       F.sum("n").alias("n_runs"))
-
-
-def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` plus ``__gone`` (deleted line numbers or null), ``__runs`` and
-    ``__kept`` (the text without them; a deleted line takes its line break along)."""
+             .groupBy("o", "d", "part").agg(F.min("s").alias("s"), F.max("e").alias("e")))
+    return parts.groupBy("o", "d").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("gone"))
+
+
+def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_chars: int = MIN_CHARS,
+                keep: list[str] | None = None) -> DataFrame:
+    """``keep`` columns (default: all) plus ``n_lines``, ``n_deleted`` and
+    ``n_runs`` (null where no line goes), and ``kept``: the text without the deleted
+    lines, each of which takes its line break along. Columns of ``docs`` named like
+    new ones are replaced."""
+    new = ["n_lines", "n_deleted", "n_runs", "kept"]
+    cols = [c for c in (keep if keep is not None else docs.columns) if c not in new]
     gone = deleted_lines(docs, text, key, min_chars)
-    o, d = _document(key, text)
-    tagged = docs.withColumn("__o", o).withColumn("__d", d)
-    found = gone.select(F.col("o").alias("__o"), F.col("d").alias("__d"), F.col("gone").alias("__gone"), F.col("n_runs").alias("__runs"))
+    tagged = docs.select(as_row(cols), named(text).alias("text"), *_document(key, text))
     # what stays: the lines from the end of one pair to the start of the next one
     edges = lambda at: F.concat(
-        F.array(F.struct(F.lit(0).alias("s"), F.lit(0).alias("e"))), F.col("__gone"),
+        F.array(F.struct(F.lit(0).alias("s"), F.lit(0).alias("e"))), F.col("gone"),
         F.array(F.struct(at.alias("s"), at.alias("e"))))
-    kept = let(F.split(F.col(text), "\n"), lambda xs: let(edges(F.size(xs)), lambda gs: F.array_join(F.flatten(F.transform(
+    kept = let(F.split("text", "\n"), lambda xs: let(edges(F.size(xs)), lambda gs: F.array_join(F.flatten(F.transform(
         F.sequence(F.lit(1), F.size(gs) - 1),
         lambda i: F.slice(xs, F.get(gs, i - 1)["e"] + 1, F.get(gs, i)["s"] - F.get(gs, i - 1)["e"]))), "\n")))
-    numbers = F.flatten(F.transform("__gone", lambda g: F.sequence(g["s"], g["e"] - 1)))
-    return (tagged.join(found, ["__o", "__d"], "left").drop("__o", "__d")
-            .withColumn("__kept", F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept))
-            .withColumn("__gone", numbers))
+    found = F.col("gone").isNotNull()
+    return tagged.join(gone, ["o", "d"], "left").select(
+        *of_row(cols), F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"),
+        F.when(found, F.aggregate("gone", F.lit(0), lambda n, g: n + g["e"] - g["s"])).cast("long").alias("n_deleted"),
+        F.when(found, F.size("gone")).cast("long").alias("n_runs"), F.when(found, kept).otherwise(F.col("text")).alias("kept"))

@@ -21,12 +21,11 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import written
+from .common import named, of_row, written
 from .textstats import MEASURES, with_measures
 
 TREES = 16
 DEPTH = 3
-MAX_RULES = 160             # rules that enter the sparse fit, the best supported first
 L1 = 0.002
 ROUNDS = 60
 
@@ -117,7 +116,7 @@ def train(described: DataFrame, label: str = "label") -> Model:
     features = rows.withColumn("__features", array_to_vector(F.array(*names)))
     forest = RandomForestClassifier(featuresCol="__features", labelCol="__label", numTrees=TREES, maxDepth=DEPTH, maxBins=64,
                                     featureSubsetStrategy="onethird", seed=17).fit(features)
-    rules = rules_of(forest.toDebugString, names)[:MAX_RULES]
+    rules = rules_of(forest.toDebugString, names)
     flags = rows.select("__label", array_to_vector(F.array(*[condition(r).cast("double") for r in rules])).alias("__features"))
     fit = LogisticRegression(featuresCol="__features", labelCol="__label", elasticNetParam=1.0, regParam=L1, maxIter=ROUNDS,
                              standardization=False).fit(flags)
@@ -130,9 +129,9 @@ def score(docs: DataFrame, labelled: DataFrame, text: str = "text", key: str = "
     columns (default: all) plus ``name``. Of several labels of one key the
     smallest counts."""
     cols = [c for c in (keep if keep is not None else docs.columns) if c != name]
-    stats = written(describe(docs.withColumn("__key", F.col(key)), text, [*dict.fromkeys([*cols, "__key"])]), "text-statistics")
+    stats = written(describe(docs.withColumn("__key", named(key)), text, [*dict.fromkeys([*cols, "__key"])]), "text-statistics")
     labels = (labelled.where(F.col(key).isNotNull() & F.col(label).isNotNull())
               .groupBy(F.col(key).alias("__label_key")).agg(F.min(label).alias("label")))
     known = written(stats.join(labels, F.col("__row.__key") == F.col("__label_key")).drop("__row", "__label_key"), "labelled")
     model = train(known)
-    return stats.select(*[F.col(f"__row.`{c}`").alias(c) for c in cols], model.score().alias(name))
+    return stats.select(*of_row(cols, "__row"), model.score().alias(name))

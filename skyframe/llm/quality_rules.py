@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import of_row
 from .textstats import with_measures
 
 # name -> failure condition over the measurements. The order fixes the bits;
@@ -66,7 +67,7 @@ def ledger(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -
     bits = F.lit(0).cast("long")
     for name, failed in _rules():
         bits = bits.bitwiseOR(F.when(failed, F.lit(BIT[name])).otherwise(F.lit(0)).cast("long"))
-    return flat.select(*[F.col(f"__row.`{c}`").alias(c) for c in cols], *MEASURES, bits.alias("fail_bits"))
+    return flat.select(*of_row(cols, "__row"), *MEASURES, bits.alias("fail_bits"))
 
 
 def apply_policy(rows: DataFrame, version: str = "v1", name: str = "kept") -> DataFrame:

@@ -203,12 +203,10 @@ def q_simhash(spark, sf):
 def q_line_dedup(spark, sf):
     """Per document: its lines, the deleted ones, the maximal repeated runs and
     the digest of what is kept (null text: empty)."""
-    out = LD.dedup_lines(documents(spark, sf))
-    return out.select(
-        "doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_deleted"),
-        F.coalesce("__runs", F.lit(0)).cast("long").alias("n_runs"),
-        F.sha2(F.coalesce("__kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+    none = F.lit(0).cast("long")
+    return LD.dedup_lines(documents(spark, sf), keep=["doc_id"]).select(
+        "doc_id", "n_lines", F.coalesce("n_deleted", none).alias("n_deleted"), F.coalesce("n_runs", none).alias("n_runs"),
+        F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
 @query("op7_learned_partitions")

@@ -5,9 +5,9 @@ text. Values that stand in a credential context (``pwd: ...``, ``login = ...``,
 the password of a URL) and reach beyond the pattern matches are rated by the number
 of guesses an attacker needs: a dynamic programme finds the cheapest segmentation
 of the value into dictionary words, dates, repeats, keyboard walks and brute-force
-spans. The dictionary holds common password words and the most frequent words of the
-corpus, counted over all documents outside credential values. Values that cost at least ``MIN_LOG10_GUESSES`` are reported as kind
-``guess``. Every pattern match stays in the result.
+spans. The dictionary holds common password words and the most frequent words of
+the corpus, counted over all documents outside credential values. Values that cost
+at least ``MIN_LOG10_GUESSES`` are reported as kind ``guess``. Every pattern match stays in the result.
 
 Positions are code points, ends exclusive. Defined results: null and empty texts
 have no spans; texts of any length are scanned whole; repeated rows are scanned
@@ -24,7 +24,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import carried, packed_rows, ship
+from .common import as_row, carried, named, of_row, packed_rows, ship, written
 
 ship(__name__)
 
@@ -200,14 +200,25 @@ NO_VALUES = (r"""(?i)\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api_?key
 
 
 def word_ranks(docs: DataFrame, text: str = "text") -> dict[str, int]:
-    """Word -> rank: the common password words, then the ``DICTIONARY`` words that
-    stand in most documents (``MIN_DOCS`` at least) outside credential values."""
-    words = F.array_distinct(F.split(F.lower(F.regexp_replace(F.col(text), NO_VALUES, " ")), r"[^\p{L}]+"))
+    """Word -> rank: the common password words, then the words that stand in most
+    documents (``MIN_DOCS`` at least) outside credential values: those of as many
+    documents as a cut says, which leaves ``DICTIONARY`` words at most. The cut is
+    found from the number of words of each document count."""
+    words = F.array_distinct(F.split(F.lower(F.regexp_replace(named(text), NO_VALUES, " ")), r"[^\p{L}]+"))
     found = (docs.select(F.explode(words).alias("w")).where(F.length("w").between(3, LONGEST_WORD))
-             .groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)
-             .orderBy(F.desc("n"), "w").limit(DICTIONARY).collect())
+             .groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS))
+    found = written(found, "words")
+    # counts in steps of about one percent: a few thousand rows, whatever the corpus
+    by_count = found.groupBy(F.floor(64 * F.log2("n")).alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("n"))
+    cut, words_so_far = None, 0
+    for r in by_count.orderBy(F.desc("step")).collect():
+        words_so_far += r["words"]
+        if words_so_far > DICTIONARY:
+            break
+        cut = r["n"]
+    chosen = found.where(F.col("n") >= cut).collect() if cut is not None else []
     ranks = dict(RANK)
-    for r in found:
+    for r in sorted(chosen, key=lambda r: (-r["n"], r["w"])):
         ranks.setdefault(r["w"], len(ranks) + 1)
     return ranks
 
@@ -223,8 +234,7 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
     ``docs`` named like new ones are replaced."""
     new = [f.split()[0] for f in FIELDS.split(", ")]
     cols = [c for c in (keep if keep is not None else docs.columns) if c not in new]
-    src = docs.select(F.col(text).alias("__text"), F.struct(*[F.col(c) for c in cols] or [F.lit(0).alias("_")])
-                      .alias("__row"))
+    src = docs.select(named(text).alias("__text"), as_row(cols, "__row"))
     ranks = word_ranks(docs, text)
 
     def run(batches):
@@ -246,4 +256,4 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
                                                  names=["__row", *new])
 
     out = src.mapInArrow(run, carried(src, "__row", FIELDS))
-    return out.select(*[F.col(f"__row.`{c}`").alias(c) for c in cols], *new)
+    return out.select(*of_row(cols, "__row"), *new)

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import packed_rows, ship, written
+from .common import as_row, named, of_row, packed_rows, ship, written
 
 ship(__name__)
 
@@ -134,7 +134,7 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", shing
                      pa.array([fingerprint(t, shingle) for t in part.column("text").to_pylist()], pa.int64())],
                     names=["doc_id", "text_hash", "fp"])
 
-    src = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+    src = docs.select(named(key).cast("long").alias("doc_id"), F.xxhash64(named(text)).alias("text_hash"), named(text).alias("text"))
     return src.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
@@ -195,8 +195,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     member = distinct.join(found, distinct["fp"] == found["node"], "left").select(
         distinct["fp"], "first", F.coalesce("component", distinct["fp"]).alias("component"))
     smallest = member.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = member.join(smallest, "component").select("fp", "component", "component_id")
-    return prints.join(named, "fp").select("doc_id", "text_hash", "fp", "component", "component_id")
+    known = member.join(smallest, "component").select("fp", "component", "component_id")
+    return prints.join(known, "fp").select("doc_id", "text_hash", "fp", "component", "component_id")
 
 
 def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
@@ -206,6 +206,6 @@ def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle
     found = near_duplicates(docs, text, key, shingle, bits)
     first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("k"))
     first = first.select(F.col("k.doc_id").alias("__first_id"), F.col("k.text_hash").alias("__first_hash"))
-    tagged = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("hash"))
+    tagged = docs.select(as_row(docs.columns), named(key).cast("long").alias("id"), F.xxhash64(named(text)).alias("hash"))
     kept = tagged.join(first, tagged["id"].eqNullSafe(first["__first_id"]) & (tagged["hash"] == first["__first_hash"]), "left_semi")
-    return kept.dropDuplicates(["id", "hash"]).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return kept.dropDuplicates(["id", "hash"]).select(*of_row(docs.columns))

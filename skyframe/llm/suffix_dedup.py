@@ -40,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import carried, packed_rows, ship, written
+from .common import as_row, carried, named, of_row, packed_rows, ship, written
 
 ship(__name__)
 
@@ -355,10 +355,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: list[str] | None =
     (binary) and kept_sha256. Columns of ``docs`` named like new ones are replaced."""
     new = ["n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"]
     cols = [c for c in (keep if keep is not None else docs.columns) if c not in new]
-    raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    raw = F.coalesce(named(text), F.lit("")).cast("binary")
     # ids may be null or repeated: a text is known by its place in the input
-    rows = docs.select(F.struct(*[F.col(c) for c in cols] or [F.lit(0).alias("_")]).alias("row"), raw.alias("raw"),
-                       F.monotonically_increasing_id().alias("u"))
+    rows = docs.select(as_row(cols), raw.alias("raw"), F.monotonically_increasing_id().alias("u"))
     spans = repeated_spans(rows)
 
     def apply(batches):
@@ -374,4 +373,4 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: list[str] | None =
 
     joined = rows.join(spans, "u", "left").select("row", "raw", "spans")
     out = joined.mapInArrow(apply, carried(rows, "row", "n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"))
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in cols], *new)
+    return out.select(*of_row(cols), *new)

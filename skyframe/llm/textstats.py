@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import let
+from .common import as_row, let, named
 
 # Characters that separate words, turned into blanks before splitting.
 GAPS = "\t\n\x0b\x0c\r"
@@ -86,7 +86,7 @@ def with_measures(docs: DataFrame, text: str, cols: list[str], names) -> DataFra
     """``cols`` as a struct ``__row`` and the measurements ``names``. The struct
     of counts goes through a generator, so the optimiser cannot compute it once
     per use."""
-    counts = measure(F.col(text), [n for n in CLASSES if n in names])
-    m = docs.select(F.struct(*[F.col(c) for c in cols] or [F.lit(0).alias("_")]).alias("__row"),
+    counts = measure(named(text), [n for n in CLASSES if n in names])
+    m = docs.select(as_row(cols, "__row"),
                     F.explode(F.array(counts)).alias("__m"))
     return m.select("__row", *[F.col(f"__m.{MEASURES[n]}").alias(n) for n in names])

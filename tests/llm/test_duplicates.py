@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -142,31 +143,21 @@ def test_simhash_chain_components(spark):
 
 
 def brute_lines(data, least):
-    """Deleted lines per (doc_id, text): sources by longest power-of-two prefix."""
+    """Deleted lines per (doc_id, text): every pair of positions is compared, and
+    from each position the longest run that an earlier one starts too goes."""
     docs = sorted({(d[0], d[1]) for d in data if d[1]}, key=lambda d: (d[0] is None, d[0] or 0))
-    lines = {k: [x.strip(" \t\x0b\x0c\r") for x in d[1].split("\n")] for k, d in enumerate(docs)}
-    first, size = {}, {}
-    for k, own in lines.items():
-        n = 1
-        while n <= len(own):
-            for p in range(len(own) - n + 1):
-                first.setdefault(tuple(own[p:p + n]), (k, p))
-            n *= 2
+    lines = [[x.strip(" \t\x0b\x0c\r") for x in d[1].split("\n")] for d in docs]
+    places = [(k, p) for k, own in enumerate(lines) for p in range(len(own))]
     gone = {}
-    for k, own in lines.items():
-        for p in range(len(own)):
-            n, found = 1, None
-            while p + n <= len(own):
-                if first[tuple(own[p:p + n])] != (k, p):
-                    found = first[tuple(own[p:p + n])]
-                n *= 2
-            if found:
-                j, q = found
-                m = 0
-                while p + m < len(own) and q + m < len(lines[j]) and own[p + m] == lines[j][q + m]:
-                    m += 1
-                if sum(map(len, own[p:p + m])) >= least:
-                    gone.setdefault(docs[k], set()).update(range(p, p + m))
+    for at, (k, p) in enumerate(places):
+        longest = 0
+        for j, q in places[:at]:
+            m = 0
+            while p + m < len(lines[k]) and q + m < len(lines[j]) and lines[k][p + m] == lines[j][q + m]:
+                m += 1
+            longest = max(longest, m)
+        if sum(map(len, lines[k][p:p + longest])) >= least:
+            gone.setdefault(docs[k], set()).update(range(p, p + longest))
     return gone
 
 
@@ -175,16 +166,40 @@ def test_line_runs(spark):
     block = "alpha beta\ngamma\n\ndelta epsilon zeta eta\n"
     data += rows([block + "one", "two\n" + block + block, "gamma\n\ndelta epsilon zeta eta", "same\nsame\nsame\nsame\nsame", "Ok.\nOk.",
                   "\n".join(f"row {i % 7} of seven" for i in range(40))], 700)
-    out = LD.dedup_lines(frame(spark, data)).collect()
-    assert len(out) == len(data)
+    rng = random.Random(2)
+    short = ["a", "", " b", "b ", "cc cc", "dd dd dd", "eight ch", "a line of twenty chars or more"]
+    data += rows(["\n".join(rng.choice(short) for _ in range(rng.randint(1, 25))) for _ in range(25)], 800)
+    check_lines(spark, data, 5)
+    assert LD.dedup_lines(frame(spark, [])).count() == 0
+
+
+def check_lines(spark, data, least):
+    clashing = {"kept": "x", "a.b": 1, "__gone": 2, "__o": 3, "row": 4, "f": 5, "size": 6}
+    docs = frame(spark, data)
+    for name, value in clashing.items():
+        docs = docs.withColumn(name, F.lit(value))
+    out = LD.dedup_lines(docs).collect()
+    assert len(out) == len(data) and out[0]["a.b"] == 1 and out[0]["f"] == 5
     want = brute_lines(data, LD.MIN_CHARS)
     for r in out:
         gone = want.get((r["doc_id"], r["text"]), set())
-        assert set(r["__gone"] or []) == gone, r["text"]
+        assert (r["n_deleted"] or 0) == len(gone), r["text"]
+        assert (r["n_runs"] or 0) == sum(x - 1 not in gone for x in gone)
         if r["text"] is not None:
-            assert r["__kept"] == "\n".join(x for i, x in enumerate(r["text"].split("\n")) if i not in gone)
-    assert sum(bool(r["__gone"]) for r in out) > 5
-    assert LD.dedup_lines(frame(spark, [])).count() == 0
+            assert r["kept"] == "\n".join(x for i, x in enumerate(r["text"].split("\n")) if i not in gone)
+    assert sum(bool(r["n_deleted"]) for r in out) >= least
+
+
+def test_run_whose_prefix_stands_earlier_too(spark):
+    a, b, c, x, y = (f"line {n}." for n in "abcxy")         # three lines of eight characters count, two do not
+    check_lines(spark, rows(["\n".join(t) for t in ([a, b, x], [y, a, b, c, "z"], ["w", a, b, c, "v"])]), 1)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_lines(spark, seed):
+    rng = random.Random(seed)
+    check_lines(spark, rows(["\n".join(rng.choice(["abc", "defghi", "", "jklmnopqr"]) for _ in range(rng.randint(1, 18)))
+                             for _ in range(14)]), 1)
 
 
 def test_long_texts_of_repeated_lines(spark):
@@ -192,9 +207,10 @@ def test_long_texts_of_repeated_lines(spark):
     n = 50000
     texts = ["\n".join(["the same"] * n), "\n" * n + "the end", "\n".join(f"row {i % 7} of seven" for i in range(n))]
     out = {r["doc_id"]: r for r in LD.dedup_lines(frame(spark, rows(texts))).collect()}
-    assert out[0]["__gone"] == list(range(1, n)) and out[0]["__kept"] == "the same"
-    assert out[1]["__gone"] is None and out[1]["__kept"] == texts[1]
-    assert out[2]["__gone"] == list(range(7, n)) and out[2]["__kept"] == "\n".join(texts[2].split("\n")[:7])
+    assert [out[i]["n_runs"] for i in range(3)] == [1, None, 1]
+    assert out[0]["n_deleted"] == n - 1 and out[0]["kept"] == "the same"
+    assert out[1]["n_deleted"] is None and out[1]["kept"] == texts[1]
+    assert out[2]["n_deleted"] == n - 7 and out[2]["kept"] == "\n".join(texts[2].split("\n")[:7])
 
 
 def test_one_row_stays_of_every_group(spark):
