@@ -1,6 +1,8 @@
 """Corpus pipeline: language id, line dedup, near-duplicate removal, secret
 redaction and packing over ``documents``. Every stage takes the documents its
-predecessor kept; all but the last return the columns of ``documents``."""
+predecessor kept; all but the last return the columns of ``documents``. Null texts,
+and texts without letters, go in the first stage (they have no language); what each
+stage does with the cases left is said in its docstring."""
 
 from __future__ import annotations
 
