@@ -21,18 +21,21 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import itertools
 import struct
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import carried, packed_rows, ship
+from .common import as_row, carried, named, of_row, packed_rows, ship
 
 ship(__name__)
 
 CHUNK = 16384               # code points of a chunk
 OVERLAP = 512               # more of them, shared with the next chunk
-CACHE = 200_000             # pieces whose ids a task remembers
+CACHE = 400_000             # pieces whose ids a task remembers
+SHORT = 48                  # bytes of a piece that is merged together with others
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -79,6 +82,72 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[piece[i:end[i]]] for i in range(n) if alive[i]]
 
 
+class Merges:
+    """Merges many short pieces at a time. Symbols of all pieces lie in one array;
+    a round merges, in every piece that still can, its adjacent pair of lowest
+    rank (the leftmost), and looks up only the pairs that the merge made."""
+
+    NONE = (1 << 32) - 1
+
+    def __init__(self, ranks: dict[bytes, int]):
+        keys, values = [], []
+        for whole, rank in ranks.items():
+            for i in range(1, len(whole)):
+                left = ranks.get(whole[:i])
+                if left is not None:
+                    right = ranks.get(whole[i:])
+                    if right is not None:
+                        keys.append(left << 32 | right)
+                        values.append(rank)
+        self.keys, self.values = np.array(keys, dtype=np.int64), np.array(values, dtype=np.int64)
+        order = np.argsort(self.keys)
+        self.keys, self.values = np.append(self.keys[order], np.iinfo(np.int64).max), np.append(self.values[order], self.NONE)
+        self.first = np.array([ranks[bytes([c])] for c in range(256)], dtype=np.int64)
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 32 | right
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.values[at], self.NONE)
+
+    def __call__(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece (none is empty) as little-endian 32-bit integers."""
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        symbol = self.first[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
+        own = np.repeat(np.arange(len(pieces)), sizes)
+        rank = np.full(len(symbol), self.NONE, dtype=np.int64)
+        inner = np.flatnonzero(own[1:] == own[:-1])
+        rank[inner] = self._rank(symbol[inner], symbol[inner + 1])
+        done_own, done = [], []
+        while len(own):
+            start = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            length = np.diff(np.append(start, len(own)))
+            least = np.repeat(np.minimum.reduceat(rank, start), length)
+            over = least == self.NONE                       # nothing left to merge in these pieces
+            done_own.append(own[over])
+            done.append(symbol[over])
+            rest = ~over
+            symbol, own, rank, least = symbol[rest], own[rest], rank[rest], least[rest]
+            at = np.flatnonzero(rank == least)
+            if not len(at):
+                break
+            at = at[np.append(True, own[at][1:] != own[at][:-1])]
+            symbol[at] = rank[at]                           # the id of a token is its rank
+            stays = np.ones(len(own), dtype=bool)
+            stays[at + 1] = False
+            symbol, own, rank = symbol[stays], own[stays], rank[stays]
+            at = at - np.arange(len(at))                    # each merge before took one symbol away
+            changed = np.concatenate([at, at[at > 0] - 1])
+            last = np.minimum(changed + 1, len(own) - 1)
+            pair = (own[last] == own[changed]) & (last > changed)
+            rank[changed] = self.NONE
+            rank[changed[pair]] = self._rank(symbol[changed[pair]], symbol[changed[pair] + 1])
+        own, symbol = np.concatenate(done_own or [own]), np.concatenate(done or [symbol])
+        order = np.argsort(own, kind="stable")
+        raw = symbol[order].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(own, minlength=len(pieces)))).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class Encoder:
     """Merge ranks, the pre-token pattern, and a bounded memory of pieces."""
 
@@ -86,29 +155,49 @@ class Encoder:
         import regex
         self.ranks = load_ranks(ranks_path)
         self.pattern = regex.compile(pattern)
-        self.token = {v: k for k, v in self.ranks.items()}
+        self.merges = Merges(self.ranks)
         self.known: dict[str, bytes] = {}
+        tokens = sorted(self.ranks, key=self.ranks.get)
+        self.size = np.zeros(max(self.ranks.values(), default=0) + 1, dtype=np.int64)
+        self.size[[self.ranks[t] for t in tokens]] = [len(t) for t in tokens]
+        self.start = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Remember the ids of pieces not met before."""
+        if len(self.known) + len(pieces) > CACHE:
+            self.known = {}
+        new = list(pieces.difference(self.known))
+        raw = [p.encode("utf-8") for p in new]
+        short = [i for i, b in enumerate(raw) if len(b) <= SHORT]
+        self.known.update(zip([new[i] for i in short], self.merges([raw[i] for i in short])))
+        for p, b in zip(new, raw):
+            if len(b) > SHORT:
+                merged = merge(b, self.ranks)
+                self.known[p] = struct.pack(f"<{len(merged)}I", *merged)
+
+    def encode_all(self, found: list[list[str]]) -> list[bytes]:
+        """The ids of each list of pieces as little-endian 32-bit integers."""
+        pieces = list(itertools.chain.from_iterable(found))
+        self._learn(set(pieces))
+        ids = list(map(self.known.__getitem__, pieces))
+        raw = b"".join(ids)
+        sizes = np.append(0, np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))))
+        ends = sizes[np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))].tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
     def encode_pieces(self, pieces: list[str]) -> bytes:
-        """The ids of the pieces as little-endian 32-bit integers."""
-        known = self.known
-        out = [known.get(p) for p in pieces]
-        if None in out:
-            for i, ids in enumerate(out):
-                if ids is None:
-                    p = pieces[i]
-                    ids = known.get(p)
-                    if ids is None:
-                        merged = merge(p.encode("utf-8"), self.ranks)
-                        ids = struct.pack(f"<{len(merged)}I", *merged)
-                        if len(known) >= CACHE:
-                            known.clear()
-                        known[p] = ids
-                    out[i] = ids
-        return b"".join(out)
+        return b"".join(b for lo in range(0, len(pieces), CACHE // 2) for b in self.encode_all([pieces[lo:lo + CACHE // 2]]))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.token.__getitem__, memoryview(ids).cast("I")))
+        """The bytes of the ids, concatenated; a block of ids at a time."""
+        out = []
+        for lo in range(0, len(ids), 1 << 20):
+            own = np.frombuffer(ids[lo:lo + (1 << 20)], dtype="<u4")
+            size = self.size[own]
+            ends = np.cumsum(size)
+            out.append(self.bytes[np.repeat(self.start[own] - ends + size, size) + np.arange(ends[-1])].tobytes())
+        return b"".join(out)
 
 
 def boundaries(chunk: str, pattern) -> list[int]:
@@ -162,8 +251,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
     new ones are replaced."""
     new = ["n_tokens", "ids", "ids_sha256", "decoded_sha256"]
     cols = [c for c in (keep if keep is not None else docs.columns) if c not in new]
-    src = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"),
-                      F.struct(*[F.col(c) for c in cols] or [F.lit(0).alias("_")]).alias("row"))
+    src = docs.select(F.coalesce(named(text), F.lit("")).alias("text"), as_row(cols))
     fields = carried(src, "row", "n_tokens long, ids binary, ids_sha256 string, decoded_sha256 string")
 
     def result(rows, ids, encoder):
@@ -176,9 +264,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
     def whole(batches):
         encoder = Encoder(ranks_path, pattern)
         for batch in batches:
-            for part in packed_rows(batch):
-                ids = [encoder.encode_pieces(encoder.pattern.findall(t)) for t in part.column("text").to_pylist()]
-                yield result(part.column("row"), ids, encoder)
+            for part in packed_rows(batch, 2 << 20):
+                yield result(part.column("row"), encoder.encode_all([encoder.pattern.findall(t) for t in part.column("text").to_pylist()]), encoder)
 
     def match(batches):
         import regex
@@ -225,4 +312,4 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
                                            F.collect_list(F.struct("start", "chunk", "bounds")).alias("parts"))
                 .mapInArrow(join, fields))
     out = short.unionByName(stitched)
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in cols], *new)
+    return out.select(*of_row(cols), *new)
