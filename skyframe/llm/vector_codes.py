@@ -61,10 +61,14 @@ class Trie:
 
     def __init__(self, entries: np.ndarray):
         self.entries = entries.astype(np.int64)
+        self.plain = self.entries.astype(np.float64)
 
     def nearest(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Entry and squared distance of each part."""
         self.parts = parts.astype(np.int64)
+        # whole numbers below 2^53 are exact in double precision, so matrix products may be used
+        largest = max(int(np.abs(self.parts).max(initial=0)), int(np.abs(self.entries).max(initial=0)))
+        self.exact = 4 * largest * largest * max(1, parts.shape[1]) < 1 << 53
         self.code = np.zeros(len(parts), dtype=np.int64)
         self.distance = np.zeros(len(parts), dtype=np.int64)
         if len(parts):
@@ -91,10 +95,13 @@ class Trie:
             alone = np.flatnonzero(b - a == 1)
             if len(alone):                                   # no further branch: down to the leaves together
                 at, own = lo + a[alone], children[alone]
-                for d in range(depth + 1, self.parts.shape[1]):
-                    step = self.parts[at, d][:, None] - self.entries[None, :, d]
-                    step *= step
-                    own += step
+                if self.exact:
+                    x, e = self.parts[at, depth + 1:].astype(np.float64), self.plain[:, depth + 1:]
+                    own = own + ((x * x).sum(axis=1)[:, None] - 2 * (x @ e.T) + (e * e).sum(axis=1))
+                else:
+                    for d in range(depth + 1, self.parts.shape[1]):
+                        step = self.parts[at, d][:, None] - self.entries[None, :, d]
+                        own += step * step
                 self._take(at, own)
             for k in np.flatnonzero(b - a > 1):
                 self._visit(lo + int(a[k]), lo + int(b[k]), depth + 1, children[k])

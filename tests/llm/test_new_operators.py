@@ -193,10 +193,11 @@ def test_vector_codes_of_odd_tables(spark):
         VC.compress(spark.createDataFrame([(1, [1e9] * 4, 1)], table))[0].count()
 
 
-def test_trie_is_the_plain_nearest_entry():
+@pytest.mark.parametrize("scale", [1, 1 << 25])
+def test_trie_is_the_plain_nearest_entry(scale):
     rng = np.random.default_rng(3)
-    parts = np.unique(rng.integers(-3, 4, (500, 5)), axis=0)
-    entries = rng.integers(-3, 4, (40, 5))
+    parts = np.unique(rng.integers(-3, 4, (500, 5)), axis=0) * scale
+    entries = rng.integers(-3, 4, (40, 5)) * scale
     code, distance = VC.Trie(entries).nearest(parts)
     all_ = ((parts[:, None] - entries[None]) ** 2).sum(axis=2)
     assert (code == all_.argmin(axis=1)).all() and (distance == all_.min(axis=1)).all()
