@@ -832,7 +832,9 @@ _NIGHT_EV = "(hour(ts) >= 19 OR hour(ts) < 5)"
 
 def vendor_frame(spark, sf) -> DataFrame:
     """Vendor-dialect rows (Japanese header, symbols in cells) from events."""
-    e = _t(spark, sf, "events").repartition("event_id").select(
+    # explicit count: the events are few bytes before the string work, and would be merged into few tasks
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    e = _t(spark, sf, "events").repartition(tasks, "event_id").select(
         "event_id", "user_id", "ts", "event_type", "value",
         F.get_json_object("props", "$.k").try_cast("int").alias("k"))
     v2 = F.format_string("%.2f", F.col("value"))
@@ -1379,15 +1381,135 @@ def q_one_row_per_hour(spark, sf):
     return ST.require_unique(ST.one_per_key(e, ["station", "ts"]), ["station", "ts"])
 
 
-@query("station_chain")
+_CHAIN_VARS = ["air_temperature", "surface_downwelling_shortwave_flux_in_air"]
+
+
+def _chain_sql() -> str:
+    """The chain in SQL: grid of the asked days, CF step, night zero by the sun,
+    then the bounded fill in time of the chosen variables."""
+    flux = _CHAIN_VARS[1]
+    grid = f"""chain_days AS (SELECT date_trunc('day', min(ts)) AS lo, date_trunc('day', max(ts)) + INTERVAL 1 DAY AS hi FROM ev),
+wgrid AS (SELECT g.station, g.ts, {', '.join(f'w.{v}' for v in HOURLY_VARIABLES)},
+    {', '.join(f'coalesce(w.{rmk_col(v)}, 0) AS {rmk_col(v)}' for v in HOURLY_VARIABLES)}
+  FROM (SELECT station, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS ts
+        FROM (SELECT DISTINCT station FROM wraw), chain_days) g
+  LEFT JOIN wraw w ON w.station = g.station AND w.ts + INTERVAL 1 HOUR = g.ts
+  WHERE EXISTS (SELECT 1 FROM wraw o WHERE o.station = g.station
+                AND year(o.ts + INTERVAL 59 MINUTE + INTERVAL 59 SECOND) = year(g.ts - INTERVAL 1 SECOND)))"""
+    sun = f"""csun AS (SELECT station, ts, {', '.join(_CHAIN_VARS)},
+    {_sql_elev("ts - INTERVAL 9 HOUR", _LAT_SQL, _LON_SQL)} <= -0.571 AS night FROM cf),
+cday AS (SELECT station, bool_or(coalesce(NOT night AND {flux} IS NOT NULL, false)) AS seen FROM csun GROUP BY station),
+cnz AS (SELECT c.* REPLACE (CASE WHEN c.night AND d.seen THEN CAST(0 AS FLOAT) ELSE c.{flux} END AS {flux})
+        FROM csun c JOIN cday d ON d.station = c.station)"""
+    filled = [f"""SELECT station, ts, CASE WHEN {v} IS NOT NULL THEN CAST({v} AS DOUBLE)
+    WHEN pr IS NOT NULL AND nr IS NOT NULL AND nr - pr - 1 <= {MAX_GAP} THEN pv + (nv - pv) * {_SECS} END AS f FROM nb_{i}"""
+              for i, v in enumerate(_CHAIN_VARS)]
+    return sql_with(SQL_EV, SQL_WRAW, grid, SQL_CF, sun,
+                    *[sql_neighbours(f"nb_{i}", "cnz", "station", v) for i, v in enumerate(_CHAIN_VARS)],
+                    *[f"f_{i} AS ({x})" for i, x in enumerate(filled)]) + f"""
+SELECT station, ts, f_0.f AS {_CHAIN_VARS[0]}, f_1.f AS {_CHAIN_VARS[1]} FROM f_0 JOIN f_1 USING (station, ts)"""
+
+
+def _chain_catalogue(spark, sf) -> DataFrame:
+    return _t(spark, sf, "events").select(F.col("user_id").alias("k")).distinct().select(
+        F.col("k").cast("string").alias("name_en"), F.col("k").cast("int").alias("kanid"), _station_lat("k").alias("lat"),
+        _station_lon("k").alias("lon"), F.lit(10.0).alias("elev_m"))
+
+
+@query("station_chain", _chain_sql())
 def q_station_chain(spark, sf):
     """S15 on derived archive files: read -> year grid (clipped to the days of the events) ->
-    CF step -> lineage cut -> bounded gap fill of all 14 CF variables."""
+    CF step -> night zero by the sun at the catalogue's coordinates -> lineage cut ->
+    report and bounded gap fill of two variables."""
     from .chain import run_station_chain
     path = _write_archive(spark, sf)
-    out = run_station_chain(spark, path, None, None, *_whole_days(spark, sf), max_gap=MAX_GAP,
-                            layout="partitioned")
-    return out["filled"].withColumn("station", F.col("station").cast("long"))
+    out = run_station_chain(spark, path, None, None, *_whole_days(spark, sf), max_gap=MAX_GAP, layout="partitioned",
+                            catalogue=_chain_catalogue(spark, sf), variables=_CHAIN_VARS)
+    return out["filled"].select(F.col("station").cast("long").alias("station"), "ts", *_CHAIN_VARS)
+
+
+# ---------------------------------------------------------------------------
+# A store that grows; S16 and O1: ordered outputs; F-25: date-only bounds
+# ---------------------------------------------------------------------------
+
+_STORE_VARS = ["air_temperature", "precipitation_flux"]
+
+
+@query("cf_store_growth", sql_with(*WIDE, SQL_CF, f"""now AS (
+  SELECT station, ts, {', '.join(_STORE_VARS)}, min(ts) OVER (PARTITION BY station) < TIMESTAMP '2024-01-15' AS early FROM cf),
+store AS (SELECT station, ts - INTERVAL 1 YEAR AS ts, {', '.join(_STORE_VARS)} FROM cf UNION ALL
+  SELECT station, ts, {', '.join(_STORE_VARS)} FROM now
+  WHERE NOT (station % 5 = 0 AND early AND ts >= TIMESTAMP '2024-01-15'))""") + """
+SELECT station, min(ts) AS time_coverage_start, max(ts) AS time_coverage_end, count(*) AS n_times,
+  count(air_temperature) AS n_temperature, CAST(min(air_temperature) AS DOUBLE) AS least_temperature,
+  CAST(max(precipitation_flux) AS DOUBLE) AS greatest_precipitation, CAST(station % 20 AS DOUBLE) + 24 AS lat,
+  'Hourly surface observations, station ' || station AS title, 'CF-1.10' AS Conventions
+FROM store GROUP BY station""")
+def q_cf_store_growth(spark, sf):
+    """Last year's rows, then this year's, then a shorter batch over this year of
+    some stations; the global row of every station covers what the store holds."""
+    from ..session import cut_lineage
+    from ..sources import sinks as SK
+    cf = cut_lineage(_cf(spark, sf).select("station", "ts", *_STORE_VARS), "store-rows")
+    path = _scratch(spark, "store")
+    places = cf.select("station").distinct().select("station", _station_lat().alias("lat"))
+    SK.write_cf(cf.withColumn("ts", F.col("ts") - F.expr("INTERVAL 1 YEAR")), path, global_attrs=places)
+    SK.write_cf(cf, path)
+    SK.write_cf(cf.where("station % 5 = 0 AND ts < TIMESTAMP_NTZ'2024-01-15 00:00:00'"), path, overwrite=True)
+
+    def statistics(name):
+        return F.filter("variables", lambda x: x["variable"] == name)[0]
+    one = {v: statistics(v) for v in _STORE_VARS}
+    return spark.read.parquet(f"{path}/_global").select(
+        F.col("station").cast("long").alias("station"), "time_coverage_start", "time_coverage_end", "n_times",
+        one[_STORE_VARS[0]]["n_valid"].alias("n_temperature"), one[_STORE_VARS[0]]["least"].alias("least_temperature"),
+        one[_STORE_VARS[1]]["greatest"].alias("greatest_precipitation"), "lat", "title", "Conventions")
+
+
+@query("forcing_file_ordered", ORACLE_SQL["forcing_met_text"].replace(
+    "SELECT station, ts, strftime", "SELECT station, row_number() OVER (PARTITION BY station ORDER BY ts) AS line_no, strftime"))
+def q_forcing_file_ordered(spark, sf):
+    """Each line of the sorted files with its place."""
+    from ..sources import sinks as SK
+    path = _scratch(spark, "forcing")
+    SK.export_forcing_met(_physical(spark, sf), path)
+    return SK.read_ordered(spark, path).select(F.col("station").cast("long").alias("station"), "line_no", "line")
+
+
+_FORCING_TEXT = """ FROM (SELECT *, sped * cos(muki * 2 * pi() / 360.0) AS u, sped * sin(muki * 2 * pi() / 360.0) AS v FROM wphys)"""
+
+
+@query("forcing_batch_roundtrip", sql_with(*WIDE, SQL_WMASK, SQL_PHYS) + f"""
+SELECT station, 'slht' AS output, row_number() OVER w AS line_no, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time,
+       {_pf('slht', 10)} AS line, CAST(NULL AS DOUBLE) AS precipitation{_FORCING_TEXT} WINDOW w AS (PARTITION BY station ORDER BY ts)
+UNION ALL
+SELECT station, 'met', row_number() OVER w, strftime(ts, '%Y-%m-%d %H:%M:%S'), """ + " || ' ' || ".join(
+    _pf(x, w) for x, w in [("u", 10), ("v", 10), ("shpa", 12), ("kion", 10), ("humd", 10), ("clod", 10)]) + f""",
+       CAST(NULL AS DOUBLE){_FORCING_TEXT} WINDOW w AS (PARTITION BY station ORDER BY ts)
+UNION ALL
+SELECT station, 'kous', row_number() OVER w, strftime(ts, '%Y-%m-%d %H:%M:%S'), CAST(NULL AS VARCHAR),
+       coalesce(kous, 'nan'::DOUBLE) * 1e9{_FORCING_TEXT} WINDOW w AS (PARTITION BY station ORDER BY ts)""")
+def q_forcing_batch_roundtrip(spark, sf):
+    """Three outputs of all stations from one pass, read back in order;
+    precipitation as a number (in 1e-9 m/s)."""
+    from ..sources import sinks as SK
+    path = _scratch(spark, "forcing-batch")
+    SK.export_forcing_batch(_physical(spark, sf), path)
+    back = SK.read_ordered(spark, path, ["output", "station"])
+    rest, rain = F.expr("substring(line, 21)"), F.col("output") == "kous"
+    return back.select(F.col("station").cast("long").alias("station"), "output", "line_no", F.expr("substring(line, 1, 19)").alias("time"),
+                       F.when(~rain, rest).alias("line"),
+                       F.when(rain, F.when(rest == "nan", F.lit(float("nan"))).otherwise(rest.try_cast("double")) * 1e9).alias("precipitation"))
+
+
+@query("date_only_bounds", ORACLE_SQL["raw_slice"])
+def q_date_only_bounds(spark, sf):
+    """F-25: bounds given as dates start at 00:00:00."""
+    from ..sources import hourly as H
+    start, end = (x[:10] for x in _inner_days(spark, sf))
+    back = H.read_hourly(spark, _write_archive(spark, sf), None, *H.parse_bounds(start, end), raw=True, layout="partitioned")
+    return back.select(F.col("station").cast("long").alias("station"), "ts",
+                       *[U.num(v).alias(v) for v in HOURLY_VARIABLES], *[rmk_col(v) for v in HOURLY_VARIABLES])
 
 
 @query("interp_quadratic")

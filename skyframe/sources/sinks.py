@@ -8,15 +8,17 @@ files, taken in name order, form the sorted series.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import forcing_line, local_to_utc, epoch_seconds, utc_to_local
-from ..schema import HOURLY_COLUMNS, LOCAL_TZ
+from ..schema import CF_CONVENTIONS, CF_COORDINATES, CF_TIME, HOURLY_COLUMNS, LOCAL_TZ
 
 FORCING_MET = [("u", 10, 5), ("v", 10, 5), ("shpa", 12, 5), ("kion", 10, 5), ("humd", 10, 5),
                ("clod", 10, 5)]
@@ -43,29 +45,99 @@ def write_hourly_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> N
        .option("lineSep", "\n").csv(path))
 
 
+# What a store says about itself where the caller gives nothing else.
+STORE_ATTRIBUTES = {
+    "institution": "not stated", "source": "hourly station archive in CSV",
+    "comment": "Samples that are missing in the archive are NULL, the fill value of the store."}
+
+
 def write_cf(cf: DataFrame, path: str, keys: Sequence[str] = ("station",), ts: str = "ts",
-             overwrite: bool = False, global_attrs: DataFrame | None = None) -> None:
+             overwrite: bool = False, global_attrs: DataFrame | None = None, attributes: dict | None = None) -> None:
     """CF frame -> parquet partitioned by ``station, year``; local time
     stays in ``ts`` and the instant goes to ``time`` (seconds since 1970 UTC).
-    Variable attributes travel in the column metadata; per-station global
-    attributes (coverage, coordinates, provenance) go to ``{path}/_global``.
-    Other stations and years of the store stay as they are: a station-year that
-    is there already is refused unless ``overwrite`` replaces it."""
+    Variable attributes travel in the column metadata. Other stations and years of
+    the store stay as they are: a station-year that is there already is refused
+    unless ``overwrite`` replaces it.
+
+    Every batch carries its id. It is committed in this order:
+
+    1. ``{path}/_summary`` gets one row per station-year and batch: first and last
+       time, rows, and per variable the valid samples, least and greatest value;
+       ``{path}/_attributes`` gets ``global_attrs`` (coordinates and the like);
+    2. ``{path}/data`` gets the rows, which name their batch;
+    3. ``{path}/_global`` is made again for the stations of the batch
+       (:func:`refresh_global`).
+
+    So no station-year is without its summary, and the summary of a batch that was
+    not finished, or was replaced, counts nowhere. A writer that ends between 2 and
+    3 leaves an old ``_global`` row; :func:`refresh_global` mends it from the
+    summaries. ``cf`` is read twice; cut its lineage if it is costly."""
     keys = list(keys)
-    mode = "overwrite" if overwrite else "append"
-    out = (cf.withColumn("year", F.year(F.col(ts)))
-             .withColumn("time", epoch_seconds(local_to_utc(F.col(ts), LOCAL_TZ))))
+    batch = uuid.uuid4().hex
+    seconds = epoch_seconds(local_to_utc(F.col(ts), LOCAL_TZ)).alias("time", metadata=CF_TIME)
+    out = cf.select("*", F.year(F.col(ts)).alias("year"), seconds, F.lit(batch).alias(BATCH))
     if not overwrite:
         _refuse_existing(out, f"{path}/data", [*keys, "year"])
-    (out.repartition(*keys, "year").sortWithinPartitions(*keys, ts).write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic").partitionBy(*keys, "year").parquet(f"{path}/data"))
-    cov = cf.groupBy(*keys).agg(F.min(ts).alias("time_coverage_start"),
-                                F.max(ts).alias("time_coverage_end"),
-                                F.count(F.lit(1)).alias("n_times"))
+    variables = [c for c in cf.columns if c not in (*keys, ts)]
+    numeric = [c for c in variables if isinstance(cf.schema[c].dataType, T.NumericType)]
+    stats = [F.struct(F.lit(c).alias("variable"), F.count(c).alias("n_valid"), F.min(c).cast("double").alias("least"),
+                      F.max(c).cast("double").alias("greatest")) for c in numeric]
+    summary = out.groupBy(*keys, "year", BATCH).agg(
+        F.min(ts).alias("first"), F.max(ts).alias("last"), F.count(F.lit(1)).alias("n"),
+        (F.array(*stats) if stats else F.lit(None).cast(f"array<{STATS}>")).alias("variables"))
+    summary.write.mode("append").partitionBy(*keys).parquet(f"{path}/_summary")
     if global_attrs is not None:
-        cov = cov.join(global_attrs, on=keys, how="left")
-    (cov.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys).parquet(f"{path}/_global"))
+        named = [F.col(c).alias(c, metadata=CF_COORDINATES[c]) if c in CF_COORDINATES else F.col(c) for c in global_attrs.columns]
+        (global_attrs.join(cf.select(*keys).distinct(), keys, "left_semi").select(*named).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(f"{path}/_attributes"))
+    (out.repartition(*keys, "year").sortWithinPartitions(*keys, ts).write.mode("overwrite" if overwrite else "append")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*keys, "year").parquet(f"{path}/data"))
+    refresh_global(cf.sparkSession, path, {k: cf.schema[k].dataType for k in keys}, batch, attributes)
+
+
+BATCH = "batch"
+STATS = "struct<variable:string,n_valid:bigint,least:double,greatest:double>"
+
+
+def _table(spark: SparkSession, path: str, keys: dict, columns: Sequence[str] | None = None) -> DataFrame:
+    """A table of the store whose partition columns ``keys`` have the given types:
+    inferred ones would turn station "0123" into 123."""
+    own = [f for f in spark.read.parquet(path).schema if f.name not in keys and (columns is None or f.name in columns)]
+    return spark.read.schema(T.StructType([*own, *[T.StructField(k, t) for k, t in keys.items()]])).parquet(path)
+
+
+def refresh_global(spark: SparkSession, path: str, keys: dict, batch: str | None = None,
+                   attributes: dict | None = None) -> None:
+    """Make ``{path}/_global`` again from the summaries, one row per station over
+    all its years: ``time_coverage_start``, ``time_coverage_end``, ``n_times``,
+    ``variables`` (merged statistics by name), the stored attributes and the global
+    attributes of the conventions. ``keys``: name -> type of the key columns;
+    ``batch``: only for the stations of this batch."""
+    names = list(keys)
+    summary = _table(spark, f"{path}/_summary", keys)
+    data = _table(spark, f"{path}/data", {**keys, "year": T.IntegerType()}, [BATCH])
+    if batch is not None:
+        touched = summary.where(F.col(BATCH) == batch).select(*names).distinct()
+        summary, data = (x.join(touched, names, "left_semi") for x in (summary, data))
+    # a station-year holds the rows of one batch: only that one's summary counts
+    live = summary.join(data.groupBy(*names, "year").agg(F.max(BATCH).alias(BATCH)), [*names, "year", BATCH])
+    merged = (live.select(*names, F.inline("variables")).groupBy(*names, "variable")
+              .agg(F.sum("n_valid").alias("n_valid"), F.min("least").alias("least"), F.max("greatest").alias("greatest"))
+              .groupBy(*names).agg(F.sort_array(F.collect_list(F.struct("variable", "n_valid", "least", "greatest"))).alias("variables")))
+    out = live.groupBy(*names).agg(F.min("first").alias("time_coverage_start"), F.max("last").alias("time_coverage_end"),
+                                   F.sum("n").alias("n_times")).join(merged, names, "left")
+    try:
+        out = out.join(_table(spark, f"{path}/_attributes", keys), names, "left")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    station = F.concat_ws(" ", *[F.col(k).cast("string") for k in names])
+    now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    texts = {"Conventions": CF_CONVENTIONS, "history": f"{now} written by skyframe", **STORE_ATTRIBUTES, **(attributes or {})}
+    out = out.withColumns({"title": F.concat(F.lit("Hourly surface observations, station "), station), "station_id": station,
+                           **{k: F.lit(v) for k, v in texts.items()}})
+    (out.repartition(*names).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*names).parquet(f"{path}/_global"))
 
 
 def _refuse_existing(out: DataFrame, path: str, keys: list[str]) -> None:
@@ -87,7 +159,7 @@ def read_cf(spark: SparkSession, path: str, variables: Sequence[str] | None = No
             stations: Sequence[str] | None = None, time_tz: str | None = None) -> DataFrame:
     """Load time-dependent variables (NULL is the fill value); unknown
     variables are an error. ``time_tz`` adds ``time_local`` in that zone."""
-    df = spark.read.parquet(f"{path}/data")
+    df = spark.read.parquet(f"{path}/data").drop(BATCH)
     if stations is not None:
         df = df.filter(F.col("station").isin(list(stations)))
     if variables is not None:
@@ -123,7 +195,27 @@ def export_forcing_met(df: DataFrame, path: str, keys: Sequence[str] = ("station
 def export_forcing_batch(df: DataFrame, path: str, keys: Sequence[str] = ("station",), ts: str = "ts",
                          mode: str = "errorifexists") -> None:
     """Irradiance (``10.5f``), precipitation (full value: m/s are small
-    numbers) and the meteorological forcing for all stations of ``df``."""
-    export_forcing(df, "slht", f"{path}/slht", 10, 5, keys, ts, mode)
-    export_forcing(df, "kous", f"{path}/kous", None, None, keys, ts, mode)
-    export_forcing_met(df, f"{path}/met", keys, ts, mode)
+    numbers) and the meteorological forcing for all stations of ``df``, as
+    ``output=slht``, ``output=kous`` and ``output=met``. The three lines of a row
+    are made together and go through one range exchange."""
+    lines = {"slht": forcing_line(ts, [("slht", 10, 5)]), "kous": forcing_line(ts, [("kous", None, None)]),
+             "met": forcing_line(ts, FORCING_MET)}
+    made = F.explode(F.array(*[F.struct(F.lit(k).alias("output"), v.alias("line")) for k, v in lines.items()]))
+    x = df.select(*keys, ts, made.alias("__l")).select("__l.output", *keys, ts, F.col("__l.line"))
+    _ordered_text(x, ["output", *keys], ts, F.col("line"), path, mode)
+
+
+def read_ordered(spark: SparkSession, path: str, keys: Sequence[str] = ("station",)) -> DataFrame:
+    """(keys, ``line_no``, ``line``): the lines of an ordered text output with their
+    place, 1, 2, ..., in the files of a key taken in name order. Rows of a file
+    part are read in order, so their numbers come from a count per part and the
+    place within it; no key's lines pass through one task."""
+    keys = list(keys)
+    part = [*keys, "__file", "__start"]
+    rows = spark.read.option("basePath", path).text(path).select(
+        *keys, F.col("value").alias("line"), F.col("_metadata.file_name").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__at"))
+    before = Window.partitionBy(*keys).orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (rows.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+             .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n"))
+    return rows.join(parts, part).select(*keys, (F.col("__before") + F.col("__at") - F.col("__first") + 1).alias("line_no"), "line")

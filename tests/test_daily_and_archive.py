@@ -61,7 +61,7 @@ def test_forcing_batch(spark, tmpdir_path):
     hourly = H.read_hourly(spark, root, ["Tokyo"], "2020-01-01", "2020-01-02")["hourly"]
     SK.export_forcing_batch(hourly, f"{tmpdir_path}/forcing")
     for sub in ("slht", "kous", "met"):
-        files = glob.glob(f"{tmpdir_path}/forcing/{sub}/station=Tokyo/part-*")
+        files = glob.glob(f"{tmpdir_path}/forcing/output={sub}/station=Tokyo/part-*")
         assert files and sum(len(open(p).read().splitlines()) for p in files) == 25
 
 

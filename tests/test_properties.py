@@ -42,7 +42,7 @@ def _expected(rows):
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=series_st, chunk=st.sampled_from(["day", "month", None]))
+@given(rows=series_st, chunk=st.sampled_from(["day", "month"]))
 def test_neighbours_match_pandas(spark, rows, chunk):
     df, exp = _expected(rows)
     sdf = spark.createDataFrame(

@@ -25,7 +25,7 @@ def values(df):
     return [r.v for r in df.orderBy("k", "ts").collect()]
 
 
-@pytest.mark.parametrize("chunk", ["day", "month", None])
+@pytest.mark.parametrize("chunk", ["day", "month"])
 def test_interpolate_time_fixture(spark, chunk):
     df = series(spark, [None, 1, None, None, 4, None, None])
     assert values(SR.interpolate(df, ["k"], "ts", ["v"], "time", chunk=chunk)) == [None, 1, 2, 3, 4, 4, 4]

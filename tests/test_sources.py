@@ -281,3 +281,60 @@ def test_partitioned_station_keeps_leading_zeros_and_absent_years(spark, tmp_pat
     assert {tuple(r) for r in require_unique(one_per_key(twice, ["k", "t"]), ["k", "t"]).collect()} == {("a", 1, 3), ("b", 1, None)}
     with pytest.raises(ValueError):
         require_unique(twice, ["k", "t"])
+
+
+def test_store_summary_covers_all_batches(spark, tmpdir_path):
+    from pyspark.sql import types as T
+    path = f"{tmpdir_path}/grown"
+
+    def of(station, year, hours, value):
+        return spark.createDataFrame([(station, f"{year}-03-01 {h:02d}:00:00", float(value + h) if h else None) for h in range(hours)],
+                                     "station string, t string, kion double").select(
+            "station", F.col("t").cast("timestamp_ntz").alias("ts"), F.col("kion").cast("float").alias("kion", metadata={"units": "K"}))
+
+    def row(station):
+        r = spark.read.schema("time_coverage_start timestamp_ntz, time_coverage_end timestamp_ntz, n_times long, lat double, title string, "
+                              "Conventions string, history string, institution string, variables array<struct<variable:string,"
+                              "n_valid:bigint,least:double,greatest:double>>, station string").parquet(f"{path}/_global").where(
+            F.col("station") == station).collect()
+        assert len(r) == 1
+        return str(r[0].time_coverage_start)[:10], str(r[0].time_coverage_end), r[0].n_times, tuple(r[0].variables[0])[1:], r[0]
+    places = spark.createDataFrame([("0123", 35.0), ("other", 1.0)], "station string, lat double")
+    SK.write_cf(of("0123", 2020, 5, 10), path, global_attrs=places)
+    SK.write_cf(of("0123", 2021, 3, 20), path, attributes={"institution": "the observatory"})
+    got = row("0123")
+    assert got[:4] == ("2020-03-01", "2021-03-01 02:00:00", 8, (6, 11.0, 22.0))
+    assert got[4].lat == 35.0 and got[4].Conventions == "CF-1.10" and got[4].institution == "the observatory" and "0123" in got[4].title
+    SK.write_cf(of("0123", 2020, 2, 90), path, overwrite=True)                 # replaces one year, its old summary counts no more
+    assert row("0123")[:4] == ("2020-03-01", "2021-03-01 02:00:00", 5, (3, 21.0, 91.0))
+    SK.write_cf(of("9", 2020, 4, 0), path)
+    assert row("0123")[2] == 5 and row("9")[2] == 4
+    # a writer that ended before its data: only a summary; one that ended before the global row: summary and data
+    real, SK.refresh_global = SK.refresh_global, lambda *a, **k: None
+    try:
+        SK.write_cf(of("9", 2021, 6, 0), path)
+        spark.read.parquet(f"{path}/_summary").limit(1).withColumn("batch", F.lit("unfinished")).withColumn("station", F.lit("9")).write.mode(
+            "append").partitionBy("station").parquet(f"{path}/_summary")
+    finally:
+        SK.refresh_global = real
+    assert row("9")[2] == 4
+    SK.refresh_global(spark, path, {"station": T.StringType()})
+    assert row("9")[2] == 10 and row("0123")[2] == 5
+    back = SK.read_cf(spark, path)
+    assert "batch" not in back.columns and back.schema["time"].metadata["units"].startswith("seconds since 1970")
+    assert back.schema["kion"].metadata == {"units": "K"}
+    assert spark.read.parquet(f"{path}/_attributes").schema["lat"].metadata["units"] == "degrees_north"
+
+
+def test_lines_of_ordered_output(spark, tmpdir_path):
+    df = spark.range(3000).select((F.col("id") % 2).cast("string").alias("station"),
+                                  F.timestamp_add("HOUR", F.col("id").cast("int"), F.lit("2020-01-01").cast("timestamp_ntz")).alias("ts"),
+                                  F.col("id").cast("double").alias("x")).repartition(7)
+    SK.export_forcing(df, "x", f"{tmpdir_path}/x")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")                  # parts of files are numbered as well
+    try:
+        got = {(r.station, r.line_no): float(r.line.split()[2]) for r in SK.read_ordered(spark, f"{tmpdir_path}/x").withColumn(
+            "station", F.col("station").cast("string")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {(str(i % 2), i // 2 + 1): float(i) for i in range(3000)}
