@@ -1,333 +1,179 @@
-"""Cubic-spline gap fill (not-a-knot end conditions, as a cubic
-interpolating spline through all valid samples of an entity).
-
-The slopes ``s`` of the spline solve a tridiagonal system over all valid
-samples of the entity. Instead of solving it in one task per entity, the
-samples are cut into blocks of ``block`` consecutive ordinals (with a 2-row
-halo for the differences) and solved exactly in two levels:
-
-1. per ``(entity, block)`` (grouped map, bounded by ``block`` rows): the block's
-   slopes as an affine function of the two unknown slopes just outside it,
-   ``s_i = p_i + a_i * L + b_i * R``;
-2. per entity, the reduced system linking neighbouring blocks (two unknowns
-   per block, i.e. ``block`` times smaller than the series) gives every
-   block's ``L`` and ``R``;
-
-then the slopes are recombined by a join and every short inside gap is
-evaluated with the cubic Hermite basis, like PCHIP/Akima.
+"""Cubic-spline gap fill (not-a-knot end conditions) and quadratic-spline
+gap fill (knots at the midpoints between samples), through all valid samples of
+an entity.
+
+The slopes of both splines solve a tridiagonal system over all samples, but what a
+sample does to a slope fades by a factor of two or more with each sample between
+them. A row of a short inside gap is therefore filled from the ``BLOCK`` samples
+around it and ``HALO`` more on both sides: cutting the system there moves a slope by
+less than 2^-64 of its size, below the precision of a double. Samples of an entity
+are numbered in the one chunk pass of :func:`skyframe.operators.series.neighbours`,
+cut into blocks of consecutive numbers, and only blocks that hold a row to fill are
+solved; no group is larger than ``BLOCK`` + 2 ``HALO`` samples and the rows asked of
+it, and no step sees a whole entity. All variables go through the same pass.
+
+A block's system is solved by cyclic reduction on whole arrays (log2 of its size
+steps).
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .series import NROWS, RN, gap_len_expr, gap_pos_expr, halo_blocks, neighbours, next_col, prev_col
-from .splines import hermite, valid_counts, valid_rows
-
-BLOCK = 4096
-
-
-def _ship_by_value() -> None:
-    """The grouped-map functions below run in Python workers; pickle this
-    module's code by value so workers need no installed copy of the package."""
-    import sys
-    try:
-        from pyspark import cloudpickle
-        cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    except Exception:  # noqa: BLE001 - older cloudpickle: rely on the installed package
-        pass
-
-
-_ship_by_value()
-
-
-def _thomas(lo, di, up, rhs_cols):
-    """Tridiagonal solve (plain-float sweeps); one solution per right-hand side."""
-    n = len(di)
-    c = [0.0] * n
-    ds = [[0.0] * n for _ in rhs_cols]
-    c[0] = up[0] / di[0] if n > 1 else 0.0
-    for d, rhs in zip(ds, rhs_cols):
-        d[0] = rhs[0] / di[0]
-    for i in range(1, n):
-        den = di[i] - lo[i] * c[i - 1]
-        c[i] = up[i] / den if i < n - 1 else 0.0
-        for d, rhs in zip(ds, rhs_cols):
-            d[i] = (rhs[i] - lo[i] * d[i - 1]) / den
-    outs = []
-    for d in ds:
-        o = [0.0] * n
-        o[-1] = d[-1]
-        for i in range(n - 2, -1, -1):
-            o[i] = d[i] - c[i] * o[i + 1]
-        outs.append(np.array(o))
-    return outs
-
-
-def _coefficients(g: np.ndarray, x: np.ndarray, y: np.ndarray, i0: int, n: int):
-    """Rows ``g`` (global 0-based, consecutive) of the not-a-knot slope system.
-    ``x``/``y`` hold consecutive samples starting at global index ``i0``."""
-    dx = np.diff(x)
-    m = np.diff(y) / dx
-    li = g - i0                       # local index of each equation's sample
-    lo = np.zeros(len(g))
-    di = np.zeros(len(g))
-    up = np.zeros(len(g))
-    rhs = np.zeros(len(g))
-    inner = (g > 0) & (g < n - 1)
-    j = li[inner]
-    lo[inner] = dx[j]
-    di[inner] = 2 * (dx[j - 1] + dx[j])
-    up[inner] = dx[j - 1]
-    rhs[inner] = 3 * (dx[j] * m[j - 1] + dx[j - 1] * m[j])
-    first = np.where(g == 0)[0]
-    if len(first):
-        k = first[0]
-        d = x[2] - x[0]
-        di[k], up[k] = dx[1], d
-        rhs[k] = ((dx[0] + 2 * d) * dx[1] * m[0] + dx[0] ** 2 * m[1]) / d
-    last = np.where(g == n - 1)[0]
-    if len(last):
-        k = last[0]
-        e = li[k]
-        d = x[e] - x[e - 2]
-        lo[k], di[k] = d, dx[e - 2]
-        rhs[k] = (dx[e - 1] ** 2 * m[e - 2] + (2 * d + dx[e - 1]) * dx[e - 2] * m[e - 1]) / d
-    return lo, di, up, rhs
-
-
-def _quad_coefficients(g: np.ndarray, x: np.ndarray, y: np.ndarray, i0: int, n: int):
-    """Slope system of the interpolating quadratic spline whose knots are the
-    midpoints between samples (no knot in the first and last interval):
-    one quadratic piece per sample, C1 at the midpoints."""
+from .series import NROWS, RN, halo_blocks, neighbours, post_col, pre_col
+from .splines import valid_counts
+
+BLOCK = 1024
+HALO = 64
+
+# the grouped-map functions run in Python workers that need no installed copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def solve_tridiagonal(lo: np.ndarray, di: np.ndarray, up: np.ndarray, rhs: np.ndarray) -> np.ndarray:
+    """Cyclic reduction: every step doubles the distance between the unknowns that
+    an equation links, until each has only its own."""
+    lo, di, up, rhs = (np.array(a, dtype=float) for a in (lo, di, up, rhs))
+    lo[0] = up[-1] = 0.0
+    n, step = len(di), 1
+    while step < n:
+        below, above = np.zeros(n), np.zeros(n)             # factors of the equations on both sides
+        below[step:] = lo[step:] / di[:-step]
+        above[:-step] = up[:-step] / di[step:]
+        new = [np.zeros(n), di.copy(), np.zeros(n), rhs.copy()]
+        new[0][step:] = -lo[:-step] * below[step:]
+        new[2][:-step] = -up[step:] * above[:-step]
+        for target, left, right in ((new[1], up, lo), (new[3], rhs, rhs)):
+            target[step:] -= left[:-step] * below[step:]
+            target[:-step] -= right[step:] * above[:-step]
+        lo, di, up, rhs = new
+        step *= 2
+    return rhs / di
+
+
+def cubic_slopes(x: np.ndarray, y: np.ndarray, starts: bool = True, ends: bool = True) -> np.ndarray:
+    """Slopes of the cubic spline at the samples. ``starts`` and ``ends`` say
+    whether the series really starts and ends here (not-a-knot) or is cut."""
     h = np.diff(x)
-    dl = np.diff(y) / h
-    li = g - i0
-    lo = np.zeros(len(g))
-    di = np.zeros(len(g))
-    up = np.zeros(len(g))
-    rhs = np.zeros(len(g))
-    for k, (gi, j) in enumerate(zip(g, li)):
-        if gi == 0:
-            di[k], up[k], rhs[k] = 1.0, 1.0, 2 * dl[j]
-        elif gi == n - 1:
-            lo[k], di[k], rhs[k] = 1.0, 1.0, 2 * dl[j - 1]
-        elif gi == 1:
-            di[k] = 2 / h[j - 1] + 3 / h[j]
-            up[k] = 1 / h[j]
-            rhs[k] = 2 * dl[j - 1] / h[j - 1] + 4 * dl[j] / h[j]
-        elif gi == n - 2:
-            lo[k] = 1 / h[j - 1]
-            di[k] = 3 / h[j - 1] + 2 / h[j]
-            rhs[k] = 4 * dl[j - 1] / h[j - 1] + 2 * dl[j] / h[j]
-        else:
-            lo[k] = 1 / h[j - 1]
-            di[k] = 3 * (1 / h[j - 1] + 1 / h[j])
-            up[k] = 1 / h[j]
-            rhs[k] = 4 * (dl[j - 1] / h[j - 1] + dl[j] / h[j])
-    return lo, di, up, rhs
-
-
-def _parabola_slopes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Slopes at three samples of the parabola through them."""
-    c = np.polyfit(x - x[0], y, 2)
-    return 2 * c[0] * (x - x[0]) + c[1]
-
-
-def _small_slopes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Two samples: a line; three samples: the parabola (not-a-knot at both ends)."""
-    m = np.diff(y) / np.diff(x)
+    m = np.diff(y) / h
     if len(x) == 2:
         return np.array([m[0], m[0]])
-    dx = np.diff(x)
-    s1 = (dx[0] * m[1] + dx[1] * m[0]) / (dx[0] + dx[1])
-    return np.array([2 * m[0] - s1, s1, 2 * m[1] - s1])
-
-
-def _block_solve(keys: list[str], kind: str = "cubic"):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("r")
-        r = pdf["r"].to_numpy(np.int64)
-        x = pdf["x"].to_numpy(float)
-        y = pdf["y"].to_numpy(float)
-        n = int(pdf["n"].iloc[0])
-        own = np.where(~pdf["halo"].to_numpy(bool))[0]
-        k = len(own)
-        gs = r[own] - 1
-        if n <= 3:
-            if kind == "cubic":
-                s = _small_slopes(x[own], y[own]) if n >= 2 else np.full(k, np.nan)
-            else:
-                s = _parabola_slopes(x[own], y[own]) if n == 3 else np.full(k, np.nan)
-            p, a, b = s, np.zeros(k), np.zeros(k)
-        else:
-            coef = _coefficients if kind == "cubic" else _quad_coefficients
-            lo, di, up, rhs = coef(gs, x, y, int(r[0]) - 1, n)
-            e1 = np.zeros(k)
-            e2 = np.zeros(k)
-            e1[0] = -lo[0]            # coupling to the slope before the block
-            e2[-1] = -up[-1]          # coupling to the slope after the block
-            p, a, b = _thomas(lo.tolist(), di.tolist(), up.tolist(),
-                              [rhs.tolist(), e1.tolist(), e2.tolist()])
-        nxt = own + 1                 # samples are consecutive: the next one follows
-        has = nxt < len(r)
-        x1 = np.where(has, x[np.minimum(nxt, len(r) - 1)], np.nan)
-        y1 = np.where(has, y[np.minimum(nxt, len(r) - 1)], np.nan)
-        # affine slope of the next sample: inside the block its own (p, a, b);
-        # after the last sample of the block it is the unknown slope after it
-        p1 = np.append(p[1:], 0.0)
-        a1 = np.append(a[1:], 0.0)
-        b1 = np.append(b[1:], 1.0)
-        out = pd.DataFrame({"r": r[own], "ts": pdf["ts"].to_numpy()[own], "x": x[own], "y": y[own],
-                            "p": p, "a": a, "b": b, "x1": x1, "y1": y1, "p1": p1, "a1": a1, "b1": b1,
-                            "n": np.full(k, n, dtype=np.int64)})
-        for c in keys + ["blk"]:
-            out[c] = pdf[c].iloc[0]
-        return out
-    return fn
-
+    if len(x) == 3:
+        middle = (h[0] * m[1] + h[1] * m[0]) / (h[0] + h[1])
+        return np.array([2 * m[0] - middle, middle, 2 * m[1] - middle])
+    lo, di, up, rhs = (np.zeros(len(x)) for _ in range(4))
+    lo[1:-1], di[1:-1], up[1:-1] = h[1:], 2 * (h[:-1] + h[1:]), h[:-1]
+    rhs[1:-1] = 3 * (h[1:] * m[:-1] + h[:-1] * m[1:])
+    if starts:
+        d = x[2] - x[0]
+        di[0], up[0] = h[1], d
+        rhs[0] = ((h[0] + 2 * d) * h[1] * m[0] + h[0] ** 2 * m[1]) / d
+    else:
+        di[0], rhs[0] = 1.0, m[0]
+    if ends:
+        d = x[-1] - x[-3]
+        lo[-1], di[-1] = d, h[-2]
+        rhs[-1] = (h[-1] ** 2 * m[-2] + (2 * d + h[-1]) * h[-2] * m[-1]) / d
+    else:
+        di[-1], rhs[-1] = 1.0, m[-1]
+    return solve_tridiagonal(lo, di, up, rhs)
+
+
+def quadratic_slopes(x: np.ndarray, y: np.ndarray, starts: bool = True, ends: bool = True) -> np.ndarray:
+    """Slopes of the quadratic spline with a piece per sample that meet smoothly at
+    the midpoints; no knot in the first and last interval of the series."""
+    h = np.diff(x)
+    m = np.diff(y) / h
+    if len(x) == 3:
+        bend = (m[1] - m[0]) / (x[2] - x[0])
+        return np.array([m[0] - bend * h[0], m[0] + bend * h[0], m[1] + bend * h[1]])
+    lo, di, up, rhs = (np.zeros(len(x)) for _ in range(4))
+    left, right = 1 / h[:-1], 1 / h[1:]
+    lo[1:-1], di[1:-1], up[1:-1] = left, 3 * (left + right), right
+    rhs[1:-1] = 4 * (m[:-1] * left + m[1:] * right)
+    di[0] = up[0] = lo[-1] = di[-1] = 1.0
+    rhs[0], rhs[-1] = 2 * m[0], 2 * m[-1]
+    if starts:
+        lo[1], di[1] = 0.0, 2 * left[0] + 3 * right[0]
+        rhs[1] = 2 * m[0] * left[0] + 4 * m[1] * right[0]
+    if ends:
+        di[-2], up[-2] = 3 * left[-1] + 2 * right[-1], 0.0
+        rhs[-2] = 4 * m[-2] * left[-1] + 2 * m[-1] * right[-1]
+    return solve_tridiagonal(lo, di, up, rhs)
+
+
+def _cubic_value(u, h, y0, y1, d0, d1, _inner) -> np.ndarray:
+    t = u / h
+    t2 = t * t
+    t3 = t2 * t
+    return (2 * t3 - 3 * t2 + 1) * y0 + (t3 - 2 * t2 + t) * h * d0 + (-2 * t3 + 3 * t2) * y1 + (t3 - t2) * h * d1
+
+
+def _quadratic_value(u, h, y0, y1, d0, d1, inner) -> np.ndarray:
+    """``inner``: the interval holds a knot at its midpoint."""
+    m = (y1 - y0) / h
+    half, turn = (d1 - d0) / (2 * h), 2 * (m - (d0 + d1) / 2) / h
+    first = y0 + d0 * u + (half + turn) * u * u
+    second = y1 + d1 * (u - h) + (half - turn) * (u - h) ** 2
+    return np.where(inner, np.where(u <= h / 2, first, second), y0 + d0 * u + (m - d0) / h * u * u)
+
+
+def _fill_block(keys: list[str], kind: str):
+    slopes, value = (cubic_slopes, _cubic_value) if kind == "cubic" else (quadratic_slopes, _quadratic_value)
+    least = 2 if kind == "cubic" else 3
 
-def _reduced_solve(keys: list[str]):
-    """Per entity: unknowns first_j, last_j of every block j; equations
-    first_j = pf + af*last_{j-1} + bf*first_{j+1}, last_j likewise."""
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("blk").reset_index(drop=True)
-        nb = len(pdf)
-        size = 2 * nb
-        # banded matrix, columns offset -2..+2 around the diagonal
-        band = np.zeros((size, 5))
-        rhs = np.zeros(size)
-        for j in range(nb):
-            for row, (pv, av, bv) in ((2 * j, ("pf", "af", "bf")), (2 * j + 1, ("pl", "al", "bl"))):
-                band[row, 2] = 1.0
-                rhs[row] = pdf.at[j, pv]
-                if j > 0:                              # last_{j-1} at column 2j-1
-                    band[row, 2 + (2 * j - 1 - row)] -= pdf.at[j, av]
-                if j < nb - 1:                         # first_{j+1} at column 2j+2
-                    band[row, 2 + (2 * j + 2 - row)] -= pdf.at[j, bv]
-        z = _banded_solve(band, rhs)
-        L = [z[2 * j - 1] if j > 0 else 0.0 for j in range(nb)]
-        R = [z[2 * j + 2] if j < nb - 1 else 0.0 for j in range(nb)]
-        out = pd.DataFrame({"blk": pdf["blk"], "s_before": L, "s_after": R})
-        for c in keys:
-            out[c] = pdf[c].iloc[0]
-        return out
+        asked = pdf[pdf["asked"]]
+        known = pdf[~pdf["asked"]].sort_values("r")
+        out = asked[[*keys, "variable", "ts"]].copy()
+        r, x, y, n = (known[c].to_numpy(t) for c, t in (("r", int), ("x", float), ("y", float), ("n", int)))
+        if len(r) < least or not len(asked):
+            return out.iloc[:0].assign(value=np.zeros(0))
+        d = slopes(x, y, r[0] == 1, r[-1] == n[0])
+        k = asked["r"].to_numpy(int) - r[0]                 # the sample before the row
+        inner = (r[k] >= 2) & (r[k] <= n[0] - 2)
+        return out.assign(value=value(asked["x"].to_numpy(float) - x[k], x[k + 1] - x[k], y[k], y[k + 1], d[k], d[k + 1], inner))
     return fn
 
 
-def _banded_solve(band: np.ndarray, rhs: np.ndarray) -> np.ndarray:
-    """Gaussian elimination on a (2, 2)-banded matrix stored as rows of
-    offsets -2..+2."""
-    n = len(rhs)
-    A = {(i, i + o - 2): band[i, o] for i in range(n) for o in range(5)
-         if 0 <= i + o - 2 < n and band[i, o] != 0.0}
-    A.update({(i, i): band[i, 2] for i in range(n)})
-    b = rhs.astype(float).copy()
-    for i in range(n):
-        piv = A[(i, i)]
-        for r_ in range(i + 1, min(i + 3, n)):
-            f = A.get((r_, i), 0.0) / piv
-            if f != 0.0:
-                for c in range(i, min(i + 5, n)):
-                    if (i, c) in A:
-                        A[(r_, c)] = A.get((r_, c), 0.0) - f * A[(i, c)]
-                b[r_] -= f * b[i]
-    z = np.zeros(n)
-    for i in range(n - 1, -1, -1):
-        s = b[i] - sum(A.get((i, c), 0.0) * z[c] for c in range(i + 1, min(i + 5, n)))
-        z[i] = s / A[(i, i)]
-    return z
-
-
-def cubic_slopes(df: DataFrame, keys: Sequence[str], ts: str, col: str, chunk="month",
-                 block: int = BLOCK, valid: DataFrame | None = None, kind: str = "cubic") -> DataFrame:
-    """Per valid sample: ``keys, ts, __x, __y, __d`` (spline slope) and the next
-    sample ``__x1, __y1, __d1``. ``valid`` may pass the numbered valid samples
-    (:func:`skyframe.operators.splines.valid_rows`) of an existing pass."""
-    keys = list(keys)
-    if valid is None:
-        nb0 = neighbours(df.select(*keys, ts, col), keys, ts, [], chunk, counts=valid_counts([col]))
-        valid = valid_rows(nb0, keys, ts, col)
-    nb = valid.select(*keys, F.col(ts).alias("ts"), F.col("__y").alias("y"), F.col("__x").alias("x"),
-                      F.col(RN).alias("r"), F.col(NROWS).alias("n"))
-    h = halo_blocks(nb, keys, "r", 2, 2, block).withColumnRenamed("__blk", "blk") \
-        .withColumnRenamed("__halo", "halo")
-    # halo copies aimed at blocks past either end of the series have no group to join
-    h = h.filter((F.col("blk") >= 0) & (F.col("blk") * block < F.col("n")))
-    kfields = [f for f in df.schema.fields if f.name in keys]
-    row_schema = T.StructType(kfields + [
-        T.StructField("blk", T.LongType()), T.StructField("r", T.LongType()),
-        T.StructField("ts", T.TimestampNTZType()), T.StructField("x", T.DoubleType()),
-        T.StructField("y", T.DoubleType()), T.StructField("p", T.DoubleType()),
-        T.StructField("a", T.DoubleType()), T.StructField("b", T.DoubleType()),
-        T.StructField("x1", T.DoubleType()), T.StructField("y1", T.DoubleType()),
-        T.StructField("p1", T.DoubleType()), T.StructField("a1", T.DoubleType()),
-        T.StructField("b1", T.DoubleType()), T.StructField("n", T.LongType())])
-    rows = h.groupBy(*keys, "blk").applyInPandas(_block_solve(keys, kind), row_schema)
-    # one exchange shared by both consumers, so the block solve runs once
-    rows = rows.repartition(*keys, "blk")
-    w_first = F.min_by(F.struct("p", "a", "b"), "r")
-    w_last = F.max_by(F.struct("p", "a", "b"), "r")
-    ends = rows.groupBy(*keys, "blk").agg(w_first.alias("f"), w_last.alias("l")).select(
-        *keys, "blk", F.col("f.p").alias("pf"), F.col("f.a").alias("af"), F.col("f.b").alias("bf"),
-        F.col("l.p").alias("pl"), F.col("l.a").alias("al"), F.col("l.b").alias("bl"))
-    red_schema = T.StructType(kfields + [T.StructField("blk", T.LongType()),
-                                         T.StructField("s_before", T.DoubleType()),
-                                         T.StructField("s_after", T.DoubleType())])
-    lr = ends.groupBy(*keys).applyInPandas(_reduced_solve(keys), red_schema)
-    sb, sa = F.col("s_before"), F.col("s_after")
-    s = rows.join(lr, on=keys + ["blk"], how="inner").withColumns({
-        "d": F.col("p") + F.col("a") * sb + F.col("b") * sa,
-        "d1": F.when(F.col("x1").isNotNull() & ~F.isnan("x1"),
-                     F.col("p1") + F.col("a1") * sb + F.col("b1") * sa)})
-    return s.select(*keys, F.col("ts").alias(ts), F.col("x").alias("__x"), F.col("y").alias("__y"),
-                    F.col("d").alias("__d"), F.col("x1").alias("__x1"), F.col("y1").alias("__y1"),
-                    F.col("d1").alias("__d1"), F.col("r").alias("__r"), F.col("n").alias("__nv"))
-
-
-def quadratic_eval(xq, x0, y0, d0, x1, y1, d1, r, n):
-    """Value of the midpoint-knot quadratic spline on ``[x0, x1]`` (the interval
-    starting at the ``r``-th of ``n`` samples) from the end values and slopes."""
-    h = x1 - x0
-    u = xq - x0
-    dl = (y1 - y0) / h
-    a_mid = ((d1 - d0) / h + 4 * (dl - (d0 + d1) / 2) / h) / 2
-    b_mid = ((d1 - d0) / h - 4 * (dl - (d0 + d1) / 2) / h) / 2
-    mid = (r >= 2) & (r <= n - 2)          # the interval holds a knot at its midpoint
-    one_piece = y0 + d0 * u + ((dl - d0) / h) * u * u
-    return (F.when(mid & (u <= h / 2), y0 + d0 * u + a_mid * u * u)
-             .when(mid, y1 + d1 * (u - h) + b_mid * (u - h) * (u - h))
-             .otherwise(one_piece))
-
-
 def fill_max_gap_cubic(df: DataFrame, keys, ts: str, cols: Sequence[str], max_gap: int,
                        chunk="month", block: int = BLOCK, kind: str = "cubic") -> DataFrame:
     """W11 with ``cubic``/``cubicspline`` (not-a-knot cubic spline) or
     ``quadratic`` (quadratic spline with knots at the midpoints between
     samples): fill inside gaps of at most ``max_gap`` rows from the spline
-    through all valid samples."""
+    through all valid samples. Two samples make a line for ``cubic`` and nothing
+    for ``quadratic``."""
     keys = list(keys)
     cols = list(cols)
-    nb = neighbours(df, keys, ts, cols, chunk, counts=valid_counts(cols))
-    out = nb
-    xq = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                          F.col(ts)).cast("double")
-    for c in cols:
-        ok = F.col(c).isNull() & (gap_len_expr(c) <= max_gap) & (gap_pos_expr(c) == "inside")
-        tgt = nb.filter(ok).select(*keys, ts, F.col(prev_col(c))["t"].alias("__lt"))
-        sl = cubic_slopes(df, keys, ts, c, chunk, block, valid=valid_rows(nb, keys, ts, c), kind=kind) \
-            .withColumnRenamed(ts, "__lt")
-        args = [F.col(a) for a in ("__x", "__y", "__d", "__x1", "__y1", "__d1")]
-        val = (hermite(xq, *args) if kind == "cubic"
-               else quadratic_eval(xq, *args, F.col("__r"), F.col("__nv")))
-        f = tgt.join(sl, on=keys + ["__lt"], how="inner").select(*keys, ts, val.alias(f"__f_{c}"))
-        out = out.join(f, on=keys + [ts], how="left") \
-                 .withColumn(c, F.coalesce(F.col(c), F.col(f"__f_{c}"))).drop(f"__f_{c}")
-    return out.drop(RN, NROWS, *[prev_col(c) for c in cols], *[next_col(c) for c in cols],
-                    *[x for c in cols for x in (f"__vo_{c}", f"__vo_{c}_total")])
+    nb = neighbours(df, keys, ts, [], chunk, counts=valid_counts(cols), around=cols, depth=1)
+    entries = []
+    for i, c in enumerate(cols):
+        before, after = F.get(pre_col(c), F.lit(0)), F.get(post_col(c), F.lit(0))
+        ask = F.col(c).isNull() & (after["r"] - before["r"] - 1 <= max_gap)
+        # the number of a sample; for a null row that of the sample before it
+        entries.append(F.when(F.col(c).isNotNull() | ask, F.struct(
+            F.lit(i).alias("variable"), F.col(c).isNull().alias("asked"), F.col(c).cast("double").alias("y"),
+            F.col(f"__vo_{c}").alias("r"), F.col(f"__vo_{c}_total").alias("n"))))
+    x = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts)).cast("double")
+    long = nb.select(*keys, F.col(ts).alias("ts"), x.alias("x"), F.explode(F.array_compact(F.array(*entries))).alias("e"))
+    long = long.select(*keys, "ts", "x", "e.*")
+    group = [*keys, "variable", "__blk"]
+    asked = long.where("asked").withColumn("__blk", F.floor((F.col("r") - 1) / block).cast("long"))
+    samples = halo_blocks(long.where("NOT asked"), [*keys, "variable"], "r", HALO, HALO + 1, block).drop("__halo")
+    live = samples.join(asked.select(*group).distinct(), group, "left_semi")
+    fields = [f for f in df.schema.fields if f.name in keys]
+    schema = T.StructType([*fields, T.StructField("variable", T.IntegerType()), T.StructField("ts", long.schema["ts"].dataType),
+                           T.StructField("value", T.DoubleType())])
+    filled = live.unionByName(asked).groupBy(*group).applyInPandas(_fill_block(keys, kind), schema)
+    wide = filled.groupBy(*keys, F.col("ts").alias(ts)).agg(
+        *[F.max(F.when(F.col("variable") == i, F.col("value"))).alias(f"__f_{i}") for i in range(len(cols))])
+    out = nb.join(wide, [*keys, ts], "left").withColumns({c: F.coalesce(F.col(c), F.col(f"__f_{i}")) for i, c in enumerate(cols)})
+    return out.select(*df.columns)

@@ -73,8 +73,23 @@ def _shift_sql(x: str, off: str) -> str:
             f"'v', {x}.v) END")
 
 
+def _shift_all_sql(x: str, off: str) -> str:
+    return f"transform({x}, e -> named_struct('x', e.x, 'r', e.r + {q(off)}, 'v', e.v))"
+
+
+def pre_col(c: str) -> str:
+    """Array of struct<x, r, v>: the nearest valid samples before the row, nearest first."""
+    return f"{c}__pre"
+
+
+def post_col(c: str) -> str:
+    """Array of struct<x, r, v>: the nearest valid samples after the row, nearest first."""
+    return f"{c}__post"
+
+
 def neighbours(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str] = (),
-               chunk: str = "month", counts: dict | None = None) -> DataFrame:
+               chunk: str = "month", counts: dict | None = None,
+               around: Sequence[str] = (), depth: int = 0) -> DataFrame:
     """Add the global row number ``__rn``, the entity size ``__n`` and, for each
     column ``c`` of ``cols``, the previous and next valid samples
     ``c__prev``/``c__next`` as ``struct<t, r, v>`` (time, row number, value).
@@ -84,6 +99,12 @@ def neighbours(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str]
     the running count (inclusive) of rows meeting it within the entity and
     ``name + "_total"`` the entity total -- in the same pass.
 
+    ``around`` names columns that get the ``depth`` nearest valid samples strictly
+    before and after each row (:func:`pre_col`, :func:`post_col`; ``x`` is seconds,
+    ``v`` a double), also in the same pass: a chunk's summary holds its ``depth``
+    first and last samples, and those of the nearest ``depth`` chunks that have any
+    fill up what a chunk lacks at its borders.
+
     ``(keys, ts)`` must be unique.
     """
     keys = list(keys)
@@ -110,12 +131,27 @@ def neighbours(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str]
             ex[f"__ln_{c}"] = F.expr(f"last({smp}, true) {wd}")
         d = d.withColumns(ex)
 
+    around = list(around)
+    if around:
+        order = f"OVER (PARTITION BY {pby} ORDER BY {q(ts)})"
+        d = d.withColumns({f"__s_{c}": F.expr(
+            f"CASE WHEN {q(c)} IS NOT NULL THEN named_struct('x', CAST(timestampdiff(SECOND, "
+            f"TIMESTAMP_NTZ'1970-01-01 00:00:00', {q(ts)}) AS DOUBLE), 'r', CAST({q(_LRN)} AS BIGINT), "
+            f"'v', CAST({q(c)} AS DOUBLE)) END") for c in around})
+        d = d.withColumns({f"__{side}_{c}": F.expr("array_compact(array(" + ", ".join(
+            f"{fn}({q(f'__s_{c}')}, {k}) IGNORE NULLS {order}" for k in range(1, depth + 1)) + "))")
+            for c in around for side, fn in (("pre", "lag"), ("post", "lead"))})
+
     # One row per (entity, chunk): size, first and last valid sample.
     aggs = [F.count(F.lit(1)).alias("__cn")]
     aggs += [F.expr(f"count_if({cond})").alias(f"__cc_{n}") for n, cond in counts.items()]
     for c in cols:
         smp = _sample_sql(ts, _LRN, c)
         aggs += [F.expr(f"max({smp})").alias(f"__cl_{c}"), F.expr(f"min({smp})").alias(f"__cf_{c}")]
+    for c in around:
+        for side, fn in (("pre", "max_by"), ("post", "min_by")):
+            own = f"array_compact(concat(array({q(f'__s_{c}')}), {q(f'__{side}_{c}')}))"
+            aggs.append(F.expr(f"{fn}(slice({own}, 1, {depth}), {q(ts)})").alias(f"__b{side}_{c}"))
     s = d.groupBy(*part).agg(*aggs)
     before = f"OVER (PARTITION BY {kby} ORDER BY {q(CHUNK)} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     after = (f"OVER (PARTITION BY {kby} ORDER BY {q(CHUNK)} DESC "
@@ -140,6 +176,18 @@ def neighbours(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str]
             carried[f"__cx_{c}"] = F.expr(f"last({q(f'__cf_{c}')}, true) {after}")
             keep += [f"__cp_{c}", f"__cx_{c}"]
         s = s.withColumns(shifted).withColumns(carried)
+    if around:
+        s = s.withColumns({f"__b{side}_{c}": F.expr(_shift_all_sql(q(f"__b{side}_{c}"), _OFF))
+                           for c in around for side in ("pre", "post")})
+        ex = {}
+        for c in around:
+            for side, fn in (("pre", "lag"), ("post", "lead")):
+                some = f"CASE WHEN size({q(f'__b{side}_{c}')}) > 0 THEN {q(f'__b{side}_{c}')} END"
+                near = ", ".join(f"coalesce({fn}({some}, {k}) IGNORE NULLS OVER (PARTITION BY {kby} ORDER BY {q(CHUNK)}), "
+                                 f"filter({q(f'__b{side}_{c}')}, e -> false))" for k in range(1, depth + 1))
+                ex[f"__c{side}_{c}"] = F.expr(f"concat({near})")
+                keep.append(f"__c{side}_{c}")
+        s = s.withColumns(ex)
     s = s.select(*keep)
 
     out = d.join(s, on=part, how="inner")
@@ -152,6 +200,11 @@ def neighbours(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str]
         ex[prev_col(c)] = F.expr(f"coalesce({_shift_sql(q(f'__lp_{c}'), _OFF)}, {q(f'__cp_{c}')})")
         ex[next_col(c)] = F.expr(f"coalesce({_shift_sql(q(f'__ln_{c}'), _OFF)}, {q(f'__cx_{c}')})")
         drop += [f"__lp_{c}", f"__ln_{c}", f"__cp_{c}", f"__cx_{c}"]
+    for c in around:
+        for side, name in (("pre", pre_col(c)), ("post", post_col(c))):
+            ex[name] = F.expr(f"slice(concat({_shift_all_sql(q(f'__{side}_{c}'), _OFF)}, {q(f'__c{side}_{c}')}), 1, {depth})")
+            drop += [f"__{side}_{c}", f"__c{side}_{c}"]
+        drop.append(f"__s_{c}")
     return out.withColumns(ex).drop(*drop)
 
 

@@ -1,26 +1,25 @@
 """Cubic Hermite gap fills: monotone PCHIP (W8) and Akima.
 
 Both are local: the slope at a valid sample depends on its two (PCHIP) or
-three (Akima) valid neighbours on each side. The valid samples of each entity
-get a global ordinal, are cut into row blocks with a small halo
-(:func:`skyframe.operators.series.halo_blocks`) and the slopes come from
-``lag``/``lead`` windows over ``(keys, block)``. Each short inside gap is then
-joined to the interval ``[x_k, x_k+1]`` that contains it (on the key and the
-time of its previous valid sample) and evaluated with the Hermite basis.
-``x`` is time in seconds, as for a time-indexed series.
+three (Akima) valid neighbours on each side. Every row gets its nearest valid
+samples before and after it in the one chunk pass of
+:func:`skyframe.operators.series.neighbours` (``around``), so a row of a short
+inside gap holds all that the slopes at both ends of its interval need, and is
+evaluated in place: there is no table of slopes and no join for them. Only Akima's
+threshold needs a figure of the whole entity, its largest slope weight (one row per
+entity). ``x`` is time in seconds, as for a time-indexed series.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .series import (NROWS, RN, gap_len_expr, gap_pos_expr, halo_blocks, neighbours, next_col,
-                     prev_col)
+from .series import NROWS, RN, neighbours, post_col, pre_col
 
-HALO = 4
+DEPTH = {"pchip": 2, "akima": 3}    # samples on each side of a gap
 
 
 def _sign(x: Column) -> Column:
@@ -40,90 +39,72 @@ def valid_counts(cols: Sequence[str]) -> dict:
     return {f"__vo_{c}": f"`{c}` IS NOT NULL" for c in cols}
 
 
-def valid_rows(nb: DataFrame, keys, ts: str, col: str) -> DataFrame:
-    """Valid samples of ``col`` from a :func:`neighbours` frame built with
-    :func:`valid_counts`: ``keys, ts, __y, __x`` (seconds), ``__rn`` (ordinal
-    among valid samples) and ``__n`` (their number)."""
-    return nb.filter(F.col(col).isNotNull()).select(
-        *keys, ts, F.col(col).cast("double").alias("__y"),
-        F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
-        .cast("double").alias("__x"),
-        F.col(f"__vo_{col}").alias(RN), F.col(f"__vo_{col}_total").alias(NROWS))
+def _step(a: Column, b: Column) -> Column:
+    return b["x"] - a["x"]
 
 
-def slopes(valid: DataFrame, keys, ts: str, method: str = "pchip",
-           block: int | None = None) -> DataFrame:
-    """Per valid sample (a :func:`valid_rows` frame): ``keys, ts, __x, __y, __d``
-    (Hermite slope in value per second) and the next valid sample
-    ``__x1, __y1, __d1``."""
-    keys = list(keys)
-    x = halo_blocks(valid, keys, RN, HALO, HALO, block)
-    w = Window.partitionBy(*keys, "__blk").orderBy(RN)
-    X, Y, r, N = F.col("__x"), F.col("__y"), F.col(RN), F.col(NROWS)
-
-    def lag(c, k):
-        return F.lag(c, k).over(w)
-
-    def lead(c, k):
-        return F.lead(c, k).over(w)
-
-    # secant from this sample to the next one
-    x = x.withColumn("__s", (lead("__y", 1) - Y) / (lead("__x", 1) - X))
-    if method == "pchip":
-        x = (x.withColumn("__hp", X - lag("__x", 1)).withColumn("__hn", lead("__x", 1) - X)
-              .withColumn("__mp", lag("__s", 1)).withColumn("__mn", F.col("__s")))
-        hp, hn, mp, mn = F.col("__hp"), F.col("__hn"), F.col("__mp"), F.col("__mn")
-        w1 = 2 * hn + hp
-        w2 = hn + 2 * hp
-        interior = F.when((_sign(mp) != _sign(mn)) | (mp == 0) | (mn == 0), F.lit(0.0)) \
-                    .otherwise((w1 + w2) / (w1 / mp + w2 / mn))
-        first = _pchip_edge(hn, lead("__x", 2) - lead("__x", 1), mn, lead("__s", 1))
-        last = _pchip_edge(hp, lag("__x", 1) - lag("__x", 2), mp, lag("__s", 2))
-        d = (F.when(N == 1, F.lit(None).cast("double"))
-              .when(N == 2, F.when(r == 1, mn).otherwise(mp))
-              .when(r == 1, first).when(r == N, last).otherwise(interior))
-        x = x.withColumn("__d", d)
-    elif method == "akima":
-        # each neighbouring secant once, as a plain column
-        x = x.withColumns({"__sm2": lag("__s", 2), "__sm1": lag("__s", 1), "__sp1": lead("__s", 1)})
-        sm2, sm1, s0, sp1 = F.col("__sm2"), F.col("__sm1"), F.col("__s"), F.col("__sp1")
-        # first two and last two secants of the entity as seen from this row
-        s_1 = F.when(r == 1, s0).when(r == 2, sm1).otherwise(sm2)
-        s_2 = F.when(r == 1, sp1).when(r == 2, s0).otherwise(sm1)
-        e_1 = F.when(r == N, sm1).when(r == N - 1, s0).otherwise(sp1)
-        e_2 = F.when(r == N, sm2).when(r == N - 1, sm1).otherwise(s0)
-
-        def S(k: int) -> Column:
-            """Secant S(r + k), k in -2..1, with the edge extensions."""
-            i = r + k
-            real = {-2: sm2, -1: sm1, 0: s0, 1: sp1}[k]
-            return (F.when(i == 0, 2 * s_1 - s_2).when(i == -1, 3 * s_1 - 2 * s_2)
-                     .when(i == N, 2 * e_1 - e_2).when(i == N + 1, 3 * e_1 - 2 * e_2)
-                     .otherwise(real))
-        x = x.withColumns({"__m2": S(-2), "__m1": S(-1), "__m0": S(0), "__p1": S(1)})
-        m2, m1, m0, p1 = F.col("__m2"), F.col("__m1"), F.col("__m0"), F.col("__p1")
-        x = x.withColumns({"__f1": F.abs(p1 - m0), "__f2": F.abs(m1 - m2)})
-        x = x.withColumn("__f12", F.col("__f1") + F.col("__f2"))
-        # entity-wide maximum: per block on the existing (entity, block)
-        # partitioning, then over the few block rows, joined back on (entity,
-        # block) so only the small side moves
-        bm = (x.filter(~F.col("__halo") & (N >= 3)).groupBy(*keys, "__blk")
-               .agg(F.max("__f12").alias("__bmax")))
-        km = bm.groupBy(*keys).agg(F.max("__bmax").alias("__fmax"))
-        bk = bm.select(*keys, "__blk").join(km, on=keys, how="inner")
-        x = x.join(bk, on=keys + ["__blk"], how="left")
-        t = F.when(F.col("__f12") > 1e-9 * F.col("__fmax"),
-                   (F.col("__f1") * m1 + F.col("__f2") * m0) / F.col("__f12")) \
-             .otherwise(0.5 * (p1 + m2))
-        lin = F.when(r == 1, s0).otherwise(sm1)
-        x = x.withColumn("__d", F.when(N == 1, F.lit(None).cast("double")).when(N == 2, lin).otherwise(t))
-        x = x.drop("__fmax")
-    else:
-        raise ValueError(f"unsupported method {method!r}")
-    w2 = Window.partitionBy(*keys, "__blk").orderBy(RN)
-    x = (x.withColumn("__x1", F.lead("__x", 1).over(w2)).withColumn("__y1", F.lead("__y", 1).over(w2))
-          .withColumn("__d1", F.lead("__d", 1).over(w2)))
-    return x.filter(~F.col("__halo")).select(*keys, ts, "__x", "__y", "__d", "__x1", "__y1", "__d1")
+def _secant(a: Column, b: Column) -> Column:
+    return (b["v"] - a["v"]) / (b["x"] - a["x"])
+
+
+def _pchip_inner(h0: Column, h1: Column, m0: Column, m1: Column) -> Column:
+    """Weighted harmonic mean of the secants on both sides, 0 where they differ in sign."""
+    w1, w2 = 2 * h1 + h0, h1 + 2 * h0
+    return F.when((_sign(m0) != _sign(m1)) | (m0 == 0) | (m1 == 0), F.lit(0.0)).otherwise((w1 + w2) / (w1 / m0 + w2 / m1))
+
+
+def _pchip_slopes(x: DataFrame, ok: Column) -> DataFrame:
+    """``__d0`` and ``__d1``: slopes at the samples ``__a0`` and ``__b0`` next to the row."""
+    a1, a0, b0, b1 = (F.col(f"__{n}") for n in ("a1", "a0", "b0", "b1"))
+    x = x.withColumns({n: F.when(ok, e) for n, e in (
+        ("__h", _step(a0, b0)), ("__hm", _step(a1, a0)), ("__hp", _step(b0, b1)),
+        ("__m", _secant(a0, b0)), ("__mm", _secant(a1, a0)), ("__mp", _secant(b0, b1)))})
+    h, hm, hp, m, mm, mp = (F.col(n) for n in ("__h", "__hm", "__hp", "__m", "__mm", "__mp"))
+    return x.withColumns({
+        "__d0": F.when(hm.isNotNull(), _pchip_inner(hm, h, mm, m)).when(hp.isNotNull(), _pchip_edge(h, hp, m, mp)).otherwise(m),
+        "__d1": F.when(hp.isNotNull(), _pchip_inner(h, hp, m, mp)).when(hm.isNotNull(), _pchip_edge(h, hm, m, mm)).otherwise(m)})
+
+
+def _akima_terms(x: DataFrame, name: str, samples: Sequence[Column], ok: Column) -> DataFrame:
+    """The four secants around the middle one of five consecutive samples (null
+    beyond the ends of the series, where secants are extended), as ``name`` + m2,
+    m1, m0, p1, and ``name`` + f1, f2: the weights of the slope there."""
+    p1, p0, own, n0, n1 = samples
+    x = x.withColumns({f"{name}{n}": F.when(ok, e) for n, e in (
+        ("q_2", _secant(p1, p0)), ("q_1", _secant(p0, own)), ("q0", _secant(own, n0)), ("q1", _secant(n0, n1)))})
+    q_2, q_1, q0, q1 = (F.col(name + n) for n in ("q_2", "q_1", "q0", "q1"))
+    x = x.withColumns({
+        name + "m1": F.when(q_1.isNull(), 2 * q0 - q1).otherwise(q_1),
+        name + "m2": F.when(q_1.isNull(), 3 * q0 - 2 * q1).when(q_2.isNull(), 2 * q_1 - q0).otherwise(q_2),
+        name + "m0": F.when(q0.isNull(), 2 * q_1 - q_2).otherwise(q0),
+        name + "p1": F.when(q0.isNull(), 3 * q_1 - 2 * q_2).when(q1.isNull(), 2 * q0 - q_1).otherwise(q1)})
+    return x.withColumns({name + "f1": F.abs(F.col(name + "p1") - F.col(name + "m0")),
+                          name + "f2": F.abs(F.col(name + "m1") - F.col(name + "m2"))})
+
+
+def _akima_slopes(x: DataFrame, keys: list[str], col: str, ok: Column) -> DataFrame:
+    """``__d0`` and ``__d1`` as in :func:`_pchip_slopes`."""
+    near = {n: F.col(f"__{n}") for n in ("a2", "a1", "a0", "b0", "b1", "b2")}
+    # the entity's largest weight, over all its valid samples; null with fewer than three
+    valid = F.col(col).isNotNull()
+    w = x.where(valid).select(*keys, *[F.get(pre_col(col), F.lit(k)).alias(f"__p{k}") for k in (0, 1)],
+                              F.struct(_epoch().alias("x"), F.col(col).cast("double").alias("v")).alias("__own"),
+                              *[F.get(post_col(col), F.lit(k)).alias(f"__n{k}") for k in (0, 1)])
+    w = _akima_terms(w, "__w", [F.col(n) for n in ("__p1", "__p0", "__own", "__n0", "__n1")], F.lit(True))
+    most = w.groupBy(*keys).agg(F.max(F.col("__wf1") + F.col("__wf2")).alias("__fmax"))
+    x = x.join(most, keys, "left")
+    for end, five in (("__0", ("a2", "a1", "a0", "b0", "b1")), ("__1", ("a1", "a0", "b0", "b1", "b2"))):
+        x = _akima_terms(x, end, [near[n] for n in five], ok)
+    line = F.when(near["a1"].isNull() & near["b1"].isNull(), _secant(near["a0"], near["b0"]))
+
+    def slope(n: str) -> Column:
+        f1, f2, m2, m1, m0, p1 = (F.col(n + t) for t in ("f1", "f2", "m2", "m1", "m0", "p1"))
+        return F.coalesce(line, F.when(f1 + f2 > 1e-9 * F.col("__fmax"), (f1 * m1 + f2 * m0) / (f1 + f2)).otherwise(0.5 * (p1 + m2)))
+    return x.withColumns({"__d0": slope("__0"), "__d1": slope("__1")})
+
+
+def _epoch(ts: str = "__ts") -> Column:
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts)).cast("double")
 
 
 def hermite(xq: Column, x0, y0, d0, x1, y1, d1) -> Column:
@@ -141,21 +122,17 @@ def fill_max_gap_spline(df: DataFrame, keys, ts: str, cols: Sequence[str], max_g
     rows from the cubic Hermite curve through all valid samples."""
     keys = list(keys)
     cols = list(cols)
-    if method not in ("pchip", "akima"):
+    if method not in DEPTH:
         raise ValueError(f"method {method!r} is not available (see README, 'Not built')")
-    # one pass gives neighbours, gap lengths and the ordinal of every valid sample
-    nb = neighbours(df, keys, ts, cols, chunk, counts=valid_counts(cols))
-    out = nb
+    depth = DEPTH[method]
+    out = neighbours(df, keys, ts, [], chunk, around=cols, depth=depth).withColumn("__ts", F.col(ts))
     for c in cols:
-        ok = F.col(c).isNull() & (gap_len_expr(c) <= max_gap) & (gap_pos_expr(c) == "inside")
-        tgt = nb.filter(ok).select(*keys, ts, F.col(prev_col(c))["t"].alias("__lt"))
-        sl = slopes(valid_rows(nb, keys, ts, c), keys, ts, method).withColumnRenamed(ts, "__lt")
-        xq = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                              F.col(ts)).cast("double")
-        f = tgt.join(sl, on=keys + ["__lt"], how="inner").select(
-            *keys, ts, hermite(xq, F.col("__x"), F.col("__y"), F.col("__d"), F.col("__x1"),
-                               F.col("__y1"), F.col("__d1")).alias(f"__f_{c}"))
-        out = out.join(f, on=keys + [ts], how="left") \
-                 .withColumn(c, F.coalesce(F.col(c), F.col(f"__f_{c}"))).drop(f"__f_{c}")
-    return out.drop(RN, NROWS, *[prev_col(c) for c in cols], *[next_col(c) for c in cols],
-                    *[x for c in cols for x in (f"__vo_{c}", f"__vo_{c}_total")])
+        x = out.withColumns({f"__{side}{k}": F.get(name, F.lit(k)) for side, name in (("a", pre_col(c)), ("b", post_col(c)))
+                             for k in range(depth)})
+        a0, b0 = F.col("__a0"), F.col("__b0")
+        ok = F.col(c).isNull() & (b0["r"] - a0["r"] - 1 <= max_gap)         # null at the ends of the series
+        x = _pchip_slopes(x, ok) if method == "pchip" else _akima_slopes(x, keys, c, ok)
+        filled = hermite(_epoch(), a0["x"], a0["v"], F.col("__d0"), b0["x"], b0["v"], F.col("__d1"))
+        x = x.withColumn("__filled", F.when(ok, filled).otherwise(F.col(c)))
+        out = x.select(*[F.col("__filled").alias(c) if n == c else F.col(f"`{n}`") for n in out.columns])
+    return out.drop(RN, NROWS, "__ts", *[f(c) for c in cols for f in (pre_col, post_col)])

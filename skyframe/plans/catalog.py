@@ -977,32 +977,40 @@ def _edge_sql(h0, h1, m0, m1):
 _HERM = ("((2 * t3 - 3 * t2 + 1) * y0 + (t3 - 2 * t2 + t) * h * d0 + (-2 * t3 + 3 * t2) * y1 "
          "+ (t3 - t2) * h * d1)")
 
-SQL_PCHIP = f"""pv AS (SELECT station, ts, v AS y, CAST(date_diff('second', TIMESTAMP '1970-01-01', ts) AS DOUBLE) AS x,
-    row_number() OVER (PARTITION BY station ORDER BY ts) AS r, count(*) OVER (PARTITION BY station) AS nn
-  FROM gridm WHERE v IS NOT NULL),
-ps AS (SELECT *, (lead(y) OVER w - y) / (lead(x) OVER w - x) AS s FROM pv
-  WINDOW w AS (PARTITION BY station ORDER BY r)),
+# Valid rows are a window partition of their own (station, v IS NULL); the interval of
+# each valid sample then reaches the null rows behind it. Window functions only.
+_VALID = "PARTITION BY station, v IS NULL ORDER BY ts"
+_SAMPLES = f"""SELECT *, v AS y, CAST(date_diff('second', TIMESTAMP '1970-01-01', ts) AS DOUBLE) AS x,
+    row_number() OVER ({_VALID}) AS r, count(*) OVER (PARTITION BY station, v IS NULL) AS nn FROM nb"""
+
+
+def _interval_sql(name: str, src: str, value: str, more: str = "") -> str:
+    """CTE ``name`` over the slopes ``d`` of ``src``: all rows, short inside gaps filled with ``value``."""
+    return f"""{name}_iv AS (SELECT *, CASE WHEN v IS NOT NULL THEN {{'x0': x, 'y0': y, 'd0': d, 'x1': lead(x) OVER w, 'y1': lead(y) OVER w,
+    'd1': lead(d) OVER w, 'k': r, 'nk': nn}} END AS iv FROM {src} WINDOW w AS ({_VALID})),
+{name}_at AS (SELECT station, ts, v, n, pr, nr, x AS xq, last_value(iv IGNORE NULLS) OVER (PARTITION BY station ORDER BY ts
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS i FROM {name}_iv),
+{name}_t AS (SELECT station, ts, v, n, pr, nr, xq, i.x0 AS x0, i.y0 AS y0, i.d0 AS d0, i.x1 AS x1, i.y1 AS y1, i.d1 AS d1, i.k AS k, i.nk AS nk,
+    i.x1 - i.x0 AS h, (xq - i.x0) / (i.x1 - i.x0) AS t, ((xq - i.x0) / (i.x1 - i.x0)) * ((xq - i.x0) / (i.x1 - i.x0)) AS t2,
+    ((xq - i.x0) / (i.x1 - i.x0)) * ((xq - i.x0) / (i.x1 - i.x0)) * ((xq - i.x0) / (i.x1 - i.x0)) AS t3 FROM {name}_at),
+{name} AS (SELECT station, ts, CASE WHEN v IS NULL AND {_GAP_LEN} <= {MAX_GAP} AND pr IS NOT NULL AND nr IS NOT NULL
+    THEN {value} ELSE v END AS v FROM {name}_t)"""
+
+
+SQL_PCHIP = f"""pv AS ({_SAMPLES}),
+ps AS (SELECT *, (lead(y) OVER w - y) / (lead(x) OVER w - x) AS s FROM pv WINDOW w AS ({_VALID})),
 pm AS (SELECT *, x - lag(x) OVER w AS hp, lead(x) OVER w - x AS hn, lag(s) OVER w AS mp, s AS mn,
     lead(x, 2) OVER w - lead(x) OVER w AS h2n, lag(x) OVER w - lag(x, 2) OVER w AS h2p,
-    lead(s) OVER w AS s2n, lag(s, 2) OVER w AS s2p FROM ps WINDOW w AS (PARTITION BY station ORDER BY r)),
+    lead(s) OVER w AS s2n, lag(s, 2) OVER w AS s2p FROM ps WINDOW w AS ({_VALID})),
 pd AS (SELECT *, CASE WHEN nn = 1 THEN NULL WHEN nn = 2 THEN (CASE WHEN r = 1 THEN mn ELSE mp END)
     WHEN r = 1 THEN {_edge_sql('hn', 'h2n', 'mn', 's2n')}
     WHEN r = nn THEN {_edge_sql('hp', 'h2p', 'mp', 's2p')}
     WHEN sign(mp) <> sign(mn) OR mp = 0 OR mn = 0 THEN 0.0
     ELSE ((2 * hn + hp) + (hn + 2 * hp)) / ((2 * hn + hp) / mp + (hn + 2 * hp) / mn) END AS d FROM pm),
-piv AS (SELECT station, ts AS lt, x AS x0, y AS y0, d AS d0, lead(x) OVER w AS x1, lead(y) OVER w AS y1,
-    lead(d) OVER w AS d1 FROM pd WINDOW w AS (PARTITION BY station ORDER BY r)),
-pt_ AS (SELECT n.station, n.ts, i.*, CAST(date_diff('second', TIMESTAMP '1970-01-01', n.ts) AS DOUBLE) AS xq
-  FROM nb n JOIN piv i ON i.station = n.station AND i.lt = n.pt
-  WHERE n.v IS NULL AND {_GAP_LEN.replace('v IS NULL', 'n.v IS NULL').replace('nr', 'n.nr').replace('pr', 'n.pr').replace(' n + 1', ' n.n + 1')} <= {MAX_GAP}
-    AND n.pr IS NOT NULL AND n.nr IS NOT NULL),
-pf AS (SELECT station, ts, {_HERM} AS f FROM (
-  SELECT *, x1 - x0 AS h, (xq - x0) / (x1 - x0) AS t, ((xq - x0) / (x1 - x0)) * ((xq - x0) / (x1 - x0)) AS t2,
-    ((xq - x0) / (x1 - x0)) * ((xq - x0) / (x1 - x0)) * ((xq - x0) / (x1 - x0)) AS t3 FROM pt_))"""
-
-
-@query("interp_pchip", sql_with(*NB_GRIDM, SQL_PCHIP) + """
-SELECT n.station, n.ts, coalesce(n.v, f.f) AS v FROM nb n LEFT JOIN pf f ON f.station = n.station AND f.ts = n.ts""")
+""" + _interval_sql("pfill", "pd", _HERM)
+
+
+@query("interp_pchip", sql_with(*NB_GRIDM, SQL_PCHIP) + "SELECT station, ts, v FROM pfill")
 def q_interp_pchip(spark, sf):
     return GP.fill_max_gap(_gridm(spark, sf), K, "ts", ["v"], MAX_GAP, "pchip")
 
@@ -1018,39 +1026,75 @@ def _akima_S(k: int) -> str:
             f"WHEN {i} = nn THEN 2 * {e1} - {e2} WHEN {i} = nn + 1 THEN 3 * {e1} - 2 * {e2} ELSE {real} END")
 
 
-SQL_AKIMA = f"""av AS (SELECT station, ts, v AS y, CAST(date_diff('second', TIMESTAMP '1970-01-01', ts) AS DOUBLE) AS x,
-    row_number() OVER (PARTITION BY station ORDER BY ts) AS r, count(*) OVER (PARTITION BY station) AS nn
-  FROM gridm WHERE v IS NOT NULL),
-asec AS (SELECT *, (lead(y) OVER w - y) / (lead(x) OVER w - x) AS s FROM av
-  WINDOW w AS (PARTITION BY station ORDER BY r)),
+SQL_AKIMA = f"""av AS ({_SAMPLES}),
+asec AS (SELECT *, (lead(y) OVER w - y) / (lead(x) OVER w - x) AS s FROM av WINDOW w AS ({_VALID})),
 am AS (SELECT *, {_akima_S(-2)} AS m2, {_akima_S(-1)} AS m1, {_akima_S(0)} AS m0, {_akima_S(1)} AS p1,
     CASE WHEN r = 1 THEN s ELSE lag(s, 1) OVER w END AS lin
-  FROM asec WINDOW w AS (PARTITION BY station ORDER BY r)),
+  FROM asec WINDOW w AS ({_VALID})),
 af AS (SELECT *, abs(p1 - m0) AS f1, abs(m1 - m2) AS f2, abs(p1 - m0) + abs(m1 - m2) AS f12 FROM am),
-afm AS (SELECT *, max(CASE WHEN nn >= 3 THEN f12 END) OVER (PARTITION BY station) AS fmax FROM af),
+afm AS (SELECT *, max(CASE WHEN nn >= 3 AND v IS NOT NULL THEN f12 END) OVER (PARTITION BY station) AS fmax FROM af),
 ad AS (SELECT *, CASE WHEN nn = 1 THEN NULL WHEN nn = 2 THEN lin
     WHEN f12 > 1e-9 * fmax THEN (f1 * m1 + f2 * m0) / f12 ELSE 0.5 * (p1 + m2) END AS d FROM afm),
-aiv AS (SELECT station, ts AS lt, x AS x0, y AS y0, d AS d0, lead(x) OVER w AS x1, lead(y) OVER w AS y1,
-    lead(d) OVER w AS d1 FROM ad WINDOW w AS (PARTITION BY station ORDER BY r)),
-at_ AS (SELECT n.station, n.ts, i.*, CAST(date_diff('second', TIMESTAMP '1970-01-01', n.ts) AS DOUBLE) AS xq
-  FROM nb n JOIN aiv i ON i.station = n.station AND i.lt = n.pt
-  WHERE n.v IS NULL AND {_GAP_LEN.replace('v IS NULL', 'n.v IS NULL').replace('nr', 'n.nr').replace('pr', 'n.pr').replace(' n + 1', ' n.n + 1')} <= {MAX_GAP}
-    AND n.pr IS NOT NULL AND n.nr IS NOT NULL),
-afill AS (SELECT station, ts, {_HERM} AS f FROM (
-  SELECT *, x1 - x0 AS h, (xq - x0) / (x1 - x0) AS t, ((xq - x0) / (x1 - x0)) * ((xq - x0) / (x1 - x0)) AS t2,
-    ((xq - x0) / (x1 - x0)) * ((xq - x0) / (x1 - x0)) * ((xq - x0) / (x1 - x0)) AS t3 FROM at_))"""
-
-
-@query("interp_akima", sql_with(*NB_GRIDM, SQL_AKIMA) + """
-SELECT n.station, n.ts, coalesce(n.v, f.f) AS v FROM nb n LEFT JOIN afill f ON f.station = n.station AND f.ts = n.ts""")
+""" + _interval_sql("afill", "ad", _HERM)
+
+
+@query("interp_akima", sql_with(*NB_GRIDM, SQL_AKIMA) + "SELECT station, ts, v FROM afill")
 def q_interp_akima(spark, sf):
     return GP.fill_max_gap(_gridm(spark, sf), K, "ts", ["v"], MAX_GAP, "akima")
 
 
-@query("interp_cubic")
+# W10 in SQL: the rows of the tridiagonal system (lo, di, up, rhs), swept up and down
+_CUBIC_ROWS = """CASE WHEN nn <= 3 OR r = 1 THEN 0 WHEN r = nn THEN x - x_2 ELSE h END AS lo,
+    CASE WHEN nn <= 3 THEN 1 WHEN r = 1 THEN h1 WHEN r = nn THEN hp2 ELSE 2 * (hp + h) END AS di,
+    CASE WHEN nn <= 3 OR r = nn THEN 0 WHEN r = 1 THEN x2 - x ELSE hp END AS up,
+    CASE WHEN nn = 2 THEN coalesce(m, mp)
+      WHEN nn = 3 AND r = 1 THEN 2 * m - (h * m1 + h1 * m) / (h + h1) WHEN nn = 3 AND r = 2 THEN (hp * m + h * mp) / (hp + h)
+      WHEN nn = 3 THEN 2 * mp - (hp2 * mp + hp * mp2) / (hp2 + hp)
+      WHEN r = 1 THEN ((h + 2 * (x2 - x)) * h1 * m + h * h * m1) / (x2 - x)
+      WHEN r = nn THEN (hp * hp * mp2 + (2 * (x - x_2) + hp) * hp2 * mp) / (x - x_2) ELSE 3 * (h * mp + hp * m) END AS rhs"""
+_QUADRATIC_ROWS = """CASE WHEN nn <= 3 OR r <= 2 THEN 0 WHEN r = nn THEN 1 ELSE 1 / hp END AS lo,
+    CASE WHEN nn <= 3 OR r = 1 OR r = nn THEN 1 WHEN r = 2 THEN 2 / hp + 3 / h WHEN r = nn - 1 THEN 3 / hp + 2 / h
+      ELSE 3 * (1 / hp + 1 / h) END AS di,
+    CASE WHEN nn <= 3 OR r >= nn - 1 THEN 0 WHEN r = 1 THEN 1 ELSE 1 / h END AS up,
+    CASE WHEN nn = 2 THEN NULL WHEN nn = 3 AND r = 1 THEN m - (m1 - m) / (x2 - x) * h
+      WHEN nn = 3 AND r = 2 THEN mp + (m - mp) / (hp + h) * hp WHEN nn = 3 THEN mp + (mp - mp2) / (x - x_2) * hp
+      WHEN r = 1 THEN 2 * m WHEN r = nn THEN 2 * mp WHEN r = 2 THEN 2 * mp / hp + 4 * m / h
+      WHEN r = nn - 1 THEN 4 * mp / hp + 2 * m / h ELSE 4 * (mp / hp + m / h) END AS rhs"""
+_QUADRATIC = """CASE WHEN k >= 2 AND k <= nk - 2 AND xq - x0 <= h / 2
+    THEN y0 + d0 * (xq - x0) + ((d1 - d0) / (2 * h) + 2 * ((y1 - y0) / h - (d0 + d1) / 2) / h) * (xq - x0) * (xq - x0)
+    WHEN k >= 2 AND k <= nk - 2
+    THEN y1 + d1 * (xq - x1) + ((d1 - d0) / (2 * h) - 2 * ((y1 - y0) / h - (d0 + d1) / 2) / h) * (xq - x1) * (xq - x1)
+    ELSE y0 + d0 * (xq - x0) + ((y1 - y0) / h - d0) / h * (xq - x0) * (xq - x0) END"""
+
+
+def _spline_sql(rows: str, value: str) -> str:
+    ctes = sql_with(*NB_GRIDM, f"""cv AS MATERIALIZED ({_SAMPLES}),
+cs AS (SELECT *, lead(x) OVER w - x AS h, (lead(y) OVER w - y) / (lead(x) OVER w - x) AS m, x - lag(x) OVER w AS hp, lag(x, 2) OVER w AS x_2,
+    lead(x, 2) OVER w AS x2, lead(x, 2) OVER w - lead(x) OVER w AS h1, lag(x) OVER w - lag(x, 2) OVER w AS hp2 FROM cv WINDOW w AS ({_VALID})),
+cm AS (SELECT *, lag(m) OVER w AS mp, lag(m, 2) OVER w AS mp2, lead(m) OVER w AS m1 FROM cs WINDOW w AS ({_VALID})),
+co AS MATERIALIZED (SELECT station, r, nn, {rows} FROM cm WHERE v IS NOT NULL AND nn > 1),
+up_ AS (SELECT station, r, nn, up / di AS c, rhs / di AS d FROM co WHERE r = 1 UNION ALL
+  SELECT co.station, co.r, co.nn, co.up / (co.di - co.lo * up_.c), (co.rhs - co.lo * up_.d) / (co.di - co.lo * up_.c)
+  FROM up_ JOIN co ON co.station = up_.station AND co.r = up_.r + 1),
+swept AS MATERIALIZED (SELECT * FROM up_),
+down AS (SELECT station, r, d AS s FROM swept WHERE r = nn UNION ALL
+  SELECT swept.station, swept.r, swept.d - swept.c * down.s FROM down JOIN swept ON swept.station = down.station AND swept.r = down.r - 1),
+cd AS (SELECT cv.*, down.s AS d FROM cv LEFT JOIN down ON down.station = cv.station AND down.r = cv.r AND cv.v IS NOT NULL)""",
+                    _interval_sql("cfill", "cd", f"round({value}, 4)"))
+    return ctes.replace("WITH ", "WITH RECURSIVE ", 1) + "SELECT station, ts, v FROM cfill"
+
+
+def _rounded_fill(spark, sf, method: str) -> DataFrame:
+    """Filled values to four decimals: the two sides solve the system in different orders."""
+    g = _gridm(spark, sf)
+    out = GP.fill_max_gap(g.withColumn("given", F.col("v")), K, "ts", ["v"], MAX_GAP, method)
+    return out.withColumn("v", F.coalesce("given", F.round("v", 4))).drop("given")
+
+
+@query("interp_cubic", _spline_sql(_CUBIC_ROWS, _HERM))
 def q_interp_cubic(spark, sf):
     """Not-a-knot cubic spline fill of inside gaps up to MAX_GAP rows."""
-    return GP.fill_max_gap(_gridm(spark, sf), K, "ts", ["v"], MAX_GAP, "cubic")
+    return _rounded_fill(spark, sf, "cubic")
 
 
 # ---------------------------------------------------------------------------
@@ -1512,15 +1556,8 @@ def q_date_only_bounds(spark, sf):
                        *[U.num(v).alias(v) for v in HOURLY_VARIABLES], *[rmk_col(v) for v in HOURLY_VARIABLES])
 
 
-@query("interp_quadratic")
+@query("interp_quadratic", _spline_sql(_QUADRATIC_ROWS, _QUADRATIC))
 def q_interp_quadratic(spark, sf):
     """Quadratic-spline fill (knots at the midpoints between samples) of
     inside gaps up to MAX_GAP rows."""
-    return GP.fill_max_gap(_gridm(spark, sf), K, "ts", ["v"], MAX_GAP, "quadratic")
-
-
-# The spline SQL uses its shared tables several times: have them computed once.
-import re  # noqa: E402
-
-for _name in ("interp_pchip", "interp_akima"):
-    ORACLE_SQL[_name] = re.sub(r"\b(\w+) AS \(\s*SELECT", r"\1 AS MATERIALIZED (SELECT", ORACLE_SQL[_name])
+    return _rounded_fill(spark, sf, "quadratic")

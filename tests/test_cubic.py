@@ -1,5 +1,5 @@
-"""W10 cubic spline fill: block-decomposed solve against a dense numpy solve of
-the same not-a-knot slope system."""
+"""W10 spline fills: blocks with a halo against a dense numpy solve over the whole
+series, and against an independent B-spline."""
 
 import datetime as dt
 import random
@@ -19,7 +19,7 @@ def dense_slopes(x, y):
         m = (y[1] - y[0]) / (x[1] - x[0])
         return np.array([m, m])
     if n == 3:
-        return CU._small_slopes(np.array(x), np.array(y))
+        return CU.cubic_slopes(np.array(x), np.array(y))
     A = np.zeros((n, n))
     b = np.zeros(n)
     dx = np.diff(x)
@@ -44,28 +44,57 @@ def herm(x, y, s, q):
             + (-2 * t**3 + 3 * t**2) * y[k + 1] + (t**3 - t**2) * h * s[k + 1])
 
 
-@pytest.mark.parametrize("n,block", [(60, 7), (60, 4096), (3, 7), (2, 7), (5, 3)])
-def test_cubic_matches_dense(spark, n, block):
-    rnd = random.Random(n + block)
-    hours = sorted(rnd.sample(range(4 * n), n))
+def holed(n, seed, spread=4):
+    """A series of n samples at random hours, with every hour between them as a hole."""
+    rnd = random.Random(seed)
+    hours = sorted(rnd.sample(range(spread * n), n))
     vals = [rnd.uniform(-3, 3) for _ in hours]
-    rows = [(1, BASE + dt.timedelta(hours=h), v) for h, v in zip(hours, vals)]
-    # holes: every hour of the span that is not a sample
-    span = range(hours[0], hours[-1] + 1)
-    have = set(hours)
-    rows += [(1, BASE + dt.timedelta(hours=h), None) for h in span if h not in have]
+    have = dict(zip(hours, vals))
+    rows = [(1, BASE + dt.timedelta(hours=h), have.get(h)) for h in range(hours[0], hours[-1] + 1)]
+    return hours, vals, rows
+
+
+@pytest.mark.parametrize("n,block", [(60, 4096), (700, 66), (900, 300), (5, 128), (4, 128), (3, 128), (2, 128)])
+def test_cubic_matches_dense(spark, n, block):
+    hours, vals, rows = holed(n, n + block)
     df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, v double")
-    sl = CU.cubic_slopes(df, ["k"], "ts", "v", block=block).orderBy("ts").collect()
-    x = np.array([3600.0 * h for h in hours]) + (BASE - dt.datetime(1970, 1, 1)).total_seconds()
+    x = np.array([3600.0 * h for h in hours])
     exp = dense_slopes(x, np.array(vals))
-    got = np.array([r["__d"] for r in sl])
-    assert np.allclose(got, exp, rtol=1e-9, atol=1e-12)
-    filled = GP.fill_max_gap(df, ["k"], "ts", ["v"], 10 ** 6, "cubic").orderBy("ts").collect()
-    for r in filled:
-        h = (r.ts - BASE).total_seconds() / 3600
-        if int(h) not in have:
-            q = (r.ts - dt.datetime(1970, 1, 1)).total_seconds()
-            assert abs(r.v - herm(x, np.array(vals), exp, q)) < 1e-7
+    filled = CU.fill_max_gap_cubic(df, ["k"], "ts", ["v"], 10 ** 6, block=block).orderBy("ts").collect()
+    assert len(filled) == len(rows)
+    for r, (_, ts, v) in zip(filled, rows):
+        assert r.ts == ts
+        assert r.v == v if v is not None else abs(r.v - herm(x, np.array(vals), exp, (ts - BASE).total_seconds())) < 1e-9
+
+
+def test_cubic_fills_only_short_gaps_of_every_variable(spark):
+    hours, vals, rows = holed(200, 3)
+    data = [(k, t, v, None if v is None or i % 5 else v + i, "x") for k in (1, 2) for i, (_, t, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k long, ts timestamp_ntz, v double, w double, `a.b` string")
+    both = GP.fill_max_gap(df.drop("a.b"), ["k"], "ts", ["v", "w"], 2, "cubic").orderBy("k", "ts").collect()
+    for c in ("v", "w"):
+        one = GP.fill_max_gap(df.select("k", "ts", c), ["k"], "ts", [c], 2, "cubic").orderBy("k", "ts").collect()
+        assert [r[c] for r in both] == [r[c] for r in one]
+        given = [r[c] for r in df.orderBy("k", "ts").collect()]
+        for i, (g, r) in enumerate(zip(given, both)):
+            lo, hi = i, i
+            while lo >= 0 and given[lo] is None:
+                lo -= 1
+            while hi < len(given) and given[hi] is None:
+                hi += 1
+            if g is None and (lo < 0 or hi >= len(given) or hi - lo - 1 > 2 or data[lo][0] != data[hi][0]):
+                assert r[c] is None
+            else:
+                assert r[c] is not None
+
+
+def test_tridiagonal_reduction():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 3, 8, 100, 1153):
+        lo, up, rhs = rng.normal(size=(3, n))
+        di = 3 + abs(lo) + abs(up)
+        A = np.diag(di) + (np.diag(lo[1:], -1) + np.diag(up[:-1], 1) if n > 1 else 0)
+        assert np.allclose(CU.solve_tridiagonal(lo, di, up, rhs), np.linalg.solve(A, rhs), atol=1e-12)
 
 
 def test_cubic_on_polynomial_is_exact(spark):
@@ -101,7 +130,7 @@ def _bspline_quadratic_midknots(x, y, q):
     return [sum(c[j] * basis(j, k, v) for j in range(n)) for v in q]
 
 
-@pytest.mark.parametrize("n,block", [(40, 7), (40, 4096), (4, 7), (3, 7)])
+@pytest.mark.parametrize("n,block", [(40, 128), (40, 4096), (4, 128), (3, 128), (300, 70)])
 def test_quadratic_matches_bspline(spark, n, block):
     rnd = random.Random(100 + n + block)
     hours = sorted(rnd.sample(range(3 * n), n))
@@ -110,7 +139,7 @@ def test_quadratic_matches_bspline(spark, n, block):
     have = set(hours)
     rows += [(1, BASE + dt.timedelta(hours=h), None) for h in range(hours[0], hours[-1] + 1) if h not in have]
     df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, v double")
-    out = GP.fill_max_gap(df, ["k"], "ts", ["v"], 10 ** 6, "quadratic").orderBy("ts").collect()
+    out = CU.fill_max_gap_cubic(df, ["k"], "ts", ["v"], 10 ** 6, block=block, kind="quadratic").orderBy("ts").collect()
     x = np.array([3600.0 * h for h in hours])
     qs = [(r.ts - BASE).total_seconds() for r in out if int((r.ts - BASE).total_seconds() // 3600) not in have]
     exp = _bspline_quadratic_midknots(x, np.array(vals), qs)

@@ -243,3 +243,24 @@ def test_grid_year_rule_clipped(spark):
     g = GR.grid_frame(df, ["s"], "ts", bounds="year", clip=clip)
     exp = SR.time_slice(full, "ts", *clip)
     assert sorted(g.collect()) == sorted(exp.collect())
+
+
+@pytest.mark.parametrize("chunk", ["day", "month"])
+def test_nearest_samples_across_chunks(spark, chunk):
+    """The three nearest valid samples on both sides, over chunks without any."""
+    import random
+    rnd = random.Random(7)
+    data = []
+    for k in (1, 2):
+        for h in range(0, 24 * 70):
+            dense = (h // (24 * 9)) % 3 == 0
+            data.append((k, dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), float(h) if rnd.random() < (0.3 if dense else 0.002) else None))
+    df = spark.createDataFrame(data, "k long, ts timestamp_ntz, v double")
+    out = SR.neighbours(df, ["k"], "ts", [], chunk, around=["v"], depth=3).orderBy("k", "ts").collect()
+    for k in (1, 2):
+        own = [r for r in out if r.k == k]
+        valid = [i for i, r in enumerate(own) if r.v is not None]
+        for i, r in enumerate(own):
+            before = [(j + 1, own[j].v) for j in reversed(valid) if j < i][:3]
+            after = [(j + 1, own[j].v) for j in valid if j > i][:3]
+            assert [(s.r, s.v) for s in r["v__pre"]] == before and [(s.r, s.v) for s in r["v__post"]] == after
