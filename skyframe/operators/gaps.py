@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .series import (NROWS, RN, LOCAL_METHODS, gap_len_expr, gap_pos_expr, interp_expr,
+from .series import (CHUNK, NROWS, RN, LOCAL_METHODS, chunk_expr, gap_len_expr, gap_pos_expr, interp_expr,
                      neighbours, next_col, prev_col)
 
 
@@ -45,17 +45,38 @@ def gap_info(df: DataFrame, keys, ts: str, cols, chunk="month") -> DataFrame:
 
 def gap_table(df: DataFrame, keys, ts: str, col: str, chunk="month") -> DataFrame:
     """A2: one row per maximal null run: ``keys, gap_start, gap_end, gap_len,
-    position``."""
+    position``.
+
+    Rows are shuffled once, by (entity, chunk); there each chunk's null runs become
+    one row each (run lengths), with places in the entity from the sizes of the
+    chunks before. Runs inside a chunk are done. Those that touch a border, two per
+    chunk at most, are merged along the entity."""
     keys = list(keys)
-    nb = neighbours(df.select(*keys, ts, col), keys, ts, [col], chunk)
-    nulls = nb.filter(F.col(col).isNull()).select(
-        *keys, ts,
-        F.coalesce(F.col(prev_col(col))["r"], F.lit(0)).alias("__gid"),
-        gap_len_expr(col).alias("gap_len"), gap_pos_expr(col).alias("position"))
-    return (nulls.groupBy(*keys, "__gid")
-                 .agg(F.min(ts).alias("gap_start"), F.max(ts).alias("gap_end"),
-                      F.max("gap_len").alias("gap_len"), F.max("position").alias("position"))
-                 .drop("__gid"))
+    part = [*keys, CHUNK]
+    d = df.select(*keys, F.col(ts).alias("__t"), F.col(col).isNotNull().alias("__ok")).withColumn(
+        CHUNK, chunk_expr("__t", chunk)).repartition(*part)
+    run = Window.partitionBy(*part).orderBy("__t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumns({"__at": F.count(F.lit(1)).over(run), "__run": F.count_if("__ok").over(run)})
+    runs = d.where("NOT __ok").groupBy(*part, "__run").agg(
+        F.min("__t").alias("gap_start"), F.max("__t").alias("gap_end"), F.min("__at").alias("__from"), F.max("__at").alias("__to"))
+    chunks = d.groupBy(*part).agg(F.count(F.lit(1)).alias("__size"))
+    along = Window.partitionBy(*keys).orderBy(CHUNK)
+    chunks = chunks.withColumns({"__before": F.coalesce(F.sum("__size").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+                                 "__n": F.sum("__size").over(Window.partitionBy(*keys))})
+    runs = runs.join(chunks, part).withColumns({
+        "__border": (F.col("__from") == 1) | (F.col("__to") == F.col("__size")),
+        "__from": F.col("__from") + F.col("__before"), "__to": F.col("__to") + F.col("__before")})
+    out = [*keys, "gap_start", "gap_end", "__from", "__to", "__n"]
+    order = Window.partitionBy(*keys).orderBy("__from")
+    border = runs.where("__border").withColumn("__new", F.coalesce(
+        (F.lag("__to").over(order) + 1 != F.col("__from")).cast("long"), F.lit(1).cast("long")))
+    border = border.withColumn("__gap", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    merged = border.groupBy(*keys, "__gap").agg(F.min("gap_start").alias("gap_start"), F.max("gap_end").alias("gap_end"),
+                                                F.min("__from").alias("__from"), F.max("__to").alias("__to"), F.max("__n").alias("__n"))
+    both = runs.where("NOT __border").select(*out).unionByName(merged.select(*out))
+    head, tail = F.col("__from") == 1, F.col("__to") == F.col("__n")
+    return both.select(*keys, "gap_start", "gap_end", (F.col("__to") - F.col("__from") + 1).alias("gap_len"),
+                       F.when(head & tail, "all").when(head, "head").when(tail, "tail").otherwise("inside").alias("position"))
 
 
 def gap_stats(df: DataFrame, keys, ts: str, col: str, max_gap: int, chunk="month") -> DataFrame:

@@ -375,23 +375,53 @@ def halo_blocks(df: DataFrame, keys, rn: str, before: int, after: int,
 
 
 def rolling_mean(df: DataFrame, keys, ts: str, cols, window: int, center: bool = True,
-                 min_periods: int | None = None, chunk="month",
-                 block: int | None = None, suffix: str = "") -> DataFrame:
+                 min_periods: int | None = None, chunk="month", suffix: str = "") -> DataFrame:
     """Rolling mean over ``window`` rows.
 
     ``min_periods=None`` is strict (a full window of non-null values is required);
     ``min_periods=1`` is tolerant. The result replaces ``c`` (or goes to
-    ``c + suffix``). Windows run over row blocks with halos
-    (:func:`halo_blocks`), so no window partition spans a whole entity.
-    """
-    cols = list(cols)
+    ``c + suffix``).
+
+    Rows are shuffled once, by (entity, chunk). What a window reaches beyond its
+    chunk, at most ``window - 1`` rows, comes from the edges of the chunks around it:
+    each chunk's summary holds its first and last values, and those of the nearest
+    chunks are put in front of its first and behind its last row in place."""
+    keys, cols = list(keys), list(cols)
     a, b = rolling_bounds(window, center)
     need = window if min_periods is None else min_periods
-    nb = neighbours(df, keys, ts, [], chunk).drop(NROWS)
-    x = halo_blocks(nb, keys, RN, a, b, block)
-    w = Window.partitionBy(*keys, "__blk").orderBy(RN).rowsBetween(-a, b)
-    x = x.withColumns({c + suffix: F.when(F.count(c).over(w) >= need, F.avg(c).over(w)) for c in cols})
-    return x.filter(~F.col("__halo")).drop("__blk", "__halo", RN)
+    part = [*keys, CHUNK]
+    d = df.withColumn(CHUNK, chunk_expr(ts, chunk)).repartition(*part)
+    by = Window.partitionBy(*part)
+    d = d.withColumns({_LRN: F.row_number().over(by.orderBy(ts)).cast("long"), "__size": F.count(F.lit(1)).over(by)})
+    value = F.struct(F.col(_LRN).alias("at"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
+
+    def edge(cond):
+        return F.sort_array(F.collect_list(F.when(cond, value)))
+    edges = d.groupBy(*part).agg(edge(F.col(_LRN) <= b).alias("__first"), edge(F.col(_LRN) > F.col("__size") - a).alias("__last"))
+    along = Window.partitionBy(*keys).orderBy(CHUNK)
+    none = F.filter("__first", lambda e: F.lit(False))
+
+    def near(side, rows, over):
+        """The edge values of so many chunks, each of which has a row at least, in order."""
+        return F.coalesce(F.flatten(F.collect_list(side).over(over)), none) if rows else none
+    edges = edges.withColumns({"__before": near("__last", a, along.rowsBetween(-a, -1)), "__after": near("__first", b, along.rowsBetween(1, b))})
+    edges = edges.select(*part, F.expr(f"slice(__before, greatest(size(__before) - {a} + 1, 1), {a})").alias("__before") if a
+                         else F.col("__before"), F.slice("__after", 1, b).alias("__after") if b else F.col("__after"))
+    x = d.join(edges, part)
+
+    def placed(values, first):
+        return F.transform(values, lambda e, i: F.struct((first + i).cast("long").alias("at"), F.lit(True).alias("halo"),
+                                                         *[e[f"v{i}"].alias(f"v{i}") for i in range(len(cols))]))
+    own = F.array(F.struct(F.col(_LRN).alias("at"), F.lit(False).alias("halo"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)]))
+    empty = F.filter(own, lambda e: F.lit(False))
+    rows = F.concat(F.when(F.col(_LRN) == 1, placed(F.col("__before"), 1 - F.size("__before"))).otherwise(empty), own,
+                    F.when(F.col(_LRN) == F.col("__size"), placed(F.col("__after"), F.col("__size") + 1)).otherwise(empty))
+    x = x.withColumn("__e", F.explode(rows))
+    x = x.select("*", F.col("__e.at").alias("__pos"), F.col("__e.halo").alias("__halo"),
+                 *[F.col(f"__e.v{i}").alias(f"__v{i}") for i in range(len(cols))])
+    w = by.orderBy("__pos").rowsBetween(-a, b)
+    x = x.withColumns({c + suffix: F.when(F.count(f"__v{i}").over(w) >= need, F.avg(f"__v{i}").over(w)) for i, c in enumerate(cols)})
+    return x.where("NOT __halo").select(*df.columns, *[c + suffix for c in cols if suffix])
 
 
 def rolling_vector_magnitude(df: DataFrame, keys, ts: str, u: str, v: str, window: int,

@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from skyframe.operators import gaps as GP
 from skyframe.operators import grid as GR
@@ -60,8 +61,8 @@ def test_rolling_matches_pandas_across_blocks(spark):
     vals = [None if rnd.random() < 0.2 else rnd.uniform(-5, 5) for _ in range(300)]
     df = series(spark, vals)
     s = pd.Series(vals, dtype="float64")
-    for w, mp in [(5, None), (4, None), (7, 1), (2, 1)]:
-        got = values(SR.rolling_mean(df, ["k"], "ts", ["v"], w, min_periods=mp, block=10, chunk="day"))
+    for w, mp in [(5, None), (4, None), (7, 1), (2, 1), (1, None), (61, 1)]:        # 61 rows reach over three days
+        got = values(SR.rolling_mean(df, ["k"], "ts", ["v"], w, min_periods=mp, chunk="day"))
         exp = s.rolling(w, center=True, min_periods=mp).mean()
         for g, e in zip(got, exp):
             assert (g is None and np.isnan(e)) or abs(g - e) < 1e-9
@@ -264,3 +265,29 @@ def test_nearest_samples_across_chunks(spark, chunk):
             before = [(j + 1, own[j].v) for j in reversed(valid) if j < i][:3]
             after = [(j + 1, own[j].v) for j in valid if j > i][:3]
             assert [(s.r, s.v) for s in r["v__pre"]] == before and [(s.r, s.v) for s in r["v__post"]] == after
+
+
+def test_rolling_without_centring_over_chunks_of_one_row(spark):
+    vals = [float(i * i) if i % 3 else None for i in range(40)]
+    rows = [(k, dt.datetime(2024, 1, 1) + dt.timedelta(days=40 * i), v) for k in (1, 2) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, v double").withColumn("w", F.col("v") * 2)
+    out = SR.rolling_mean(df, ["k"], "ts", ["v", "w"], 4, center=False, min_periods=1, suffix="_m").orderBy("k", "ts").collect()
+    want = pd.Series(vals, dtype="float64").rolling(4, min_periods=1).mean()
+    assert out[0].asDict().keys() == {"k", "ts", "v", "w", "v_m", "w_m"}
+    for i, r in enumerate(out):
+        e = want[i % 40]
+        assert r.v == vals[i % 40] and ((r.v_m is None and pd.isna(e)) or (abs(r.v_m - e) < 1e-9 and abs(r.w_m - 2 * e) < 1e-9))
+
+
+def test_rolling_shuffles_rows_once(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.timestamp_add("HOUR", F.col("id").cast("int"), F.lit("2024-01-01").cast(
+            "timestamp_ntz")).alias("ts"), F.rand(1).alias("v"))
+        out = SR.rolling_mean(df, ["k"], "ts", ["v"], 5)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("REPARTITION_BY_COL") <= 2        # the one exchange of the rows, used again by the summary
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
