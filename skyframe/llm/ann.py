@@ -2,23 +2,30 @@
 
 1. A bounded sample of the vectors gets its exact neighbour graph (block matrix
    products).
-2. The graph is cut into balanced parts: parts grow from balanced centres, then
-   vertices move to the part that holds most of their neighbours while no part
-   exceeds its capacity.
+2. The graph is cut into balanced parts, one per ``PART_ROWS`` rows of the table:
+   parts grow from balanced centres, then vertices move to the part that holds most
+   of their neighbours while no part exceeds its capacity.
 3. A small classifier (softmax regression) learns part from vector, with the
    parts of a vertex and its neighbours as soft target.
-4. Every row of the table is assigned to its most probable part; a query is
-   routed to its ``PROBES`` most probable parts and reranked there by the exact
-   inner product in double precision.
+4. Every row of the table is assigned to its most probable part; a query is routed
+   to its most probable parts until they hold a probability mass, and reranked there
+   by the exact inner product in double precision.
+
+The mass is measured, not set: on held-out rows of the sample it is the least one
+whose parts hold ``TARGET`` of their exact neighbours. So queries that are easy to
+place visit few parts and hard ones many, and vectors without structure make all
+queries visit more. ``target=1`` visits every part, which is the exact search.
 
 The index covers every row; only the graph and the classifier are fitted on the
-sample. A part is scanned in blocks of at most ``BLOCK`` rows and its queries in
-blocks too, so a part that attracts a third of all rows is many tasks.
+sample. Parts grow with the table up to ``SAMPLE`` / ``PART_SAMPLE``. A part is
+scanned in blocks of at most ``BLOCK`` rows and its queries in blocks too, so a part
+that attracts a third of all rows is many tasks.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
 components, or differ in length from the most frequent length of the sample, take
-no part; a null id takes no part; of rows with one id the one with the smallest
-vector counts; ties go to the smaller id; a table with few vectors is one part.
+no part; a null id takes no part; rows that share an id are rows of their own
+(each query row has its result, and leaves out only itself); ties go to the smaller
+id; a table with few vectors is one part.
 """
 
 from __future__ import annotations
@@ -29,27 +36,28 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import ship, written
+from .common import named, ship, written
 
 ship(__name__)
 
-SAMPLE = 8192               # bound of the sample: expected rows
-PART_ROWS = 512             # sample rows of a part
-NEIGHBOURS = 16
-PROBES = 6                  # parts that a query visits
+SAMPLE = 16384              # bound of the sample: expected rows
+PART_ROWS = 1024            # rows of the table for each part,
+PART_SAMPLE = 32            # as long as a part has so many rows of the sample
+HELD_OUT = 8                # one sample row in so many measures the probability mass
+TARGET = 0.94               # share of the held-out rows' neighbours that it must reach
+NEIGHBOURS = 20
 BLOCK = 16384               # rows of a part scanned at once
 QUERY_BLOCK = 4096
-EPOCHS = 150
+EPOCHS = 60
 
 
 def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """(id, v) of the rows that take part."""
-    v = F.col(vector).cast("array<double>")
-    # a comparison with null is null and drops the row; nan and infinities fail the bound
-    bound = F.lit(1.7e308)
-    ok = F.forall(v, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) <= bound), F.lit(False))) & F.exists(v, lambda x: x != 0)
-    return (rows.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).where(ok)
-            .groupBy(F.col(key).cast("long").alias("id")).agg(F.min(v).alias("v")))
+    """(row, id, v) of the rows that take part; ``row`` tells them apart."""
+    v = named(vector).cast("array<double>")
+    # a comparison with null is null and drops the row
+    ok = F.forall(v, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))) & F.exists(v, lambda x: x != 0)
+    return (rows.where(named(key).isNotNull() & named(vector).isNotNull()).where(ok)
+            .select(F.monotonically_increasing_id().alias("row"), named(key).cast("long").alias("id"), v.alias("v")))
 
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
@@ -138,63 +146,102 @@ def fit_router(x: np.ndarray, target: np.ndarray, seed: int = 7) -> tuple[np.nda
 class Router:
     """Classifier from vectors to parts, fitted on a sample."""
 
-    def __init__(self, vectors: np.ndarray):
+    def __init__(self, vectors: np.ndarray, parts: int = 1, target: float = TARGET):
         x = np.asarray(vectors, dtype=np.float64)
         self.scale = float(np.sqrt((x * x).sum(axis=1).mean())) if len(x) else 1.0
         x = x / (self.scale or 1.0)
-        self.parts = max(1, math.ceil(len(x) / PART_ROWS))
+        held_out = np.arange(len(x)) % HELD_OUT == 0 if parts > 1 else np.zeros(len(x), dtype=bool)
+        x, asked = x[~held_out], x[held_out]
+        self.parts = max(1, min(parts, len(x)))
         graph = neighbour_graph(x, NEIGHBOURS)
         part = balanced_parts(x, graph, self.parts)
-        target = np.zeros((len(x), self.parts))
-        target[np.arange(len(x)), part] += 2.0
+        goal = np.zeros((len(x), self.parts))
+        goal[np.arange(len(x)), part] += 2.0
         for j in range(graph.shape[1]):
-            target[np.arange(len(x)), part[graph[:, j]]] += 1.0
-        target /= np.maximum(target.sum(axis=1, keepdims=True), 1e-12)
-        self.w, self.b = fit_router(x, target)
-
-    def probable(self, vectors: np.ndarray, count: int) -> np.ndarray:
-        """The ``count`` most probable parts of each vector, most probable first."""
-        z = (vectors / (self.scale or 1.0)) @ self.w + self.b
-        return np.argsort(-z, axis=1, kind="stable")[:, :count]
+            goal[np.arange(len(x)), part[graph[:, j]]] += 1.0
+        goal /= np.maximum(goal.sum(axis=1, keepdims=True), 1e-12)
+        self.w, self.b = fit_router(x, goal)
+        self.mass = self._mass(x, asked, target)
+
+    def _mass(self, x: np.ndarray, asked: np.ndarray, target: float) -> float:
+        """The least probability mass whose parts hold ``target`` of the neighbours
+        of the held-out rows (1: all parts)."""
+        if self.parts == 1 or target >= 1 or not len(asked):
+            return 1.0
+        home, need = self._probability(x).argmax(axis=1), []
+        for lo in range(0, len(asked), 512):
+            y = asked[lo:lo + 512]
+            k = min(NEIGHBOURS, len(x))
+            near = np.argpartition(-(y @ x.T), k - 1, axis=1)[:, :k]
+            order, before = self._visits(self._probability(y))
+            spent = np.empty_like(before)
+            np.put_along_axis(spent, order, before, axis=1)  # mass visited before each part
+            need.append(np.take_along_axis(spent, home[near], axis=1).ravel())
+        need = np.sort(np.concatenate(need))
+        return float(need[min(len(need) - 1, math.ceil(target * len(need)))]) + 1e-12
+
+    def _probability(self, x: np.ndarray) -> np.ndarray:
+        z = x @ self.w + self.b
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        return p / p.sum(axis=1, keepdims=True)
+
+    @staticmethod
+    def _visits(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Parts in the order of their probability, and the mass before each."""
+        order = np.argsort(-p, axis=1, kind="stable")
+        ranked = np.take_along_axis(p, order, axis=1)
+        return order, np.cumsum(ranked, axis=1) - ranked
+
+    def home(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, part): the most probable part of each vector."""
+        return np.arange(len(vectors)), self._probability(vectors / (self.scale or 1.0)).argmax(axis=1)
+
+    def visited(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, part): the parts that each vector visits."""
+        order, before = self._visits(self._probability(vectors / (self.scale or 1.0)))
+        row, at = np.nonzero((before < self.mass) | (self.mass >= 1.0))
+        return row, order[row, at]
 
 
 def _matrix(column) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(len(column), -1)
 
 
-def build(vectors: DataFrame, sample: int = SAMPLE) -> tuple[Router, int]:
-    """Fit the router on about ``sample`` rows, drawn by the hash of their id.
-    Returns it with the common vector length."""
+def build(vectors: DataFrame, sample: int = SAMPLE, part_rows: int = PART_ROWS, target: float = TARGET) -> tuple[Router, int]:
+    """Fit the router on about ``sample`` rows, drawn by the hash of their row
+    number. Returns it with the common vector length."""
     n = vectors.count()
     share = F.lit(min(1.0, sample / max(n, 1)))
-    rows = vectors.where(F.xxhash64("id", F.lit("sample")) / F.lit(2.0 ** 64) + 0.5 <= share).orderBy("id").collect()
+    rows = vectors.where(F.xxhash64("row", F.lit("sample")) / F.lit(2.0 ** 64) + 0.5 <= share).orderBy("id", "row").collect()
     sizes = [len(r["v"]) for r in rows]
     dim = max(sorted(set(sizes)), key=sizes.count) if sizes else 0
     same = [r["v"] for r in rows if len(r["v"]) == dim]
-    return Router(np.array(same, dtype=np.float64).reshape(len(same), dim)), dim
+    parts = max(1, min(math.ceil(n / part_rows), len(same) // PART_SAMPLE))
+    return Router(np.array(same, dtype=np.float64).reshape(len(same), dim), parts, target), dim
 
 
 def search(rows: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector: str = "embedding",
-           probes: int = PROBES) -> DataFrame:
+           target: float = TARGET, sample: int = SAMPLE, part_rows: int = PART_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): for every row where ``is_query`` (a
     condition on ``id``) holds, the ``k`` nearest other rows that its parts hold."""
     vectors = written(usable(rows, key, vector), "vectors")
-    router, dim = build(vectors)
+    router, dim = build(vectors, sample, part_rows, target)
     vectors = vectors.where(F.size("v") == dim)
 
-    def route(count):
+    def route(choose):
         def run(batches):
             for batch in batches:
-                if batch.num_rows:
-                    parts = router.probable(_matrix(batch.column("v")), count)
-                    at = pa.array(np.repeat(np.arange(batch.num_rows), parts.shape[1]))
-                    yield pa.RecordBatch.from_arrays([pa.array(parts.ravel().astype(np.int32)), batch.column("id").take(at),
-                                                      batch.column("v").take(at)], names=["part", "id", "v"])
+                for lo in range(0, batch.num_rows, 4096):
+                    some = batch.slice(lo, 4096)
+                    row, part = getattr(router, choose)(_matrix(some.column("v")))
+                    at = pa.array(row)
+                    yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), *[some.column(c).take(at) for c in ("row", "id", "v")]],
+                                                     names=["part", "row", "id", "v"])
         return run
 
-    schema = "part int, id long, v array<double>"
-    placed = written(vectors.mapInArrow(route(1), schema), "index")
-    asked = vectors.where(is_query).mapInArrow(route(min(probes, router.parts)), schema)
+    schema = "part int, row long, id long, v array<double>"
+    placed = written(vectors.mapInArrow(route("home"), schema), "index")
+    asked = written(vectors.where(is_query).mapInArrow(route("visited"), schema), "asked")
     sizes = placed.groupBy("part").agg(F.count("*").alias("n"))                 # one row per part
     asked_sizes = asked.groupBy("part").agg(F.count("*").alias("n"))
     blocks = {r["part"]: math.ceil(r["n"] / BLOCK) for r in sizes.collect()}
@@ -206,7 +253,7 @@ def search(rows: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector:
         return F.create_map(*[x for p, n in table.items() for x in (F.lit(p), F.lit(n))])
 
     def block(n, salt):
-        return F.pmod(F.xxhash64("id", F.lit(salt)), n.cast("long")).cast("int")
+        return F.pmod(F.xxhash64("row", F.lit(salt)), n.cast("long")).cast("int")
 
     # a task holds one block of a part and one block of the queries routed to it
     held = (placed.where(F.col("part").isin(list(query_blocks))).withColumn("c", block(of(blocks)[F.col("part")], "c"))
@@ -215,15 +262,16 @@ def search(rows: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector:
             .withColumn("c", F.explode(F.sequence(F.lit(0), of(blocks)[F.col("part")] - 1))))
 
     def rerank(left, right):
-        out_q, out_i, out_s = [], [], []
+        out_r, out_q, out_i, out_s = [], [], [], []
         if left.num_rows and right.num_rows:
             ids = np.asarray(left.column("id").combine_chunks())
             order = np.argsort(ids, kind="stable")
-            ids, x = ids[order], _matrix(left.column("v").combine_chunks())[order]
+            ids, x, own = ids[order], _matrix(left.column("v").combine_chunks())[order], np.asarray(left.column("row").combine_chunks())[order]
             asks, y = np.asarray(right.column("id").combine_chunks()), _matrix(right.column("v").combine_chunks())
+            askers = np.asarray(right.column("row").combine_chunks())
             for lo in range(0, len(asks), 256):
                 s = y[lo:lo + 256] @ x.T
-                s[ids[None, :] == asks[lo:lo + 256, None]] = -np.inf
+                s[own[None, :] == askers[lo:lo + 256, None]] = -np.inf
                 top = min(k, s.shape[1])
                 edge = -np.partition(-s, top - 1, axis=1)[:, top - 1]
                 for r in range(len(s)):
@@ -231,16 +279,16 @@ def search(rows: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector:
                     at = np.flatnonzero((s[r] >= edge[r] - 1e-9 * max(1.0, abs(edge[r]))) & (s[r] > -np.inf))
                     score = (x[at] * y[lo + r]).sum(axis=1)
                     best = np.lexsort((ids[at], -score))[:k]
+                    out_r.append(np.full(len(best), askers[lo + r]))
                     out_q.append(np.full(len(best), asks[lo + r]))
                     out_i.append(ids[at][best])
                     out_s.append(score[best])
-        if not out_q:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        return pa.table({"query_id": pa.array(np.concatenate(out_q)), "vec_id": pa.array(np.concatenate(out_i)),
-                         "score": pa.array(np.concatenate(out_s))})
+        empty = [np.zeros(0, np.int64)]
+        return pa.table({"query": np.concatenate(out_r or empty), "query_id": np.concatenate(out_q or empty),
+                         "vec_id": np.concatenate(out_i or empty), "score": np.concatenate(out_s or [np.zeros(0)])})
 
     near = (held.groupBy("part", "c", "q").cogroup(sent.groupBy("part", "c", "q"))
-            .applyInArrow(rerank, "query_id long, vec_id long, score double"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            .applyInArrow(rerank, "query long, query_id long, vec_id long, score double"))
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return (near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -2,9 +2,11 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -14,6 +16,30 @@ from skyframe.llm import ann as NN, packing as PK, quality_model as QM
 VEC = "vec_id long, embedding array<float>, label int"
 
 
+def check_neighbours(out, ids, full, k=20):
+    """Recall against brute force; ranks, order and scores of every query."""
+    got, hits, total = {}, 0, 0
+    for r in out:
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    queries = np.flatnonzero(ids % 20 == 0)
+    assert sorted(got) == sorted(ids[queries].tolist())
+    rows = {}
+    for at, i in enumerate(ids.tolist()):
+        rows.setdefault(i, []).append(at)
+    for at in queries:
+        s = full @ full[at]
+        s[at] = -np.inf
+        best = Counter(ids[np.lexsort((ids, -s))[:k]].tolist())
+        own = sorted(got[ids[at]])
+        assert [x for x, _, _ in own] == list(range(1, k + 1))
+        assert all((a[2], -a[1]) >= (b[2], -b[1]) for a, b in zip(own, own[1:]))
+        for _, v, score in own:
+            assert min(abs(score - full[j] @ full[at]) for j in rows[v]) < 1e-9
+        hits += (best & Counter(v for _, v, _ in own)).total()
+        total += k
+    return hits / total
+
+
 def test_neighbours_recall_and_odd_vectors(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(12, 16))
@@ -21,28 +47,28 @@ def test_neighbours_recall_and_odd_vectors(spark):
     data = [(i, [float(v) for v in x[i]], 0) for i in range(1500)]
     data += [(2000, None, 0), (2020, [0.0] * 16, 0), (2040, [float("nan")] * 16, 0), (2060, [None] + [1.0] * 15, 0),
              (2080, [float("inf")] + [1.0] * 15, 0), (None, data[0][1], 0), data[5], (1600, data[20][1], 0), (2100, [1.0], 0), (2120, [], 0)]
-    out = NN.search(spark.createDataFrame(data, VEC), F.col("id") % 20 == 0).collect()
-    ids = np.array([*range(1500), 1600])
-    full = np.vstack([x, x[20]]).astype(np.float64)
-    hits, total = 0, 0
-    got = {}
-    for r in out:
-        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
-    queries = [i for i in ids if i % 20 == 0]
-    assert sorted(got) == queries
-    for q in queries:
-        at = int(np.flatnonzero(ids == q)[0])
-        s = full @ full[at]
-        s[at] = -np.inf
-        best = ids[np.lexsort((ids, -s))[:20]]
-        own = sorted(got[q])
-        assert [k for k, _, _ in own] == list(range(1, 21))
-        assert all(a[2] >= b[2] for a, b in zip(own, own[1:]))
-        for _, v, score in own:
-            assert abs(score - full[int(np.flatnonzero(ids == v)[0])] @ full[at]) < 1e-9
-        hits += len(set(best) & {v for _, v, _ in own})
-        total += 20
-    assert hits / total >= 0.9
+    table = spark.createDataFrame(data, VEC).withColumn("a.b", F.lit(1)).withColumn("part", F.lit(2))
+    ids, full = np.array([*range(1500), 5, 1600]), np.vstack([x, x[5], x[20]]).astype(np.float64)
+    assert check_neighbours(NN.search(table, F.col("id") % 20 == 0).collect(), ids, full) >= 0.9
+    # every part visited: exact, however many parts there are
+    assert check_neighbours(NN.search(table, F.col("id") % 20 == 0, part_rows=60, target=1).collect(), ids, full) == 1.0
+
+
+@pytest.mark.parametrize("kind", ["clusters", "gaussian"])
+def test_neighbours_recall_with_fewer_visits_than_parts(spark, kind):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(6000, 32))
+    if kind == "clusters":
+        x = rng.normal(size=(60, 32))[rng.integers(0, 60, 6000)] + 0.5 * x
+    x = x.astype(np.float32)
+    table = spark.createDataFrame([(i, [float(c) for c in v], 0) for i, v in enumerate(x)], VEC)
+    vectors = NN.usable(table, "vec_id", "embedding")
+    router, dim = NN.build(vectors, part_rows=150)
+    assert router.parts == 40 and dim == 32
+    visits = np.bincount(router.visited(x[::20].astype(np.float64))[0])
+    assert visits.mean() < (0.85 if kind == "gaussian" else 0.4) * router.parts
+    recall = check_neighbours(NN.search(table, F.col("id") % 20 == 0, part_rows=150).collect(), np.arange(6000), x.astype(np.float64))
+    assert recall >= 0.9, recall
 
 
 def test_neighbours_small_tables(spark):
