@@ -86,6 +86,23 @@ def carried(row: DataFrame, name: str, ddl: str) -> StructType:
     return StructType([row.schema[name], *StructType.fromDDL(ddl).fields])
 
 
+def freed(run):
+    """``run`` (batches to batches) that gives the memory of its task back to the
+    system at the end: the worker process lives on beside the next stage's tasks."""
+    def wrapped(batches):
+        yield from run(batches)
+        import ctypes
+        import gc
+        import pyarrow as pa
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):                   # another C library: it decides by itself
+            pass
+    return wrapped
+
+
 def text_column(batch, column: str = "text", row: str | None = None):
     """The column, or where ``row`` is given the field ``column`` of that struct."""
     return batch.column(column) if row is None else batch.column(row).field(column)

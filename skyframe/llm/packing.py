@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import carried, packed_rows, ship, written
+from .common import as_row, carried, freed, named, of_row, packed_rows, ship, written
 
 ship(__name__)
 
@@ -44,6 +44,12 @@ END = b"\0\0\0\0"
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+# How the file spells bytes: visible Latin-1 characters stand for themselves, the
+# other bytes, in order, are the characters from 256 on.
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+VISIBLE = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
 class WordTokenizer:
     """Ids of the tokenizer file, remembered per word.
 
@@ -51,8 +57,8 @@ class WordTokenizer:
     concatenation of its parts between ASCII blanks. Parts of visible Latin-1
     characters (nothing to compose) are lower-cased and split by the file's word
     pattern here; every other part, and every part that holds an added token of
-    the file ('<|endoftext|>'), goes to the library, and so does every new word. New words are sent many at a time, separated by blanks; the last
-    token of a word is marked as such in the vocabulary."""
+    the file ('<|endoftext|>'), goes to the library. New words go to the merge
+    model of the file, spelled in the visible characters it has for bytes."""
 
     def __init__(self, path: str):
         import os
@@ -60,9 +66,6 @@ class WordTokenizer:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        vocab = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.pieces = regex.compile(WORD + "| ")
         added = [regex.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.other = regex.compile("|".join([r"[^ -~\xa1-\xff]", *added]))
@@ -73,14 +76,14 @@ class WordTokenizer:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def _learn_words(self, new: list[str]) -> None:
-        for lo in range(0, len(new), 2048):
-            some = new[lo:lo + 2048]
-            ids = self._ids(" ".join(some))
-            stop = np.flatnonzero(self.ends[ids]) + 1
-            raw, at = ids.tobytes(), 0
-            for word, end in zip(some, (4 * stop).tolist(), strict=True):
-                self.words[word] = raw[at:end]
-                at = end
+        tokens = self.tokenizer.model.tokenize
+        ids, sizes = [], []
+        for word in new:
+            found = tokens(word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(VISIBLE))
+            ids.extend([t.id for t in found])
+            sizes.append(len(found))
+        raw, ends = np.array(ids, dtype="<u4").tobytes(), (4 * np.cumsum(sizes, dtype=np.int64)).tolist()
+        self.words.update(zip(new, [raw[a:b] for a, b in zip([0, *ends], ends)]))
 
     def _learn(self, unknown: set[bytes]) -> None:
         parts = list(unknown)
@@ -96,14 +99,12 @@ class WordTokenizer:
             return
         pieces = self.pieces.findall(joined.lower())
         self._learn_words(list(set(pieces).difference(self.words, (" ",))))
-        words, at, own = self.words, 0, []
-        for piece in pieces:
-            if piece == " ":
-                self.parts[parts[at]] = b"".join(own)
-                at, own = at + 1, []
-            else:
-                own.append(words[piece])
-        self.parts[parts[at]] = b"".join(own)
+        self.words[" "] = b""                               # a part ends where no id is added
+        ids = list(map(self.words.__getitem__, pieces))
+        raw = b"".join(ids)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        ends = [*np.cumsum(sizes)[sizes == 0].tolist(), len(raw)]
+        self.parts.update(zip(parts, [raw[a:b] for a, b in zip([0, *ends], ends)], strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
@@ -127,7 +128,7 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", keep: list[str] | N
     like new ones are replaced."""
     new = ["piece", "start", "length", "ids", "ids_crc32"]
     cols = [c for c in (keep if keep is not None else docs.columns) if c not in new]
-    src = docs.select(F.col(text).alias("text"), F.struct(*[F.col(c) for c in cols] or [F.lit(0).alias("_")]).alias("row"))
+    src = docs.select(named(text).alias("text"), as_row(cols))
 
     def run(batches):
         tokens = WordTokenizer(path)
@@ -146,8 +147,8 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", keep: list[str] | N
                      pa.array(out["length"], pa.int64()), pa.array(out["ids"], pa.binary()), pa.array(out["ids_crc32"], pa.int64())],
                     names=["row", *new])
 
-    out = src.mapInArrow(run, carried(src, "row", "piece int, start long, length long, ids binary, ids_crc32 long"))
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in cols], *new)
+    out = src.mapInArrow(freed(run), carried(src, "row", "piece int, start long, length long, ids binary, ids_crc32 long"))
+    return out.select(*of_row(cols), *new)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
@@ -257,7 +258,7 @@ def place(pieces: DataFrame, order: list[str], capacity: int = CAPACITY) -> Data
     numbered = (salted.join(before, ["length", "__salt"])
                 .withColumn("__rank", F.col("__before") + F.row_number().over(
                     Window.partitionBy("length", "__salt").orderBy(*order)) - 1)
-                .select(F.struct(*own_columns).alias("row"), "length", "__rank"))
+                .select(as_row(own_columns), "length", "__rank"))
 
     def assign(batches):
         for batch in batches:
@@ -272,7 +273,7 @@ def place(pieces: DataFrame, order: list[str], capacity: int = CAPACITY) -> Data
                                              names=["row", "sequence_id", "offset"])
 
     placed = numbered.mapInArrow(assign, carried(numbered, "row", "sequence_id long, offset long"))
-    return placed.select(*[F.col(f"row.`{c}`").alias(c) for c in own_columns], "sequence_id", "offset")
+    return placed.select(*of_row(own_columns), "sequence_id", "offset")
 
 
 def pack(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", keep: list[str] | None = None,
