@@ -9,7 +9,8 @@
    parts of a vertex and its neighbours as soft target.
 4. Every row of the table is assigned to its most probable part; a query is routed
    to its most probable parts until they hold a probability mass, and reranked there
-   by the exact inner product in double precision.
+   by the exact inner product in double precision. The first part is searched
+   alone: its k-th score bounds what the others need to return.
 
 The mass is measured, not set: on held-out rows of the sample it is the least one
 whose parts hold ``TARGET`` of their exact neighbours. So queries that are easy to
@@ -234,20 +235,34 @@ def search(rows: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector:
                 for lo in range(0, batch.num_rows, 4096):
                     some = batch.slice(lo, 4096)
                     row, part = getattr(router, choose)(_matrix(some.column("v")))
-                    at = pa.array(row)
-                    yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), *[some.column(c).take(at) for c in ("row", "id", "v")]],
-                                                     names=["part", "row", "id", "v"])
+                    at, first = pa.array(row), np.append(True, row[1:] != row[:-1])[:len(row)]
+                    yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(first), *[some.column(c).take(at) for c in ("row", "id", "v")]],
+                                                     names=["part", "first", "row", "id", "v"])
         return run
 
-    schema = "part int, row long, id long, v array<double>"
+    schema = "part int, first boolean, row long, id long, v array<double>"
     placed = written(vectors.mapInArrow(route("home"), schema), "index")
     asked = written(vectors.where(is_query).mapInArrow(route("visited"), schema), "asked")
+    near = written(_meet(placed, asked.where("first").withColumn("least", F.lit(float("-inf"))), k), "first-parts")
+    # fewer than k found bound nothing
+    bound = near.groupBy("query").agg(F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(float("-inf"))).alias("least"))
+    further = (asked.where("NOT first").join(bound.withColumnRenamed("query", "row"), "row", "left")
+               .withColumn("least", F.coalesce("least", F.lit(float("-inf")))))
+    near = near.unionByName(_meet(placed, further, k))
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    return (near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+
+
+def _meet(placed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(query, query_id, vec_id, score): for every query, in every part it is routed
+    to, the ``k`` nearest rows of each block that reach the query's ``least`` score."""
     sizes = placed.groupBy("part").agg(F.count("*").alias("n"))                 # one row per part
     asked_sizes = asked.groupBy("part").agg(F.count("*").alias("n"))
     blocks = {r["part"]: math.ceil(r["n"] / BLOCK) for r in sizes.collect()}
     query_blocks = {r["part"]: math.ceil(r["n"] / QUERY_BLOCK) for r in asked_sizes.collect()}
     if not blocks or not query_blocks:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return placed.sparkSession.createDataFrame([], "query long, query_id long, vec_id long, score double")
 
     def of(table):
         return F.create_map(*[x for p, n in table.items() for x in (F.lit(p), F.lit(n))])
@@ -268,17 +283,18 @@ def search(rows: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector:
             order = np.argsort(ids, kind="stable")
             ids, x, own = ids[order], _matrix(left.column("v").combine_chunks())[order], np.asarray(left.column("row").combine_chunks())[order]
             asks, y = np.asarray(right.column("id").combine_chunks()), _matrix(right.column("v").combine_chunks())
-            askers = np.asarray(right.column("row").combine_chunks())
+            askers, least = (np.asarray(right.column(c).combine_chunks()) for c in ("row", "least"))
             for lo in range(0, len(asks), 256):
                 s = y[lo:lo + 256] @ x.T
                 s[own[None, :] == askers[lo:lo + 256, None]] = -np.inf
                 top = min(k, s.shape[1])
-                edge = -np.partition(-s, top - 1, axis=1)[:, top - 1]
+                edge = np.maximum(-np.partition(-s, top - 1, axis=1)[:, top - 1], least[lo:lo + 256])
                 for r in range(len(s)):
                     # a little slack for the rounding of the block product; then exact scores and ties by id
                     at = np.flatnonzero((s[r] >= edge[r] - 1e-9 * max(1.0, abs(edge[r]))) & (s[r] > -np.inf))
                     score = (x[at] * y[lo + r]).sum(axis=1)
                     best = np.lexsort((ids[at], -score))[:k]
+                    best = best[score[best] >= least[lo + r]]
                     out_r.append(np.full(len(best), askers[lo + r]))
                     out_q.append(np.full(len(best), asks[lo + r]))
                     out_i.append(ids[at][best])
@@ -287,8 +303,5 @@ def search(rows: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector:
         return pa.table({"query": np.concatenate(out_r or empty), "query_id": np.concatenate(out_q or empty),
                          "vec_id": np.concatenate(out_i or empty), "score": np.concatenate(out_s or [np.zeros(0)])})
 
-    near = (held.groupBy("part", "c", "q").cogroup(sent.groupBy("part", "c", "q"))
+    return (held.groupBy("part", "c", "q").cogroup(sent.groupBy("part", "c", "q"))
             .applyInArrow(rerank, "query long, query_id long, vec_id long, score double"))
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    return (near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
