@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_row, carried, named, of_row, packed_rows, ship, text_column
+from .common import as_row, carried, freed, named, of_row, packed_rows, ship, text_column
 
 ship(__name__)
 
@@ -190,7 +190,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
 
     # m rows of m + c sums in all, however many rows take part: a row is cut into
     # pieces, whose arrays are added up component by component
-    cells = sample.select("text", "lang").mapInArrow(gram, "i int, v array<double>")
+    cells = sample.select("text", "lang").mapInArrow(freed(gram), "i int, v array<double>")
     add = lambda old, new: F.when(F.size(old) == 0, new).otherwise(F.zip_with(old, new, lambda a, b: a + b))
     cells = cells.groupBy("i").agg(F.aggregate(F.collect_list("v"), F.array().cast("array<double>"), add).alias("v")).collect()
     total = np.zeros((m, m + c))
@@ -223,6 +223,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
                     [part.column("__row"), pa.array(langs, pa.string()), pa.array(values, pa.float64())],
                     names=["__row", "__pred", "__score"])
 
-    out = src.mapInArrow(run, carried(src, "__row", "__pred string, __score double"))
+    out = src.mapInArrow(freed(run), carried(src, "__row", "__pred string, __score double"))
     return out.select(*of_row(cols, "__row"), F.col("__pred").alias(pred),
                       F.col("__score").alias(score))

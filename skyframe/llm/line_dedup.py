@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import as_row, join_by_share, let, named, of_row, packed_rows, ship, written
+from .common import as_row, freed, join_by_share, let, named, of_row, packed_rows, ship, written
 
 ship(__name__)
 
@@ -86,7 +86,7 @@ def line_table(docs: DataFrame, text: str = "text", key: str = "doc_id", min_cha
                     names=["o", "d", "p", "h", "c", "forward", "backward"])
 
     rows = docs.where(named(text).isNotNull() & (named(text) != "")).select(*_document(key, text), named(text).alias("text"))
-    return written(rows.mapInArrow(run, "o long, d long, p int, h long, c long, forward int, backward int"), "lines")
+    return written(rows.mapInArrow(freed(run), "o long, d long, p int, h long, c long, forward int, backward int"), "lines")
 
 
 def _first(rows: DataFrame, by: list[str]) -> DataFrame:

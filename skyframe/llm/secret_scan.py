@@ -24,7 +24,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_row, carried, named, of_row, packed_rows, ship, written
+from .common import as_row, carried, freed, named, of_row, packed_rows, ship, written
 
 ship(__name__)
 
@@ -255,5 +255,5 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
                 yield pa.RecordBatch.from_arrays([part.column("__row")] + [pa.array(out[n], t) for n, t in zip(new, types)],
                                                  names=["__row", *new])
 
-    out = src.mapInArrow(run, carried(src, "__row", FIELDS))
+    out = src.mapInArrow(freed(run), carried(src, "__row", FIELDS))
     return out.select(*of_row(cols, "__row"), *new)

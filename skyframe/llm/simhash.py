@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_row, named, of_row, packed_rows, ship, written
+from .common import as_row, freed, named, of_row, packed_rows, ship, written
 
 ship(__name__)
 
@@ -135,7 +135,7 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", shing
                     names=["doc_id", "text_hash", "fp"])
 
     src = docs.select(named(key).cast("long").alias("doc_id"), F.xxhash64(named(text)).alias("text_hash"), named(text).alias("text"))
-    return src.mapInArrow(run, "doc_id long, text_hash long, fp long")
+    return src.mapInArrow(freed(run), "doc_id long, text_hash long, fp long")
 
 
 def links(distinct: DataFrame, bits: int = MAX_BITS) -> DataFrame:
@@ -149,7 +149,7 @@ def links(distinct: DataFrame, bits: int = MAX_BITS) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(fp[lo:lo + 4096][row]), pa.array(home)],
                                                  names=["anchor", "fp", "home"])
 
-    covered = distinct.select("fp").mapInArrow(run, "anchor long, fp long, home boolean")
+    covered = distinct.select("fp").mapInArrow(freed(run), "anchor long, fp long, home boolean")
     homes = covered.where("home").select("anchor", F.col("fp").alias("a"))
     all_ = covered.select(F.col("anchor"), F.col("fp").alias("b"))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits
