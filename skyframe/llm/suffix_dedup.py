@@ -40,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import as_row, carried, named, of_row, packed_rows, ship, written
+from .common import as_row, carried, join_by_share, named, of_row, packed_rows, ship, written
 
 ship(__name__)
 
@@ -293,8 +293,10 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         runs_of_texts, "bucket long, context long, u long, place long")
     # buckets with two runs or more; mixed: of different contexts
     buckets = (runs.groupBy("bucket").agg(F.count("*").alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi"))
-               .where("n > 1").select("bucket", (F.col("lo") != F.col("hi")).alias("mixed")))
-    live = written(runs.join(buckets, "bucket").select("bucket", "context", "u", "place", "mixed"), "live")
+               .where("n > 1").select("bucket", "n", (F.col("lo") != F.col("hi")).alias("mixed")))
+    # a bucket of a large share of the runs is spread over all tasks
+    live = written(join_by_share(runs, written(buckets, "buckets"), "bucket", "n").where(F.col("mixed").isNotNull())
+                   .select("bucket", "context", "u", "place", "mixed"), "live")
     # distinct contexts, combined before the shuffle, each with one text that holds it
     contexts = written(live.groupBy("bucket", "context", "mixed").agg(
         F.count("*").alias("copies"), F.min("u").alias("u"), F.min_by("place", "u").alias("place")), "contexts")
