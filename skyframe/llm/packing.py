@@ -5,9 +5,9 @@ they are longer than the capacity. The plan works on the *histogram* of piece
 lengths (at most ``capacity`` counts, whatever the number of documents):
 
 1. exact complements: from the longest length down, the gap it leaves is looked
-   up among single lengths, then pair sums, then triple sums, and combinations
-   that fill the gap exactly are consumed as often as the availability counts
-   allow;
+   up in an index of single lengths, pair sums and triple sums
+   (:class:`SumIndex`), and combinations that fill the gap exactly are consumed
+   as often as the availability counts allow;
 2. what is left is packed best fit: the longest length first, the gap filled by
    the longest available length that fits, again and again.
 
@@ -151,6 +151,55 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", keep: list[str] | N
     return out.select(*of_row(cols), *new)
 
 
+class SumIndex:
+    """Sums of one, two and three available lengths, up to the capacity.
+
+    Every pair is stored under its sum, pairs of well supplied lengths first; a
+    triple is found under its sum as a single length whose complement is the sum
+    of a stored pair. Counts (``have``) only fall while the index is used, so a
+    pair at the head of its list that has run out is passed over for good."""
+
+    def __init__(self, have: np.ndarray):
+        self.have = have
+        capacity = len(have) - 1
+        lengths = np.flatnonzero(have)
+        one, other = np.nonzero(np.tri(len(lengths), dtype=bool) & (lengths[:, None] + lengths < capacity))
+        longer, shorter = lengths[one], lengths[other]
+        ok = (longer != shorter) | (have[longer] > 1)
+        longer, shorter = longer[ok], shorter[ok]
+        order = np.lexsort((-np.minimum(have[longer], have[shorter]), longer + shorter))
+        self.longer, self.shorter = longer[order], shorter[order]
+        bounds = np.searchsorted(self.longer + self.shorter, np.arange(capacity + 2))
+        self.head, self.end = bounds[:-1].copy(), bounds[1:]
+
+    def holds(self, lengths: list[int]) -> bool:
+        return all(self.have[x] >= lengths.count(x) for x in set(lengths))
+
+    def single(self, total: int, base: list[int]) -> list[int] | None:
+        return [total] if self.holds([*base, total]) else None
+
+    def pair(self, total: int, base: list[int]) -> list[int] | None:
+        for k in range(self.head[total], self.end[total]):
+            found = [int(self.longer[k]), int(self.shorter[k])]
+            if self.holds([*base, *found]):
+                return found
+            if k == self.head[total] and not self.holds(found):
+                self.head[total] += 1
+        return None
+
+    def triple(self, total: int, base: list[int]) -> list[int] | None:
+        first = np.arange(total - 2, 0, -1)
+        for x in first[(self.have[first] > 0) & (self.head < self.end)[total - first]].tolist():
+            found = self.pair(total - x, [*base, x])
+            if found:
+                return [x, *found]
+        return None
+
+    def fill(self, total: int, base: list[int]) -> list[int] | None:
+        """Lengths of the sum ``total`` that are there beside ``base``, as few as can be."""
+        return self.single(total, base) or self.pair(total, base) or self.triple(total, base)
+
+
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
     """Patterns ``(lengths that share a sequence, number of such sequences)``
     that use up ``counts`` (length -> pieces)."""
@@ -168,45 +217,13 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[in
             have[x] -= k * times
         out.append((lengths, times))
 
-    def enough(lengths: list[int]) -> bool:
-        return all(have[x] >= lengths.count(x) for x in set(lengths))
-
-    def pair(total: int, base: list[int]) -> list[int] | None:
-        """Two available lengths of the sum ``total``; the most balanced availability first."""
-        if total < 2:
-            return None
-        a = np.arange((total + 1) // 2, total)              # the longer of the two
-        b = total - a
-        ok = np.flatnonzero((have[a] > 0) & (have[b] > 0))
-        if not len(ok):
-            return None
-        for k in ok[np.argsort(-np.minimum(have[a[ok]], have[b[ok]]), kind="stable")][:8]:
-            if enough(base + [int(a[k]), int(b[k])]):
-                return [int(a[k]), int(b[k])]
-        return None
-
+    index = SumIndex(have)
     for longest in range(capacity, 0, -1):
         while have[longest] > 0:
-            gap = capacity - longest
-            if gap == 0:
-                take([longest])
-                continue
-            if have[gap] > 0 and enough([longest, gap]):
-                take([longest, gap])
-                continue
-            two = pair(gap, [longest])
-            if two:
-                take([longest, *two])
-                continue
-            three = None
-            for first in np.flatnonzero(have[:gap - 1])[::-1]:
-                rest = pair(gap - int(first), [longest, int(first)])
-                if rest:
-                    three = [longest, int(first), *rest]
-                    break
-            if not three:
+            rest = index.fill(capacity - longest, [longest]) if longest < capacity else []
+            if rest is None:
                 break
-            take(three)
+            take([longest, *rest])
     for longest in range(capacity, 0, -1):                 # what fills no gap exactly: best fit
         while have[longest] > 0:
             lengths = [longest]
