@@ -28,6 +28,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import as_row, carried, freed, named, of_row, packed_rows, ship, written
@@ -38,6 +39,7 @@ CAPACITY = 2048
 SALTS = 16                  # numbering of a length is spread over so many groups at least,
 SALT_ROWS = 1 << 16         # and over one more per so many pieces
 CACHE = 300_000             # texts between blanks (and words) whose ids a task remembers
+BLOCK = 8 << 20             # bytes of text whose distinct parts are looked up together
 END = b"\0\0\0\0"
 
 # Fixed value: the word pattern that the tokenizer file states.
@@ -77,16 +79,23 @@ class WordTokenizer:
 
     def _learn_words(self, new: list[str]) -> None:
         tokens = self.tokenizer.model.tokenize
-        ids, sizes = [], []
-        for word in new:
-            found = tokens(word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(VISIBLE))
-            ids.extend([t.id for t in found])
-            sizes.append(len(found))
-        raw, ends = np.array(ids, dtype="<u4").tobytes(), (4 * np.cumsum(sizes, dtype=np.int64)).tolist()
-        self.words.update(zip(new, [raw[a:b] for a, b in zip([0, *ends], ends)]))
-
-    def _learn(self, unknown: set[bytes]) -> None:
-        parts = list(unknown)
+        for lo in range(0, len(new), 1 << 7):              # the merge model's answers are large objects
+            words = new[lo:lo + (1 << 7)]
+            spelled = words
+            if not "".join(words).isascii():
+                spelled = [w if w.isascii() else w.encode("utf-8").decode("latin-1").translate(VISIBLE) for w in words]
+            found = list(map(tokens, spelled))
+            raw = np.array([t.id for ts in found for t in ts], dtype="<u4").tobytes()
+            ends = (4 * np.cumsum(list(map(len, found)), dtype=np.int64)).tolist()
+            self.words.update(zip(words, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+
+    def _learn(self, parts: list[bytes]) -> None:
+        plain = [p for p in parts if p.isalpha()]           # ASCII letters: one word, only to be lower-cased
+        if plain:
+            words = b" ".join(plain).lower().decode("ascii").split(" ")
+            self._learn_words(list(set(words).difference(self.words)))
+            self.parts.update(zip(plain, map(self.words.__getitem__, words)))
+            parts = [p for p in parts if not p.isalpha()]
         joined = b" ".join(parts).decode("utf-8")
         if self.other.search(joined):
             texts = joined.split(" ")
@@ -106,19 +115,28 @@ class WordTokenizer:
         ends = [*np.cumsum(sizes)[sizes == 0].tolist(), len(raw)]
         self.parts.update(zip(parts, [raw[a:b] for a, b in zip([0, *ends], ends)], strict=True))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
-        split = [(t or "").encode("utf-8").split() for t in texts]
-        used = set().union(*split)
-        unknown = used.difference(self.parts)
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text (null: none) as little-endian 32-bit integers.
+
+        Parts are looked up once per distinct part of the block; their ids are
+        then gathered into one buffer, in which a text is a slice."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+        parts = split.flatten().cast(pa.large_binary()).dictionary_encode()
+        used = parts.dictionary.to_pylist()
+        known = list(map(self.parts.get, used))
+        unknown = [p for p, ids in zip(used, known) if ids is None]
         if len(self.parts) + len(unknown) > CACHE:          # forget, but keep what this block needs
-            self.parts = {p: self.parts[p] for p in used if p in self.parts}
+            self.parts = {p: ids for p, ids in zip(used, known) if ids is not None}
         if len(self.words) > CACHE:
             self.words = {}
         if unknown:
             self._learn(unknown)
-        get = self.parts.__getitem__
-        return [b"".join(map(get, ps)) for ps in split]
+            known = map(self.parts.__getitem__, used)
+        ids = pa.array(known, pa.large_binary()).take(parts.indices)
+        _, ends, raw = ids.buffers()
+        ends = np.frombuffer(ends, np.int64, len(ids) + 1) if len(ids) else np.zeros(1, np.int64)
+        cuts = ends[split.offsets.to_numpy()].tolist()
+        return [raw[a:b].to_pybytes() if a < b else b"" for a, b in zip(cuts, cuts[1:])]
 
 
 def tokenize(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None,
@@ -133,9 +151,9 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", keep: list[str] | N
     def run(batches):
         tokens = WordTokenizer(path)
         for batch in batches:
-            for part in packed_rows(batch, 2 << 20):
+            for part in packed_rows(batch, BLOCK):
                 out: dict[str, list] = {n: [] for n in ("at", *new)}
-                for r, ids in enumerate(tokens.encode(part.column("text").to_pylist())):
+                for r, ids in enumerate(tokens.encode(part.column("text"))):
                     ids += END
                     for k, lo in enumerate(range(0, len(ids), 4 * capacity)):
                         cut = ids[lo:lo + 4 * capacity]

@@ -195,3 +195,35 @@ def test_pipeline_stages(spark):
     empty = frame(spark, [])
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, "").count() == 0
+
+
+def test_sum_index_finds_a_filling_where_one_is_there():
+    """Against all combinations of one to three lengths, under their counts."""
+    from itertools import combinations_with_replacement as some
+    rng = np.random.default_rng(8)
+    for _ in range(20):
+        have = rng.integers(0, 3, 41) * rng.integers(0, 2, 41)
+        have[0] = 0
+        index = PK.SumIndex(have)
+        lengths = [x for x in range(1, 41) if have[x]]
+        for base in rng.choice(lengths, 12).tolist():
+            if have[base]:
+                total = 40 - base
+                fits = [c for k in (1, 2, 3) for c in some(lengths, k)
+                        if sum(c) == total and all(have[x] >= [base, *c].count(x) for x in c)]
+                found = index.fill(total, [base])
+                assert (found is None) == (not fits)
+                if found:
+                    assert tuple(sorted(found)) in fits and len(found) == len(fits[0])
+                    have[found[0]] -= 1                     # counts fall while the index is used
+
+
+def test_tokeniser_blocks():
+    """Null, empty and blank texts, blanks at both ends and parts seen in an earlier block."""
+    import pyarrow as pa
+    path = P.path("word_bpe_49k.json")
+    tokens, library = PK.WordTokenizer(path), Tokenizer.from_file(path)
+    for texts in ([None, "", " \n\t ", "  one Two three\n"], [], ["two one", None, "Été one's 12 \U0001f600 "]):
+        got = tokens.encode(pa.array(texts, pa.string()))
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == \
+            [library.encode(t or "", add_special_tokens=False).ids for t in texts]
