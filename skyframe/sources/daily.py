@@ -13,8 +13,8 @@ from ..functions import units as U
 from ..functions.quality import masked
 from ..operators.series import time_slice
 from ..schema import DAILY_PAIRS, daily_raw_schema, rmk_col
-from .files import existing
-from .hourly import _dt, hourly_patterns
+from .files import scan_station_years
+from .hourly import _dt
 
 DAILY_MISSING_RMK = (0, 1)
 
@@ -33,13 +33,7 @@ def read_daily_raw(spark: SparkSession, root: str, stations: Sequence[str] | Non
         if stations is not None:
             df = df.filter(F.col("station").isin(list(stations)))
     else:
-        patterns = existing(spark, hourly_patterns(root, ["*"] if stations is None else stations, years))
-        if patterns:
-            df = spark.read.schema(daily_raw_schema()).option("header", False).csv(patterns)
-            df = df.withColumn("station", F.regexp_extract(F.col("_metadata.file_path"),
-                                                           r"/([^/]+)/[^/]*?(\d{4})\.csv$", 1))
-        else:
-            df = spark.createDataFrame([], daily_raw_schema()).withColumn("station", F.lit(""))
+        df = scan_station_years(spark, root, daily_raw_schema(), stations, years).drop("year")
     for c in ["KanID", "KanID_1", "YYYY", "MM", "DD"] + [rmk_col(p) for p in DAILY_PAIRS]:
         df = df.withColumn(c, F.trim(F.col(c)).try_cast("int"))
     df = df.withColumn("date", F.make_timestamp_ntz("YYYY", "MM", "DD", F.lit(0), F.lit(0), F.lit(0)))

@@ -1,11 +1,11 @@
-"""Path helpers: turn (root, stations, years) into the glob patterns that exist,
-so a scan only lists and reads the requested station-year files."""
+"""Path helpers: scans that read only the requested station-year files."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 
 def existing(spark: SparkSession, patterns: Iterable[str]) -> list[str]:
@@ -25,3 +25,25 @@ def existing(spark: SparkSession, patterns: Iterable[str]) -> list[str]:
 def year_glob(years: Iterable[int]) -> str:
     ys = sorted(set(int(y) for y in years))
     return "{" + ",".join(str(y) for y in ys) + "}" if len(ys) > 1 else str(ys[0])
+
+
+def scan_station_years(spark: SparkSession, root: str, schema: StructType, stations: Sequence[str] | None = None,
+                       years: Iterable[int] | None = None) -> DataFrame:
+    """CSV rows of the files ``{root}/{station}/{station}{year}.csv`` plus ``station``
+    and ``year``, taken from the path. Null ``stations`` or ``years`` mean all.
+
+    The station folders are listed once, by Spark's own listing job where they are
+    many, whatever the request: names of other years are left out while listing, and
+    the condition on the station reads the file path only, so the scan drops other
+    stations' files before it opens them. Files of other names are no archive files."""
+    root = root.rstrip("/")
+    wanted = year_glob(years) if years is not None else "[0-9][0-9][0-9][0-9]"
+    if existing(spark, [f"{root}/*"]):
+        df = (spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE")
+              .option("pathGlobFilter", f"*{wanted}.csv").csv(f"{root}/*"))
+        path, name = F.col("_metadata.file_path"), r"/([^/]+)/\1(\d{4})\.csv$"
+        df = df.withColumns({"station": F.regexp_extract(path, name, 1),
+                             "year": F.regexp_extract(path, name, 2).try_cast("int")})
+    else:
+        df = spark.createDataFrame([], schema).withColumns({"station": F.lit(""), "year": F.lit(None).cast("int")})
+    return df.where(F.col("station") != "" if stations is None else F.col("station").isin(list(stations)))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.text import parse_local
 from ..operators.series import time_slice
 from ..schema import HOURLY_VARIABLES, hourly_raw_schema, rmk_col
-from .files import existing, year_glob
+from .files import scan_station_years
 
 
 def _dt(x):
@@ -38,12 +38,6 @@ def year_span(start, end, pad: int = 1) -> list[int]:
     return list(range(ys - pad, ye + pad + 1))
 
 
-def hourly_patterns(root: str, stations: Sequence[str], years: Sequence[int] | None) -> list[str]:
-    root = root.rstrip("/")
-    yg = year_glob(years) if years else "[0-9][0-9][0-9][0-9]"
-    return [f"{root}/{s}/{s}{yg}.csv" for s in stations]
-
-
 def build_ts(y, m, d, hh):
     """date(Y, M, D) + HH hours; HH = 24 rolls to the next day 00:00."""
     base = F.make_timestamp_ntz(y, m, d, F.lit(0), F.lit(0), F.lit(0))
@@ -68,15 +62,7 @@ def read_hourly_raw(spark: SparkSession, root: str, stations: Sequence[str] | No
         if years is not None:
             df = df.filter(F.col("year").between(min(years), max(years)))
         return _typed(df)
-    patterns = existing(spark, hourly_patterns(root, ["*"] if stations is None else stations, years))
-    if not patterns:
-        return spark.createDataFrame([], _typed_schema(spark))
-    df = (spark.read.schema(hourly_raw_schema()).option("header", False)
-          .option("mode", "PERMISSIVE").csv(patterns))
-    path = F.col("_metadata.file_path")
-    df = df.withColumn("station", F.regexp_extract(path, r"/([^/]+)/[^/]*?(\d{4})\.csv$", 1)) \
-           .withColumn("year", F.regexp_extract(path, r"(\d{4})\.csv$", 1).try_cast("int"))
-    return _typed(df)
+    return _typed(scan_station_years(spark, root, hourly_raw_schema(), stations, years))
 
 
 def station_years(spark: SparkSession, root: str, layout: str = "archive") -> DataFrame:
@@ -104,11 +90,6 @@ def _typed(df: DataFrame) -> DataFrame:
     return out.withColumn("ts", build_ts(F.col("YYYY"), F.col("MM"), F.col("DD"), F.col("HH")))
 
 
-def _typed_schema(spark):
-    empty = spark.createDataFrame([], hourly_raw_schema())
-    return _typed(empty.withColumn("station", F.lit("")).withColumn("year", F.lit(0))).schema
-
-
 def read_hourly(spark: SparkSession, root: str, stations: Sequence[str] | None = None,
                 start=None, end=None, raw: bool = False, units: str = "physical",
                 rmk_policy: str = "mask", interpolate: bool = True,

@@ -338,3 +338,34 @@ def test_lines_of_ordered_output(spark, tmpdir_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == {(str(i % 2), i // 2 + 1): float(i) for i in range(3000)}
+
+
+def test_only_requested_files_are_opened(spark, tmp_path):
+    """One listing for any request; other stations' and years' files are dropped by their path."""
+    root = str(tmp_path / "tree")
+    for name in ("A", "B", "Bx"):
+        for year in (1991, 1992, 1993):
+            write_station_year(root, name, 7, year, 1)
+    for stray in ("A/notes1992.csv", "A/A1992.csv.bak", "loose1992.csv"):
+        with open(f"{root}/{stray}", "w") as f:
+            f.write("no,archive,file\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")    # tasks follow the bytes read
+    try:
+        from skyframe.schema import hourly_raw_schema
+        from skyframe.sources.files import scan_station_years
+
+        def opened(stations, years):
+            df = scan_station_years(spark, root, hourly_raw_schema(), stations, years)
+            files = {(r["station"], r["year"]) for r in df.select("station", "year").distinct().collect()}
+            return files, df.select("HH").rdd.getNumPartitions()
+        files, tasks = opened(["B", "absent"], [1992, 1993])
+        assert files == {("B", 1992), ("B", 1993)}
+        every, all_tasks = opened(None, None)
+        assert len(every) == 9 and tasks * 9 <= all_tasks * 2 + 9
+        assert opened(None, [1991])[0] == {("A", 1991), ("B", 1991), ("Bx", 1991)}
+        assert opened(["absent"], None)[0] == set()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert H.read_hourly_raw(spark, root, ["A"], "1992-03-01", "1992-04-01", pad=0).select("year").distinct().count() == 1
+    assert H.read_hourly_raw(spark, str(tmp_path / "nothing"), ["A"]).count() == 0
