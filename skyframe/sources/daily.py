@@ -13,7 +13,7 @@ from ..functions import units as U
 from ..functions.quality import masked
 from ..operators.series import time_slice
 from ..schema import DAILY_PAIRS, daily_raw_schema, rmk_col
-from .files import scan_station_years
+from .files import FOLDERS, scan_station_years, scan_written
 from .hourly import _dt
 
 DAILY_MISSING_RMK = (0, 1)
@@ -22,16 +22,11 @@ DAILY_MISSING_RMK = (0, 1)
 def read_daily_raw(spark: SparkSession, root: str, stations: Sequence[str] | None = None,
                    start=None, end=None, layout: str = "archive") -> DataFrame:
     """``layout="archive"`` (``{root}/{station}/{station}{year}.csv``) or
-    ``layout="partitioned"`` (``{root}/station=../year=../*.csv``)."""
+    ``layout="partitioned"`` (``{root}/station=../year=../*.csv``) or
+    ``layout="by_year"`` (``{root}/year=../*.csv``, the station in front)."""
     years = list(range(_dt(start).year, _dt(end).year + 1)) if start and end else None
-    if layout == "partitioned":
-        df = (spark.read.schema(daily_raw_schema().add("station", "string").add("year", "integer"))
-              .option("header", False).option("basePath", root).csv(root))
-        if years is not None:
-            df = df.filter(F.col("year").between(min(years), max(years)))
-        df = df.drop("year")
-        if stations is not None:
-            df = df.filter(F.col("station").isin(list(stations)))
+    if layout in FOLDERS:
+        df = scan_written(spark, root, daily_raw_schema(), layout, stations, years).drop("year")
     else:
         df = scan_station_years(spark, root, daily_raw_schema(), stations, years).drop("year")
     for c in ["KanID", "KanID_1", "YYYY", "MM", "DD"] + [rmk_col(p) for p in DAILY_PAIRS]:

@@ -13,7 +13,7 @@ from ..functions import vendor as VD
 from ..operators.quality import any_flags
 from ..schema import (HOURLY_COLUMNS, HOURLY_VARIABLES, VENDOR_DEFAULT_RMK, VENDOR_DROP_COLUMNS,
                       VENDOR_ID_OFFSET, VENDOR_TIMES_10, VENDOR_TIMES_100, VENDOR_TO_HOURLY, rmk_col)
-from .files import existing
+from .files import FOLDERS, existing
 
 RADIATION = "全天日射量(MJ/㎡)"
 SUNSHINE = "日照時間(h)"
@@ -27,8 +27,9 @@ def read_vendor_csv(spark: SparkSession, base: str, stations: Sequence[str] | No
                     years: Sequence[int] | None = None, layout: str = "vendor") -> DataFrame:
     """Every cell as text; ``station`` and ``year`` from the path.
     ``layout="vendor"``: ``{base}{year}/{station}_{year}.csv``;
-    ``layout="partitioned"``: ``{base}/station=../year=../*.csv`` (pruned on both)."""
-    if layout == "partitioned":
+    ``layout="partitioned"``: ``{base}/station=../year=../*.csv`` (pruned on both);
+    ``layout="by_year"``: ``{base}/year=../*.csv`` with a column ``station``."""
+    if layout in FOLDERS:
         df = (spark.read.option("header", True).option("inferSchema", False)
               .option("basePath", base).csv(base))
         df = df.withColumn("station", F.col("station").cast("string")) \
