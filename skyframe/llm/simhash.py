@@ -153,7 +153,8 @@ def links(distinct: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     homes = covered.where("home").select("anchor", F.col("fp").alias("a"))
     all_ = covered.select(F.col("anchor"), F.col("fp").alias("b"))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits
-    met = homes.join(all_, ["anchor"]).where(close & (F.col("a") != F.col("b")))
+    # Spark sizes both sides like the fingerprints they are made from, about 60 times too low: never broadcast
+    met = homes.hint("merge").join(all_, ["anchor"]).where(close & (F.col("a") != F.col("b")))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

@@ -135,6 +135,18 @@ def test_anchor_cover_meets_every_close_pair():
     assert all((k, at_home[k]) in near for k in range(200))
 
 
+def test_replicas_are_not_broadcast(spark, tmp_path):
+    """About 61 anchors a fingerprint, which Spark sizes like one: the join of few rows is a merge too, and finds all close pairs."""
+    rng = random.Random(21)
+    fps = {rng.getrandbits(64) - (1 << 63) for _ in range(40)}
+    fps |= {x ^ (1 << rng.randrange(62)) ^ (1 << rng.randrange(62)) for x in fps}
+    spark.createDataFrame([(x,) for x in fps], "fp long").write.parquet(str(tmp_path / "fps"))    # a file, so its size is known
+    found = SH.links(spark.read.parquet(str(tmp_path / "fps")))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    close = {(a, b) for a in fps for b in fps if a < b and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= SH.MAX_BITS}
+    assert {(r.a, r.b) for r in found.collect()} == close and len(close) > 30
+
+
 def test_simhash_chain_components(spark):
     """A path of links, and stars, come out as one component each."""
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + k) for k in range(1, 30)] + [(-5, 200)]
