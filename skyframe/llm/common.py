@@ -63,20 +63,23 @@ def join_by_share(rows: DataFrame, table: DataFrame, key: str, count: str) -> Da
     """``rows`` left-joined with ``table`` (one row per ``key``, nulls are a key
     like any other; ``count`` says how many of the rows have it), without
     ``count``. Keys of more than one row in ``SHARE`` - there can be no more than
-    ``SHARE`` of them - are broadcast; the other rows are shuffled by the key."""
+    ``SHARE`` of them - are broadcast; the other rows are shuffled by the key, also
+    where Spark, going by the files of ``table``, would broadcast it too."""
     values = [c for c in table.columns if c not in (key, count)]
     total = table.agg(F.sum(named(count))).first()[0] or 0
     heavy = named(count) * SHARE > total
     packed = F.struct(*[named(c).alias(c) for c in values])
     hot = table.where(heavy).select(named(key).alias("__hot_key"), packed.alias("__hot"))
-    cold = table.where(~heavy).select(named(key).alias("__cold_key"), F.lit(0).cast("long").alias("__cold_spread"), packed.alias("__cold"))
+    # 0, but not as a constant: that would leave the join's keys, and hot rows would meet again in one task
+    none = F.least(named(count), F.lit(0)).cast("long")
+    cold = table.where(~heavy).select(named(key).alias("__cold_key"), none.alias("__cold_spread"), packed.alias("__cold"))
     marked = (rows.select(as_row(rows.columns), named(key).alias("__key"))
               .join(F.broadcast(hot), F.col("__key").eqNullSafe(F.col("__hot_key")), "left"))
     # rows of a hot key need no partner any more: a number of their own spreads them over all tasks
     marked = marked.withColumn("__spread", F.when(F.col("__hot").isNotNull(), F.xxhash64(F.monotonically_increasing_id()).bitwiseOR(F.lit(1)))
                                .otherwise(F.lit(0).cast("long")))
     same = F.col("__key").eqNullSafe(F.col("__cold_key")) & (F.col("__spread") == F.col("__cold_spread"))
-    joined = marked.join(cold, same, "left").withColumn("__found", F.coalesce("__hot", "__cold"))
+    joined = marked.hint("merge").join(cold, same, "left").withColumn("__found", F.coalesce("__hot", "__cold"))
     return joined.select(*of_row(rows.columns), *[F.col("__found").getField(c).alias(c) for c in values])
 
 

@@ -21,7 +21,9 @@ place of the corpus too, whatever else its lines have in common with other place
 Runs travel as pairs of start and end: the lines of a run are never listed. The
 rounds of doubling end with the longest smallest run, not with the longest
 repeated one. Names shared by many positions are joined by
-``common.join_by_share``, so the commonest line is not one task's work.
+``common.join_by_share``, so the commonest line is not one task's work. Tables of
+positions are merged whatever their size: their files are up to 17 times smaller
+than their rows in memory, and Spark, which goes by the files, would broadcast several.
 
 A line is the text between ``\\n``; lines are equal when they are equal without
 the white space at their ends. Defined results: a null or empty text has no runs;
@@ -104,7 +106,7 @@ def doubled(first: DataFrame, longest: int) -> list[DataFrame]:
     while 2 * k <= longest:
         here = levels[-1]
         ahead = here.select("o", "d", (F.col("p") - k).alias("p"), F.col("f").alias("g"))
-        pairs = here.join(ahead, PLACE)
+        pairs = here.hint("merge").join(ahead, PLACE)
         levels.append(written(_first(pairs, ["f", "g"]), f"rank-{2 * k}"))
         k *= 2
     return levels
@@ -121,14 +123,15 @@ def later_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", min_c
     runs = written(runs, "smallest-runs")
     longest = runs.agg(F.max("size")).first()[0] or 0
     later = F.col("f") != F.struct(*PLACE)
-    out = runs.where("size = 1").join(first.select(*PLACE, "f"), PLACE).where(later).select("o", "d", "p", "size")
+    out = runs.where("size = 1").hint("merge").join(first.select(*PLACE, "f"), PLACE).where(later).select("o", "d", "p", "size")
     for j, level in enumerate(doubled(first, longest)):
         k = 1 << j
         if k == 1:
             continue                                        # runs of one line: above
         own = runs.where((F.col("size") >= k) & (F.col("size") < 2 * k))
         tail = level.select("o", "d", F.col("p").alias("at"), F.col("f").alias("g"))
-        both = own.join(level, PLACE).withColumn("at", F.col("p") + F.col("size") - k).join(tail, ["o", "d", "at"]).drop("at")
+        here = own.hint("merge").join(level, PLACE).withColumn("at", F.col("p") + F.col("size") - k)
+        both = here.hint("merge").join(tail, ["o", "d", "at"]).drop("at")
         same = _first(both.withColumn("lines", F.col("size")), ["lines", "f", "g"])
         out = out.unionByName(same.where(later).select("o", "d", "p", "size"))
     return out.select("o", "d", F.col("p").alias("s"), (F.col("p") + F.col("size")).alias("e"))

@@ -225,6 +225,21 @@ def test_long_texts_of_repeated_lines(spark):
     assert out[2]["n_deleted"] == n - 7 and out[2]["kept"] == "\n".join(texts[2].split("\n")[:7])
 
 
+def test_tables_of_positions_are_merged(spark, tmp_path):
+    """The written tables are small files of many rows: only hot keys may be broadcast, and their rows are spread."""
+    rng = random.Random(31)
+    shared = [sentence(rng, "en", 8) for _ in range(6)] + ["a", "b"]
+    data = rows(["\n".join(rng.choice(shared) for _ in range(12)) for _ in range(40)])
+    frame(spark, data).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    plan = LD.later_copies(docs)._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert len([x for x in plan if "SortMergeJoin" in x]) > 4
+    assert all("__hot_key" in x for x in plan if "BroadcastHashJoin" in x)
+    cold = [x for x in plan if "SortMergeJoin" in x and "__cold_key" in x]
+    assert cold and all("__cold_spread" in x and "= 0" not in x for x in cold)
+    check_lines(spark, data, 5)
+
+
 def test_one_row_stays_of_every_group(spark):
     """Rows without an id, rows of one id with different texts, repeated rows."""
     rng = random.Random(9)
