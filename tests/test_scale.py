@@ -102,6 +102,44 @@ def test_forcing_lines_packed(spark, tmp_path):
     assert SK.read_lines(spark, path, layout="packed").count() == 900
 
 
+def test_forcing_batch_goes_as_numbers_and_packs_small(spark, tmp_path, monkeypatch):
+    """A row goes through the range exchange once and without text; packed lines take a fraction of their length on disk."""
+    values = {"slht": 1.5, "kous": 2.0, "u": 3.0, "v": 4.0, "shpa": 1000.0, "kion": 5.0, "humd": 6.0, "clod": 7.0}
+    hour = F.timestamp_add("HOUR", F.col("id").cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    x = spark.range(3000).select((F.col("id") % 5).cast("string").alias("station"), hour.alias("ts"),
+                                 *[F.when(F.col("id") % 3 > 0, F.col("id") / 7 + v).alias(c) for c, v in values.items()])
+    deal, dealt = type(x).repartitionByRange, []
+    monkeypatch.setattr(type(x), "repartitionByRange", lambda self, *a: dealt.append((self.count(), self.dtypes)) or deal(self, *a))
+    path, folders = str(tmp_path / "packed"), str(tmp_path / "folders")
+    SK.export_forcing_batch(x.repartition(3), path, layout="packed")
+    SK.export_forcing_batch(x.repartition(3), folders)
+    for n, kinds in dealt:
+        assert n == 3000 and [c for c, kind in kinds if kind == "string"] == ["station"]
+    assert len(dealt) == 2
+    got = {(r.output, r.station, r.line_no): r.line for r in SK.read_ordered(spark, path, ["output", "station"], layout="packed").collect()}
+    want = {(r.output, str(r.station), r.line_no): r.line for r in SK.read_ordered(spark, folders, ["output", "station"]).collect()}
+    assert got == want and len(got) == 9000
+    for i in (0, 1, 2, 1499, 2999):
+        time = str(T0 + dt.timedelta(hours=i))
+        num = [None if i % 3 == 0 else i / 7 + v for v in values.values()]
+        text = [("nan" if v is None else f"{v:.5f}").rjust(w) for v, w in zip(num[2:], (10, 10, 12, 10, 10, 10))]
+        assert got["met", str(i % 5), i // 5 + 1] == " ".join([time, *text])
+        assert got["slht", str(i % 5), i // 5 + 1] == f"{time} {'nan' if num[0] is None else f'{num[0]:.5f}':>10}"
+        rain = got["kous", str(i % 5), i // 5 + 1].removeprefix(f"{time} ")
+        assert rain == "nan" if num[1] is None else float(rain) == num[1]
+    files = glob.glob(f"{path}/part-*")
+    assert len(files) <= 4 and 4 * sum(map(os.path.getsize, files)) < sum(map(len, got.values()))
+
+
+def test_lines_are_neither_broadcast_nor_sorted(spark, tmp_path):
+    df = spark.range(90).select((F.col("id") % 45).cast("string").alias("station"), F.timestamp_add(
+        "HOUR", F.col("id").cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("ts"), F.col("id").cast("double").alias("v"))
+    SK.export_forcing(df, "v", str(tmp_path / "x"), layout="packed")
+    back = SK.read_ordered(spark, str(tmp_path / "x"), layout="packed")
+    assert "Broadcast" not in _plan(back) and "SortMergeJoin" not in _plan(back) and "ShuffledHashJoin" in _plan(back)
+    assert {(r.station, r.line_no) for r in back.collect()} == {(str(k), n) for k in range(45) for n in (1, 2)}
+
+
 def test_store_packed_by_year(spark, tmp_path):
     path = str(tmp_path / "store")
 
